@@ -186,7 +186,9 @@ def _at_end(value: str, condition: Column | None = None) -> Column:
     return F.max(F.when(hit if condition is None else hit & condition, F.col(value)))
 
 
-_TWO_YEARS = F.min("year") != F.max("year")
+def _two_years() -> Column:
+    """Aggregate: the group holds both years of the period."""
+    return F.min("year") != F.max("year")
 
 
 def country_period(annual: DataFrame, period: DataFrame) -> DataFrame:
@@ -194,7 +196,7 @@ def country_period(annual: DataFrame, period: DataFrame) -> DataFrame:
     return (
         _in_period(annual, period)
         .groupBy("entity_code", "start_year", "end_year")
-        .agg(_TWO_YEARS.alias("_both"))
+        .agg(_two_years().alias("_both"))
         .where("_both")
         .drop("_both")
     )
@@ -218,7 +220,7 @@ def generation_demand_summary(
     compared = (
         _in_period(annual_balance(gold, as_of_year), period)
         .groupBy("entity_code", "start_year", "end_year")
-        .agg(_TWO_YEARS.alias("_both"), *picked)
+        .agg(_two_years().alias("_both"), *picked)
         .where("_both")
     )
 
@@ -336,7 +338,7 @@ def mix_pivot(gold: Gold, as_of_year: int, period: DataFrame) -> DataFrame:
     return (
         _in_period(annual_shares(gold, as_of_year), period)
         .groupBy("entity_code", "start_year", "end_year")
-        .agg(_TWO_YEARS.alias("_both"), *cells)
+        .agg(_two_years().alias("_both"), *cells)
         .where("_both")
         .drop("_both")
     )

@@ -137,7 +137,7 @@ def describe_measures(silver: dict[str, DataFrame]) -> DataFrame:
         *by,
         "count",
         F.round("mean", 6).alias("mean"),
-        F.round("std", 6).alias("std"),
+        F.round("std", 4).alias("std"),
         "min",
         *[F.round(q, 6).alias(q) for q in QUARTILES],
         "max",
