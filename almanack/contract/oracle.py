@@ -481,10 +481,10 @@ def _column_profile() -> str:
             f"CAST(COALESCE(SUM(n) FILTER (v IS NULL), 0) AS BIGINT) AS null_count, "
             f"{_round('(100.0 * COALESCE(SUM(n) FILTER (v IS NULL), 0) / SUM(n))', 2)} AS null_pct, "
             f"COUNT(v) AS unique_values, "
-            f"COALESCE(string_agg(v, ', ' ORDER BY at) FILTER (v IS NOT NULL AND r <= 3), '') "
+            f"COALESCE(string_agg(v, ', ' ORDER BY seen) FILTER (v IS NOT NULL AND r <= 3), '') "
             f"AS sample_values "
-            f"FROM (SELECT *, row_number() OVER (ORDER BY v IS NULL, at) AS r FROM "
-            f"(SELECT CAST({c} AS VARCHAR) AS v, COUNT(*) AS n, MIN(rn) AS at FROM numbered GROUP BY 1))"
+            f"FROM (SELECT *, row_number() OVER (ORDER BY v IS NULL, seen) AS r FROM "
+            f"(SELECT CAST({c} AS VARCHAR) AS v, COUNT(*) AS n, MIN(rn) AS seen FROM numbered GROUP BY 1))"
         )
     rows = " UNION ALL ".join(parts)
     return (

@@ -556,7 +556,7 @@ def _with_period(build):
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         gold = staging.gold(spark, sf)
-        return build(gold, marts.comparison_period(gold, AS_OF, BASE))
+        return build(gold, marts.resolve_period(gold, AS_OF, BASE))
 
     return run
 
@@ -607,19 +607,19 @@ QUERIES["eligible_countries"] = _with_period(
 )
 QUERIES["mix_pivot"] = _with_period(lambda gold, period: marts.mix_pivot(gold, AS_OF, period))
 QUERIES["annual_emissions"] = _with_period(
-    lambda gold, period: marts.annual_emissions(gold, AS_OF, BASE, period)
+    lambda gold, period: marts.annual_emissions(gold, AS_OF, period)
 )
 QUERIES["annual_intensity"] = _with_period(
-    lambda gold, period: marts.annual_intensity(gold, AS_OF, BASE, period)
+    lambda gold, period: marts.annual_intensity(gold, AS_OF, period)
 )
 QUERIES["emissions_pivot"] = _with_period(
-    lambda gold, period: marts.emissions_pivot(gold, AS_OF, BASE, period)
+    lambda gold, period: marts.emissions_pivot(gold, AS_OF, period)
 )
 QUERIES["annual_capacity"] = _with_period(
-    lambda gold, period: marts.annual_capacity(gold, AS_OF, BASE, period)
+    lambda gold, period: marts.annual_capacity(gold, AS_OF, period)
 )
 QUERIES["capacity_pivot"] = _with_period(
-    lambda gold, period: marts.capacity_pivot(gold, AS_OF, BASE, period)
+    lambda gold, period: marts.capacity_pivot(gold, AS_OF, period)
 )
 
 

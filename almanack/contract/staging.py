@@ -8,29 +8,32 @@ again when an executor is lost. A stage is written once per session.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from almanack import schemas as S
 from almanack.contract import driver_tables as T
 from almanack.operators.facts import gold_model
-from almanack.session import run_folder
+from almanack.session import run_folder, run_together
 from almanack.sources.lookups import series_classification
 
-_WRITTEN: dict[tuple, str] = {}
+# (application, sf_dir, stage, ...) -> (path, schema) of tables already written
+_WRITTEN: dict[tuple, tuple] = {}
+
+
+def _staged(spark: SparkSession, key: tuple) -> DataFrame | None:
+    written = _WRITTEN.get((spark.sparkContext.applicationId, *key))
+    return None if written is None else spark.read.schema(written[1]).parquet(written[0])
 
 
 def _stage(spark: SparkSession, key: tuple, build, order: tuple = ()) -> DataFrame:
-    key = (spark.sparkContext.applicationId, *key)
-    if key not in _WRITTEN:
-        path = run_folder(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key[2:]))
+    if _staged(spark, key) is None:
+        path = run_folder(spark, "-".join(key[1:]))
         df = build()
         if order:
             df = df.sortWithinPartitions(*order)
         df.write.mode("errorifexists").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(_WRITTEN[key])
+        _WRITTEN[(spark.sparkContext.applicationId, *key)] = (path, df.schema)
+    return _staged(spark, key)
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,16 +50,12 @@ def silver_table(spark: SparkSession, sf_dir: str, level: str, dataset: str) ->
     )
 
 
-def _together(jobs) -> list:
-    """Submit independent stages at once; Spark shares the executors."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        return [future.result() for future in [pool.submit(job) for job in jobs]]
-
-
 def silver(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[str, DataFrame]:
-    _together([lambda n=n: base(spark, sf_dir, n) for n in T.BASES])
-    frames = _together([lambda n=n: silver_table(spark, sf_dir, level, n) for n in S.DATASETS])
-    return dict(zip(S.DATASETS, frames))
+    keys = {name: (sf_dir, "silver", level, name) for name in S.DATASETS}
+    if any(_staged(spark, key) is None for key in keys.values()):
+        run_together([lambda n=n: base(spark, sf_dir, n) for n in T.BASES])
+        run_together([lambda n=n: silver_table(spark, sf_dir, level, n) for n in keys])
+    return {name: _staged(spark, key) for name, key in keys.items()}
 
 
 def classification(spark: SparkSession) -> DataFrame:
@@ -71,13 +70,16 @@ def lazy_gold(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[s
 
 def gold(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[str, DataFrame]:
     """The nine model tables, written and read back."""
-    model = lazy_gold(spark, sf_dir, level)
+    keys = {name: (sf_dir, "gold", level, name) for name in S.GOLD_TABLES}
+    if any(_staged(spark, key) is None for key in keys.values()):
+        model = lazy_gold(spark, sf_dir, level)
 
-    def stage(table: str) -> DataFrame:
-        order = ("date", "entity_code") if table in S.FACT_GRAINS else ()
-        return _stage(spark, (sf_dir, "gold", level, table), lambda: model[table], order)
+        def write(table: str) -> DataFrame:
+            order = ("date", "entity_code") if table in S.FACT_GRAINS else ()
+            return _stage(spark, keys[table], lambda: model[table], order)
 
-    return dict(zip(model, _together([lambda t=t: stage(t) for t in model])))
+        run_together([lambda t=t: write(t) for t in keys])
+    return {name: _staged(spark, key) for name, key in keys.items()}
 
 
 def core_silver(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[str, DataFrame]:
@@ -88,6 +90,3 @@ def core_silver(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict
     known = months[0].union(months[1]).union(months[2]).union(months[3]).distinct()
     return frames | {"capacity": frames["capacity"].join(known, "date", "left_semi")}
 
-
-def month_text(column: str):
-    return F.date_format(column, "yyyy-MM")

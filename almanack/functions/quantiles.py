@@ -30,6 +30,8 @@ def exact_quantiles(
     entry of ``quantiles`` (column name -> probability). Nulls and NaN are
     left out, as pandas does; groups without values do not appear."""
     keys = list(keys)
+    if not keys:
+        raise ValueError("at least one grouping column is needed to join on")
     present = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     counts = present.groupBy(
         *keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_v")

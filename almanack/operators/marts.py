@@ -9,6 +9,7 @@ back to a shuffled join where one is too big.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,17 +29,13 @@ Gold = dict[str, DataFrame]
 CATEGORIES = ("Renewable", "Fossil", "Clean")
 
 
-def _dated(
-    gold: Gold, fact: str, columns: Sequence[str], as_of_year: int | None, first: int | None = None
-) -> DataFrame:
+def _dated(gold: Gold, fact: str, columns: Sequence[str], as_of_year: int) -> DataFrame:
     """Fact rows with year and month. The year limits are stated on ``date`` too,
     where the file reader can use them."""
     rows = gold[fact].select("date", *columns)
     days = gold["dim_date"].select("date", "year", "month_number")
-    if as_of_year is not None:
-        limits = within_years(F.col("date"), first, as_of_year)
-        rows, days = rows.where(limits), days.where(limits)
-    return rows.join(days, "date")
+    limits = within_years(F.col("date"), None, as_of_year)
+    return rows.where(limits).join(days.where(limits), "date")
 
 
 def _component_keys(gold: Gold) -> DataFrame:
@@ -118,35 +115,56 @@ def annual_balance(gold: Gold, as_of_year: int) -> DataFrame:
     )
 
 
-def comparison_sources(
-    gold: Gold, as_of_year: int | None = None, first: int | None = None
-) -> DataFrame:
-    """(source_name, year, months) for the six series a year must be complete in."""
-    plain = {
-        "generation": "fact_generation",
-        "demand": "fact_demand",
-        "emissions": "fact_emissions",
-        "carbon_intensity": "fact_carbon_intensity",
-    }
-    parts = [
-        _dated(gold, fact, [], as_of_year, first).withColumn("source_name", F.lit(name))
-        for name, fact in plain.items()
+SOURCES = (
+    "generation",
+    "demand",
+    "emissions",
+    "carbon_intensity",
+    "solar_capacity",
+    "wind_capacity",
+)
+
+
+def _source_months(gold: Gold, as_of_year: int | None, first: int | None) -> DataFrame:
+    """One row per year with the months seen in each of the six sources. The
+    five facts are read side by side and combined per task."""
+    plain = [
+        gold[f"fact_{name}"].select("date", F.lit(name).alias("source_name"))
+        for name in SOURCES[:4]
     ]
     wanted = gold["dim_capacity_series"].where(F.col("series_name").isin("Solar", "Wind"))
-    parts.append(
-        _dated(gold, "fact_capacity", ["capacity_series_key"], as_of_year, first)
-        .join(wanted.select("capacity_series_key", "series_name"), "capacity_series_key")
-        .withColumn("source_name", F.concat(F.lower("series_name"), F.lit("_capacity")))
+    capacity = gold["fact_capacity"].join(
+        wanted.select("capacity_series_key", "series_name"), "capacity_series_key"
+    )
+    source = F.concat(F.lower("series_name"), F.lit("_capacity"))
+    rows = reduce(
+        DataFrame.unionByName, [*plain, capacity.select("date", source.alias("source_name"))]
+    )
+    days = gold["dim_date"].select("date", "year", "month_number")
+    if as_of_year is not None:
+        limits = within_years(F.col("date"), first, as_of_year)
+        rows, days = rows.where(limits), days.where(limits)
+    month = F.col("month_number")
+    return (
+        rows.join(days, "date")
+        .groupBy("year")
+        .agg(
+            *[
+                months_mask(F.when(F.col("source_name") == name, month)).alias(name)
+                for name in SOURCES
+            ]
+        )
+    )
+
+
+def comparison_sources(gold: Gold, as_of_year: int | None = None) -> DataFrame:
+    """(source_name, year, months) for the six series a year must be complete in."""
+    masks = _source_months(gold, as_of_year, None)
+    return (
+        masks.unpivot("year", list(SOURCES), "source_name", "mask")
+        .where(F.col("mask").isNotNull())
+        .select("source_name", "year", month_count(F.col("mask")).alias("months"))
     )
-    # Months are combined per task inside every branch; the union is tiny.
-    grouped = [
-        part.groupBy("source_name", "year").agg(months_mask(F.col("month_number")).alias("mask"))
-        for part in parts
-    ]
-    union = grouped[0]
-    for part in grouped[1:]:
-        union = union.unionByName(part)
-    return union.select("source_name", "year", month_count(F.col("mask")).alias("months"))
 
 
 def comparison_period(
@@ -154,26 +172,54 @@ def comparison_period(
 ) -> DataFrame:
     """(start_year, end_year): the fixed baseline and the newest year complete in
     all six sources. No row when there is no such year."""
+    complete = reduce(Column.__and__, [is_complete(F.col(name)) for name in SOURCES])
     return (
-        comparison_sources(gold, as_of_year, baseline_year)
-        .where(F.col("months") == 12)
-        .groupBy("year")
-        .agg(F.count("*").alias("sources"))  # one row per source and year
-        .where(F.col("sources") == 6)
+        _source_months(gold, as_of_year, baseline_year)
+        .where(complete)
         .agg(F.max("year").alias("end_year"))
         .where(F.col("end_year").isNotNull())
         .select(F.lit(baseline_year).cast("bigint").alias("start_year"), "end_year")
     )
 
 
-def _period_years(period: DataFrame) -> DataFrame:
-    """The period as up to two joinable years: (year, start_year, end_year)."""
-    years = F.explode(F.array_distinct(F.array("start_year", "end_year")))
-    return period.select(years.alias("year"), "start_year", "end_year")
+Period = tuple[int, int]
+
+
+def resolve_period(gold: Gold, as_of_year: int, baseline_year: int = S.BASELINE_YEAR) -> Period | None:
+    """The comparison period as two numbers: one row is read. The marts then
+    state both years as literals, so the scans skip all other years."""
+    row = comparison_period(gold, as_of_year, baseline_year).first()
+    return None if row is None else (row["start_year"], row["end_year"])
+
+
+def _in_years(df: DataFrame, period: Period | None) -> DataFrame:
+    """Rows dated in one of the two years; none when there is no period."""
+    if period is None:
+        return df.where(F.lit(False))
+    date = F.col("date")
+    return df.where(
+        reduce(Column.__or__, [within_years(date, year, year + 1) for year in sorted(set(period))])
+    )
+
+
+def _bounds(period: Period | None) -> list[Column]:
+    start, end = period or (None, None)
+    return [
+        F.lit(start).cast("bigint").alias("start_year"),
+        F.lit(end).cast("bigint").alias("end_year"),
+    ]
+
+
+def _in_period(annual: DataFrame, period: Period | None) -> DataFrame:
+    """Yearly rows of the two years, with the period beside them."""
+    here = F.col("year").isin(*period) if period else F.lit(False)
+    return annual.where(here).select("*", *_bounds(period))
 
 
-def _in_period(annual: DataFrame, period: DataFrame) -> DataFrame:
-    return annual.join(_period_years(period), "year")
+def _for_years(gold: Gold, period: Period | None) -> Gold:
+    """The model with facts and months limited to the two years."""
+    dated = [t for t in gold if t in S.FACT_GRAINS or t == "dim_date"]
+    return gold | {table: _in_years(gold[table], period) for table in dated}
 
 
 def _at_start(value: str, condition: Column | None = None) -> Column:
@@ -191,7 +237,7 @@ def _two_years() -> Column:
     return F.min("year") != F.max("year")
 
 
-def country_period(annual: DataFrame, period: DataFrame) -> DataFrame:
+def country_period(annual: DataFrame, period: Period | None) -> DataFrame:
     """Entities present in both years of the period."""
     return (
         _in_period(annual, period)
@@ -206,10 +252,10 @@ def generation_demand_summary(
     gold: Gold,
     as_of_year: int,
     baseline_year: int = S.BASELINE_YEAR,
-    period: DataFrame | None = None,
+    period: Period | None = None,
 ) -> DataFrame:
     """Mart 1. Both years are picked in one aggregation instead of two self joins."""
-    period = comparison_period(gold, as_of_year, baseline_year) if period is None else period
+    period = period or resolve_period(gold, as_of_year, baseline_year)
     values = {
         "generation": "domestic_generation_twh",
         "demand": "demand_twh",
@@ -218,7 +264,7 @@ def generation_demand_summary(
     picked = [_at_start(col).alias(f"first_{name}") for name, col in values.items()]
     picked += [_at_end(col).alias(f"latest_{name}") for name, col in values.items()]
     compared = (
-        _in_period(annual_balance(gold, as_of_year), period)
+        _in_period(annual_balance(_for_years(gold, period), as_of_year), period)
         .groupBy("entity_code", "start_year", "end_year")
         .agg(_two_years().alias("_both"), *picked)
         .where("_both")
@@ -322,11 +368,11 @@ def energy_mix_yearly(gold: Gold, as_of_year: int) -> DataFrame:
     )
 
 
-def eligible_countries(gold: Gold, as_of_year: int, period: DataFrame) -> DataFrame:
-    return country_period(annual_total(gold, as_of_year), period).select("entity_code")
+def eligible_countries(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
+    return country_period(annual_total(_for_years(gold, period), as_of_year), period).select("entity_code")
 
 
-def mix_pivot(gold: Gold, as_of_year: int, period: DataFrame) -> DataFrame:
+def mix_pivot(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Start and end share of the three categories; a category without rows in a
     complete year counts as zero."""
     cells = []
@@ -336,7 +382,7 @@ def mix_pivot(gold: Gold, as_of_year: int, period: DataFrame) -> DataFrame:
             cell = F.coalesce(pick("generation_share_pct", category), F.lit(0.0))
             cells.append(cell.alias(f"{name.lower()}_{when}_pct"))
     return (
-        _in_period(annual_shares(gold, as_of_year), period)
+        _in_period(annual_shares(_for_years(gold, period), as_of_year), period)
         .groupBy("entity_code", "start_year", "end_year")
         .agg(_two_years().alias("_both"), *cells)
         .where("_both")
@@ -348,10 +394,10 @@ def energy_mix_transition_summary(
     gold: Gold,
     as_of_year: int,
     baseline_year: int = S.BASELINE_YEAR,
-    period: DataFrame | None = None,
+    period: Period | None = None,
 ) -> DataFrame:
     """Mart 2. Changes are percentage points of the unrounded shares."""
-    period = comparison_period(gold, as_of_year, baseline_year) if period is None else period
+    period = period or resolve_period(gold, as_of_year, baseline_year)
     columns = []
     for name in (c.lower() for c in CATEGORIES):
         start, end = F.col(f"{name}_start_pct"), F.col(f"{name}_end_pct")
@@ -371,51 +417,37 @@ def energy_mix_transition_summary(
 # --- emissions and carbon intensity -----------------------------------------
 
 
-def annual_emissions(
-    gold: Gold, as_of_year: int, baseline_year: int, period: DataFrame
-) -> DataFrame:
+def annual_emissions(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Yearly emissions of the total series in the years of the period."""
     total = gold["dim_energy_series"].where(F.col("series_name") == S.TOTAL_GENERATION)
     rows = _dated(
-        gold,
+        _for_years(gold, period),
         "fact_emissions",
         ["entity_code", "series_key", "emissions_mtco2"],
         as_of_year,
-        baseline_year,
     ).join(total.select("series_key"), "series_key")
-    yearly = _yearly(
-        _in_period(rows, period),
-        ["start_year", "end_year"],
-        emissions_mtco2=exact_sum(F.col("emissions_mtco2")),
-    )
-    return yearly
+    yearly = _yearly(rows, [], emissions_mtco2=exact_sum(F.col("emissions_mtco2")))
+    return _in_period(yearly, period)
 
 
-def annual_intensity(
-    gold: Gold, as_of_year: int, baseline_year: int, period: DataFrame
-) -> DataFrame:
+def annual_intensity(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Unweighted mean of the monthly intensities."""
     measure = "emissions_intensity_gco2_per_kwh"
     rows = _dated(
-        gold, "fact_carbon_intensity", ["entity_code", measure], as_of_year, baseline_year
-    )
-    return _yearly(
-        _in_period(rows, period),
-        ["start_year", "end_year"],
-        avg_carbon_intensity_gco2_per_kwh=exact_avg(F.col(measure)),
+        _for_years(gold, period), "fact_carbon_intensity", ["entity_code", measure], as_of_year
     )
+    yearly = _yearly(rows, [], avg_carbon_intensity_gco2_per_kwh=exact_avg(F.col(measure)))
+    return _in_period(yearly, period)
 
 
-def emissions_pivot(
-    gold: Gold, as_of_year: int, baseline_year: int, period: DataFrame
-) -> DataFrame:
+def emissions_pivot(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Every country with its start and end values, null where there is none."""
     sides = []
     for yearly, value, name in (
         (annual_emissions, "emissions_mtco2", "emissions_{}_mtco2"),
         (annual_intensity, "avg_carbon_intensity_gco2_per_kwh", "carbon_intensity_{}"),
     ):
-        frame = yearly(gold, as_of_year, baseline_year, period)
+        frame = yearly(gold, as_of_year, period)
         sides.append(
             frame.groupBy("entity_code").agg(
                 _at_start(value).alias(name.format("start")),
@@ -433,25 +465,15 @@ def _present(*columns: str) -> Column:
     return condition
 
 
-def _with_period(df: DataFrame, period: DataFrame) -> DataFrame:
-    """Attach the one-row period. It is a pair of scalars, not a join."""
-    return df.withColumns(
-        {
-            "start_year": period.select("start_year").scalar(),
-            "end_year": period.select("end_year").scalar(),
-        }
-    )
-
-
 def emissions_carbon_intensity(
     gold: Gold,
     as_of_year: int,
     baseline_year: int = S.BASELINE_YEAR,
-    period: DataFrame | None = None,
+    period: Period | None = None,
 ) -> DataFrame:
     """Mart 3: emissions change in percent, intensity change absolute."""
-    period = comparison_period(gold, as_of_year, baseline_year) if period is None else period
-    pivot = emissions_pivot(gold, as_of_year, baseline_year, period).where(
+    period = period or resolve_period(gold, as_of_year, baseline_year)
+    pivot = emissions_pivot(gold, as_of_year, period).where(
         _present(
             "emissions_start_mtco2",
             "emissions_end_mtco2",
@@ -461,10 +483,8 @@ def emissions_carbon_intensity(
     )
     first, last = F.col("emissions_start_mtco2"), F.col("emissions_end_mtco2")
     return (
-        _with_period(pivot, period)
-        .select(
-            "start_year",
-            "end_year",
+        pivot.select(
+            *_bounds(period),
             "country_name",
             F.round(first, 2).alias("emissions_start_mtco2"),
             F.round(last, 2).alias("emissions_end_mtco2"),
@@ -482,28 +502,20 @@ def emissions_carbon_intensity(
 # --- installed capacity --------------------------------------------------------
 
 
-def annual_capacity(
-    gold: Gold, as_of_year: int, baseline_year: int, period: DataFrame
-) -> DataFrame:
+def annual_capacity(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Mean capacity of solar and wind, each complete in its own year."""
     wanted = gold["dim_capacity_series"].where(F.col("series_name").isin("Solar", "Wind"))
     rows = _dated(
-        gold,
+        _for_years(gold, period),
         "fact_capacity",
         ["entity_code", "capacity_series_key", "capacity_gw"],
         as_of_year,
-        baseline_year,
     ).join(wanted.select("capacity_series_key", "series_name"), "capacity_series_key")
-    return _yearly(
-        _in_period(rows, period),
-        ["series_name", "start_year", "end_year"],
-        avg_capacity_gw=exact_avg(F.col("capacity_gw")),
-    )
+    yearly = _yearly(rows, ["series_name"], avg_capacity_gw=exact_avg(F.col("capacity_gw")))
+    return _in_period(yearly, period)
 
 
-def capacity_pivot(
-    gold: Gold, as_of_year: int, baseline_year: int, period: DataFrame
-) -> DataFrame:
+def capacity_pivot(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     cells = []
     for name in ("Solar", "Wind"):
         series = F.col("series_name") == name
@@ -511,9 +523,7 @@ def capacity_pivot(
             _at_start("avg_capacity_gw", series).alias(f"{name.lower()}_start_gw"),
             _at_end("avg_capacity_gw", series).alias(f"{name.lower()}_end_gw"),
         ]
-    pivot = (
-        annual_capacity(gold, as_of_year, baseline_year, period).groupBy("entity_code").agg(*cells)
-    )
+    pivot = annual_capacity(gold, as_of_year, period).groupBy("entity_code").agg(*cells)
     countries = gold["dim_country"].select("entity_code", "country_name").distinct()
     return countries.join(pivot, "entity_code")
 
@@ -522,12 +532,12 @@ def installed_solar_wind_capacity(
     gold: Gold,
     as_of_year: int,
     baseline_year: int = S.BASELINE_YEAR,
-    period: DataFrame | None = None,
+    period: Period | None = None,
 ) -> DataFrame:
     """Mart 4. Solar, wind and their sum at both ends of the period."""
-    period = comparison_period(gold, as_of_year, baseline_year) if period is None else period
+    period = period or resolve_period(gold, as_of_year, baseline_year)
     ends = ("solar_start_gw", "solar_end_gw", "wind_start_gw", "wind_end_gw")
-    pivot = capacity_pivot(gold, as_of_year, baseline_year, period).where(_present(*ends))
+    pivot = capacity_pivot(gold, as_of_year, period).where(_present(*ends))
     sums = pivot.withColumns(
         {
             f"solar_wind_{when}_gw": F.col(f"solar_{when}_gw") + F.col(f"wind_{when}_gw")
@@ -543,8 +553,7 @@ def installed_solar_wind_capacity(
             F.round(percent_change(first, last), 1).alias(f"{name}_change_pct"),
         ]
     return (
-        _with_period(sums, period)
-        .select("start_year", "end_year", "country_name", *columns)
+        sums.select(*_bounds(period), "country_name", *columns)
         .orderBy(F.desc_nulls_last("solar_wind_change_pct"))
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from almanack import schemas as S
 from almanack.operators import facts, quality
 from almanack.plans.silver import load_silver
+from almanack.session import run_together
 from almanack.sources import lookups, tables
 
 Writer = Callable[[DataFrame, str, str, str], str]
@@ -32,7 +33,10 @@ def publish_gold(
     if set(gold) != set(S.GOLD_TABLES):
         raise ValueError(f"the model must consist of {S.GOLD_TABLES}")
     run_id = run_id or tables.new_run_id()
-    locations = {t: writer(_ordered(t, gold[t]), root, t, run_id) for t in S.GOLD_TABLES}
+    written = run_together(
+        [lambda t=t: writer(_ordered(t, gold[t]), root, t, run_id) for t in S.GOLD_TABLES]
+    )
+    locations = dict(zip(S.GOLD_TABLES, written))
     staged = {t: spark.read.schema(S.GOLD_SCHEMAS[t]).parquet(locations[t]) for t in S.GOLD_TABLES}
     quality.raise_if_failed(quality.gold_report(staged), "gold model")
     counts = {t: row["total_records"] for t, row in quality.raise_if_persisted_invalid(staged).items()}

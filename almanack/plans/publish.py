@@ -99,10 +99,7 @@ def publish_marts(
     for name in names:
         marts.mart_table_name(name)
     as_of_year = dt.date.today().year if as_of_year is None else as_of_year
-    rows = marts.comparison_period(gold, as_of_year, baseline_year).collect()
-    period = spark.createDataFrame(
-        [tuple(r) for r in rows], "start_year bigint, end_year bigint"
-    )
+    period = marts.resolve_period(gold, as_of_year, baseline_year)
     prepared = []
     for name in names:
         version, build = marts.MARTS[name]

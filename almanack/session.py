@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +53,10 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing exists there yet."""
     app = spark.sparkContext.applicationId
     return f"{shared_folder(spark)}/almanack/{app}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def run_together(jobs: Sequence[Callable[[], Any]], at_once: int = 4) -> list:
+    """Submit independent Spark jobs at once, so that small ones do not wait for
+    each other; results in order, the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [future.result() for future in [pool.submit(job) for job in jobs]]

@@ -82,6 +82,10 @@ def required_fields(dataset: str) -> list[str]:
     return fields + (["series"] if "series" in S.BUSINESS_KEYS[dataset] else [])
 
 
+def _has_field(name: str):
+    return lambda row: F.map_contains_key(row, name)
+
+
 def document_rows(documents: DataFrame, dataset: str) -> DataFrame:
     """One text row per element of ``data`` with its position.
 
@@ -90,13 +94,19 @@ def document_rows(documents: DataFrame, dataset: str) -> DataFrame:
     """
     S.require_dataset(dataset)
     data = F.col("data")
-    for name in required_fields(dataset):
-        absent = ~F.exists(data, lambda row, name=name: F.map_contains_key(row, name))
-        message = F.concat(F.lit(f"field {name} missing in "), F.col("path"))
-        data = F.when(absent, F.raise_error(message).cast("array<map<string,string>>")).otherwise(
-            data
+    absent = F.array_compact(
+        F.array(
+            *[
+                F.when(~F.exists(data, _has_field(name)), F.lit(name))
+                for name in required_fields(dataset)
+            ]
         )
-    rows = documents.select("path", "mtime", F.posexplode(data).alias("pos", "row"))
+    )
+    message = F.concat(F.lit("missing "), F.array_join(absent, ", "), F.lit(" in "), F.col("path"))
+    checked = F.when(
+        F.size(absent) > 0, F.raise_error(message).cast("array<map<string,string>>")
+    ).otherwise(data)
+    rows = documents.select("path", "mtime", F.posexplode(checked).alias("pos", "row"))
     names = [*required_fields(dataset), *OPTIONAL_COLUMNS.get(dataset, ())]
     return rows.select(
         *[F.try_element_at("row", F.lit(name)).alias(name) for name in names],
