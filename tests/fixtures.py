@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_type
+
 from almanack import schemas as S
 from almanack.operators.facts import gold_model
+from almanack.session import run_together
 from almanack.sources import lookups
 
 
@@ -61,12 +65,28 @@ class Source:
         return self.capacity(code, year, months, Solar=solar_gw, Wind=wind_gw)
 
     def silver(self, spark):
-        return {
-            name: spark.createDataFrame(rows, S.SILVER_SCHEMAS[name])
-            for name, rows in self.rows.items()
-        }
+        frames = {}
+        for name, rows in self.rows.items():
+            schema = S.SILVER_SCHEMAS[name]
+            columns = list(zip(*rows)) or [()] * len(schema)
+            frames[name] = local(
+                spark,
+                pa.table(
+                    [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema)],
+                    schema.fieldNames(),
+                ),
+                schema,
+            )
+        return frames
 
     def gold(self, spark):
-        return gold_model(
+        """The model, computed once and kept as local rows."""
+        model = gold_model(
             self.silver(spark), lookups.series_classification(spark), lookups.members(spark)
         )
+        tables = run_together([model[name].toArrow for name in model], 8)
+        return {n: local(spark, t, S.GOLD_SCHEMAS[n]) for n, t in zip(model, tables)}
+
+
+def local(spark, table, schema):
+    return spark.createDataFrame(table, schema)

@@ -16,7 +16,7 @@ def two_countries():
     return source.year("AAA", 2022, months=range(1, 12))
 
 
-@pytest.fixture()
+@pytest.fixture(scope="module")
 def gold(spark):
     return two_countries().gold(spark)
 

@@ -75,7 +75,7 @@ def test_null_counts(spark):
     assert got == {"entity_code": 1, "series": 0, "generation_twh": 1}
 
 
-@pytest.fixture()
+@pytest.fixture(scope="module")
 def gold(spark):
     return Source().year("DEU", 2019).gold(spark)
 
