@@ -1,11 +1,11 @@
 """Exact quantiles per group without gathering a group in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. Here values are first collapsed to (group, value, count),
-the group's range is cut into equal-width cells, and only the cells that hold a
-wanted rank are opened. The cut is repeated, so the rows finally ordered side
-by side are a tiny share of the group however it is distributed. All steps are
-order-independent, hence safe when tasks are run again.
+aggregation buffer. Here values are first collapsed to (group, value, count).
+As long as a group's range holds more distinct values than may be ordered side
+by side, it is cut into equal-width cells and only the cells that hold a wanted
+rank are looked into further. All steps are order-independent, and each is
+handed over as a written table, so tasks run again see the same cells.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CELLS = 2048
-LEVELS = 2
+from almanack.session import hand_over
+
+CELLS = 4096
+ROWS_AT_ONCE = 200_000
 
 
 def exact_quantiles(
@@ -24,18 +26,22 @@ def exact_quantiles(
     value: str,
     quantiles: dict[str, float],
     cells: int = CELLS,
-    levels: int = LEVELS,
+    rows_at_once: int = ROWS_AT_ONCE,
 ) -> DataFrame:
     """One row per group: the keys and one linearly interpolated column per
     entry of ``quantiles`` (column name -> probability). Nulls and NaN are
-    left out, as pandas does; groups without values do not appear."""
+    left out, as pandas does; groups without values do not appear. Runs the
+    passes over the data when called."""
     keys = list(keys)
     if not keys:
         raise ValueError("at least one grouping column is needed to join on")
     present = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    counts = present.groupBy(
-        *keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_v")
-    ).agg(F.count("*").alias("_n"))
+    counts = hand_over(
+        present.groupBy(*keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_v")).agg(
+            F.count("*").alias("_n")
+        ),
+        "value-counts",
+    )
 
     # Wanted ranks (0-based): floor and ceiling of p * (n - 1) for each p.
     wanted = F.array(
@@ -47,7 +53,10 @@ def exact_quantiles(
     targets = (
         counts.groupBy(*keys)
         .agg(
-            F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+            F.sum("_n").alias("_total"),
+            F.min("_v").alias("_lo"),
+            F.max("_v").alias("_hi"),
+            F.count("*").alias("_size"),
         )
         .withColumn("_w", F.explode(wanted))
         .withColumn("_pos", F.col("_w.p") * (F.col("_total") - 1))
@@ -71,11 +80,16 @@ def exact_quantiles(
             F.col("_rank").alias("_left"),
             "_lo",
             "_hi",
+            "_size",
         )
     )
-
-    for _ in range(levels):
-        targets = _open_cells(counts, targets, keys, cells)
+    targets = hand_over(targets, "quantile-targets")
+    largest = _largest(targets)
+    while largest > rows_at_once:
+        targets = hand_over(_open_cells(counts, targets, keys, cells), "quantile-targets")
+        before, largest = largest, _largest(targets)
+        if largest >= before:  # infinite bounds cannot be cut
+            break
     found = _pick_rank(counts, targets, keys)
 
     picked = found.groupBy(*keys, "_name").agg(
@@ -91,6 +105,11 @@ def exact_quantiles(
     )
 
 
+def _largest(targets: DataFrame) -> int:
+    """Distinct values in the fullest interval still open."""
+    return targets.agg(F.max("_size")).first()[0] or 0
+
+
 def _cell(value: Column, low: Column, high: Column, cells: int) -> Column:
     """Equal-width cell number; weakly increasing in ``value``. The width is
     taken of halves so that a huge range cannot overflow to infinity."""
@@ -131,7 +150,12 @@ def _open_cells(
     histogram = (
         _members(counts, targets, keys)
         .groupBy(*by, cell.alias("_cell"))
-        .agg(F.sum("_n").alias("_c"), F.min("_v").alias("_cmin"), F.max("_v").alias("_cmax"))
+        .agg(
+            F.sum("_n").alias("_c"),
+            F.min("_v").alias("_cmin"),
+            F.max("_v").alias("_cmax"),
+            F.count("*").alias("_csize"),
+        )
     )
     # At most `cells` rows per interval, whatever the size of the group.
     running = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
@@ -147,6 +171,7 @@ def _open_cells(
         (F.col("_left") - (F.col("_upto") - F.col("_c"))).alias("_left"),
         F.col("_cmin").alias("_lo"),
         F.col("_cmax").alias("_hi"),
+        F.col("_csize").alias("_size"),
     )
 
 

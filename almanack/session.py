@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -60,3 +60,12 @@ def run_together(jobs: Sequence[Callable[[], Any]], at_once: int = 4) -> list:
     each other; results in order, the first failure is raised."""
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         return [future.result() for future in [pool.submit(job) for job in jobs]]
+
+
+def hand_over(df: DataFrame, purpose: str) -> DataFrame:
+    """Write the frame to the shared folder and read it back: computed once,
+    lineage cut, size known to the optimizer, safe when executors are lost."""
+    spark = df.sparkSession
+    path = run_folder(spark, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,10 +6,10 @@ from almanack.functions.quantiles import exact_quantiles
 P = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99, "low": 0.0, "high": 1.0}
 
 
-def check(spark, groups, cells, levels=2):
+def check(spark, groups, cells, rows_at_once):
     data = [(g, float(v)) for g, values in groups.items() for v in values]
     df = spark.createDataFrame(data, "g string, v double").repartition(4)
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", P, cells, levels).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", P, cells, rows_at_once).collect()}
     assert set(got) == set(groups)
     for g, values in groups.items():
         for name, p in P.items():
@@ -21,8 +21,8 @@ def test_small_known_case(spark):
     assert exact_quantiles(df, ["g"], "v", {"q": 0.25}).first()["q"] == 1.75
 
 
-@pytest.mark.parametrize("cells", [1, 3, 2048])
-def test_distributions(spark, cells):
+@pytest.mark.parametrize("cells,rows_at_once", [(16, 40), (4096, 200_000)])
+def test_distributions(spark, cells, rows_at_once):
     rng = np.random.default_rng(7)
     check(
         spark,
@@ -36,6 +36,7 @@ def test_distributions(spark, cells):
             "huge": np.array([-1.7e308, 1.7e308, 0.0, 1.0, 2.0]) / 4,
         },
         cells,
+        rows_at_once,
     )
 
 
@@ -45,6 +46,12 @@ def test_missing_values_are_left_out_and_empty_groups_vanish(spark):
     assert [tuple(r) for r in exact_quantiles(df, ["g"], "v", {"m": 0.5}).collect()] == [("a", 2.0)]
 
 
+def test_infinite_bounds_end_the_search(spark):
+    values = [float("-inf"), float("inf"), *map(float, range(99))]
+    df = spark.createDataFrame([("a", v) for v in values], "g string, v double")
+    assert exact_quantiles(df, ["g"], "v", {"m": 0.5}, 8, 10).first()["m"] == 49.0
+
+
 def test_a_null_group_is_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 9.0)], "g string, v double")
     got = {r["g"]: r["m"] for r in exact_quantiles(df, ["g"], "v", {"m": 0.5}).collect()}
