@@ -455,22 +455,19 @@ def _persisted() -> str:
 
 
 def _gold_counts(condition: str = "true") -> str:
-    """Rows per table of the publishable model, whose capacity is limited to
-    the months of dim_date."""
+    """Rows per table of the publishable model, built from the rows that meet
+    the condition; capacity is limited to the months of the core datasets."""
+    within = f"date IN (SELECT date FROM dim_date) AND {condition}"
     parts = [
-        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in S.DIMENSION_KEYS
+        f"SELECT 'dim_date' AS table_name, COUNT(*) AS row_count FROM dim_date WHERE {condition}",
+        f"SELECT 'dim_country', COUNT(*) FROM ({' UNION '.join(f'SELECT entity_code, entity FROM {d} WHERE {within}' for d in S.DATASETS)})",
+        f"SELECT 'dim_energy_series', COUNT(*) FROM ({' UNION '.join(f'SELECT series, is_aggregate_series FROM {d} WHERE {within}' for d in S.ENERGY_SERIES_DATASETS)})",
+        f"SELECT 'dim_capacity_series', COUNT(*) FROM (SELECT DISTINCT series, is_aggregate_series FROM capacity WHERE {within})",
     ]
-    for table in S.FACT_GRAINS:
-        known = "date IN (SELECT date FROM dim_date)"
-        parts.append(
-            f"SELECT '{table}' AS table_name, COUNT(*) AS row_count FROM {table} "
-            f"WHERE {known} AND {condition}"
-        )
+    parts += [f"SELECT '{t}', COUNT(*) FROM {t} WHERE {within}" for t in S.FACT_GRAINS]
     return " UNION ALL ".join(parts)
 
 
-
-
 def _column_profile() -> str:
     parts = []
     for field in S.SILVER_SCHEMAS["generation"]:

@@ -504,7 +504,7 @@ def dim_capacity_series(spark, sf):
 
 def _fact_query(table: str) -> None:
     def build(spark: SparkSession, sf: str) -> DataFrame:
-        return staging.lazy_gold(spark, sf)[table]
+        return staging.lazy_facts(spark, sf)[table]
 
     QUERIES[table] = build
 
@@ -665,13 +665,10 @@ def publish_skip_unchanged(spark, sf):
     return spark.createDataFrame(rows, "run bigint, mart string, rows bigint, skipped boolean")
 
 
-def _publishable_gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    from almanack.operators.facts import gold_model
-
-    return gold_model(
-        staging.core_silver(spark, sf),
-        staging.classification(spark),
-        T.member_codes(spark, sf, "nation"),
+def _publish_model(spark: SparkSession, silver: dict[str, DataFrame], sf: str, root: str, **options):
+    return gold_plan.build_and_publish(
+        spark, silver, root, staging.classification(spark), T.member_codes(spark, sf, "nation"),
+        **options,
     )
 
 
@@ -687,7 +684,7 @@ def _row_counts(spark: SparkSession, root: str) -> DataFrame:
 @query
 def publish_gold_roundtrip(spark, sf):
     root = run_folder(spark, "gold")
-    gold_plan.publish_gold(spark, _publishable_gold(spark, sf), root)
+    _publish_model(spark, staging.core_silver(spark, sf), sf, root)
     return _row_counts(spark, root)
 
 
@@ -695,21 +692,20 @@ def publish_gold_roundtrip(spark, sf):
 def publish_rollback(spark, sf):
     """A second publication fails at its sixth table; readers keep the first."""
     root = run_folder(spark, "gold")
-    model = _publishable_gold(spark, sf)
-    early = F.col("date") < F.lit(SPLIT).cast("timestamp_ntz")
-    gold_plan.publish_gold(
-        spark, {t: df.where(early) if t in S.FACT_GRAINS else df for t, df in model.items()}, root
-    )
+    silver = staging.core_silver(spark, sf)
+    split = F.lit(SPLIT).cast("timestamp_ntz")
+    early = {name: df.where(F.col("date") < split) for name, df in silver.items()}
+    _publish_model(spark, early, sf, root)
     staged = []
 
-    def failing(df: DataFrame, where: str, table: str, run_id: str) -> str:
+    def failing(df: DataFrame, where: str, table: str, run_id: str, **options) -> str:
         if len(staged) == 5:
             raise OSError("storage is gone")
         staged.append(table)
-        return tables.write_snapshot(df, where, table, run_id)
+        return tables.write_snapshot(df, where, table, run_id, **options)
 
     try:
-        gold_plan.publish_gold(spark, model, root, writer=failing)
+        _publish_model(spark, silver, sf, root, writer=failing)
     except OSError:
         pass
     return _row_counts(spark, root)
@@ -719,7 +715,7 @@ def publish_rollback(spark, sf):
 def registered_model_query(spark, sf):
     """The published model queried by table name."""
     root = run_folder(spark, "gold")
-    gold_plan.publish_gold(spark, _publishable_gold(spark, sf), root)
+    _publish_model(spark, staging.core_silver(spark, sf), sf, root)
     prefix = f"v_{root.rsplit('-', 1)[-1]}_"
     gold_plan.register_gold(spark, root, prefix)
     return spark.sql(

@@ -9,10 +9,12 @@ again when an executor is lost. A stage is written once per session.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from almanack import schemas as S
 from almanack.contract import driver_tables as T
-from almanack.operators.facts import gold_model
+from almanack.operators.facts import dimension_tables, fact_tables
+from almanack.plans import gold as gold_plan
 from almanack.session import run_folder, run_together
 from almanack.sources.lookups import series_classification
 
@@ -25,14 +27,14 @@ def _staged(spark: SparkSession, key: tuple) -> DataFrame | None:
     return None if written is None else spark.read.schema(written[1]).parquet(written[0])
 
 
-def _stage(spark: SparkSession, key: tuple, build, order: tuple = ()) -> DataFrame:
+def _stage(spark: SparkSession, key: tuple, build, partition_by: tuple = ()) -> DataFrame:
     if _staged(spark, key) is None:
         path = run_folder(spark, "-".join(key[1:]))
         df = build()
-        if order:
-            df = df.sortWithinPartitions(*order)
-        df.write.mode("errorifexists").parquet(path)
-        _WRITTEN[(spark.sparkContext.applicationId, *key)] = (path, df.schema)
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        schema = StructType([f for f in df.schema if f.name not in partition_by])
+        _WRITTEN[(spark.sparkContext.applicationId, *key)] = (path, schema)
     return _staged(spark, key)
 
 
@@ -46,7 +48,6 @@ def silver_table(spark: SparkSession, sf_dir: str, level: str, dataset: str) ->
         spark,
         (sf_dir, "silver", level, dataset),
         lambda: build(base(spark, sf_dir, source), T.entities(spark, sf_dir, level)),
-        ("date", "entity_code"),
     )
 
 
@@ -62,24 +63,33 @@ def classification(spark: SparkSession) -> DataFrame:
     return series_classification(spark, T.SERIES_CLASSIFICATION)
 
 
-def lazy_gold(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[str, DataFrame]:
-    return gold_model(
-        silver(spark, sf_dir, level), classification(spark), T.member_codes(spark, sf_dir, level)
-    )
+def dims(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[str, DataFrame]:
+    """The four dimensions, written and read back."""
+    keys = {name: (sf_dir, "gold", level, name) for name in S.DIMENSION_KEYS}
+    if any(_staged(spark, key) is None for key in keys.values()):
+        frames = dimension_tables(
+            silver(spark, sf_dir, level), classification(spark), T.member_codes(spark, sf_dir, level)
+        )
+        run_together([lambda t=t: _stage(spark, keys[t], lambda: frames[t]) for t in keys])
+    return {name: _staged(spark, key) for name, key in keys.items()}
+
+
+def lazy_facts(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[str, DataFrame]:
+    return fact_tables(silver(spark, sf_dir, level), dims(spark, sf_dir, level))
 
 
 def gold(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[str, DataFrame]:
-    """The nine model tables, written and read back."""
-    keys = {name: (sf_dir, "gold", level, name) for name in S.GOLD_TABLES}
+    """The nine model tables, written as the publishing job writes them."""
+    keys = {name: (sf_dir, "gold", level, name) for name in S.FACT_GRAINS}
     if any(_staged(spark, key) is None for key in keys.values()):
-        model = lazy_gold(spark, sf_dir, level)
+        frames = lazy_facts(spark, sf_dir, level)
 
         def write(table: str) -> DataFrame:
-            order = ("date", "entity_code") if table in S.FACT_GRAINS else ()
-            return _stage(spark, keys[table], lambda: model[table], order)
+            parts = gold_plan.partitions_of(table)
+            return _stage(spark, keys[table], lambda: gold_plan.arranged(table, frames[table]), parts)
 
         run_together([lambda t=t: write(t) for t in keys])
-    return {name: _staged(spark, key) for name, key in keys.items()}
+    return dims(spark, sf_dir, level) | {n: _staged(spark, key) for n, key in keys.items()}
 
 
 def core_silver(spark: SparkSession, sf_dir: str, level: str = "nation") -> dict[str, DataFrame]:

@@ -55,7 +55,6 @@ def percent_change(first: Column, latest: Column) -> Column:
 
 
 def year_start(year: int) -> Column:
-    """A literal the Parquet reader can use to skip row groups."""
     return F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
 
 

@@ -45,20 +45,33 @@ def fact_capacity(capacity: DataFrame, dim_capacity_series: DataFrame) -> DataFr
     return _fact(attach_key(capacity, dim_capacity_series, "capacity_series_key"), "fact_capacity")
 
 
-def gold_model(
+def dimension_tables(
     silver: dict[str, DataFrame], classification: DataFrame, members: DataFrame
 ) -> dict[str, DataFrame]:
-    """Four dimensions and five facts, all lazy."""
-    energy = D.dim_energy_series(silver, classification)
-    capacity = D.dim_capacity_series(silver["capacity"])
     return {
         "dim_date": D.dim_date(silver),
         "dim_country": D.dim_country(silver, members),
-        "dim_energy_series": energy,
-        "dim_capacity_series": capacity,
+        "dim_energy_series": D.dim_energy_series(silver, classification),
+        "dim_capacity_series": D.dim_capacity_series(silver["capacity"]),
+    }
+
+
+def fact_tables(silver: dict[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Facts for given dimensions. Hand in written dimensions: only then does
+    Spark know how small they are and looks keys up without moving the facts."""
+    energy, capacity = dims["dim_energy_series"], dims["dim_capacity_series"]
+    return {
         "fact_generation": fact_generation(silver["generation"], energy),
         "fact_emissions": fact_emissions(silver["emissions"], energy),
         "fact_demand": fact_demand(silver["demand"]),
         "fact_carbon_intensity": fact_carbon_intensity(silver["carbon_intensity"]),
         "fact_capacity": fact_capacity(silver["capacity"], capacity),
     }
+
+
+def gold_model(
+    silver: dict[str, DataFrame], classification: DataFrame, members: DataFrame
+) -> dict[str, DataFrame]:
+    """Four dimensions and five facts, all lazy."""
+    dims = dimension_tables(silver, classification, members)
+    return dims | fact_tables(silver, dims)

@@ -29,13 +29,21 @@ Gold = dict[str, DataFrame]
 CATEGORIES = ("Renewable", "Fossil", "Clean")
 
 
+def _years(df: DataFrame, first: int | None, before: int) -> DataFrame:
+    """Rows dated ``first <= year < before``; stated on the year column as well
+    where there is one, by which stored facts are partitioned."""
+    condition = within_years(F.col("date"), first, before)
+    if "year" in df.columns:
+        year = F.col("year")
+        condition &= (year < before) if first is None else (year >= first) & (year < before)
+    return df.where(condition)
+
+
 def _dated(gold: Gold, fact: str, columns: Sequence[str], as_of_year: int) -> DataFrame:
-    """Fact rows with year and month. The year limits are stated on ``date`` too,
-    where the file reader can use them."""
-    rows = gold[fact].select("date", *columns)
-    days = gold["dim_date"].select("date", "year", "month_number")
-    limits = within_years(F.col("date"), None, as_of_year)
-    return rows.where(limits).join(days.where(limits), "date")
+    """Fact rows before the current year, with year and month."""
+    rows = _years(gold[fact], None, as_of_year).select("date", *columns)
+    days = _years(gold["dim_date"], None, as_of_year).select("date", "year", "month_number")
+    return rows.join(days, "date")
 
 
 def _component_keys(gold: Gold) -> DataFrame:
@@ -128,22 +136,22 @@ SOURCES = (
 def _source_months(gold: Gold, as_of_year: int | None, first: int | None) -> DataFrame:
     """One row per year with the months seen in each of the six sources. The
     five facts are read side by side and combined per task."""
+    def limited(table: str) -> DataFrame:
+        return gold[table] if as_of_year is None else _years(gold[table], first, as_of_year)
+
     plain = [
-        gold[f"fact_{name}"].select("date", F.lit(name).alias("source_name"))
+        limited(f"fact_{name}").select("date", F.lit(name).alias("source_name"))
         for name in SOURCES[:4]
     ]
     wanted = gold["dim_capacity_series"].where(F.col("series_name").isin("Solar", "Wind"))
-    capacity = gold["fact_capacity"].join(
+    capacity = limited("fact_capacity").join(
         wanted.select("capacity_series_key", "series_name"), "capacity_series_key"
     )
     source = F.concat(F.lower("series_name"), F.lit("_capacity"))
     rows = reduce(
         DataFrame.unionByName, [*plain, capacity.select("date", source.alias("source_name"))]
     )
-    days = gold["dim_date"].select("date", "year", "month_number")
-    if as_of_year is not None:
-        limits = within_years(F.col("date"), first, as_of_year)
-        rows, days = rows.where(limits), days.where(limits)
+    days = limited("dim_date").select("date", "year", "month_number")
     month = F.col("month_number")
     return (
         rows.join(days, "date")
@@ -196,10 +204,10 @@ def _in_years(df: DataFrame, period: Period | None) -> DataFrame:
     """Rows dated in one of the two years; none when there is no period."""
     if period is None:
         return df.where(F.lit(False))
-    date = F.col("date")
-    return df.where(
-        reduce(Column.__or__, [within_years(date, year, year + 1) for year in sorted(set(period))])
-    )
+    years = sorted(set(period))
+    ranges = [within_years(F.col("date"), year, year + 1) for year in years]
+    limited = df.where(reduce(Column.__or__, ranges))
+    return limited.where(F.col("year").isin(years)) if "year" in df.columns else limited
 
 
 def _bounds(period: Period | None) -> list[Column]:
@@ -308,7 +316,7 @@ def annual_mix(gold: Gold, as_of_year: int) -> DataFrame:
 def monthly_mix(gold: Gold, as_of_year: int | None = None) -> DataFrame:
     rows = gold["fact_generation"]
     if as_of_year is not None:
-        rows = rows.where(within_years(F.col("date"), None, as_of_year))
+        rows = _years(rows, None, as_of_year)
     return (
         rows.join(_component_keys(gold).select("series_key", "energy_category"), "series_key")
         .groupBy("entity_code", "date", "energy_category")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from almanack import schemas as S
 from almanack.operators import facts, quality
@@ -12,13 +12,60 @@ from almanack.plans.silver import load_silver
 from almanack.session import run_together
 from almanack.sources import lookups, tables
 
-Writer = Callable[[DataFrame, str, str, str], str]
+Writer = Callable[..., str]
 
 
-def _ordered(table: str, df: DataFrame) -> DataFrame:
-    """Facts are ordered by date inside each file, so that the readers' date
-    limits skip row groups; no extra shuffle."""
-    return df.sortWithinPartitions(*S.FACT_GRAINS[table]) if table in S.FACT_GRAINS else df
+PARTITION = "year"
+
+
+def arranged(table: str, df: DataFrame) -> DataFrame:
+    """Facts get a partition column and evenly sized files, sorted by date. Spark
+    cannot skip row groups by timestamps without zone, but it skips whole years."""
+    if table not in S.FACT_GRAINS:
+        return df
+    return (
+        df.withColumn(PARTITION, F.year("date"))
+        .hint("rebalance", F.col(PARTITION))
+        .sortWithinPartitions(PARTITION, *S.FACT_GRAINS[table])
+    )
+
+
+def partitions_of(table: str) -> tuple[str, ...]:
+    return (PARTITION,) if table in S.FACT_GRAINS else ()
+
+
+def _stage(
+    spark: SparkSession, frames: dict[str, DataFrame], root: str, run_id: str, writer: Writer
+) -> tuple[dict[str, str], dict[str, DataFrame]]:
+    """Write the tables side by side and read them back with declared types."""
+
+    def write(table: str) -> str:
+        frame = arranged(table, frames[table])
+        return writer(frame, root, table, run_id, partition_by=partitions_of(table))
+
+    written = run_together([lambda t=t: write(t) for t in frames])
+    locations = dict(zip(frames, written))
+    return locations, {
+        t: spark.read.schema(S.GOLD_SCHEMAS[t]).parquet(at) for t, at in locations.items()
+    }
+
+
+def _check_and_commit(
+    spark: SparkSession,
+    staged: dict[str, DataFrame],
+    locations: dict[str, str],
+    root: str,
+    run_id: str,
+) -> dict:
+    quality.raise_if_failed(quality.gold_report(staged), "gold model")
+    checked = quality.raise_if_persisted_invalid(staged)
+    counts = {table: row["total_records"] for table, row in checked.items()}
+    pointers = [
+        {"table": t, "location": locations[t], "run_id": run_id, "row_count": counts[t]}
+        for t in S.GOLD_TABLES
+    ]
+    version = tables.commit(spark, root, pointers)
+    return {"version": version, "run_id": run_id, "row_counts": counts}
 
 
 def publish_gold(
@@ -33,36 +80,31 @@ def publish_gold(
     if set(gold) != set(S.GOLD_TABLES):
         raise ValueError(f"the model must consist of {S.GOLD_TABLES}")
     run_id = run_id or tables.new_run_id()
-    written = run_together(
-        [lambda t=t: writer(_ordered(t, gold[t]), root, t, run_id) for t in S.GOLD_TABLES]
-    )
-    locations = dict(zip(S.GOLD_TABLES, written))
-    staged = {t: spark.read.schema(S.GOLD_SCHEMAS[t]).parquet(locations[t]) for t in S.GOLD_TABLES}
-    quality.raise_if_failed(quality.gold_report(staged), "gold model")
-    counts = {t: row["total_records"] for t, row in quality.raise_if_persisted_invalid(staged).items()}
-    version = tables.commit(
-        spark,
-        root,
-        [
-            {"table": t, "location": locations[t], "run_id": run_id, "row_count": counts[t]}
-            for t in S.GOLD_TABLES
-        ],
-    )
-    return {"version": version, "run_id": run_id, "row_counts": counts}
+    locations, staged = _stage(spark, gold, root, run_id, writer)
+    return _check_and_commit(spark, staged, locations, root, run_id)
 
 
-def update_gold(
+def build_and_publish(
     spark: SparkSession,
-    silver_root: str,
-    gold_root: str,
+    silver: dict[str, DataFrame],
+    root: str,
     classification: DataFrame | None = None,
     members: DataFrame | None = None,
+    writer: Writer = tables.write_snapshot,
 ) -> dict:
-    """Build the model from the published silver datasets and publish it."""
+    """Dimensions first; the facts then look their keys up in the written ones."""
     classification = lookups.series_classification(spark) if classification is None else classification
     members = lookups.members(spark) if members is None else members
-    model = facts.gold_model(load_silver(spark, silver_root), classification, members)
-    return publish_gold(spark, model, gold_root)
+    run_id = tables.new_run_id()
+    dims = facts.dimension_tables(silver, classification, members)
+    dim_locations, dims = _stage(spark, dims, root, run_id, writer)
+    fact_locations, staged = _stage(spark, facts.fact_tables(silver, dims), root, run_id, writer)
+    return _check_and_commit(spark, dims | staged, dim_locations | fact_locations, root, run_id)
+
+
+def update_gold(spark: SparkSession, silver_root: str, gold_root: str, **options) -> dict:
+    """Build the model from the published silver datasets and publish it."""
+    return build_and_publish(spark, load_silver(spark, silver_root), gold_root, **options)
 
 
 def load_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -35,10 +35,15 @@ def snapshot_location(root: str, table: str, run_id: str) -> str:
     return f"{root}/{table}/{run_id}"
 
 
-def write_snapshot(df: DataFrame, root: str, table: str, run_id: str) -> str:
+def write_snapshot(
+    df: DataFrame, root: str, table: str, run_id: str, partition_by: Sequence[str] = ()
+) -> str:
     """Write to a location of its own; an existing one is never touched."""
     location = snapshot_location(root, table, run_id)
-    df.write.mode("errorifexists").option("compression", "snappy").parquet(location)
+    writer = df.write.mode("errorifexists").option("compression", "snappy")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(location)
     return location
 
 
@@ -134,9 +139,8 @@ def register_tables(
             raise NotPublished(f"{table} must be published before it is registered")
         if f"{root}/{table}/" not in pointer["location"]:
             raise ValueError(f"{table} does not point to a snapshot: {pointer['location']}")
-        spark.read.schema(schema).parquet(pointer["location"]).createOrReplaceTempView(
-            prefix + table
-        )
+        df = spark.read.schema(schema).parquet(pointer["location"])
+        df.select(*schema.fieldNames()).createOrReplaceTempView(prefix + table)
         names.append(prefix + table)
     return names
 

@@ -141,13 +141,17 @@ def test_registry():
         K.mart_table_name("weather")
 
 
-def test_period_reads_dates_only_and_limits_reach_the_scan(spark, gold, tmp_path):
-    stored = {}
-    for name, df in gold.items():
-        df.write.parquet(str(tmp_path / name))
-        stored[name] = spark.read.parquet(str(tmp_path / name))
-    plan = K.emissions_carbon_intensity(stored, 2026)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(date,2019-01-01T00:00)" in plan
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+def test_scans_skip_years_and_plans_have_no_cross_joins(spark, gold, tmp_path):
+    from almanack.plans import gold as G
+
+    G.publish_gold(spark, gold, str(tmp_path))
+    stored = G.load_gold(spark, str(tmp_path))
+    assert [tuple(r) for r in K.emissions_carbon_intensity(stored, 2026).collect()] == [
+        tuple(r) for r in K.emissions_carbon_intensity(gold, 2026).collect()
+    ]
+    for _, build in K.MARTS.values():
+        plan = build(stored, 2026)._jdf.queryExecution().executedPlan().toString()
+        assert "IN (2019,2021)" in plan and "PartitionFilters: [isnotnull(year" in plan
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     period = K.comparison_period(stored, 2026)._jdf.queryExecution().executedPlan().toString()
     assert "generation_twh" not in period and "NestedLoop" not in period

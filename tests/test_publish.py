@@ -72,11 +72,11 @@ def test_publishing_marts(spark, gold, tmp_path):
     changed = gold | {"fact_demand": demand, "fact_emissions": emissions, "fact_capacity": capacity}
     calls = []
 
-    def failing(df, where, table, run_id):
+    def failing(df, where, table, run_id, **options):
         calls.append(table)
         if len(calls) == 3:
             raise OSError("storage is gone")
-        return T.write_snapshot(df, where, table, run_id)
+        return T.write_snapshot(df, where, table, run_id, **options)
 
     with pytest.raises(OSError):
         P.publish_marts(spark, changed, root, 2026, writer=failing)
@@ -104,11 +104,11 @@ def test_publishing_the_model(spark, gold, tmp_path):
 
     staged = []
 
-    def failing(df, where, table, run_id):
+    def failing(df, where, table, run_id, **options):
         if len(staged) == 3:
             raise OSError("storage is gone")
         staged.append(table)
-        return T.write_snapshot(df, where, table, run_id)
+        return T.write_snapshot(df, where, table, run_id, **options)
 
     with pytest.raises(OSError):
         G.publish_gold(spark, gold, root, writer=failing)
