@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _month(column: str):
-    return F.date_trunc("month", F.col(column)).cast("timestamp_ntz").alias("date")
+    return F.trunc(column, "month").cast("timestamp_ntz").alias("date")
 
 
 def monthly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -672,20 +672,11 @@ def _publish_model(spark: SparkSession, silver: dict[str, DataFrame], sf: str, r
     )
 
 
-def _row_counts(spark: SparkSession, root: str) -> DataFrame:
-    return _union(
-        [
-            df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "*")
-            for name, df in gold_plan.load_gold(spark, root).items()
-        ]
-    )
-
-
 @query
 def publish_gold_roundtrip(spark, sf):
     root = run_folder(spark, "gold")
     _publish_model(spark, staging.core_silver(spark, sf), sf, root)
-    return _row_counts(spark, root)
+    return quality.row_counts(gold_plan.load_gold(spark, root))
 
 
 @query
@@ -708,7 +699,7 @@ def publish_rollback(spark, sf):
         _publish_model(spark, silver, sf, root, writer=failing)
     except OSError:
         pass
-    return _row_counts(spark, root)
+    return quality.row_counts(gold_plan.load_gold(spark, root))
 
 
 @query

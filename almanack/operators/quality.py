@@ -243,6 +243,16 @@ def raise_if_failed(report: DataFrame, what: str) -> list:
     return rows
 
 
+def row_counts(frames: Gold) -> DataFrame:
+    """(table_name, row_count); answered from file footers for stored tables."""
+    return _union(
+        [
+            df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "*")
+            for name, df in frames.items()
+        ]
+    )
+
+
 # --- persisted tables ---------------------------------------------------------------
 
 

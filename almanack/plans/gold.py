@@ -58,8 +58,10 @@ def _check_and_commit(
     run_id: str,
 ) -> dict:
     quality.raise_if_failed(quality.gold_report(staged), "gold model")
-    checked = quality.raise_if_persisted_invalid(staged)
-    counts = {table: row["total_records"] for table, row in checked.items()}
+    counts = {row["table_name"]: row["row_count"] for row in quality.row_counts(staged).collect()}
+    empty = [table for table in S.GOLD_TABLES if not counts[table]]
+    if empty:
+        raise quality.QualityError(f"empty tables: {empty}")
     pointers = [
         {"table": t, "location": locations[t], "run_id": run_id, "row_count": counts[t]}
         for t in S.GOLD_TABLES
@@ -111,6 +113,11 @@ def load_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
     return tables.read_published(spark, gold_root, S.GOLD_TABLES, S.GOLD_SCHEMAS)
 
 
+def validate_published(spark: SparkSession, gold_root: str) -> dict[str, dict]:
+    """Check the published tables as readers see them."""
+    return quality.raise_if_persisted_invalid(load_gold(spark, gold_root))
+
+
 def register_gold(spark: SparkSession, gold_root: str, prefix: str = "") -> list[str]:
     return tables.register_tables(spark, gold_root, S.GOLD_SCHEMAS, prefix)
 

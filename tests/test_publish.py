@@ -115,9 +115,12 @@ def test_publishing_the_model(spark, gold, tmp_path):
     orphan = gold["fact_demand"].withColumn("entity_code", F.lit("XXX"))
     with pytest.raises(Q.QualityError, match="orphan_countries"):
         G.publish_gold(spark, gold | {"fact_demand": orphan}, root)
+    with pytest.raises(Q.QualityError, match="empty tables"):
+        G.publish_gold(spark, gold | {"fact_demand": gold["fact_demand"].where("false")}, root)
     pointers = T.current_tables(spark, root)
     assert {p["run_id"] for p in pointers.values()} == {done["run_id"]}
 
+    assert G.validate_published(spark, root)["fact_demand"]["total_records"] == 24
     names = G.register_gold(spark, root, "g_")
     assert set(names) == {f"g_{t}" for t in S.GOLD_TABLES}
     assert spark.sql("SELECT COUNT(*) FROM g_fact_demand").first()[0] == 24
