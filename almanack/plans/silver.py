@@ -107,14 +107,15 @@ def update_silver(
     )
     recorded = None if manifest is None else manifest.where(F.col("kind") == "bronze")
 
-    # File names only: the reader needs them as a list, as any file index does.
-    pending = increments.change_plan(inventory, recorded, reusable).collect()
-    if not pending:
+    pending = increments.change_plan(inventory, recorded, reusable)
+    found = pending.agg(F.count("*").alias("files"), F.bool_or("full_rebuild").alias("all")).first()
+    if not found["files"]:
         return {"dataset": dataset, "changed": False, "location": pointer["location"]}
-    rebuild = pending[0]["full_rebuild"]
-    paths = (
-        bronze.dataset_path(bronze_root, dataset) if rebuild else [row["path"] for row in pending]
-    )
+    rebuild = found["all"]
+    if rebuild:
+        paths = bronze.dataset_path(bronze_root, dataset)
+    else:  # names of the new files only, which the reader needs as a list
+        paths = [row["path"] for row in pending.select("path").collect()]
     snapshot = None if rebuild else spark.read.parquet(pointer["location"])
     merged = increments.merge_snapshot(
         snapshot, [cleaned_increment(spark, paths, dataset, project_start)], dataset
@@ -149,7 +150,7 @@ def update_silver(
         "dataset": dataset,
         "changed": True,
         "full_rebuild": rebuild,
-        "documents": len(pending),
+        "documents": found["files"],
         "rows": row_count,
         "location": location,
     }
