@@ -15,4 +15,34 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM d JOIN g USING (norm)
 """
 
-ORACLE = {"op6_exact_dedup": OP6}
+OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+l AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+                      WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(ws) - 3),
+                                         lambda i: array_to_string(ws[i : i + 4], ' '))) END AS shingles
+  FROM w),
+g AS (  -- equal sets need no comparison
+  SELECT list_sort(shingles) AS shingles, min(doc_id) AS node, len(shingles) AS n FROM l GROUP BY ALL),
+s AS (SELECT node, n, unnest(shingles) AS shingle FROM g),
+pairs AS (
+  SELECT a.node AS a, b.node AS b
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+  SELECT node, node AS other FROM g WHERE n > 0
+  UNION SELECT node, b FROM reach JOIN edges ON a = other),
+component AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, len(l.shingles) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM l LEFT JOIN g ON g.n > 0 AND g.shingles = list_sort(l.shingles) LEFT JOIN component USING (node)
+"""
+
+ORACLE = {"op5_minhash_near_dedup": OP5, "op6_exact_dedup": OP6}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanack.llm import exact_dedup, packing
-from almanack.llm.tables import read
+from almanack.llm import exact_dedup, near_dedup, packing, quality_classifier, quality_rules
+from almanack.llm.tables import fold, read, with_column
 
 
 def tokenizer_path(file: str) -> str:
@@ -15,16 +15,49 @@ def tokenizer_path(file: str) -> str:
     return public_tokenizers.path(file)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, read(spark, sf_dir, "labels"))
+    scored, name = with_column(docs, quality_classifier.score(F.col("text"), model))
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id")) == 2).alias("held_out"),
+        F.col(name).alias("score"),
+        (F.col(name) >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, v = exact_dedup.grouped(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", *[F.col(v)[c].alias(c) for c in ("keep_id", "group_size", "kept", "text_sha256")])
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality_rules.fit(docs, read(spark, sf_dir, "labels"))
+    found, name, failed, kept = quality_rules.judged(docs, field)
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select(
+        "doc_id",
+        *[F.col(name)[c].alias(c) for c in counts],
+        failed.alias("base_failed"),
+        kept.alias("kept"),
+        F.col(name)["content_share"].alias("content_share"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
 }
