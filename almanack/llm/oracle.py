@@ -45,4 +45,39 @@ SELECT doc_id, len(l.shingles) AS n_shingles, coalesce(component_id, doc_id) AS
 FROM l LEFT JOIN g ON g.n > 0 AND g.shingles = list_sort(l.shingles) LEFT JOIN component USING (node)
 """
 
-ORACLE = {"op5_minhash_near_dedup": OP5, "op6_exact_dedup": OP6}
+OP2 = r"""
+WITH t AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM t),
+p AS (SELECT doc_id, i, word, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w),
+own1 AS (SELECT doc_id, word, count(*) AS n FROM p GROUP BY ALL),
+all1 AS (SELECT word, sum(n) AS n FROM own1 GROUP BY word),
+own2 AS (SELECT doc_id, before, word, count(*) AS n FROM p WHERE before IS NOT NULL GROUP BY ALL),
+all2 AS (SELECT before, word, sum(n) AS n FROM own2 GROUP BY ALL),
+size AS (SELECT doc_id, count(*) AS own, (SELECT count(*) FROM w) AS total FROM w GROUP BY doc_id),
+c AS (
+  SELECT p.doc_id, p.before, greatest(total - own, 1)::DOUBLE AS rest,
+         coalesce(all2.n - own2.n, 0)::DOUBLE AS pair,
+         coalesce(ctx.n - octx.n, 0)::DOUBLE AS context,
+         (all1.n - own1.n)::DOUBLE AS single
+  FROM p JOIN size USING (doc_id) JOIN all1 USING (word)
+  JOIN own1 ON own1.doc_id = p.doc_id AND own1.word = p.word
+  LEFT JOIN all2 ON all2.before = p.before AND all2.word = p.word
+  LEFT JOIN own2 ON own2.doc_id = p.doc_id AND own2.before = p.before AND own2.word = p.word
+  LEFT JOIN all1 ctx ON ctx.word = p.before
+  LEFT JOIN own1 octx ON octx.doc_id = p.doc_id AND octx.word = p.before),
+s AS (
+  SELECT doc_id, (before IS NULL AND single = 0) OR (before IS NOT NULL AND pair = 0) AS backed,
+         CASE WHEN pair > 0 THEN pair / context
+              ELSE (CASE WHEN before IS NULL THEN 1 ELSE 0.4 END) *
+                   (CASE WHEN single > 0 THEN single ELSE 0.4 END) / rest END AS score
+  FROM c)
+SELECT doc_id, coalesce(any_value(len(ws)), 0) AS n_words, coalesce(sum(backed::BIGINT), 0)::BIGINT AS n_backoff,
+       round(avg(ln(score)), 6) AS score
+FROM t LEFT JOIN s USING (doc_id) GROUP BY doc_id
+"""
+
+ORACLE = {"op2_lm_scoring": OP2, "op5_minhash_near_dedup": OP5, "op6_exact_dedup": OP6}

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanack.llm import exact_dedup, near_dedup, packing, quality_classifier, quality_rules
+from almanack.llm import (
+    exact_dedup,
+    language_id,
+    language_model,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+)
 from almanack.llm.tables import fold, read, with_column
 
 
@@ -27,6 +35,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model.scored(read(spark, sf_dir, "documents"))
+    return found.withColumn("score", F.round("score", 6))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -54,10 +67,23 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found, name = with_column(docs.select("doc_id", "text"), language_id.predict(F.col("text"), language_id.fit(docs)))
+    return found.select(
+        "doc_id",
+        (fold(F.col("doc_id")) == 2).alias("held_out"),
+        F.col(name)["lang_pred"].alias("lang_pred"),
+        F.col(name)["score"].alias("score"),
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_lm_scoring": op2_lm_scoring,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
+    "op10_language_id": op10_language_id,
 }
