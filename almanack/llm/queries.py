@@ -9,6 +9,7 @@ from almanack.llm import (
     exact_dedup,
     language_id,
     language_model,
+    license_scan,
     near_dedup,
     packing,
     quality_classifier,
@@ -40,6 +41,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(read(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_license_scan": op3_license_scan,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
