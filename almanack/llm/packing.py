@@ -32,58 +32,20 @@ from almanack.session import hand_over
 
 CAPACITY = 2048
 END_ID = 1
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
 #: Plan rows that may be broadcast (48 bytes each).
 PLAN_BROADCAST = 100_000
 PIECES = "doc_tokens bigint, crcs array<bigint>"
 
 
-class WordIds:
-    """Token ids of words. White space separates words for this tokenizer and is
-    dropped, so the ids of a text are those of its words in turn."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def of(self, texts: X.Texts) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the slice, and how many each text has."""
-        starts, ends, first = texts.runs(X.SPACE[texts.data])
-        hashes = texts.hashes(texts.sums(), starts, ends)
-        distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.place) + len(distinct) > REMEMBERED:
-            self.forget()
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.place]
-        if new:
-            data = texts.data.tobytes()
-            words = [data[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            begin = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            for j, i in enumerate(new):
-                self.place[keys[i]] = len(self.starts) + j
-            flat = np.fromiter((x for ids in found for x in ids), np.uint32, int(sizes.sum()))
-            self.ids = np.concatenate((self.ids, flat))
-            self.starts = np.concatenate((self.starts, begin))
-            self.lengths = np.concatenate((self.lengths, sizes))
-        place = np.fromiter((self.place[k] for k in keys), np.int64, len(keys))[inverse]
-        lengths = self.lengths[place]
-        total = np.concatenate(([0], np.cumsum(lengths)))
-        return self.ids[X.ranges(self.starts[place], lengths)], np.diff(total[first])
-
-
 @lru_cache(maxsize=2)
-def _words(path: str) -> WordIds:
-    return WordIds(path)
+def _words(path: str) -> X.Remembered:
+    """Ids of words. White space separates words for this tokenizer and is dropped, so
+    the ids of a text are those of its words in turn."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return X.Remembered(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
 
 
 def token_pieces(text: Column, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> Column:
@@ -93,7 +55,9 @@ def token_pieces(text: Column, tokenizer: str, capacity: int = CAPACITY, end_id:
     def pieces(column: pa.Array) -> pa.Array:
         words, counts, crcs, sizes = _words(tokenizer), [], [], []
         for texts in X.slices(column):
-            ids, lengths = words.of(texts)
+            starts, stops, first = texts.runs(X.SPACE[texts.data])
+            ids, per_word = words.of(texts, starts, stops)
+            lengths = np.diff(np.concatenate(([0], np.cumsum(per_word)))[first])
             ends = np.cumsum(lengths + 1)
             whole = np.full(len(ids) + texts.n, end_id, "<u4")
             inner = np.ones(len(whole), bool)

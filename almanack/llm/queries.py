@@ -14,6 +14,7 @@ from almanack.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    sentencepiece,
 )
 from almanack.llm.tables import fold, read, with_column
 
@@ -45,6 +46,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scanned(read(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.digests(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_license_scan": op3_license_scan,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
