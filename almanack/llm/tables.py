@@ -38,7 +38,7 @@ def bounded_sample(df: DataFrame, key: Column, rows: int, count: int | None = No
 
 
 #: Rows that one window task numbers, on average, in `numbered`.
-RANK_ROWS = 20_000
+RANK_ROWS = 5_000
 
 
 def numbered(
