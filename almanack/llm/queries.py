@@ -15,6 +15,7 @@ from almanack.llm import (
     quality_classifier,
     quality_rules,
     sentencepiece,
+    sharding,
 )
 from almanack.llm.tables import fold, read, with_column
 
@@ -59,6 +60,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.col(v)[c].alias(c) for c in ("keep_id", "group_size", "kept", "text_sha256")])
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     field = quality_rules.fit(docs, read(spark, sf_dir, "labels"))
@@ -95,6 +100,7 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_sharding": op7_sharding,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
