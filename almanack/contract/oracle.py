@@ -9,23 +9,18 @@ START = f"TIMESTAMP '{T.PROJECT_START}-01'"
 SPLIT = "TIMESTAMP '2000-01-01'"
 
 
-def _exact(column: str) -> str:
-    return f"CAST(CAST({column} AS VARCHAR) AS DECIMAL(28,9))"
-
-
 def _sum(column: str) -> str:
-    return f"CAST(SUM({_exact(column)}) AS DOUBLE)"
+    return f"SUM(CAST({column} AS DOUBLE))"
 
 
 def _avg(column: str) -> str:
-    return f"{_sum(column)} / NULLIF(COUNT({column}), 0)"
+    return f"AVG(CAST({column} AS DOUBLE))"
 
 
 def _round(expression: str, digits: int) -> str:
-    """Half away from zero on the decimal text of the value."""
-    return (
-        f"CAST(ROUND(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
-    )
+    """Half away from zero on the decimal text of the value, free of last-place noise."""
+    steady = f"CAST(printf('%.12e', CAST({expression} AS DOUBLE)) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST({steady} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def _change(first: str, latest: str) -> str:
@@ -542,6 +537,10 @@ def _boxplot(source: str, by: str, value: str) -> str:
     )
 
 
+_WITH_NULLS = """
+SELECT * REPLACE (CASE WHEN share_of_generation_pct BETWEEN 0 AND 5 THEN NULL ELSE generation_twh END AS generation_twh,
+                  CASE WHEN share_of_generation_pct BETWEEN 0 AND 5 THEN NULL ELSE share_of_generation_pct END
+                    AS share_of_generation_pct) FROM generation"""
 _UNUSUAL = (
     "generation_twh < 0 OR share_of_generation_pct < 0 OR share_of_generation_pct > 100"
 )
@@ -616,6 +615,34 @@ def _marts_union(template: str) -> str:
     return " UNION ALL ".join(template.format(m=name) for name in names)
 
 
+# The columns of totals that are published with six decimals.
+_TOTALS = {
+    "annual_generation": ["generation_twh"],
+    "annual_demand": ["demand_twh"],
+    "annual_domestic_net_imports": ["domestic_generation_twh", "net_imports_twh"],
+    "annual_balance": ["domestic_generation_twh", "net_imports_twh", "demand_twh"],
+    "annual_mix": ["generation_twh"],
+    "annual_mix_months": ["generation_twh"],
+    "annual_total": ["total_generation_twh"],
+    "monthly_mix": ["generation_twh"],
+    "annual_shares": ["generation_twh", "generation_share_pct"],
+    "mix_pivot": [f"{c}_{w}_pct" for c in ("renewable", "fossil", "clean") for w in ("start", "end")],
+    "annual_emissions": ["emissions_mtco2"],
+    "annual_intensity": ["avg_carbon_intensity_gco2_per_kwh"],
+    "emissions_pivot": [
+        "emissions_start_mtco2", "emissions_end_mtco2", "carbon_intensity_start", "carbon_intensity_end"
+    ],
+    "annual_capacity": ["avg_capacity_gw"],
+    "capacity_pivot": [f"{c}_{w}_gw" for c in ("solar", "wind") for w in ("start", "end")],
+}
+
+
+def _totals(query: str, table: str, without: str = "") -> str:
+    columns = ", ".join(f"{_round(c, 6)} AS {c}" for c in _TOTALS[query])
+    left = f"EXCLUDE ({without}) " if without else ""
+    return f"SELECT * {left}REPLACE ({columns}) FROM {table}"
+
+
 def oracle() -> dict[str, str]:
     sql = {
         # cleaning
@@ -732,8 +759,8 @@ def oracle() -> dict[str, str]:
             "AS capacity_series_key FROM supplier"
         ),
         # marts
-        "annual_generation": _on_marts("SELECT * FROM annual_generation"),
-        "annual_demand": _on_marts("SELECT * FROM annual_demand"),
+        "annual_generation": _on_marts(_totals("annual_generation", "annual_generation")),
+        "annual_demand": _on_marts(_totals("annual_demand", "annual_demand")),
         "generation_demand_yearly": _on_marts(
             f"""SELECT country_name, entity_code, g.year,
               {_round("g.generation_twh", 2)} AS generation_twh,
@@ -742,17 +769,17 @@ def oracle() -> dict[str, str]:
             FROM annual_generation g JOIN annual_demand d USING (entity_code, year)
             JOIN dim_country USING (entity_code)"""
         ),
-        "annual_domestic_net_imports": _on_marts("SELECT * FROM annual_domestic"),
-        "annual_balance": _on_marts("SELECT * FROM annual_balance"),
+        "annual_domestic_net_imports": _on_marts(_totals("annual_domestic_net_imports", "annual_domestic")),
+        "annual_balance": _on_marts(_totals("annual_balance", "annual_balance")),
         "comparison_sources": _on_marts("SELECT * FROM sources"),
         "comparison_period": _on_marts("SELECT * FROM period"),
         "country_period": _on_marts("SELECT * FROM country_period"),
-        "annual_mix": _on_marts("SELECT * EXCLUDE (months_available) FROM annual_mix"),
-        "annual_mix_months": _on_marts("SELECT * FROM annual_mix"),
+        "annual_mix": _on_marts(_totals("annual_mix", "annual_mix", "months_available")),
+        "annual_mix_months": _on_marts(_totals("annual_mix_months", "annual_mix")),
         "complete_country_years": _on_marts("SELECT * FROM complete_country_years"),
-        "annual_total": _on_marts("SELECT * FROM annual_total"),
-        "monthly_mix": _on_marts("SELECT * EXCLUDE (year, month_number) FROM monthly_mix"),
-        "annual_shares": _on_marts("SELECT * FROM annual_shares"),
+        "annual_total": _on_marts(_totals("annual_total", "annual_total")),
+        "monthly_mix": _on_marts(_totals("monthly_mix", "monthly_mix", "year, month_number")),
+        "annual_shares": _on_marts(_totals("annual_shares", "annual_shares")),
         "energy_mix_yearly": _on_marts(
             f"""SELECT country_name, entity_code, year, energy_category,
               {_round("s.generation_twh", 2)} AS generation_twh,
@@ -760,12 +787,12 @@ def oracle() -> dict[str, str]:
             FROM annual_shares s JOIN dim_country USING (entity_code)"""
         ),
         "eligible_countries": _on_marts("SELECT * FROM eligible_countries"),
-        "mix_pivot": _on_marts("SELECT * FROM mix_pivot"),
-        "annual_emissions": _on_marts("SELECT * FROM annual_emissions"),
-        "annual_intensity": _on_marts("SELECT * FROM annual_intensity"),
-        "emissions_pivot": _on_marts("SELECT * FROM emissions_pivot"),
-        "annual_capacity": _on_marts("SELECT * FROM annual_capacity"),
-        "capacity_pivot": _on_marts("SELECT * FROM capacity_pivot"),
+        "mix_pivot": _on_marts(_totals("mix_pivot", "mix_pivot")),
+        "annual_emissions": _on_marts(_totals("annual_emissions", "annual_emissions")),
+        "annual_intensity": _on_marts(_totals("annual_intensity", "annual_intensity")),
+        "emissions_pivot": _on_marts(_totals("emissions_pivot", "emissions_pivot")),
+        "annual_capacity": _on_marts(_totals("annual_capacity", "annual_capacity")),
+        "capacity_pivot": _on_marts(_totals("capacity_pivot", "capacity_pivot")),
         # publication (fingerprints have no counterpart in SQL)
         "publish_skip_unchanged": _on_marts(
             "SELECT run, mart, rows, run = 2 AS skipped FROM (VALUES (1::BIGINT), (2::BIGINT)) AS r(run), ("
@@ -806,6 +833,35 @@ def oracle() -> dict[str, str]:
             "MAX(share_of_generation_pct) AS max_share_pct FROM generation GROUP BY series "
             f"HAVING COUNT(*) FILTER ({_UNUSUAL}) > 0"
         ),
+        "unusual_breakdown_nan": _on_datasets(
+            "SELECT series, COUNT(*) AS observations, "
+            "COUNT(*) FILTER (generation_twh < 0) AS negative_generation, "
+            "COUNT(*) FILTER (share_of_generation_pct < 0) AS negative_share, "
+            "COUNT(*) FILTER (share_of_generation_pct > 100) AS share_above_100, "
+            "MIN(generation_twh) AS min_generation_twh, MAX(generation_twh) AS max_generation_twh, "
+            "MIN(share_of_generation_pct) AS min_share_pct, "
+            f"MAX(share_of_generation_pct) AS max_share_pct FROM ({_WITH_NULLS}) GROUP BY series "
+            f"HAVING COUNT(*) FILTER ({_UNUSUAL}) > 0"
+        ),
+        "iqr_screen_nan": _iqr(
+            "(SELECT * REPLACE (CASE WHEN l_tax = 0 THEN NULL ELSE l_extendedprice END AS l_extendedprice) "
+            "FROM lineitem)",
+            "l_returnflag",
+            "l_extendedprice",
+        ),
+        "boxplot_stats_nan": _on_datasets(
+            _boxplot(f"(SELECT * FROM ({_WITH_NULLS}) WHERE {_COMPONENTS})", "series", "generation_twh")
+        ),
+        "annual_sums_wide_range": _on_marts(
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS scale, entity_code, year, "
+                f"{_round(f'(SUM(generation_twh * {scale}::DOUBLE) / {scale}::DOUBLE)', 4)} AS total "
+                "FROM fact_generation JOIN dim_energy_series USING (series_key) JOIN dim_date USING (date) "
+                f"WHERE NOT is_aggregate_series AND series_name <> 'Net imports' AND year < {T.AS_OF_YEAR} "
+                "GROUP BY entity_code, year HAVING COUNT(DISTINCT month_number) = 12"
+                for name, scale in (("small", "1e-12"), ("large", "1e21"))
+            )
+        ),
         "series_list": _on_datasets("SELECT DISTINCT series, is_aggregate_series FROM generation"),
         "component_rows": _on_datasets(
             f"SELECT entity_code, date, series, generation_twh FROM generation WHERE {_COMPONENTS}"

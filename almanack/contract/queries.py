@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from almanack import schemas as S
 from almanack.contract import driver_tables as T, staging
-from almanack.functions.expressions import capacity_series_key, series_key
+from almanack.functions.expressions import capacity_series_key, rounded, series_key
 from almanack.operators import (
     cleaning,
     dimensions,
@@ -637,6 +637,54 @@ for _level in T.LEVELS:
         _mart_query(_name, _level)
 
 
+@query
+def annual_sums_wide_range(spark, sf):
+    """Yearly totals of very small and very large values, scaled back for comparison."""
+    gold = staging.gold(spark, sf)
+    fact = gold["fact_generation"]
+    parts = []
+    for name, scale in (("small", 1e-12), ("large", 1e21)):
+        scaled = fact.withColumn("generation_twh", F.col("generation_twh") * F.lit(scale))
+        yearly = marts.annual_generation({**gold, "fact_generation": scaled}, AS_OF)
+        total = rounded(F.col("generation_twh") / F.lit(scale), 4)
+        parts.append(yearly.select(F.lit(name).alias("scale"), "entity_code", "year", total.alias("total")))
+    return _union(parts)
+
+
+# Totals that no report rounds are published with six decimals.
+TOTALS = (
+    "annual_generation",
+    "annual_demand",
+    "annual_domestic_net_imports",
+    "annual_balance",
+    "annual_mix",
+    "annual_mix_months",
+    "annual_total",
+    "monthly_mix",
+    "annual_shares",
+    "mix_pivot",
+    "annual_emissions",
+    "annual_intensity",
+    "emissions_pivot",
+    "annual_capacity",
+    "capacity_pivot",
+)
+
+
+def _with_decimals(build: Query) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = build(spark, sf)
+        return df.select(
+            *[rounded(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]
+        )
+
+    return run
+
+
+for _name in TOTALS:
+    QUERIES[_name] = _with_decimals(QUERIES[_name])
+
+
 # --- publication ------------------------------------------------------------------------
 
 
@@ -759,6 +807,33 @@ def unusual_breakdown(spark, sf):
     return profiling.unusual_breakdown(_generation(spark, sf))
 
 
+def _with_nan(spark: SparkSession, sf: str) -> DataFrame:
+    """Generation whose smallest positive shares, and the amounts there, are NaN."""
+    low = F.col("share_of_generation_pct").between(0, 5)
+    nan = F.lit(float("nan"))
+    return _generation(spark, sf).withColumns(
+        {c: F.when(low, nan).otherwise(F.col(c)) for c in ("generation_twh", "share_of_generation_pct")}
+    )
+
+
+@query
+def unusual_breakdown_nan(spark, sf):
+    return profiling.unusual_breakdown(_with_nan(spark, sf))
+
+
+@query
+def iqr_screen_nan(spark, sf):
+    """Order lines without tax have NaN as price."""
+    price = F.when(F.col("l_tax") == 0, F.lit(float("nan"))).otherwise(F.col("l_extendedprice"))
+    lines = _lines(spark, sf).withColumn("l_extendedprice", price)
+    return profiling.iqr_screen(lines, "l_returnflag", "l_extendedprice")
+
+
+@query
+def boxplot_stats_nan(spark, sf):
+    return profiling.boxplot_stats(profiling.components(_with_nan(spark, sf)))
+
+
 @query
 def series_list(spark, sf):
     return profiling.series_list(_generation(spark, sf))

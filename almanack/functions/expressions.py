@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Doubles are added up as decimals of this scale so that a total does not
-# depend on the order in which partitions arrive.
-EXACT = "decimal(28,9)"
 ALL_MONTHS = (1 << 12) - 1
 
 
@@ -22,13 +19,16 @@ def capacity_series_key(name: Column | str) -> Column:
     return series_key(F.concat(F.lit("capacity::"), column))
 
 
-def exact_sum(value: Column) -> Column:
-    return F.sum(value.cast(EXACT)).cast("double")
+def steady(value: Column | str) -> Column:
+    """A double to 13 significant digits: totals differ in the last places with the
+    order in which partitions arrive."""
+    column = F.col(value) if isinstance(value, str) else value
+    return F.when(column.isNotNull(), F.format_string("%.12e", column).cast("double"))
 
 
-def exact_avg(value: Column) -> Column:
-    """Mean over the non-null values, null when there are none."""
-    return exact_sum(value) / F.nullif(F.count(value), F.lit(0)).cast("double")
+def rounded(value: Column | str, digits: int) -> Column:
+    """Rounding for published values, the same in whatever order they were added."""
+    return F.round(steady(value), digits)
 
 
 def months_mask(month: Column) -> Column:

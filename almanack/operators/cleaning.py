@@ -20,20 +20,27 @@ def _fail(message: str, value: Column, data_type: str) -> Column:
     return F.raise_error(text).cast(data_type)
 
 
+# A cast would also take type suffixes (1d, 1.5f) and drop a zone offset.
+NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)$"
+ZONE_OFFSET = r":\d{2}(\.\d+)?\s*([A-Za-z]+|[+-]\d{1,2}(:?\d{2}){0,2})$"
+
+
 def strict_double(name: str) -> Column:
     """Empty text is missing; anything else must be a number."""
     value = F.nullif(F.trim(F.col(name).cast("string")), F.lit(""))
-    parsed = value.try_cast("double")
+    parsed = F.when(value.rlike(NUMBER), value.try_cast("double"))
     return F.when(
         value.isNotNull() & parsed.isNull(), _fail(f"{name} is not a number", value, "double")
     ).otherwise(parsed)
 
 
 def strict_timestamp(name: str) -> Column:
+    """Dates and times without a zone; a zone offset is refused, not dropped."""
     value = F.col(name)
-    parsed = value.try_cast("timestamp_ntz")
+    text = value.cast("string")
+    parsed = F.when(~text.rlike(ZONE_OFFSET), value.try_cast("timestamp_ntz"))
     return F.when(
-        value.isNotNull() & parsed.isNull(), _fail(f"{name} is not a date", value, "timestamp_ntz")
+        value.isNotNull() & parsed.isNull(), _fail(f"{name} is not a date", text, "timestamp_ntz")
     ).otherwise(parsed)
 
 

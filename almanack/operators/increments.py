@@ -9,10 +9,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from almanack import schemas as S
 
 
+SOURCE_DATE = r"^(\d{4}-\d{2}-\d{2})([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def parse_source_date(text: str | Column) -> Column:
-    """ISO date or timestamp text, with or without a trailing ``Z``, as a date."""
+    """The date of ISO date or timestamp text, as it stands in front of any zone.
+    The whole text must have that form; anything else is an error."""
     value = F.col(text) if isinstance(text, str) else text
-    return F.to_date(F.substring(F.regexp_replace(value, "Z$", ""), 1, 10), "yyyy-MM-dd")
+    parsed = F.try_to_date(F.nullif(F.regexp_extract(value, SOURCE_DATE, 1), F.lit("")), "yyyy-MM-dd")
+    wrong = F.raise_error(F.concat(F.lit("not an ISO date: "), value)).cast("date")
+    return F.when(value.isNotNull() & parsed.isNull(), wrong).otherwise(parsed)
 
 
 def project_start_date(value: str) -> Column:

@@ -15,13 +15,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from almanack import schemas as S
 from almanack.functions.expressions import (
-    exact_avg,
-    exact_sum,
     is_complete,
     month_count,
     months_mask,
     percent,
     percent_change,
+    rounded,
     within_years,
 )
 
@@ -70,12 +69,12 @@ def annual_generation(gold: Gold, as_of_year: int) -> DataFrame:
     rows = _dated(
         gold, "fact_generation", ["entity_code", "series_key", "generation_twh"], as_of_year
     ).join(_component_keys(gold).select("series_key"), "series_key")
-    return _yearly(rows, [], generation_twh=exact_sum(F.col("generation_twh")))
+    return _yearly(rows, [], generation_twh=F.sum(F.col("generation_twh")))
 
 
 def annual_demand(gold: Gold, as_of_year: int) -> DataFrame:
     rows = _dated(gold, "fact_demand", ["entity_code", "demand_twh"], as_of_year)
-    return _yearly(rows, [], demand_twh=exact_sum(F.col("demand_twh")))
+    return _yearly(rows, [], demand_twh=F.sum(F.col("demand_twh")))
 
 
 def generation_demand_yearly(gold: Gold, as_of_year: int) -> DataFrame:
@@ -89,9 +88,9 @@ def generation_demand_yearly(gold: Gold, as_of_year: int) -> DataFrame:
             "country_name",
             "entity_code",
             "year",
-            F.round("generation_twh", 2).alias("generation_twh"),
-            F.round("demand_twh", 2).alias("demand_twh"),
-            F.round(F.col("generation_twh") - F.col("demand_twh"), 2).alias(
+            rounded("generation_twh", 2).alias("generation_twh"),
+            rounded("demand_twh", 2).alias("demand_twh"),
+            rounded(F.col("generation_twh") - F.col("demand_twh"), 2).alias(
                 "generation_demand_balance_twh"
             ),
         )
@@ -112,8 +111,8 @@ def annual_domestic_net_imports(gold: Gold, as_of_year: int) -> DataFrame:
     return _yearly(
         rows,
         [],
-        domestic_generation_twh=exact_sum(F.when(domestic, amount).otherwise(F.lit(0.0))),
-        net_imports_twh=exact_sum(F.when(flow, amount).otherwise(F.lit(0.0))),
+        domestic_generation_twh=F.sum(F.when(domestic, amount).otherwise(F.lit(0.0))),
+        net_imports_twh=F.sum(F.when(flow, amount).otherwise(F.lit(0.0))),
     )
 
 
@@ -280,11 +279,11 @@ def generation_demand_summary(
 
     def both(name: str) -> list[Column]:
         return [
-            F.round(f"{when}_{name}", 2).alias(f"{when}_{name}_twh") for when in ("first", "latest")
+            rounded(f"{when}_{name}", 2).alias(f"{when}_{name}_twh") for when in ("first", "latest")
         ]
 
     def change(name: str) -> Column:
-        return F.round(percent_change(F.col(f"first_{name}"), F.col(f"latest_{name}")), 1).alias(
+        return rounded(percent_change(F.col(f"first_{name}"), F.col(f"latest_{name}")), 1).alias(
             f"{name}_change_pct"
         )
 
@@ -320,7 +319,7 @@ def monthly_mix(gold: Gold, as_of_year: int | None = None) -> DataFrame:
     return (
         rows.join(_component_keys(gold).select("series_key", "energy_category"), "series_key")
         .groupBy("entity_code", "date", "energy_category")
-        .agg(exact_sum(F.col("generation_twh")).alias("generation_twh"))
+        .agg(F.sum(F.col("generation_twh")).alias("generation_twh"))
     )
 
 
@@ -331,7 +330,7 @@ def monthly_to_annual_mix(monthly: DataFrame, gold: Gold) -> DataFrame:
         .groupBy("entity_code", "year", "energy_category")
         .agg(
             month_count(months_mask(F.col("month_number"))).alias("months_available"),
-            exact_sum(F.col("generation_twh")).alias("generation_twh"),
+            F.sum(F.col("generation_twh")).alias("generation_twh"),
         )
     )
 
@@ -346,7 +345,7 @@ def annual_total(gold: Gold, as_of_year: int, mix: DataFrame | None = None) -> D
     return (
         mix.join(complete_country_years(gold, as_of_year), ["entity_code", "year"], "left_semi")
         .groupBy("entity_code", "year")
-        .agg(exact_sum(F.col("generation_twh")).alias("total_generation_twh"))
+        .agg(F.sum(F.col("generation_twh")).alias("total_generation_twh"))
     )
 
 
@@ -369,8 +368,8 @@ def energy_mix_yearly(gold: Gold, as_of_year: int) -> DataFrame:
             "entity_code",
             "year",
             "energy_category",
-            F.round("generation_twh", 2).alias("generation_twh"),
-            F.round("generation_share_pct", 1).alias("generation_share_pct"),
+            rounded("generation_twh", 2).alias("generation_twh"),
+            rounded("generation_share_pct", 1).alias("generation_share_pct"),
         )
         .orderBy("country_name", "year", "energy_category")
     )
@@ -410,9 +409,9 @@ def energy_mix_transition_summary(
     for name in (c.lower() for c in CATEGORIES):
         start, end = F.col(f"{name}_start_pct"), F.col(f"{name}_end_pct")
         columns += [
-            F.round(start, 1).alias(f"{name}_start_pct"),
-            F.round(end, 1).alias(f"{name}_end_pct"),
-            F.round(end - start, 1).alias(f"{name}_change_pp"),
+            rounded(start, 1).alias(f"{name}_start_pct"),
+            rounded(end, 1).alias(f"{name}_end_pct"),
+            rounded(end - start, 1).alias(f"{name}_change_pp"),
         ]
     return (
         mix_pivot(gold, as_of_year, period)
@@ -434,7 +433,7 @@ def annual_emissions(gold: Gold, as_of_year: int, period: Period | None) -> Data
         ["entity_code", "series_key", "emissions_mtco2"],
         as_of_year,
     ).join(total.select("series_key"), "series_key")
-    yearly = _yearly(rows, [], emissions_mtco2=exact_sum(F.col("emissions_mtco2")))
+    yearly = _yearly(rows, [], emissions_mtco2=F.sum(F.col("emissions_mtco2")))
     return _in_period(yearly, period)
 
 
@@ -444,7 +443,7 @@ def annual_intensity(gold: Gold, as_of_year: int, period: Period | None) -> Data
     rows = _dated(
         _for_years(gold, period), "fact_carbon_intensity", ["entity_code", measure], as_of_year
     )
-    yearly = _yearly(rows, [], avg_carbon_intensity_gco2_per_kwh=exact_avg(F.col(measure)))
+    yearly = _yearly(rows, [], avg_carbon_intensity_gco2_per_kwh=F.avg(F.col(measure)))
     return _in_period(yearly, period)
 
 
@@ -494,12 +493,12 @@ def emissions_carbon_intensity(
         pivot.select(
             *_bounds(period),
             "country_name",
-            F.round(first, 2).alias("emissions_start_mtco2"),
-            F.round(last, 2).alias("emissions_end_mtco2"),
-            F.round(percent_change(first, last), 1).alias("emissions_change_pct"),
-            F.round("carbon_intensity_start", 1).alias("carbon_intensity_start"),
-            F.round("carbon_intensity_end", 1).alias("carbon_intensity_end"),
-            F.round(F.col("carbon_intensity_end") - F.col("carbon_intensity_start"), 1).alias(
+            rounded(first, 2).alias("emissions_start_mtco2"),
+            rounded(last, 2).alias("emissions_end_mtco2"),
+            rounded(percent_change(first, last), 1).alias("emissions_change_pct"),
+            rounded("carbon_intensity_start", 1).alias("carbon_intensity_start"),
+            rounded("carbon_intensity_end", 1).alias("carbon_intensity_end"),
+            rounded(F.col("carbon_intensity_end") - F.col("carbon_intensity_start"), 1).alias(
                 "carbon_intensity_change_gco2_per_kwh"
             ),
         )
@@ -519,7 +518,7 @@ def annual_capacity(gold: Gold, as_of_year: int, period: Period | None) -> DataF
         ["entity_code", "capacity_series_key", "capacity_gw"],
         as_of_year,
     ).join(wanted.select("capacity_series_key", "series_name"), "capacity_series_key")
-    yearly = _yearly(rows, ["series_name"], avg_capacity_gw=exact_avg(F.col("capacity_gw")))
+    yearly = _yearly(rows, ["series_name"], avg_capacity_gw=F.avg(F.col("capacity_gw")))
     return _in_period(yearly, period)
 
 
@@ -556,9 +555,9 @@ def installed_solar_wind_capacity(
     for name in ("solar", "wind", "solar_wind"):
         first, last = F.col(f"{name}_start_gw"), F.col(f"{name}_end_gw")
         columns += [
-            F.round(first, 2).alias(f"{name}_start_gw"),
-            F.round(last, 2).alias(f"{name}_end_gw"),
-            F.round(percent_change(first, last), 1).alias(f"{name}_change_pct"),
+            rounded(first, 2).alias(f"{name}_start_gw"),
+            rounded(last, 2).alias(f"{name}_end_gw"),
+            rounded(percent_change(first, last), 1).alias(f"{name}_change_pct"),
         ]
     return (
         sums.select(*_bounds(period), "country_name", *columns)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from almanack import schemas as S
-from almanack.functions.expressions import exact_avg, exact_sum, is_missing
+from almanack.functions.expressions import is_missing, rounded
 from almanack.functions.quantiles import exact_quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -63,7 +63,7 @@ def column_profile(df: DataFrame, dataset: str, order: Sequence[str]) -> DataFra
         names[F.col("column")].alias("dtype"),
         "row_count",
         "null_count",
-        F.round(F.lit(100.0) * F.col("null_count") / F.col("row_count"), 2).alias("null_pct"),
+        rounded(F.lit(100.0) * F.col("null_count") / F.col("row_count"), 2).alias("null_pct"),
         "unique_values",
         F.coalesce("sample_values", F.lit("")).alias("sample_values"),
     )
@@ -128,7 +128,7 @@ def describe_measures(silver: dict[str, DataFrame]) -> DataFrame:
     values = _long(silver).where(F.col("value").isNotNull() & ~F.isnan("value"))
     moments = values.groupBy(*by).agg(
         F.count("value").alias("count"),
-        exact_avg(F.col("value")).alias("mean"),
+        F.avg(F.col("value")).alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
@@ -136,19 +136,24 @@ def describe_measures(silver: dict[str, DataFrame]) -> DataFrame:
     return moments.join(exact_quantiles(values, by, "value", QUARTILES), by).select(
         *by,
         "count",
-        F.round("mean", 6).alias("mean"),
-        F.round("std", 4).alias("std"),
+        rounded("mean", 6).alias("mean"),
+        rounded("std", 4).alias("std"),
         "min",
-        *[F.round(q, 6).alias(q) for q in QUARTILES],
+        *[rounded(q, 6).alias(q) for q in QUARTILES],
         "max",
     )
 
 
+def _number(column: str) -> Column:
+    """NaN as missing: Spark ranks it above every number."""
+    return F.nanvl(F.col(column), F.lit(None).cast("double"))
+
+
 def _unusual_flags() -> dict[str, Column]:
     return {
-        "negative_generation": F.col("generation_twh") < 0,
-        "negative_share": F.col("share_of_generation_pct") < 0,
-        "share_above_100": F.col("share_of_generation_pct") > 100,
+        "negative_generation": _number("generation_twh") < 0,
+        "negative_share": _number("share_of_generation_pct") < 0,
+        "share_above_100": _number("share_of_generation_pct") > 100,
     }
 
 
@@ -169,7 +174,7 @@ def unusual_rows_top(generation: DataFrame, n: int = 30) -> DataFrame:
     return (
         unusual_rows(generation)
         .orderBy(
-            F.desc_nulls_last("share_of_generation_pct"), *S.BUSINESS_KEYS["generation"]
+            _number("share_of_generation_pct").desc_nulls_last(), *S.BUSINESS_KEYS["generation"]
         )
         .limit(n)
     )
@@ -183,10 +188,10 @@ def unusual_breakdown(generation: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("observations"),
             *[F.count_if(flag).alias(name) for name, flag in flags.items()],
-            F.min("generation_twh").alias("min_generation_twh"),
-            F.max("generation_twh").alias("max_generation_twh"),
-            F.min("share_of_generation_pct").alias("min_share_pct"),
-            F.max("share_of_generation_pct").alias("max_share_pct"),
+            F.min(_number("generation_twh")).alias("min_generation_twh"),
+            F.max(_number("generation_twh")).alias("max_generation_twh"),
+            F.min(_number("share_of_generation_pct")).alias("min_share_pct"),
+            F.max(_number("share_of_generation_pct")).alias("max_share_pct"),
         )
         .where(reduce(Column.__or__, [F.col(name) > 0 for name in flags]))
     )
@@ -216,7 +221,9 @@ def _quartile_bounds(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def iqr_screen(df: DataFrame, by: str = "series", value: str = "generation_twh") -> DataFrame:
-    """Share of values beyond 1.5 interquartile ranges; diagnostic only."""
+    """Share of values beyond 1.5 interquartile ranges, among all rows with or without
+    a value; diagnostic only."""
+    df = df.select(by, _number(value).alias(value))
     bounds = _quartile_bounds(df, [by], value)
     # Equal values are counted together before they meet the bounds.
     counts = df.groupBy(by, value).agg(F.count("*").alias("n"))
@@ -233,9 +240,9 @@ def iqr_screen(df: DataFrame, by: str = "series", value: str = "generation_twh")
         .withColumn("outlier_pct", F.lit(100.0) * F.col("outlier_count") / F.col("n"))
         .select(
             by,
-            *[F.round(c, 2).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
+            *[rounded(c, 2).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
             "outlier_count",
-            F.round("outlier_pct", 2).alias("outlier_pct"),
+            rounded("outlier_pct", 2).alias("outlier_pct"),
         )
         .orderBy(F.desc("outlier_pct"), by)
     )
@@ -243,6 +250,7 @@ def iqr_screen(df: DataFrame, by: str = "series", value: str = "generation_twh")
 
 def boxplot_stats(df: DataFrame, by: str = "series", value: str = "generation_twh") -> DataFrame:
     """Quartiles, the whiskers (furthest values within bounds) and extremes."""
+    df = df.select(by, _number(value).alias(value))
     bounds = _quartile_bounds(df, [by], value)
     distinct = df.where(F.col(value).isNotNull()).select(by, value).distinct()
     v = F.col(value)
@@ -258,7 +266,7 @@ def boxplot_stats(df: DataFrame, by: str = "series", value: str = "generation_tw
             F.max(v).alias("max"),
         )
         .select(
-            by, "min", "lower_whisker", *[F.round(q, 6).alias(q) for q in QUARTILES],
+            by, "min", "lower_whisker", *[rounded(q, 6).alias(q) for q in QUARTILES],
             "upper_whisker", "max",
         )
     )
@@ -274,7 +282,7 @@ def country_series_slice(df: DataFrame, entity_code: str, series: Sequence[str])
 def seasonality(df: DataFrame, value: str = "generation_twh") -> DataFrame:
     """Mean per calendar month and series."""
     return df.groupBy(F.month("date").cast("bigint").alias("month"), "series").agg(
-        F.round(exact_avg(F.col(value)), 6).alias(value)
+        rounded(F.avg(F.col(value)), 6).alias(value)
     )
 
 
@@ -290,8 +298,8 @@ def demand_intensity_yearly(
         .join(intensity.where(here).select("date", measure), "date")
     )
     return both.groupBy(F.year("date").cast("bigint").alias("year")).agg(
-        F.round(exact_avg(F.col("demand_twh")), 6).alias("avg_monthly_demand_twh"),
-        F.round(exact_avg(F.col(measure)), 6).alias("avg_carbon_intensity"),
+        rounded(F.avg(F.col("demand_twh")), 6).alias("avg_monthly_demand_twh"),
+        rounded(F.avg(F.col(measure)), 6).alias("avg_carbon_intensity"),
     )
 
 
@@ -334,7 +342,7 @@ def mix_correlation(mix: DataFrame, minimum: int = 3) -> DataFrame:
     def value(a: str, b: str) -> Column:
         if a == b:
             return F.lit(1.0)
-        return F.round(F.col("__".join(sorted((a, b)))), 6)
+        return rounded(F.col("__".join(sorted((a, b)))), 6)
 
     rows = F.array(
         *[
@@ -351,9 +359,9 @@ def intensity_trend(mix: DataFrame, minimum: int = 3) -> DataFrame:
     return (
         mix.agg(
             F.count("*").alias("n"),
-            F.round(F.regr_slope(y, x), 6).alias("slope"),
-            F.round(F.regr_intercept(y, x), 6).alias("intercept"),
-            F.round(F.regr_r2(y, x), 6).alias("r2"),
+            rounded(F.regr_slope(y, x), 6).alias("slope"),
+            rounded(F.regr_intercept(y, x), 6).alias("intercept"),
+            rounded(F.regr_r2(y, x), 6).alias("r2"),
         )
         .where(F.col("n") >= minimum)
     )
@@ -367,13 +375,13 @@ def country_ranking(intensity: DataFrame, year: int) -> DataFrame:
     monthly = (
         intensity.where((F.col("date") >= low) & (F.col("date") < high))
         .groupBy("entity", "entity_code", "date")
-        .agg(exact_sum(F.col(measure)).alias("_sum"), F.count(measure).alias("_n"))
+        .agg(F.sum(F.col(measure)).alias("_sum"), F.count(measure).alias("_n"))
     )
     return (
         monthly.groupBy("entity", "entity_code")
         .agg(
-            F.round(
-                exact_sum(F.col("_sum")) / F.nullif(F.sum("_n"), F.lit(0)).cast("double"), 6
+            rounded(
+                F.sum(F.col("_sum")) / F.nullif(F.sum("_n"), F.lit(0)).cast("double"), 6
             ).alias("avg_carbon_intensity"),
             F.count("date").alias("months_observed"),
         )

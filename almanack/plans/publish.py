@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from almanack import schemas as S
 from almanack.operators import marts, quality
+from almanack.session import hand_over
 from almanack.sources import tables
 
-_CHUNKS = 4  # of 15 hex digits each
+_CHUNKS = 4  # of 16 hex digits each
 
 
 def fingerprint_frame(df: DataFrame, version: str) -> DataFrame:
@@ -24,7 +25,7 @@ def fingerprint_frame(df: DataFrame, version: str) -> DataFrame:
     columns = ",".join(f"{name} {kind}" for name, kind in tables.result_schema(df))
     row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
     parts = [
-        F.conv(F.substring("_h", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")
+        F.conv(F.substring("_h", 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)")
         for i in range(_CHUNKS)
     ]
     sums = df.select(row.alias("_h")).agg(
@@ -54,20 +55,17 @@ def prepare_mart(
     nothing and keep the published location, else write it and check the files."""
     table = marts.mart_table_name(name)
     published = tables.current_tables(spark, root).get(table)
-    df = df.persist()
-    try:
-        fingerprint, rows = source_fingerprint(df, version)
-        if published and published["fingerprint"] == fingerprint:
-            return {
-                "mart": name,
-                "rows": published["row_count"],
-                "location": published["location"],
-                "skipped": True,
-            }
-        run_id = tables.new_run_id()
-        location = writer(df, root, table, run_id)
-    finally:
-        df.unpersist()
+    df = hand_over(df, f"mart-{name}")
+    fingerprint, rows = source_fingerprint(df, version)
+    if published and published["fingerprint"] == fingerprint:
+        return {
+            "mart": name,
+            "rows": published["row_count"],
+            "location": published["location"],
+            "skipped": True,
+        }
+    run_id = tables.new_run_id()
+    location = writer(df, root, table, run_id)
     written = spark.read.schema(df.schema).parquet(location)
     rows = quality.raise_if_mart_invalid(written, name)
     return {

@@ -17,7 +17,7 @@ DOCUMENT = (
 )
 ROWS_PER_DOCUMENT = 20_000
 
-# Columns kept when a document has them although they are not required.
+# Columns that every load has, null where its documents do not hold them.
 OPTIONAL_COLUMNS = {
     "demand": ("is_aggregate_entity",),
     "carbon_intensity": ("is_aggregate_entity",),
@@ -82,12 +82,22 @@ def required_fields(dataset: str) -> list[str]:
     return fields + (["series"] if "series" in S.BUSINESS_KEYS[dataset] else [])
 
 
+def other_fields(documents: DataFrame, dataset: str) -> list[str]:
+    """Names of fields in the documents beyond the required and optional ones. Only
+    distinct names come back, as few as the source has fields."""
+    names = documents.select(F.explode(F.flatten(F.transform(F.filter("data", lambda row: row.isNotNull()), F.map_keys))))
+    known = [*required_fields(dataset), *OPTIONAL_COLUMNS.get(dataset, ())]
+    return sorted(r[0] for r in names.distinct().collect() if r[0] not in known)
+
+
 def _has_field(name: str):
     return lambda row: F.map_contains_key(row, name)
 
 
-def document_rows(documents: DataFrame, dataset: str) -> DataFrame:
-    """One text row per element of ``data`` with its position.
+def document_rows(documents: DataFrame, dataset: str, others: Sequence[str] | None = None) -> DataFrame:
+    """One text row per element of ``data`` with its position, and a column for every
+    field that the documents have (``others`` names those beyond the known ones, where
+    the caller has looked already).
 
     A field counts as present in a document when any of its rows has it; the
     check runs per document, before the rows are unfolded.
@@ -107,7 +117,8 @@ def document_rows(documents: DataFrame, dataset: str) -> DataFrame:
         F.size(absent) > 0, F.raise_error(message).cast("array<map<string,string>>")
     ).otherwise(data)
     rows = documents.select("path", "mtime", F.posexplode(checked).alias("pos", "row"))
-    names = [*required_fields(dataset), *OPTIONAL_COLUMNS.get(dataset, ())]
+    others = other_fields(documents, dataset) if others is None else others
+    names = [*required_fields(dataset), *OPTIONAL_COLUMNS.get(dataset, ()), *others]
     return rows.select(
         *[F.try_element_at("row", F.lit(name)).alias(name) for name in names],
         "path",

@@ -35,6 +35,13 @@ def test_rows_keep_their_position_and_text(spark, tmp_path):
     assert got[0]["is_aggregate_entity"] == "false" and got[0]["path"].endswith("a.json")
 
 
+def test_fields_beyond_the_required_ones_are_kept(spark, tmp_path):
+    store(tmp_path, "a.json", {"data": [ROW | {"note": "x", "unit": "TWh"}, ROW], "stats": STATS})
+    store(tmp_path, "b.json", {"data": [ROW | {"quality": 3}], "stats": STATS})
+    got = {(r["note"], r["unit"], r["quality"]) for r in rows_of(spark, tmp_path).collect()}
+    assert got == {("x", "TWh", None), (None, None, None), (None, None, "3")}
+
+
 def test_pretty_printed_documents(spark, tmp_path):
     store(tmp_path, "a.json", {"data": [ROW], "stats": STATS}, indent=2)
     assert rows_of(spark, tmp_path, multi_line=True).count() == 1

@@ -42,7 +42,11 @@ def test_missing_columns_are_rejected_before_any_job(spark, column):
     "change",
     [
         {"date": "July"},
+        {"date": "2020-01-01T00:00:00+05:00"},
+        {"date": "2020-01-01 00:00:00Z"},
         {"generation_twh": "8,0"},
+        {"generation_twh": "1d"},
+        {"generation_twh": "1.5f"},
         {"share_of_generation_pct": "n/a"},
         {"is_aggregate_series": "yes"},
         {"is_aggregate_entity": "1"},
@@ -53,6 +57,12 @@ def test_bad_values_fail_the_query(spark, change):
         C.clean(raw(spark, {}, change), "generation").collect()
 
 
+@pytest.mark.parametrize("text", ["1", "-1.5", "+.5e-3", "7.", "1E5", "inf", "NaN", " 2 "])
+def test_numbers_in_any_usual_form(spark, text):
+    row = C.clean(raw(spark, {"generation_twh": text}), "generation").first()
+    assert str(row["generation_twh"]) == str(float(text))
+
+
 def test_empty_number_is_missing_not_an_error(spark):
     row = C.clean(raw(spark, {"generation_twh": ""}), "generation").first()
     assert row["generation_twh"] is None

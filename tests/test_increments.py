@@ -79,6 +79,13 @@ def test_increment_plan(spark):
     }
 
 
+@pytest.mark.parametrize("text", ["2026-08-01garbage", "2026-8-1", "2026-02-30", "01.08.2026", "2026-08-01T", ""])
+def test_other_texts_are_no_source_dates(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    with pytest.raises(Exception, match="not an ISO date"):
+        df.select(I.parse_source_date("t")).collect()
+
+
 def test_next_month_crosses_the_year(spark):
     df = spark.createDataFrame([(dt.date(2025, 12, 31),), (dt.date(2026, 1, 1),)], "d date")
     assert [r[0].isoformat() for r in df.select(I.next_month(F.col("d"))).collect()] == [

@@ -3,6 +3,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from almanack import schemas as S
 from almanack.operators import profiling as P
@@ -85,6 +86,17 @@ def test_iqr_screen_equals_pandas(spark, silver):
         assert box[series]["median"] == pytest.approx(v.median(), abs=1e-6)
 
 
+def test_nan_is_missing_and_stays_in_the_denominator(spark):
+    values = [*map(float, range(1, 11)), float("nan"), None, 100.0]
+    df = spark.createDataFrame([("s", v) for v in values], "series string, generation_twh double")
+    row = P.iqr_screen(df).first()
+    assert (row["outlier_count"], row["outlier_pct"]) == (1, round(100 / 13, 2))
+    box = P.boxplot_stats(df).first()
+    assert (box["max"], box["upper_whisker"]) == (100.0, 10.0)
+    flagged = df.withColumn("share_of_generation_pct", F.lit(float("nan")))
+    assert P.unusual_breakdown(flagged).count() == 0
+
+
 def test_seasonality_and_yearly_means(spark, silver):
     pdf = silver["demand"].toPandas()
     got = {r["year"]: r["avg_monthly_demand_twh"] for r in P.demand_intensity_yearly(silver["demand"], silver["carbon_intensity"], "AAA").collect()}
