@@ -1,17 +1,15 @@
 """Even shards that keep linked documents together, by balanced label propagation.
 
-Documents with equal texts are linked. Every round, each linked document looks at the
-shards its neighbours are in (counts by group and shard, a join) and proposes to move
-to one of its group's home shards: those with most of the group, as many as its size
-needs. A shard accepts as many as its quota has room for; of more proposals, a hash
-picks that share. Documents without neighbours are dealt out last and fill every shard
+Documents with equal texts are linked. Every round, linked documents look at the shards
+their neighbours are in (counts by group and shard) and propose to move to one of their
+group's home shards: those with most of the group, as many as its size needs. A shard
+accepts as many as its quota has room for, of more proposals the same share of each. Documents without neighbours are dealt out last and fill every shard
 to its quota exactly, so row counts are at most one apart (law "rows"). What still
 exceeds a quota is dealt out with them.
 
 Only numbers of proposals by pair of shards come to the driver, at most shards squared.
-Counts by group and shard combine on the map side, and ranks are taken in buckets, so a
-group with a third of all rows stays spread over many tasks; it needs several shards
-and gets as many homes.
+Rows of a group are interchangeable while they move: a group with a third of all rows is
+sixteen counts, needs several shards and gets as many homes. Ranks are taken in buckets.
 
 Defined cases: a null text has size 1, the crc32 of the empty text, and is linked with
 null and empty texts; rows are what is counted, so repeated ids take a slot each and
@@ -41,39 +39,40 @@ def _literal(values: list, kind: str):
     return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
 
 
-def propagated(linked: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """(row, group, members, shard) of linked rows, moved towards their neighbours."""
-    shards = len(quota)
+def propagated(held: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
+    """(group, members, shard, n): how many of each group's rows a shard holds, after
+    they moved towards their neighbours. Rows of a group are interchangeable, so counts
+    say it all, and a group of any size is as many rows as there are shards."""
     largest = max(max(quota), 1)
-    state = linked.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
-    state = hand_over(state, "shards")
+    held = hand_over(held, "shards-held")
     for turn in range(rounds):
-        counts = state.groupBy("group", "members", "shard").agg(F.count(F.lit(1)).alias("n"))
-        place = F.row_number().over(Window.partitionBy("group").orderBy(F.desc("n"), F.xxhash64("group", "shard")))
+        rank = F.row_number().over(Window.partitionBy("group").orderBy(F.desc("n"), F.xxhash64("group", "shard")))
         needed = F.ceil(F.col("members") / largest)
-        homes = counts.withColumn("place", place).where(F.col("place") <= needed)
+        homes = held.withColumn("place", rank).where(F.col("place") <= needed)
         homes = homes.groupBy("group").agg(F.sort_array(F.collect_list("shard")).alias("homes"))  # at most all shards
-        drawn = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(_GRAIN))
-        wish = F.get("homes", F.pmod(F.shiftright(F.xxhash64("row"), 20), F.size("homes")).cast("int"))
+        drawn = F.pmod(F.xxhash64("group", "shard", F.lit(turn)), F.lit(_GRAIN))
+        wish = F.get("homes", F.pmod(drawn, F.size("homes")).cast("int"))
         stays = F.array_contains("homes", F.col("shard"))
-        proposed = state.join(homes, "group").select(
-            "row", "group", "members", "shard", F.when(stays, F.col("shard")).otherwise(wish).alias("to")
-        )
-        proposed = hand_over(proposed, "shards-proposed")
-        flows = proposed.groupBy("shard", "to").count().collect()
-        load, asked = [0] * shards, [0] * shards
-        for f in flows:
-            load[f["shard"]] += f["count"]
+        proposed = held.join(homes, "group").withColumn("to", F.when(stays, F.col("shard")).otherwise(wish))
+        load, asked = [0] * len(quota), [0] * len(quota)
+        for f in proposed.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect():
+            load[f["shard"]] += f["n"]
             if f["shard"] != f["to"]:
-                asked[f["to"]] += f["count"]
-        if not any(asked):
-            break
+                asked[f["to"]] += f["n"]
         accept = [min(1.0, max(0, q - n) / a) if a else 0.0 for q, n, a in zip(quota, load, asked)]
-        limit = F.get(_literal([int(a * _GRAIN) for a in accept], "bigint"), F.col("to"))
-        state = proposed.select(
-            "row", "group", "members", F.when(drawn < limit, F.col("to")).otherwise(F.col("shard")).alias("shard")
+        if not any(accept):
+            break
+        # Of n rows the accepted share goes, fractions rounded up or down by chance.
+        share = F.col("n") * F.get(_literal(accept, "double"), F.col("to")) + drawn / F.lit(float(_GRAIN))
+        go = F.when(stays, F.lit(0)).otherwise(F.least(F.floor(share), F.col("n"))).cast("bigint")
+        parts = F.array(
+            F.struct(F.col("shard").alias("shard"), (F.col("n") - go).alias("n")),
+            F.struct(F.col("to").alias("shard"), go.alias("n")),
         )
-    return state
+        moved = proposed.select("group", "members", F.inline(parts)).where(F.col("n") > 0)
+        moved = moved.groupBy("group", "members", "shard").agg(F.sum("n").alias("n"))
+        held = hand_over(moved, "shards-held")
+    return held
 
 
 def sharded(
@@ -91,12 +90,21 @@ def sharded(
     rows = hand_over(rows, "shard-rows")
     count = rows.count()
     quota = quotas(count, shards)
-    groups = rows.groupBy("group").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
-    linked = rows.select("row", "group").join(groups, "group").select("row", "group", "members")
-    state = hand_over(propagated(linked, quota, rounds), "shards-linked")
-
     hashed = F.pmod(F.xxhash64("row", F.lit("slot")), F.lit(buckets(count)))
-    placed = numbered(state.select("row", "shard"), ["shard"], [F.col("row")], hashed, "slot", count)
+    first = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard")
+    held = rows.groupBy("group", first).agg(F.count(F.lit(1)).alias("n"))
+    members = F.sum("n").over(Window.partitionBy("group")).alias("members")
+    held = held.select("group", members, "shard", "n").where(F.col("members") > 1)
+    held = propagated(held, quota, rounds)
+
+    # The rows of a group, in any order, take the places that its shards hold.
+    before = F.sum("n").over(Window.partitionBy("group").orderBy("shard")) - F.col("n")
+    places = held.select(F.col("group").alias("_group"), F.col("shard"), "n", before.alias("_from"))
+    linked = rows.select("row", "group").join(held.select("group").distinct(), "group", "left_semi")
+    linked = numbered(linked, ["group"], [F.col("row")], hashed, "nth", count)
+    within = (F.col("nth") >= F.col("_from")) & (F.col("nth") < F.col("_from") + F.col("n"))
+    state = linked.join(places, (linked["group"] == places["_group"]) & within).select("row", "shard")
+    placed = numbered(state, ["shard"], [F.col("row")], hashed, "slot", count)
     placed = hand_over(placed, "shards-ranked")
     stays = placed.where(F.col("slot") < F.get(_literal(quota, "bigint"), F.col("shard")))
     have = {r["shard"]: r["count"] for r in stays.groupBy("shard").count().collect()}
