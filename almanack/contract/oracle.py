@@ -605,14 +605,26 @@ def _ingestion() -> str:
     return f"{first} UNION ALL {second} UNION ALL {documents}"
 
 
-def _marts_union(template: str) -> str:
-    names = (
-        "generation_demand_summary",
-        "energy_mix_transition_summary",
-        "emissions_carbon_intensity",
-        "installed_solar_wind_capacity",
+MART_NAMES = (
+    "generation_demand_summary",
+    "energy_mix_transition_summary",
+    "emissions_carbon_intensity",
+    "installed_solar_wind_capacity",
+)
+
+
+def _mart_schema() -> str:
+    """The marts' columns as DuckDB types them, under Spark's type names."""
+    kinds = "CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END"
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS mart, row_number() OVER () - 1 AS position, column_name, {kinds} AS data_type "
+        f"FROM (DESCRIBE {_on_marts(f'SELECT * FROM mart_{m}')})"
+        for m in MART_NAMES
     )
-    return " UNION ALL ".join(template.format(m=name) for name in names)
+
+
+def _marts_union(template: str) -> str:
+    return " UNION ALL ".join(template.format(m=name) for name in MART_NAMES)
 
 
 # The columns of totals that are published with six decimals.
@@ -806,6 +818,11 @@ def oracle() -> dict[str, str]:
             "JOIN dim_country USING (entity_code) JOIN dim_energy_series USING (series_key) "
             "GROUP BY country_name, energy_category"
         ),
+        "registered_model_year": _on_datasets(
+            f"SELECT entity_code, COUNT(*) AS observations, {_round('SUM(generation_twh)', 2)} AS generation_twh "
+            "FROM fact_generation WHERE year(date) = 1995 GROUP BY entity_code"
+        ),
+        "mart_schema": _mart_schema(),
         # profiling
         "column_profile": _column_profile(),
         "profile_csv": (

@@ -454,9 +454,10 @@ def dq_persisted_table(spark, sf):
 @query
 def dq_mart_checks(spark, sf):
     gold = staging.gold(spark, sf)
+    period = marts.resolve_period(gold, AS_OF, BASE)
     return _union(
         [
-            quality.mart_check(build(gold, AS_OF, BASE)).select(F.lit(name).alias("mart"), "*")
+            quality.mart_check(build(gold, AS_OF, BASE, period)).select(F.lit(name).alias("mart"), "*")
             for name, (_, build) in marts.MARTS.items()
         ]
     )
@@ -691,9 +692,10 @@ for _name in TOTALS:
 @query
 def mart_fingerprint(spark, sf):
     gold = staging.gold(spark, sf)
+    period = marts.resolve_period(gold, AS_OF, BASE)
     return _union(
         [
-            publish.fingerprint_frame(build(gold, AS_OF, BASE), version).select(
+            publish.fingerprint_frame(build(gold, AS_OF, BASE, period), version).select(
                 F.lit(name).alias("mart"), "*"
             )
             for name, (version, build) in marts.MARTS.items()
@@ -768,6 +770,33 @@ def registered_model_query(spark, sf):
     )
 
 
+@query
+def registered_model_year(spark, sf):
+    """A year of a registered fact: only that year's partition is opened."""
+    root = run_folder(spark, "gold")
+    _publish_model(spark, staging.core_silver(spark, sf), sf, root)
+    prefix = f"v_{root.rsplit('-', 1)[-1]}_"
+    gold_plan.register_gold(spark, root, prefix)
+    return spark.sql(
+        f"""
+        SELECT f.entity_code, COUNT(*) AS observations, ROUND(SUM(f.generation_twh), 2) AS generation_twh
+        FROM {prefix}fact_generation f WHERE f.year = 1995 GROUP BY f.entity_code
+        """
+    )
+
+
+@query
+def mart_schema(spark, sf):
+    """Names and types of every mart's columns, from analysis alone."""
+    gold = staging.gold(spark, sf)
+    rows = [
+        (name, place, column, kind)
+        for name, (_, build) in marts.MARTS.items()
+        for place, (column, kind) in enumerate(tables.result_schema(build(gold, AS_OF, BASE, (BASE, BASE))))
+    ]
+    return spark.createDataFrame(rows, "mart string, position bigint, column_name string, data_type string")
+
+
 # --- profiling -----------------------------------------------------------------------------
 
 

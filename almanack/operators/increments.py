@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from almanack import schemas as S
+from almanack.session import hand_over
 
 
 SOURCE_DATE = r"^(\d{4}-\d{2}-\d{2})([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
@@ -184,13 +185,27 @@ def keep_last(df: DataFrame, key: Sequence[str], sequence: Sequence[str]) -> Dat
     return kept.select(*[c for c in df.columns if c not in set(sequence)])
 
 
+def replace_keys(snapshot: DataFrame | None, latest: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The snapshot without the keys of ``latest``, and ``latest``. The snapshot has one
+    row per key and always loses, so it is filtered only: with a small ``latest`` it is
+    neither shuffled nor sorted. Nulls count as equal key values."""
+    if snapshot is None:
+        return latest
+    keys = latest.select(*[F.col(c).alias(f"_key_{c}") for c in key]).distinct()
+    same = F.lit(True)
+    for c in key:
+        same = same & snapshot[c].eqNullSafe(keys[f"_key_{c}"])
+    return snapshot.join(keys, same, "left_anti").unionByName(latest, allowMissingColumns=True)
+
+
 def merge_snapshot(
     snapshot: DataFrame | None, increments: Sequence[DataFrame], dataset: str
 ) -> DataFrame:
-    """Snapshot plus increments, the later row winning per business key."""
-    return keep_last(
-        union_increments(snapshot, increments), S.BUSINESS_KEYS[dataset], SEQUENCE
-    )
+    """Snapshot plus increments, the later row winning per business key. The reduced
+    increments are handed over, so that their size decides how they meet the snapshot."""
+    key = S.BUSINESS_KEYS[dataset]
+    latest = hand_over(keep_last(union_increments(None, increments), key, SEQUENCE), f"latest-{dataset}")
+    return replace_keys(snapshot, latest, key)
 
 
 def raw_text(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from almanack import schemas as S
 from almanack.functions.expressions import (
@@ -199,6 +199,14 @@ def resolve_period(gold: Gold, as_of_year: int, baseline_year: int = S.BASELINE_
     return None if row is None else (row["start_year"], row["end_year"])
 
 
+#: Stands for a period the caller has not looked for; None is one that does not exist.
+SEARCH: Period = (0, 0)
+
+
+def _given(period: Period | None, gold: Gold, as_of_year: int, baseline_year: int) -> Period | None:
+    return resolve_period(gold, as_of_year, baseline_year) if period is SEARCH else period
+
+
 def _in_years(df: DataFrame, period: Period | None) -> DataFrame:
     """Rows dated in one of the two years; none when there is no period."""
     if period is None:
@@ -259,10 +267,10 @@ def generation_demand_summary(
     gold: Gold,
     as_of_year: int,
     baseline_year: int = S.BASELINE_YEAR,
-    period: Period | None = None,
+    period: Period | None = SEARCH,
 ) -> DataFrame:
     """Mart 1. Both years are picked in one aggregation instead of two self joins."""
-    period = period or resolve_period(gold, as_of_year, baseline_year)
+    period = _given(period, gold, as_of_year, baseline_year)
     values = {
         "generation": "domestic_generation_twh",
         "demand": "demand_twh",
@@ -340,20 +348,38 @@ def complete_country_years(gold: Gold, as_of_year: int) -> DataFrame:
     return _yearly(_dated(gold, "fact_generation", ["entity_code"], as_of_year), [])
 
 
-def annual_total(gold: Gold, as_of_year: int, mix: DataFrame | None = None) -> DataFrame:
-    mix = annual_mix(gold, as_of_year) if mix is None else mix
+def _mix_parts(gold: Gold, as_of_year: int) -> DataFrame:
+    """Everything the yearly mix rests on, from one pass over the fact: per entity, year,
+    category and kind of series the sum and the months seen. On that small result, months
+    of all rows decide whether a year is complete, and components make up its total."""
+    series = gold["dim_energy_series"].select("series_key", "series_name", "is_aggregate_series", "energy_category")
+    rows = _dated(gold, "fact_generation", ["entity_code", "series_key", "generation_twh"], as_of_year)
+    component = ~F.col("is_aggregate_series") & (F.col("series_name") != S.NET_IMPORTS)
+    parts = (
+        rows.join(series, "series_key", "left")
+        .withColumn("_component", F.coalesce(component, F.lit(False)))
+        .groupBy("entity_code", "year", "_component", F.when(F.col("_component"), F.col("energy_category")).alias("energy_category"))
+        .agg(F.sum("generation_twh").alias("generation_twh"), months_mask(F.col("month_number")).alias("_seen"))
+    )
+    year = Window.partitionBy("entity_code", "year")
+    total = F.sum(F.when(F.col("_component"), F.col("generation_twh"))).over(year)
     return (
-        mix.join(complete_country_years(gold, as_of_year), ["entity_code", "year"], "left_semi")
-        .groupBy("entity_code", "year")
-        .agg(F.sum(F.col("generation_twh")).alias("total_generation_twh"))
+        parts.withColumn("_months", F.bit_or("_seen").over(year))
+        .withColumn("total_generation_twh", total)
+        .where(F.col("_component") & is_complete(F.col("_months")))
+        .select("entity_code", "year", "energy_category", "generation_twh", "total_generation_twh")
     )
 
 
+def annual_total(gold: Gold, as_of_year: int) -> DataFrame:
+    parts = _mix_parts(gold, as_of_year)
+    return parts.groupBy("entity_code", "year").agg(F.max("total_generation_twh").alias("total_generation_twh"))
+
+
 def annual_shares(gold: Gold, as_of_year: int) -> DataFrame:
     """Unrounded share of every category in a complete year."""
-    mix = annual_mix(gold, as_of_year)
     share = percent(F.col("generation_twh"), F.col("total_generation_twh"))
-    return mix.join(annual_total(gold, as_of_year, mix), ["entity_code", "year"]).select(
+    return _mix_parts(gold, as_of_year).select(
         "entity_code", "year", "energy_category", "generation_twh", share.alias("generation_share_pct")
     )
 
@@ -401,10 +427,10 @@ def energy_mix_transition_summary(
     gold: Gold,
     as_of_year: int,
     baseline_year: int = S.BASELINE_YEAR,
-    period: Period | None = None,
+    period: Period | None = SEARCH,
 ) -> DataFrame:
     """Mart 2. Changes are percentage points of the unrounded shares."""
-    period = period or resolve_period(gold, as_of_year, baseline_year)
+    period = _given(period, gold, as_of_year, baseline_year)
     columns = []
     for name in (c.lower() for c in CATEGORIES):
         start, end = F.col(f"{name}_start_pct"), F.col(f"{name}_end_pct")
@@ -476,10 +502,10 @@ def emissions_carbon_intensity(
     gold: Gold,
     as_of_year: int,
     baseline_year: int = S.BASELINE_YEAR,
-    period: Period | None = None,
+    period: Period | None = SEARCH,
 ) -> DataFrame:
     """Mart 3: emissions change in percent, intensity change absolute."""
-    period = period or resolve_period(gold, as_of_year, baseline_year)
+    period = _given(period, gold, as_of_year, baseline_year)
     pivot = emissions_pivot(gold, as_of_year, period).where(
         _present(
             "emissions_start_mtco2",
@@ -539,10 +565,10 @@ def installed_solar_wind_capacity(
     gold: Gold,
     as_of_year: int,
     baseline_year: int = S.BASELINE_YEAR,
-    period: Period | None = None,
+    period: Period | None = SEARCH,
 ) -> DataFrame:
     """Mart 4. Solar, wind and their sum at both ends of the period."""
-    period = period or resolve_period(gold, as_of_year, baseline_year)
+    period = _given(period, gold, as_of_year, baseline_year)
     ends = ("solar_start_gw", "solar_end_gw", "wind_start_gw", "wind_end_gw")
     pivot = capacity_pivot(gold, as_of_year, period).where(_present(*ends))
     sums = pivot.withColumns(

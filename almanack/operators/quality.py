@@ -166,19 +166,6 @@ def dimension_report(gold: Gold) -> DataFrame:
     return _union(parts)
 
 
-def fact_report(gold: Gold) -> DataFrame:
-    """Unique, non-null grain and non-null measures of the five facts."""
-    parts = []
-    for table, grain in S.FACT_GRAINS.items():
-        measures = S.FACT_MEASURES[table]
-        metrics = [("duplicate_grain", None, "duplicate_rows")]
-        metrics += [("null_grain", c, f"null_{c}") for c in grain]
-        metrics += [("null_measure", c, f"null_{c}") for c in measures]
-        statistics = key_statistics(gold[table], grain, [*grain, *measures])
-        parts.append(_metrics(statistics, table, metrics))
-    return _union(parts)
-
-
 ORPHAN_CHECKS = {
     "date": "orphan_dates",
     "entity_code": "orphan_countries",
@@ -187,42 +174,74 @@ ORPHAN_CHECKS = {
 }
 
 
-def orphan_counts(fact: DataFrame, gold: Gold) -> DataFrame:
-    """One row with four orphan counts (zero where the fact lacks the column).
+def _total(value: Column) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
 
-    The fact is read once and reduced to the distinct values of each foreign key
-    before any join, so the joins see dimension-sized inputs. A null matches a
-    null in the dimension.
-    """
-    keys = [c for c in ORPHAN_CHECKS if c in fact.columns]
-    values = fact.groupingSets([[k] for k in keys], *keys).agg(
-        F.count("*").alias("_n"), *[F.grouping(k).alias(f"_other_{k}") for k in keys]
-    )
+
+def fact_groups(fact: DataFrame, table: str) -> DataFrame:
+    """The fact's one pass: per grain the rows, missing measures and rows with any null
+    among what is required. All checks of a fact start from here; the foreign keys are
+    part of the grain."""
+    grain, measures = S.FACT_GRAINS[table], S.FACT_MEASURES[table]
+    nulls = [F.sum(m.cast("bigint")).alias(f"_null_{c}") for c, m in zip(measures, _missing(fact, measures))]
+    any_null = reduce(Column.__or__, [F.col(c).isNull() for c in (*grain, *measures)])
+    return fact.groupBy(*grain).agg(F.count("*").alias("_n"), F.count_if(any_null).alias("_any_null"), *nulls)
+
+
+def _known(gold: Gold, key: str) -> DataFrame:
+    """How often a dimension holds each key."""
+    column = F.col(key).alias(f"_dim_{key}")
+    return gold[S.FOREIGN_KEYS[key]].groupBy(column).agg(F.count("*").alias(f"_times_{key}"))
+
+
+def fact_statistics(gold: Gold, table: str) -> DataFrame:
+    """One row with grain, measure and foreign-key counts of a fact, read once. Here a
+    null matches a null in the dimension."""
+    grain, measures = S.FACT_GRAINS[table], S.FACT_MEASURES[table]
+    groups = fact_groups(gold[table], table)
+    missing = dict(zip(grain, _missing(groups, grain)))
+    keys = [c for c in ORPHAN_CHECKS if c in grain]
+    for key in keys:
+        known = _known(gold, key)
+        groups = groups.join(known, F.col(key).eqNullSafe(F.col(f"_dim_{key}")), "left")
+    n, zero = F.col("_n"), F.lit(0).cast("bigint")
+    orphans = {name: F.lit(0).cast("bigint") for name in ORPHAN_CHECKS.values()}
     for key in keys:
-        known = gold[S.FOREIGN_KEYS[key]].select(F.col(key).alias(f"_dim_{key}")).distinct()
-        known = known.withColumn(f"_hit_{key}", F.lit(True))
-        values = values.join(known, F.col(key).eqNullSafe(F.col(f"_dim_{key}")), "left")
-    counts = []
-    for key, name in ORPHAN_CHECKS.items():
-        if key in keys:
-            orphan = (F.col(f"_other_{key}") == 0) & F.col(f"_hit_{key}").isNull()
-            count = F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0).cast("bigint"))
-        else:
-            count = F.lit(0).cast("bigint")
-        counts.append(count.alias(name))
-    return values.agg(*counts)
+        orphans[ORPHAN_CHECKS[key]] = _total(F.when(F.col(f"_times_{key}").isNull(), n).otherwise(zero))
+    return groups.agg(
+        _total(n).alias("row_count"),
+        _total(F.when(n > 1, n).otherwise(zero)).alias("duplicate_rows"),
+        *[_total(F.when(flag, n).otherwise(zero)).alias(f"null_{c}") for c, flag in missing.items()],
+        *[_total(F.col(f"_null_{c}")).alias(f"null_{c}") for c in measures],
+        *[count.alias(name) for name, count in orphans.items()],
+    )
+
+
+def _grain_metrics(table: str) -> list[tuple]:
+    metrics = [("duplicate_grain", None, "duplicate_rows")]
+    metrics += [("null_grain", c, f"null_{c}") for c in S.FACT_GRAINS[table]]
+    return metrics + [("null_measure", c, f"null_{c}") for c in S.FACT_MEASURES[table]]
+
+
+def _key_metrics() -> list[tuple]:
+    return [(name, key, name) for key, name in ORPHAN_CHECKS.items()]
+
+
+def fact_report(gold: Gold) -> DataFrame:
+    """Unique, non-null grain and non-null measures of the five facts."""
+    return _union([_metrics(fact_statistics(gold, t), t, _grain_metrics(t)) for t in S.FACT_GRAINS])
 
 
 def foreign_key_report(gold: Gold) -> DataFrame:
-    parts = []
-    for table in S.FACT_GRAINS:
-        metrics = [(name, key, name) for key, name in ORPHAN_CHECKS.items()]
-        parts.append(_metrics(orphan_counts(gold[table], gold), table, metrics))
-    return _union(parts)
+    return _union([_metrics(fact_statistics(gold, t), t, _key_metrics()) for t in S.FACT_GRAINS])
 
 
 def gold_report(gold: Gold) -> DataFrame:
-    return _union([dimension_report(gold), fact_report(gold), foreign_key_report(gold)])
+    """All checks of the model; every fact is scanned and shuffled once."""
+    facts = [
+        _metrics(fact_statistics(gold, t), t, _grain_metrics(t) + _key_metrics()) for t in S.FACT_GRAINS
+    ]
+    return _union([dimension_report(gold), *facts])
 
 
 def verdict(report: DataFrame) -> DataFrame:
@@ -261,27 +280,26 @@ def persisted_table_check(gold: Gold, table: str) -> DataFrame:
     invalid_foreign_keys, duplicate_key_groups. Here null never matches."""
     if table not in S.GOLD_TABLES:
         raise ValueError(f"unknown table {table!r}")
-    df = gold[table]
-    key = S.DIMENSION_KEYS.get(table) or S.FACT_GRAINS[table]
-    required = [*key, *S.FACT_MEASURES.get(table, ())]
-    types = _types(df)
-    any_null = reduce(Column.__or__, [F.col(c).isNull() for c in required if c in types])
-    joined, broken = df, F.lit(False)
     if table in S.FACT_GRAINS:
-        for name in key:
-            dim = gold[S.FOREIGN_KEYS[name]].select(F.col(name).alias(f"_dim_{name}"))
-            joined = joined.join(dim, F.col(name) == F.col(f"_dim_{name}"), "left")
-            broken = broken | F.col(f"_dim_{name}").isNull()
-    duplicates = duplicate_groups(df, key).scalar()
-    return joined.agg(
-        F.count("*").alias("total_records"),
-        F.count_if(any_null).alias("null_required_fields"),
-        F.count_if(broken).alias("invalid_foreign_keys"),
-    ).select(
-        F.lit(table).alias("table_name"),
-        "*",
-        duplicates.alias("duplicate_key_groups"),
-    )
+        groups = fact_groups(gold[table], table)
+        key = S.FACT_GRAINS[table]
+    else:
+        df, key = gold[table], S.DIMENSION_KEYS[table]
+        any_null = reduce(Column.__or__, [F.col(c).isNull() for c in key])
+        groups = df.groupBy(*key).agg(F.count("*").alias("_n"), F.count_if(any_null).alias("_any_null"))
+    # A key that a dimension holds twice meets every row twice.
+    times, broken = F.lit(1).cast("bigint"), F.lit(False)
+    for name in key if table in S.FACT_GRAINS else ():
+        groups = groups.join(_known(gold, name), F.col(name) == F.col(f"_dim_{name}"), "left")
+        times = times * F.coalesce(f"_times_{name}", F.lit(1).cast("bigint"))
+        broken = broken | F.col(f"_times_{name}").isNull()
+    zero = F.lit(0).cast("bigint")
+    return groups.agg(
+        _total(F.col("_n") * times).alias("total_records"),
+        _total(F.col("_any_null") * times).alias("null_required_fields"),
+        _total(F.when(broken, F.col("_n") * times).otherwise(zero)).alias("invalid_foreign_keys"),
+        F.count_if(F.col("_n") > 1).alias("duplicate_key_groups"),
+    ).select(F.lit(table).alias("table_name"), "*")
 
 
 def persisted_model_check(gold: Gold) -> DataFrame:

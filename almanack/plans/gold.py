@@ -119,7 +119,8 @@ def validate_published(spark: SparkSession, gold_root: str) -> dict[str, dict]:
 
 
 def register_gold(spark: SparkSession, gold_root: str, prefix: str = "") -> list[str]:
-    return tables.register_tables(spark, gold_root, S.GOLD_SCHEMAS, prefix)
+    partitions = {table: partitions_of(table) for table in S.GOLD_TABLES}
+    return tables.register_tables(spark, gold_root, S.GOLD_SCHEMAS, prefix, partitions)
 
 
 def register_silver(spark: SparkSession, silver_root: str, prefix: str = "") -> list[str]:

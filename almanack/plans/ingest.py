@@ -5,34 +5,29 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from almanack import schemas as S
 from almanack.operators import cleaning, increments
-from almanack.sources import bronze, lookups, tables
+from almanack.session import hand_over
+from almanack.sources import bronze, lookups, versions
 
-STATE_SCHEMA = "dataset string, last_source_date string, step bigint"
+STATE_SCHEMA = "dataset string, last_source_date string"
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """(dataset, last_source_date) after the latest step of each dataset."""
-    try:
-        log = spark.read.schema(STATE_SCHEMA).json(f"{root}/_state")
-    except AnalysisException as error:
-        if not tables.path_missing(error):
-            raise
-        log = spark.createDataFrame([], STATE_SCHEMA)
-    return log.groupBy("dataset").agg(
-        F.max_by("last_source_date", "step").alias("last_source_date"),
-        F.max("step").alias("step"),
-    )
+    """(dataset, last_source_date) as last published."""
+    log = f"{root}/_state"
+    rows = versions.rows_of(spark, log, versions.newest(spark, log))
+    return spark.createDataFrame([(r["dataset"], r["last_source_date"]) for r in rows], STATE_SCHEMA)
 
 
 def _advance(spark: SparkSession, root: str, dataset: str, last: str) -> None:
-    step = read_state(spark, root).agg(F.max("step")).first()[0] or 0
-    row = [(dataset, last, step + 1)]
-    spark.createDataFrame(row, STATE_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_state")
+    def change(current: list[dict], _: int) -> list[dict]:
+        dates = {r["dataset"]: r["last_source_date"] for r in current} | {dataset: last}
+        return [{"dataset": d, "last_source_date": t} for d, t in dates.items()]
+
+    versions.advance(spark, f"{root}/_state", change)
 
 
 def latest_available(landing: dict[str, DataFrame]) -> DataFrame:
@@ -55,7 +50,9 @@ def _stamp() -> tuple[str, str]:
 
 
 def _load(spark: SparkSession, rows: DataFrame, bronze_root: str, dataset: str) -> str | None:
-    """Write one load; None when there is nothing to write."""
+    """Write one load; None when there is nothing to write. The slice is computed
+    once and handed over."""
+    rows = hand_over(rows, f"load-{dataset}")
     if rows.isEmpty():
         return None
     day, stamp = _stamp()

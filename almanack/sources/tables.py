@@ -1,9 +1,9 @@
-"""Immutable snapshots and the append-only pointer log that publishes them.
+"""Immutable snapshots and the numbered pointer files that publish them.
 
 A table is written to ``<root>/<table>/<run_id>`` and never changed. A commit
-appends one small file naming the location of *every* current table; readers
-follow the newest version. A commit is therefore all or nothing: until its file
-appears, everyone sees the previous version, and old versions stay usable.
+adds one small file, named by its version, with the location of *every* current
+table; readers follow the newest one. A commit is therefore all or nothing: until
+its file appears, everyone sees the previous version, and old versions stay usable.
 """
 
 from __future__ import annotations
@@ -13,13 +13,11 @@ import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-LOG_SCHEMA = (
-    "version bigint, table string, location string, run_id string, row_count bigint, "
-    "fingerprint string, manifest string"
-)
-_FIELDS = [f.split()[0] for f in LOG_SCHEMA.split(", ")]
+from almanack.sources import versions
+
+FIELDS = ("version", "table", "location", "run_id", "row_count", "fingerprint", "manifest")
 
 
 class NotPublished(LookupError):
@@ -51,49 +49,38 @@ def path_missing(error: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(error.getCondition())
 
 
-def read_log(spark: SparkSession, root: str) -> DataFrame:
-    """Every pointer ever committed below the root."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).json(f"{root}/_log")
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        return spark.createDataFrame([], LOG_SCHEMA)
-
-
 def current_version(spark: SparkSession, root: str) -> int:
-    return read_log(spark, root).agg(F.max("version")).first()[0] or 0
+    return versions.newest(spark, f"{root}/_log")
 
 
 def current_tables(spark: SparkSession, root: str, version: int | None = None) -> dict[str, dict]:
     """table -> pointer of the newest (or the given) version: one row per table."""
-    log = read_log(spark, root)
     version = current_version(spark, root) if version is None else version
-    return {row["table"]: row.asDict() for row in log.where(F.col("version") == version).collect()}
+    return {row["table"]: row for row in versions.rows_of(spark, f"{root}/_log", version)}
+
+
+def _pointer(values: dict, version: int) -> dict:
+    return {field: values.get(field) for field in FIELDS} | {"version": version}
 
 
 def commit(spark: SparkSession, root: str, pointers: Iterable[dict]) -> int:
-    """Append a version in which the given tables are switched and all others
-    stay. One file, so it becomes visible as a whole."""
-    version = current_version(spark, root)
-    merged = current_tables(spark, root, version) | {p["table"]: p for p in pointers}
-    rows = [
-        tuple((p | {"version": version + 1}).get(field) for field in _FIELDS)
-        for p in merged.values()
-    ]
-    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_log")
-    return version + 1
+    """Publish a version in which the given tables are switched and all others stay,
+    also those that another writer has switched meanwhile."""
+    switched = {p["table"]: p for p in pointers}
+
+    def change(current: list[dict], version: int) -> list[dict]:
+        merged = {p["table"]: p for p in current} | switched
+        return [_pointer(p, version) for p in merged.values()]
+
+    return versions.advance(spark, f"{root}/_log", change)
 
 
 def restore_version(spark: SparkSession, root: str, version: int) -> int:
     """Publish an earlier state again. Tables it did not have disappear."""
     rows = list(current_tables(spark, root, version).values())
-    newest = current_version(spark, root)
     if not rows:
         raise NotPublished(f"version {version} of {root} does not exist")
-    values = [tuple((p | {"version": newest + 1}).get(f) for f in _FIELDS) for p in rows]
-    spark.createDataFrame(values, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_log")
-    return newest + 1
+    return versions.advance(spark, f"{root}/_log", lambda _, new: [_pointer(p, new) for p in rows])
 
 
 def read_snapshot(
@@ -124,9 +111,15 @@ def read_published(
 
 
 def register_tables(
-    spark: SparkSession, root: str, schemas: dict[str, T.StructType], prefix: str = ""
+    spark: SparkSession,
+    root: str,
+    schemas: dict[str, T.StructType],
+    prefix: str = "",
+    partitions: dict[str, Sequence[str]] | None = None,
 ) -> list[str]:
-    """Make published tables queryable by name with their declared columns.
+    """Make published tables queryable by name, as external tables of the catalog with
+    their declared columns and partitions; with a lasting catalog also for later
+    sessions.
 
     Repeating the call moves the names to the current snapshots. A table that
     was not published, or whose pointer leaves the snapshot area, is an error.
@@ -139,9 +132,17 @@ def register_tables(
             raise NotPublished(f"{table} must be published before it is registered")
         if f"{root}/{table}/" not in pointer["location"]:
             raise ValueError(f"{table} does not point to a snapshot: {pointer['location']}")
-        df = spark.read.schema(schema).parquet(pointer["location"])
-        df.select(*schema.fieldNames()).createOrReplaceTempView(prefix + table)
-        names.append(prefix + table)
+        name, by = prefix + table, list((partitions or {}).get(table, ()))
+        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in by]
+        columns += [f"`{c}` int" for c in by]
+        clause = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")  # the files stay: the table is external
+        spark.sql(
+            f"CREATE TABLE `{name}` ({', '.join(columns)}) USING parquet {clause} LOCATION '{pointer['location']}'"
+        )
+        if by:
+            spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
+        names.append(name)
     return names
 
 

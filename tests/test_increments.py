@@ -170,3 +170,17 @@ def test_slice(spark):
     )
     scope = spark.createDataFrame([("DEU",), ("DEU",)], "entity_code string")
     assert [r["generation_twh"] for r in I.increment_slice(df, scope, "2026-07-01").collect()] == [2.0]
+
+
+def test_history_is_neither_sorted_nor_shuffled(spark, tmp_path):
+    """With a small increment the snapshot is filtered by a broadcast of its keys."""
+    old = silver(spark, *[("DEU", f"20{y:02}-01-01", "Coal", float(y)) for y in range(20)])
+    old.write.parquet(str(tmp_path / "old"))
+    snapshot = spark.read.parquet(str(tmp_path / "old"))
+    silver(spark, ("DEU", "2019-01-01", "Coal", 99.0)).write.parquet(str(tmp_path / "new"))
+    latest = spark.read.parquet(str(tmp_path / "new"))
+    merged = I.replace_keys(snapshot, latest, ["entity_code", "date", "series"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Sort " not in plan
+    assert "Exchange hashpartitioning" not in plan[: plan.index("BroadcastExchange")]
+    assert merged.count() == 20 and merged.where("generation_twh = 99").count() == 1
