@@ -3,9 +3,11 @@
 Spark's ``percentile`` keeps every distinct value of a group in one
 aggregation buffer. Here values are first collapsed to (group, value, count).
 As long as a group's range holds more distinct values than may be ordered side
-by side, it is cut into equal-width cells and only the cells that hold a wanted
-rank are looked into further. All steps are order-independent, and each is
-handed over as a written table, so tasks run again see the same cells.
+by side, it is cut at approximate quantiles of these values and only the cells
+that hold a wanted rank are looked into further. The cuts are values of the group,
+so every round shrinks its cells, whatever their spread and with infinite values
+too; only where cuts lie is approximate. Each step is handed over as a written
+table, so tasks run again see the same cells.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from almanack.session import hand_over
 
-CELLS = 4096
+CELLS = 64
 ROWS_AT_ONCE = 200_000
 
 
@@ -84,12 +86,8 @@ def exact_quantiles(
         )
     )
     targets = hand_over(targets, "quantile-targets")
-    largest = _largest(targets)
-    while largest > rows_at_once:
+    while _largest(targets) > max(rows_at_once, 2 * cells):
         targets = hand_over(_open_cells(counts, targets, keys, cells), "quantile-targets")
-        before, largest = largest, _largest(targets)
-        if largest >= before:  # infinite bounds cannot be cut
-            break
     found = _pick_rank(counts, targets, keys)
 
     picked = found.groupBy(*keys, "_name").agg(
@@ -110,15 +108,6 @@ def _largest(targets: DataFrame) -> int:
     return targets.agg(F.max("_size")).first()[0] or 0
 
 
-def _cell(value: Column, low: Column, high: Column, cells: int) -> Column:
-    """Equal-width cell number; weakly increasing in ``value``. The width is
-    taken of halves so that a huge range cannot overflow to infinity."""
-    share = (value / 2 - low / 2) / (high / 2 - low / 2)
-    return F.when(high > low, F.least(F.floor(share * cells), F.lit(cells - 1))).otherwise(
-        F.lit(0).cast("bigint")
-    )
-
-
 def _join_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
     """Rename the right-hand keys and compare null-safely."""
     for key in keys:
@@ -146,9 +135,15 @@ def _open_cells(
 ) -> DataFrame:
     """Replace each target's interval by the cell in it that holds the rank."""
     by = [*keys, "_lo", "_hi"]
-    cell = _cell(F.col("_v"), F.col("_lo"), F.col("_hi"), cells)
+    members = _members(counts, targets, keys)
+    shares = F.array(*[F.lit((i + 1) / cells) for i in range(cells - 1)])
+    cuts = members.groupBy(*by).agg(F.percentile_approx("_v", shares, F.lit(100 * cells)).alias("_cuts"))
+    right, same = _join_keys(members, hand_over(cuts, "quantile-cuts"), by)
+    # The first cell begins at the interval's start, each further one at a cut.
+    cell = F.size(F.filter("_cuts", lambda cut: cut <= F.col("_v"))).cast("bigint")
     histogram = (
-        _members(counts, targets, keys)
+        members.join(right, same)
+        .select(*members.columns, "_cuts")
         .groupBy(*by, cell.alias("_cell"))
         .agg(
             F.sum("_n").alias("_c"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from almanack import schemas as S
 from almanack.functions.expressions import is_missing, rounded
 from almanack.functions.quantiles import exact_quantiles
+from almanack.session import hand_over
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -43,6 +44,7 @@ def column_profile(df: DataFrame, dataset: str, order: Sequence[str]) -> DataFra
         .groupBy(F.col("cell.column").alias("column"), F.col("cell.v").alias("v"))
         .agg(F.count("*").alias("n"), F.min("at").alias("at"))
     )
+    values = hand_over(values, f"profile-{dataset}")  # read twice below
     rank = F.row_number().over(Window.partitionBy("column").orderBy("at", "v"))
     samples = (
         values.where(F.col("v").isNotNull())

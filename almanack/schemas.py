@@ -55,63 +55,142 @@ FOREIGN_KEYS = {
 
 GOLD_TABLES = tuple(DIMENSION_KEYS) + tuple(FACT_GRAINS)
 
-_TYPES = {
-    "s": T.StringType(),
-    "b": T.BooleanType(),
-    "l": T.LongType(),
-    "d": T.DoubleType(),
-    "t": T.TimestampNTZType(),
-}
-
-
-def _struct(spec: str) -> T.StructType:
-    """``"name:type name:type"`` with one-letter types, as used below."""
-    fields = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
-
+STRING = T.StringType()
+BOOLEAN = T.BooleanType()
+LONG = T.LongType()
+DOUBLE = T.DoubleType()
+TIMESTAMP = T.TimestampNTZType()
 
 SILVER_SCHEMAS = {
-    "generation": _struct(
-        "entity:s entity_code:s is_aggregate_entity:b date:t series:s is_aggregate_series:b "
-        "generation_twh:d share_of_generation_pct:d"
+    "generation": T.StructType(
+        [
+            T.StructField("entity", STRING),
+            T.StructField("entity_code", STRING),
+            T.StructField("is_aggregate_entity", BOOLEAN),
+            T.StructField("date", TIMESTAMP),
+            T.StructField("series", STRING),
+            T.StructField("is_aggregate_series", BOOLEAN),
+            T.StructField("generation_twh", DOUBLE),
+            T.StructField("share_of_generation_pct", DOUBLE),
+        ]
     ),
-    "demand": _struct("entity:s entity_code:s date:t demand_twh:d"),
-    "emissions": _struct(
-        "entity:s entity_code:s is_aggregate_entity:b date:t series:s is_aggregate_series:b "
-        "emissions_mtco2:d share_of_emissions_pct:d"
+    "demand": T.StructType(
+        [
+            T.StructField("entity", STRING),
+            T.StructField("entity_code", STRING),
+            T.StructField("date", TIMESTAMP),
+            T.StructField("demand_twh", DOUBLE),
+        ]
     ),
-    "carbon_intensity": _struct(
-        "entity:s entity_code:s date:t emissions_intensity_gco2_per_kwh:d"
+    "emissions": T.StructType(
+        [
+            T.StructField("entity", STRING),
+            T.StructField("entity_code", STRING),
+            T.StructField("is_aggregate_entity", BOOLEAN),
+            T.StructField("date", TIMESTAMP),
+            T.StructField("series", STRING),
+            T.StructField("is_aggregate_series", BOOLEAN),
+            T.StructField("emissions_mtco2", DOUBLE),
+            T.StructField("share_of_emissions_pct", DOUBLE),
+        ]
     ),
-    "capacity": _struct(
-        "entity:s entity_code:s is_aggregate_entity:b date:t series:s is_aggregate_series:b "
-        "capacity_gw:d capacity_w_per_capita:d"
+    "carbon_intensity": T.StructType(
+        [
+            T.StructField("entity", STRING),
+            T.StructField("entity_code", STRING),
+            T.StructField("date", TIMESTAMP),
+            T.StructField("emissions_intensity_gco2_per_kwh", DOUBLE),
+        ]
+    ),
+    "capacity": T.StructType(
+        [
+            T.StructField("entity", STRING),
+            T.StructField("entity_code", STRING),
+            T.StructField("is_aggregate_entity", BOOLEAN),
+            T.StructField("date", TIMESTAMP),
+            T.StructField("series", STRING),
+            T.StructField("is_aggregate_series", BOOLEAN),
+            T.StructField("capacity_gw", DOUBLE),
+            T.StructField("capacity_w_per_capita", DOUBLE),
+        ]
     ),
 }
 
 GOLD_SCHEMAS = {
-    "dim_date": _struct(
-        "date:t year:l quarter:l month_number:l month_name:s year_month:s is_complete_year:b"
+    "dim_date": T.StructType(
+        [
+            T.StructField("date", TIMESTAMP),
+            T.StructField("year", LONG),
+            T.StructField("quarter", LONG),
+            T.StructField("month_number", LONG),
+            T.StructField("month_name", STRING),
+            T.StructField("year_month", STRING),
+            T.StructField("is_complete_year", BOOLEAN),
+        ]
+    ),
+    "dim_country": T.StructType(
+        [
+            T.StructField("entity_code", STRING),
+            T.StructField("country_name", STRING),
+            T.StructField("eu_member_flag", BOOLEAN),
+        ]
+    ),
+    "dim_energy_series": T.StructType(
+        [
+            T.StructField("series_key", LONG),
+            T.StructField("series_name", STRING),
+            T.StructField("technology_group", STRING),
+            T.StructField("energy_category", STRING),
+            T.StructField("is_aggregate_series", BOOLEAN),
+        ]
     ),
-    "dim_country": _struct("entity_code:s country_name:s eu_member_flag:b"),
-    "dim_energy_series": _struct(
-        "series_key:l series_name:s technology_group:s energy_category:s is_aggregate_series:b"
+    "dim_capacity_series": T.StructType(
+        [
+            T.StructField("capacity_series_key", LONG),
+            T.StructField("series_name", STRING),
+            T.StructField("is_aggregate_series", BOOLEAN),
+        ]
     ),
-    "dim_capacity_series": _struct(
-        "capacity_series_key:l series_name:s is_aggregate_series:b"
+    "fact_generation": T.StructType(
+        [
+            T.StructField("date", TIMESTAMP),
+            T.StructField("entity_code", STRING),
+            T.StructField("series_key", LONG),
+            T.StructField("generation_twh", DOUBLE),
+            T.StructField("share_of_generation_pct", DOUBLE),
+        ]
     ),
-    "fact_generation": _struct(
-        "date:t entity_code:s series_key:l generation_twh:d share_of_generation_pct:d"
+    "fact_emissions": T.StructType(
+        [
+            T.StructField("date", TIMESTAMP),
+            T.StructField("entity_code", STRING),
+            T.StructField("series_key", LONG),
+            T.StructField("emissions_mtco2", DOUBLE),
+            T.StructField("share_of_emissions_pct", DOUBLE),
+        ]
     ),
-    "fact_emissions": _struct(
-        "date:t entity_code:s series_key:l emissions_mtco2:d share_of_emissions_pct:d"
+    "fact_demand": T.StructType(
+        [
+            T.StructField("date", TIMESTAMP),
+            T.StructField("entity_code", STRING),
+            T.StructField("demand_twh", DOUBLE),
+        ]
     ),
-    "fact_demand": _struct("date:t entity_code:s demand_twh:d"),
-    "fact_carbon_intensity": _struct(
-        "date:t entity_code:s emissions_intensity_gco2_per_kwh:d"
+    "fact_carbon_intensity": T.StructType(
+        [
+            T.StructField("date", TIMESTAMP),
+            T.StructField("entity_code", STRING),
+            T.StructField("emissions_intensity_gco2_per_kwh", DOUBLE),
+        ]
     ),
-    "fact_capacity": _struct(
-        "date:t entity_code:s capacity_series_key:l capacity_gw:d capacity_w_per_capita:d"
+    "fact_capacity": T.StructType(
+        [
+            T.StructField("date", TIMESTAMP),
+            T.StructField("entity_code", STRING),
+            T.StructField("capacity_series_key", LONG),
+            T.StructField("capacity_gw", DOUBLE),
+            T.StructField("capacity_w_per_capita", DOUBLE),
+        ]
     ),
 }
 
@@ -123,17 +202,24 @@ NET_IMPORTS = "Net imports"
 TOTAL_GENERATION = "Total generation"
 UNCLASSIFIED = "Unclassified"
 
-PROJECT_COUNTRIES = (
-    "AUT BEL BGR BIH BLR CHE CYP CZE DEU DNK ESP EST FIN FRA GBR GRC HRV HUN IRL ISL ITA "
-    "LTU LUX LVA MDA MKD MLT MNE NLD NOR POL PRT ROU RUS SRB SVK SVN SWE TUR UKR XKX"
-).split()
+PROJECT_COUNTRIES = [
+    "AUT", "BEL", "BGR", "BIH", "BLR", "CHE", "CYP", "CZE", "DEU", "DNK",
+    "ESP", "EST", "FIN", "FRA", "GBR", "GRC", "HRV", "HUN", "IRL", "ISL",
+    "ITA", "LTU", "LUX", "LVA", "MDA", "MKD", "MLT", "MNE", "NLD", "NOR",
+    "POL", "PRT", "ROU", "RUS", "SRB", "SVK", "SVN", "SWE", "TUR", "UKR",
+    "XKX",
+]
 
-CAPACITY_COUNTRIES = "BEL DEU DNK ESP FIN FRA GBR HUN ITA NLD POL PRT TUR".split()
+CAPACITY_COUNTRIES = [
+    "BEL", "DEU", "DNK", "ESP", "FIN", "FRA", "GBR", "HUN", "ITA", "NLD",
+    "POL", "PRT", "TUR",
+]
 
 # The membership flag covers these 17 codes only; other members are not listed.
-EU_MEMBER_CODES = (
-    "AUT BEL CZE DEU DNK ESP FIN FRA GRC HUN IRL ITA NLD POL PRT ROU SWE"
-).split()
+EU_MEMBER_CODES = [
+    "AUT", "BEL", "CZE", "DEU", "DNK", "ESP", "FIN", "FRA", "GRC", "HUN",
+    "IRL", "ITA", "NLD", "POL", "PRT", "ROU", "SWE",
+]
 
 # (series, technology group, energy category)
 SERIES_CLASSIFICATION = (
