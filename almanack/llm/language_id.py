@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_sample, fold
+from almanack.llm.tables import bounded_batches, bounded_sample, fold
 
 N = 4
 MIN_SHARE = 2e-5
@@ -143,6 +143,7 @@ def fit(
     docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", fit_rows: int = FIT_ROWS
 ) -> Filters:
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    bounded_batches(docs.sparkSession)
     rows = bounded_sample(rows, F.col("_id"), fit_rows).where(fold(F.col("_id")) != 2)
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     counts = rows.mapInArrow(_counted, "lang string, gram bigint, n bigint")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanack.llm import text as X
-from almanack.llm.tables import buckets, numbered
+from almanack.llm.tables import bounded_batches, buckets, numbered
 from almanack.session import hand_over
 
 CAPACITY = 2048
@@ -161,6 +161,7 @@ def packed(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     whole = docs.select(F.col(doc_id).alias("doc_id"), token_pieces(F.col(text), tokenizer, capacity, end_id).alias("p"))
     start = F.col("k").cast("long") * capacity
     cut = whole.select("doc_id", F.col("p.doc_tokens").alias("doc_tokens"), F.posexplode("p.crcs").alias("k", "ids_crc32"))
@@ -177,7 +178,7 @@ def packed(
     count = sum(histogram.values())
     order = [F.col(c) for c in ("doc_id", "start", "ids_crc32", "doc_tokens")]
     bucket = F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets(count)))
-    ranked = numbered(pieces, ["length"], order, bucket, "_rank", count)
+    ranked = numbered(pieces, ["length"], order, bucket, "_rank")
     runs = spark.createDataFrame(
         plan.rows, "_length bigint, _first bigint, _last bigint, _window bigint, _each bigint, _offset bigint"
     )

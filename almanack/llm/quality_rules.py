@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from almanack.llm import features as C
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_sample, fold, with_column
+from almanack.llm.tables import bounded_batches, bounded_sample, fold, with_column
 
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
@@ -145,6 +145,7 @@ def fit(
 ) -> Field:
     """Trains on about `fit_rows` documents, those with a label and outside fold 2."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    bounded_batches(docs.sparkSession)
     rows = bounded_sample(rows, F.col("_id"), fit_rows).where(fold(F.col("_id")) != 2)
     known = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_label_id"))
     known = known.agg(F.min("quality").alias("quality"))

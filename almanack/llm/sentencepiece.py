@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanack.llm import text as X
+from almanack.llm.tables import bounded_batches
 
 SPACE = "▁"
 #: Longer segments go through the streaming encoder.
@@ -287,7 +288,7 @@ def _in_step(pieces: Pieces, segments: list[str]) -> list[list[int]]:
 @lru_cache(maxsize=2)
 def _loaded(path: str) -> tuple[Pieces, X.Remembered]:
     pieces = Pieces(path)
-    return pieces, X.Remembered(lambda parts: segment_ids(pieces, [p.replace(" ", SPACE) for p in parts]), 300_000)
+    return pieces, X.Remembered(lambda parts: segment_ids(pieces, [p.replace(" ", SPACE) for p in parts]))
 
 
 def _slice_ids(path: str, texts: X.Texts) -> tuple[np.ndarray, np.ndarray, X.Texts]:
@@ -376,5 +377,6 @@ def digest(text: Column, model: str) -> Column:
 
 def digests(docs: DataFrame, model: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_ids, n_bytes, ids_crc32, round_trip of each document."""
+    bounded_batches(docs.sparkSession)
     found = docs.select(F.col(doc_id).alias("doc_id"), digest(F.col(text), model).alias("d"))
     return found.select("doc_id", "d.*")

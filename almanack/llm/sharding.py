@@ -101,10 +101,10 @@ def sharded(
     before = F.sum("n").over(Window.partitionBy("group").orderBy("shard")) - F.col("n")
     places = held.select(F.col("group").alias("_group"), F.col("shard"), "n", before.alias("_from"))
     linked = rows.select("row", "group").join(held.select("group").distinct(), "group", "left_semi")
-    linked = numbered(linked, ["group"], [F.col("row")], hashed, "nth", count)
+    linked = numbered(linked, ["group"], [F.col("row")], hashed, "nth")
     within = (F.col("nth") >= F.col("_from")) & (F.col("nth") < F.col("_from") + F.col("n"))
     state = linked.join(places, (linked["group"] == places["_group"]) & within).select("row", "shard")
-    placed = numbered(state, ["shard"], [F.col("row")], hashed, "slot", count)
+    placed = numbered(state, ["shard"], [F.col("row")], hashed, "slot")
     placed = hand_over(placed, "shards-ranked")
     stays = placed.where(F.col("slot") < F.get(_literal(quota, "bigint"), F.col("shard")))
     have = {r["shard"]: r["count"] for r in stays.groupBy("shard").count().collect()}
@@ -112,7 +112,7 @@ def sharded(
 
     # The rest fills what is open, shard after shard.
     rest = rows.select("row").join(stays.select("row"), "row", "left_anti").withColumn("all", F.lit(0))
-    rest = numbered(rest, ["all"], [F.col("row")], hashed, "rank", count)
+    rest = numbered(rest, ["all"], [F.col("row")], hashed, "rank")
     starts = [0]
     for q, t in zip(quota, taken):
         starts.append(starts[-1] + q - t)

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,6 +22,21 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
+#: Setting, Spark's default, and what the operators ask for instead.
+_BATCHES = (
+    ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4194304b"),
+    ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"),
+)
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sends texts to Python in batches of some megabytes, so that a worker's memory is
+    small beside its executor's. What a session has set itself stays."""
+    for key, default, value in _BATCHES:
+        if spark.conf.get(key, None) == default:
+            spark.conf.set(key, value)
+
+
 def with_column(df: DataFrame, value: Column) -> tuple[DataFrame, str]:
     """Adds a column under a name that no other column has."""
     name = f"_{uuid.uuid4().hex[:12]}"
@@ -42,7 +56,7 @@ RANK_ROWS = 5_000
 
 
 def numbered(
-    df: DataFrame, by: list[str], order: list[Column], bucket: Column, name: str, count: int, aside: tuple[str, ...] = ()
+    df: DataFrame, by: list[str], order: list[Column], bucket: Column, name: str
 ) -> DataFrame:
     """Numbers each key's rows without gaps from 0, no key in one task.
 
@@ -50,7 +64,6 @@ def numbered(
     (or a hash, where any order will do); the rows of one key and bucket are numbered
     by `order` in one window, and begin where the key's earlier buckets end.
     """
-    spark = df.sparkSession
     df = df.withColumn("_bucket", bucket.cast("long"))
     keys = [*by, "_bucket"]
     spec = ", ".join(f"`{k}`" for k in by)
@@ -59,9 +72,8 @@ def numbered(
         f"sum(_size) over (partition by {spec} order by _bucket rows between unbounded preceding and current row) - _size"
     )
     starts = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], before.alias("_before"))
-    from pyspark.sql import Window
-
-    window = Window.partitionBy(*keys).orderBy(*order)
+    # One column for key and bucket: a frame that lies by key alone is dealt out anew.
+    window = Window.partitionBy(F.struct(*keys)).orderBy(*order)
     own = df.withColumn("_own", F.row_number().over(window).cast("long") - 1)
     match = [own[k].eqNullSafe(starts[f"_k{i}"]) for i, k in enumerate(keys)]
     condition = match[0]
@@ -74,5 +86,3 @@ def numbered(
 def buckets(count: int) -> int:
     return max(1, -(-count // RANK_ROWS))
 
-
-LONG, INT, DOUBLE, STRING, BOOL = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.BooleanType()

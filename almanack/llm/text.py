@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1_000_000
 _BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -131,36 +132,43 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Remembered:
     """Ids of byte ranges (words, say), each distinct one encoded once.
 
-    Holds at most `entries` ranges or `ids` ids, then begins anew.
+    Holds at most `entries` ranges or `most` ids (some 40 bytes for a word), then
+    begins anew.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[Sequence[int]]], entries: int = 400_000, ids: int = 8_000_000):
-        self.encode, self.entries, self.most = encode, entries, ids
+    def __init__(
+        self, encode: Callable[[list[str]], list[Sequence[int]]], entries: int = 2_000_000, most: int = 16_000_000
+    ):
+        self.encode, self.entries, self.most = encode, entries, most
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted by hash
         self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def of(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the ranges, and how many each range has."""
         hashes = texts.hashes(texts.sums(), starts, ends)
         distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.place) + len(distinct) > self.entries or len(self.ids) > self.most:
+        if len(self.hashes) + len(distinct) > self.entries or len(self.ids) > self.most:
             self._forget()
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.place]
-        if new:
+        near = np.searchsorted(self.hashes, distinct)
+        known = near < len(self.hashes)
+        known[known] = self.hashes[near[known]] == distinct[known]
+        new = np.flatnonzero(~known)
+        if len(new):
             data = texts.data.tobytes()
             found = self.encode([data[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             begin = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            for j, i in enumerate(new):
-                self.place[keys[i]] = len(self.starts) + j
-            flat = np.fromiter((x for ids in found for x in ids), np.uint32, int(sizes.sum()))
+            places = len(self.starts) + np.arange(len(new), dtype=np.int32)
+            self.hashes = np.insert(self.hashes, near[new], distinct[new])
+            self.places = np.insert(self.places, near[new], places)
+            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
             self.ids = np.concatenate((self.ids, flat))
             self.starts = np.concatenate((self.starts, begin))
             self.lengths = np.concatenate((self.lengths, sizes))
-        place = np.fromiter((self.place[k] for k in keys), np.int64, len(keys))[inverse]
+            near = np.searchsorted(self.hashes, distinct)
+        place = self.places[near][inverse]
         lengths = self.lengths[place]
         return self.ids[ranges(self.starts[place], lengths)], lengths
