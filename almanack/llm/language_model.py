@@ -13,7 +13,7 @@ its own counts are taken off, so that it does not vouch for itself.
 
 A frequent n-gram is one entry per chunk, and buckets are dealt by the n-gram's hash;
 so buckets are even, however skewed the words are. The number of buckets follows the
-corpus. N-grams are identified by 64-bit hashes.
+corpus. N-grams are identified by 64-bit hashes, which travel as compressed differences.
 
 Defined cases: null and empty texts have no words and a null score; in a corpus of one
 document nothing is known and all words have the score of an unseen one, 0.4 / max(N, 1)
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanack.llm import text as X
+from almanack.llm.tables import bounded_batches
 from almanack.session import hand_over
 
 ORDER = 2
@@ -44,21 +45,36 @@ _CHUNK = "chunk bigint, ids array<bigint>, lengths array<int>, words bigint, voc
 _PLACE = X.mix(np.arange(201, 233, dtype=np.uint64)) | np.uint64(1)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: first all lowest bytes, then all second ones, ..."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, kind: str) -> np.ndarray:
+    n, width = int.from_bytes(packed[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(packed[8:], n * width, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(width, n).T.copy().view(kind).ravel()
+
+
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, number = TaskContext.get().partitionId(), 0
     ids, lengths, hashes, size = [], [], [], 0
 
     def row() -> pa.RecordBatch:
         whole = np.concatenate(hashes)
-        vocabulary, sequence = np.unique(whole, return_inverse=True)
+        vocabulary, sequence, counts = np.unique(whole, return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")  # small numbers for frequent words
+        rank = np.empty(len(order), "<u4")
+        rank[order] = np.arange(len(order))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([(part << 32) + number], pa.int64()),
                 pa.array([ids], pa.list_(pa.int64())),
                 pa.array([np.concatenate(lengths).astype(np.int32)], pa.list_(pa.int32())),
                 pa.array([len(whole)], pa.int64()),
-                pa.array([vocabulary.tobytes()], pa.binary()),
-                pa.array([sequence.astype("<u4").tobytes()], pa.binary()),
+                pa.array([_pack(vocabulary[order])], pa.binary()),
+                pa.array([_pack(rank[sequence])], pa.binary()),
             ],
             [x.split()[0] for x in _CHUNK.split(", ")],
         )
@@ -83,7 +99,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _grams(row: dict, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each order 1 .. n: the n-gram hash that ends at each word, and whether the
     document has that many words up to there."""
-    words = np.frombuffer(row["vocabulary"], np.uint64)[np.frombuffer(row["sequence"], "<u4")]
+    words = _unpack(row["vocabulary"], "<u8")[_unpack(row["sequence"], "<u4")]
     lengths = np.array(row["lengths"], np.int64)
     place = X.ranges(np.zeros(len(lengths), np.int64), lengths)  # of the word in its document
     out = []
@@ -112,12 +128,12 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _answer(table: pa.Table) -> pa.Table:
     """Adds up the counts of a bucket and gives each request the totals of its n-grams."""
-    hashes = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["hashes"]]
-    counts = [np.frombuffer(x.as_buffer(), "<u4") for x in table["counts"]]
+    hashes = [np.cumsum(_unpack(x.as_py(), "<u8"), dtype=np.uint64) for x in table["hashes"]]
+    counts = [_unpack(x.as_py(), "<u4") for x in table["counts"]]
     _, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
     total = np.bincount(inverse, np.concatenate(counts)).astype("<u8")
     ends = np.cumsum([len(h) for h in hashes]).tolist()
-    found = [total[inverse[b - len(h) : b]].tobytes() for h, b in zip(hashes, ends)]
+    found = [_pack(total[inverse[b - len(h) : b]]) for h, b in zip(hashes, ends)]
     return pa.table(
         {"chunk": table["chunk"], "size": table["size"], "bucket": table["bucket"], "totals": pa.array(found, pa.binary())}
     )
@@ -128,6 +144,7 @@ def scored(
 ) -> DataFrame:
     """doc_id, n_words, n_backoff (words whose longest n-gram no other document has)
     and score (mean natural logarithm per word)."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     chunks = hand_over(rows.mapInArrow(_chunk_rows, _CHUNK), "lm-chunks")
     words = chunks.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
@@ -144,8 +161,8 @@ def scored(
                             pa.array([row["chunk"]] * len(part), pa.int64()),
                             pa.array([k for k, _, _, _ in part], pa.int32()),
                             pa.array([b for _, b, _, _ in part], pa.int64()),
-                            pa.array([h.tobytes() for _, _, h, _ in part], pa.binary()),
-                            pa.array([c.astype("<u4").tobytes() for _, _, _, c in part], pa.binary()),
+                            pa.array([_pack(np.diff(h, prepend=np.uint64(0))) for _, _, h, _ in part], pa.binary()),
+                            pa.array([_pack(c.astype("<u4")) for _, _, _, c in part], pa.binary()),
                         ],
                         ["chunk", "size", "bucket", "hashes", "counts"],
                     )
@@ -154,7 +171,7 @@ def scored(
         out = {"doc_id": [], "n_words": [], "n_backoff": [], "score": []}
         replies = {}
         for k, b, t in zip(*(answers[c].to_pylist() for c in ("size", "bucket", "totals"))):
-            replies[k, b] = np.frombuffer(t, "<u8")
+            replies[k, b] = _unpack(t, "<u8")
         for row in sequences.to_pylist():
             lengths = np.array(row["lengths"], np.int64)
             doc = np.repeat(np.arange(len(lengths)), lengths)
