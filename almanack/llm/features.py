@@ -51,6 +51,8 @@ class Counted:
         self.words = texts.hashes(sums, self.starts, self.ends)
         self.word_doc = np.repeat(np.arange(texts.n), self.n_words)
         self.repeated = self._repeated()
+        self.again = np.zeros(len(self.words), bool)  # equal to the word before
+        self.again[1:] = (self.words[1:] == self.words[:-1]) & (self.word_doc[1:] == self.word_doc[:-1])
         self._lines(sums)
 
     def within(self, member: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -103,7 +105,7 @@ class Counted:
         self.n_dup_lines = np.bincount(self.line_doc[self.line_repeats], minlength=self.texts.n)
 
 
-LINE_FEATURES = 14
+LINE_FEATURES = 15
 
 
 def line_sizes(c: Counted) -> np.ndarray:
@@ -136,11 +138,13 @@ def line_features(c: Counted) -> np.ndarray:
     out[:, 10] = (hot[c.line_words[1]] - hot[c.line_words[0]]) / words
     out[:, 11] = letters / size
     out[:, 12] = CLASS["stop"][c.texts.data[c.ends[c.line_words[1] - 1] - 1]]
-    out[:, 13] = 1
+    again = np.concatenate(([0], np.cumsum(c.again)))
+    out[:, 13] = (again[c.line_words[1]] - again[c.line_words[0]]) / words
+    out[:, 14] = 1
     return out
 
 
-TEXT_FEATURES = 22
+TEXT_FEATURES = 23
 
 
 def text_features(c: Counted) -> np.ndarray:
@@ -177,6 +181,7 @@ def text_features(c: Counted) -> np.ndarray:
     out[:, 18] = np.log1p(c.n_words / np.maximum(c.n_lines, 1)) / 5
     out[:, 19] = c.per_text_words((length == 1) & ~CLASS["lower"][last] & ~CLASS["upper"][last]) / words
     out[:, 20] = c.n_words < 5
-    out[:, 21] = 1
-    out[c.n_words == 0, :21] = 0
+    out[:, 21] = c.per_text_words(c.again) / words
+    out[:, 22] = 1
+    out[c.n_words == 0, :22] = 0
     return out

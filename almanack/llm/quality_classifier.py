@@ -7,7 +7,7 @@ Positive-unlabelled learning: with prior p of positives, the risk
 needs no negatives; its second part estimates the loss on negatives and is kept from
 falling below zero, where the model would only fit noise (then the step goes the other
 way). The model is linear in counts over the whole text (`features.text_features`),
-the loss logistic. The prior is estimated on rows kept apart: the smallest ratio, over
+the loss logistic. The prior is estimated by cross-fitting: the smallest ratio, over
 all thresholds, of unlabelled to positive rows above it, with a margin for chance.
 
 Fitting takes a bounded sample: about `fit_rows` documents picked by the hash of their
@@ -31,11 +31,12 @@ from pyspark.sql import types as T
 
 from almanack.llm import features as C
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_sample, fold, with_column
+from almanack.llm.tables import bounded_batches, bounded_sample, fold, with_column
 
 FIT_ROWS = 20_000
 THRESHOLD = 0.7
 STEPS, RATE, DECAY = 800, 0.5, 1e-4
+PARTS = 3
 START_PRIOR = 0.7
 
 
@@ -91,7 +92,7 @@ class Model:
 
 
 def fit_arrays(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
-    """The model and the prior; a third of the rows is kept apart for the prior."""
+    """The model and the prior, which rests on scores by models that did not see the row."""
     width = C.TEXT_FEATURES
     if not len(positive) or not len(unlabelled):
         weights = np.zeros(width)
@@ -101,11 +102,14 @@ def fit_arrays(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-3
     mean[-1], scale[-1] = 0, 1
     p, u = (positive - mean) / scale, (unlabelled - mean) / scale
-    apart_p, apart_u = np.arange(len(p)) % 3 == 0, np.arange(len(u)) % 3 == 0
     prior = START_PRIOR
     for _ in range(2):
-        w = nn_pu(p[~apart_p], u[~apart_u], prior) if (~apart_p).any() and (~apart_u).any() else np.zeros(width)
-        prior = estimated_prior(p[apart_p] @ w, u[apart_u] @ w)
+        of_p, of_u = np.zeros(len(p)), np.zeros(len(u))
+        for part in range(PARTS):
+            in_p, in_u = np.arange(len(p)) % PARTS == part, np.arange(len(u)) % PARTS == part
+            w = nn_pu(p[~in_p], u[~in_u], prior) if (~in_p).any() and (~in_u).any() else np.zeros(width)
+            of_p[in_p], of_u[in_u] = p[in_p] @ w, u[in_u] @ w
+        prior = estimated_prior(of_p, of_u)
     return Model(mean, scale, nn_pu(p, u, prior), prior)
 
 
@@ -114,6 +118,7 @@ def fit(
 ) -> Model:
     """Learns from documents outside fold 2 and labels (doc_id, quality)."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    bounded_batches(docs.sparkSession)
     rows = bounded_sample(rows, F.col("_id"), fit_rows).where((fold(F.col("_id")) != 2) & F.col("_id").isNotNull())
     known = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_label_id"))
     known = known.agg(F.min("quality").alias("_low"), F.max("quality").alias("_high"))
