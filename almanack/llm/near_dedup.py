@@ -11,10 +11,12 @@ rest is decided on the full sets.
 
 Equal sets are one node from the beginning, whatever their number. Inside a band's
 bucket all nodes are compared with one of them, the hub, and not with each other:
-what is linked to the hub is in one component anyway. Only buckets that still hold
-several components are then searched for pairs across these components. No pair within
-a bucket goes untested unless both are known to be connected, so components are those
-of all links that the bands find. At a similarity of 0.75 a link escapes all 32 bands
+what is linked to the hub is in one component anyway. Buckets that still hold several
+components are then searched across these: small ones pair by pair, large ones (a
+passage that very many documents share) by their rarest shingles, which is exact and
+does not grow with the square of the bucket. No pair within a bucket goes untested
+unless both are known to be connected, so components are those of all links that the
+bands find. At a similarity of 0.75 a link escapes all 32 bands
 with a probability of 5 in a million.
 
 Defined cases: null and empty texts have an empty set, no links and themselves as
@@ -29,19 +31,22 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanack.llm import text as X
+from almanack.llm.tables import bounded_batches
 from almanack.session import hand_over
 
 WORDS, BUCKETS, ROWS = 5, 128, 4
 MANTISSA = 10
 #: A link needs 100 * |intersection| >= PERCENT * |union|.
 PERCENT = 75
-#: Pairs estimated below this are not verified: five standard errors under 0.75.
-ESTIMATE = 0.55
+#: Pairs estimated below this are not verified: 4.4 standard errors under 0.75.
+ESTIMATE = 0.58
+#: In buckets of more nodes and several components, pairs are found by rare shingles.
+MANY = 48
 
 _PLACE = X.mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 _SIGNATURE = "n_shingles bigint, fingerprint binary, registers binary, bands array<bigint>"
@@ -137,6 +142,13 @@ def _set_bytes(column: pa.Array) -> pa.Array:
     return pa.array([s.tobytes() for texts in X.slices(column) for s in shingle_sets(texts)], pa.binary())
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _as_longs(column: pa.Array) -> pa.Array:
+    own = [np.frombuffer(x.as_buffer(), np.int64) for x in column]
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in own]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)))
+
+
 def estimates(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Similarity from equal registers, less what agrees by chance.
 
@@ -198,6 +210,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed = rows.select("doc_id", signature(F.col("text")).alias("s")).select("doc_id", "s.*")
     signed = hand_over(signed, "signatures")
@@ -205,40 +218,47 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     known = signed.where(F.col("doc_id").isNotNull() & F.col("fingerprint").isNotNull())
     sets = known.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
     sets = hand_over(sets, "sets")
-    nodes = known.join(sets.withColumnRenamed("fingerprint", "f"), (F.col("fingerprint") == F.col("f")) & (F.col("doc_id") == F.col("node")))
-    nodes = nodes.groupBy("fingerprint").agg(
+    mine = (F.col("fingerprint") == F.col("f")) & (F.col("doc_id") == F.col("node"))
+    nodes = known.join(sets.withColumnRenamed("fingerprint", "f"), mine).groupBy("fingerprint").agg(
         F.first("node").alias("node"),
         F.first("n_shingles").alias("n"),
         F.first("registers").alias("registers"),
         F.first("bands").alias("bands"),
     )
     nodes = hand_over(nodes, "nodes")
-    sketch = nodes.select("node", "n", "registers", "fingerprint")
+    sketch = nodes.select("node", "n", "registers")
     bands = nodes.select("node", F.explode("bands").alias("band"))
     hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other"))
     hubs = hubs.where(F.col("hub") != F.col("other")).select("band", "hub")
     shared = hand_over(bands.join(hubs, "band"), "buckets")
-    pairs = shared.where(F.col("hub") != F.col("node")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    first = hand_over(_verified(rows, sketch, pairs.distinct()), "links-hub")
+    to_hub = shared.where(F.col("hub") != F.col("node")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    to_hub = hand_over(_likely(sketch, to_hub.distinct()), "pairs-hub")
+    first = hand_over(_verified(to_hub, _full_sets(rows, _ends(to_hub))), "links-hub")
     parts = components(first, "a", "b")
 
-    # Buckets that still hold several components: pairs across them.
+    # Buckets that still hold several components.
     part = F.coalesce("component", "node")
     placed = shared.join(parts, "node", "left").select("band", "node", part.alias("part"))
-    mixed = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    mixed = mixed.where(F.col("low") != F.col("high")).select("band")
+    mixed = placed.groupBy("band").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    mixed = mixed.where(F.col("low") != F.col("high")).select("band", "size")
     left = hand_over(placed.join(mixed, "band"), "buckets-mixed")
-    right = left.select("band", F.col("node").alias("b"), F.col("part").alias("part_b"))
-    across = left.withColumnRenamed("node", "a").join(right, "band")
+    few = left.where(F.col("size") <= MANY)
+    other = few.select("band", F.col("node").alias("b"), F.col("part").alias("part_b"))
+    across = few.withColumnRenamed("node", "a").join(other, "band")
     across = across.where((F.col("a") < F.col("b")) & (F.col("part") != F.col("part_b"))).select("a", "b").distinct()
-    tested = pairs.distinct()
-    second = hand_over(_verified(rows, sketch, across.join(tested, ["a", "b"], "left_anti")), "links-across")
+    across = hand_over(_likely(sketch, across), "pairs-across")
+    crowd = hand_over(left.where(F.col("size") > MANY).select("node", "part").distinct(), "crowd")
+    full = _full_sets(rows, _ends(across).unionByName(crowd.select(F.col("node").alias("doc_id"))))
+    second = _verified(across.unionByName(_likely(sketch, by_rarest(full, crowd))), full)
+    second = hand_over(second, "links-across")
     if not second.isEmpty():
         parts = components(first.unionByName(second), "a", "b")
 
     member = signed.join(sets, "fingerprint", "left").select("doc_id", "n_shingles", "node")
     found = member.join(parts, "node", "left")
-    own = F.coalesce("component", "node", "doc_id")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return found.select(
         "doc_id",
         "n_shingles",
@@ -247,25 +267,65 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     )
 
 
+def by_rarest(full: DataFrame, crowd: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components of a crowd that could be similar enough; exact.
+
+    With the shingles of a set in order of how many sets hold them, two similar sets
+    have one in common among the first n - ceil(0.75 n) + 1 of each. What only one set
+    holds comes first, so a set that shares no more than a common passage is out at
+    once; the places of the shared shingle bound what two sets can still have in common.
+    """
+    held = full.join(crowd, full["doc_id"] == crowd["node"]).select("node", "part", _as_longs("set").alias("set"))
+    each = held.select("node", "part", F.size("set").alias("n"), F.explode("set").alias("shingle"))
+    common = each.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("part").alias("low"), F.max("part").alias("high")
+    )
+    common = hand_over(common.where("sets > 1"), "shingle-counts")
+    # Places begin behind the shingles that no other set holds.
+    met = each.join(common, "shingle")
+    order = Window.partitionBy("node").orderBy("sets", "shingle")
+    met = met.withColumn("place", F.row_number().over(order) - 1)
+    met = met.withColumn("place", F.col("place") + F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node")))
+    reach = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    index = met.where((F.col("place") < reach) & (F.col("low") != F.col("high")))
+    index = hand_over(index.select("shingle", "node", "part", "n", "place"), "rarest")
+    side = lambda x: index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "part", "n", "place")])
+    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    both = side("a").join(side("b"), "shingle").where(
+        (F.col("node_a") < F.col("node_b"))
+        & (F.col("part_a") != F.col("part_b"))
+        & (rest * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT)
+    )
+    return both.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that stay, with their own columns."""
     found = near_duplicates(docs, text, doc_id).where("kept").select(F.col("doc_id").alias("_kept_id"))
     return docs.join(found.distinct(), F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
-def _verified(rows: DataFrame, sketch: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _likely(sketch: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches do not rule out."""
     side = lambda c: sketch.select(
-        F.col("node").alias(c), F.col("registers").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("fingerprint").alias(f"f{c}")
+        F.col("node").alias(c), F.col("registers").alias(f"r{c}"), F.col("n").alias(f"n{c}")
     )
-    likely = pairs.join(side("a"), "a").join(side("b"), "b")
-    # Sizes alone rule out what differs by more than the similarity allows.
-    sized = likely.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
-    likely = sized.withColumn("e", _estimate("ra", "rb", "na", "nb")).where(F.col("e") >= ESTIMATE)
-    likely = hand_over(likely.select("a", "b"), "likely")
-    wanted = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
-    full = rows.join(wanted, "doc_id", "left_semi").select("doc_id", _set_bytes("text").alias("set"))
-    full = hand_over(full, "full-sets")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    sized = both.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
+    return sized.withColumn("e", _estimate("ra", "rb", "na", "nb")).where(F.col("e") >= ESTIMATE).select("a", "b")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+
+
+def _full_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    full = rows.join(wanted.distinct(), "doc_id", "left_semi").select("doc_id", _set_bytes("text").alias("set"))
+    return hand_over(full, "full-sets")
+
+
+def _verified(likely: DataFrame, full: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
     left = full.select(F.col("doc_id").alias("a"), F.col("set").alias("sa"))
     right = full.select(F.col("doc_id").alias("b"), F.col("set").alias("sb"))
     both = likely.join(left, "a").join(right, "b").withColumn("shared", _shared("sa", "sb"))
