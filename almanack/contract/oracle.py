@@ -453,13 +453,18 @@ def _gold_counts(condition: str = "true") -> str:
     """Rows per table of the publishable model, built from the rows that meet
     the condition; capacity is limited to the months of the core datasets."""
     within = f"date IN (SELECT date FROM dim_date) AND {condition}"
+    dated = "COUNT(*) AS row_count, MIN(date) AS first_date, MAX(date) AS last_date"
+    plain = "COUNT(*), NULL, NULL, NULL"
     parts = [
-        f"SELECT 'dim_date' AS table_name, COUNT(*) AS row_count FROM dim_date WHERE {condition}",
-        f"SELECT 'dim_country', COUNT(*) FROM ({' UNION '.join(f'SELECT entity_code, entity FROM {d} WHERE {within}' for d in S.DATASETS)})",
-        f"SELECT 'dim_energy_series', COUNT(*) FROM ({' UNION '.join(f'SELECT series, is_aggregate_series FROM {d} WHERE {within}' for d in S.ENERGY_SERIES_DATASETS)})",
-        f"SELECT 'dim_capacity_series', COUNT(*) FROM (SELECT DISTINCT series, is_aggregate_series FROM capacity WHERE {within})",
+        f"SELECT 'dim_date' AS table_name, {dated}, NULL::DOUBLE AS total FROM dim_date WHERE {condition}",
+        f"SELECT 'dim_country', {plain} FROM ({' UNION '.join(f'SELECT entity_code, entity FROM {d} WHERE {within}' for d in S.DATASETS)})",
+        f"SELECT 'dim_energy_series', {plain} FROM ({' UNION '.join(f'SELECT series, is_aggregate_series FROM {d} WHERE {within}' for d in S.ENERGY_SERIES_DATASETS)})",
+        f"SELECT 'dim_capacity_series', {plain} FROM (SELECT DISTINCT series, is_aggregate_series FROM capacity WHERE {within})",
+    ]
+    parts += [
+        f"SELECT '{t}', {dated}, {_round(f'SUM({S.FACT_MEASURES[t][0]})', 2)} FROM {t} WHERE {within}"
+        for t in S.FACT_GRAINS
     ]
-    parts += [f"SELECT '{t}', COUNT(*) FROM {t} WHERE {within}" for t in S.FACT_GRAINS]
     return " UNION ALL ".join(parts)
 
 
@@ -661,8 +666,8 @@ def oracle() -> dict[str, str]:
         "silver_clean_generation": _on_datasets(f"SELECT * FROM generation WHERE date >= {START}"),
         "silver_scope_filter": _on_datasets(
             _per_dataset(
-                "SELECT '{d}' AS dataset, COUNT(*) AS kept_rows, MIN(date) AS first_date FROM {d} "
-                f"WHERE '{{d}}' = 'capacity' OR date >= {START}"
+                "SELECT '{d}' AS dataset, entity_code, date, COUNT(*) AS kept_rows FROM {d} "
+                f"WHERE '{{d}}' = 'capacity' OR date >= {START} GROUP BY entity_code, date"
             )
         ),
         "silver_sorted_demand": _on_datasets("SELECT * FROM demand"),
@@ -703,8 +708,20 @@ def oracle() -> dict[str, str]:
               l_returnflag DESC, l_linestatus DESC) = 1""",
         # raw documents and jobs
         "bronze_inventory": _on_datasets(
-            "SELECT DISTINCT CASE WHEN date < " + SPLIT + " THEN 'first' ELSE 'second' END AS load, "
-            "true AS listed, true AS filled FROM generation"
+            "SELECT load, rows, 0::BIGINT AS wrong_lengths, CASE load WHEN 'first' THEN 1 ELSE 2 END::BIGINT "
+            f"AS place FROM (SELECT CASE WHEN date < {SPLIT} THEN 'first' ELSE 'second' END AS load, "
+            "COUNT(*) AS rows FROM generation GROUP BY 1)"
+        ),
+        "bronze_extra_columns": _on_datasets(
+            "SELECT entity_code, date, series, upper(series) AS note FROM generation"
+        ),
+        "source_date_texts": """
+            SELECT l_returnflag, l_returnflag <> 'R' AS accepted,
+                   CASE WHEN l_returnflag <> 'R' THEN CAST(l_shipdate AS DATE) END AS date, COUNT(*) AS n
+            FROM lineitem GROUP BY ALL""",
+        "dataset_names": (
+            "SELECT lower(r_name) AS name, false AS accepted FROM region UNION ALL "
+            f"SELECT name, true FROM (VALUES {', '.join(f'({d!r})' for d in S.DATASETS)}) AS d(name)"
         ),
         "bronze_roundtrip": _on_datasets(f"SELECT * FROM generation WHERE date >= {START}"),
         "silver_incremental_job": _TWO_LOADS,
@@ -825,9 +842,7 @@ def oracle() -> dict[str, str]:
         "mart_schema": _mart_schema(),
         # profiling
         "column_profile": _column_profile(),
-        "profile_csv": (
-            f"SELECT dataset, \"column\", row_count, unique_values FROM ({_column_profile()})"
-        ),
+        "profile_csv": _column_profile(),
         "dataset_coverage": _on_datasets(
             _per_dataset(
                 "SELECT '{d}' AS dataset, COUNT(*) AS row_count, COUNT(DISTINCT entity_code) AS countries, "

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from almanack import schemas as S
 from almanack.contract import driver_tables as T, staging
@@ -76,8 +76,8 @@ def silver_scope_filter(spark, sf):
     for name, df in staging.silver(spark, sf).items():
         kept = cleaning.apply_project_scope(df, name, T.PROJECT_START)
         parts.append(
-            kept.agg(F.count("*").alias("kept_rows"), F.min("date").alias("first_date")).select(
-                F.lit(name).alias("dataset"), "*"
+            kept.groupBy(F.lit(name).alias("dataset"), "entity_code", "date").agg(
+                F.count("*").alias("kept_rows")
             )
         )
     return _union(parts)
@@ -283,13 +283,67 @@ def _yearly_loads(spark: SparkSession, sf: str) -> str:
 
 @query
 def bronze_inventory(spark, sf):
-    files = bronze.bronze_inventory(spark, _yearly_loads(spark, sf), "generation")
+    """What the inventory lists, by load: its place in load order, and the rows and
+    characters of the files listed, read through the listed paths."""
+    root = _yearly_loads(spark, sf)
+    files = bronze.bronze_inventory(spark, root, "generation")
+    ranked = files.withColumn("place", F.row_number().over(Window.orderBy("mtime", "path")))
+    texts = spark.read.text([r["path"] for r in files.collect()]).groupBy(F.input_file_name().alias("file"))
+    sizes = texts.agg(F.sum(F.octet_length("value") + 1).alias("size"))
+    rows = bronze.read_documents(spark, [r["path"] for r in files.collect()])
+    rows = rows.groupBy("path").agg(F.sum(F.size("data")).cast("bigint").alias("rows"))
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    found = (
+        ranked.withColumn("name", name)
+        .join(sizes.select(F.regexp_extract("file", "([^/]+)$", 1).alias("name"), "size"), "name")
+        .join(rows.select(name.alias("name"), "rows"), "name")
+    )
     load = F.regexp_extract("path", "generation_([a-z]+)/", 1)
-    return (
-        files.groupBy(load.alias("load"))
-        .agg(F.count("*").alias("files"), F.min("length").alias("smallest"))
-        .select("load", (F.col("files") > 0).alias("listed"), (F.col("smallest") > 0).alias("filled"))
+    loads = found.groupBy(load.alias("load")).agg(
+        F.sum("rows").alias("rows"),
+        F.count_if(F.col("length") != F.col("size")).alias("wrong_lengths"),
+        F.min("place").alias("first_place"),
+    )
+    place = F.row_number().over(Window.orderBy("first_place")).cast("bigint")
+    return loads.select("load", "rows", "wrong_lengths", place.alias("place"))
+
+
+@query
+def bronze_extra_columns(spark, sf):
+    """A field that no schema knows comes back with its rows."""
+    root = run_folder(spark, "bronze")
+    rows = _generation(spark, sf).withColumn("note", F.upper("series"))
+    bronze.append_documents(bronze.to_documents(rows, 2000), root, "generation", "2026-01-01", "x")
+    read = bronze.document_rows(bronze.read_documents(spark, f"{root}/generation"), "generation")
+    return read.select("entity_code", F.col("date").cast("timestamp_ntz").alias("date"), "series", "note")
+
+
+@query
+def source_date_texts(spark, sf):
+    """Date texts of order lines in several forms; those in no ISO form are rejected."""
+    form = F.when(F.col("l_returnflag") == "R", F.lit("garbage")).otherwise(
+        F.when(F.col("l_returnflag") == "A", F.lit("T00:00:00Z")).otherwise(F.lit(""))
+    )
+    lines = _lines(spark, sf).select(
+        "l_returnflag", F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), form).alias("text")
     )
+    good = F.col("text").rlike(increments.SOURCE_DATE)
+    date = increments.parse_source_date(F.when(good, F.col("text")))
+    return lines.groupBy("l_returnflag", good.alias("accepted"), date.alias("date")).agg(F.count("*").alias("n"))
+
+
+@query
+def dataset_names(spark, sf):
+    """Names from the given tables and the declared ones; only the latter are accepted."""
+    names = T.table(spark, sf, "region").select(F.lower("r_name").alias("name"))
+    names = names.unionByName(spark.createDataFrame([(d,) for d in S.DATASETS], "name string"))
+    rows = []
+    for (name,) in names.distinct().collect():  # a handful
+        try:
+            rows.append((name, S.require_dataset(name) == name))
+        except ValueError:
+            rows.append((name, False))
+    return spark.createDataFrame(rows, "name string, accepted boolean")
 
 
 @query
@@ -722,11 +776,28 @@ def _publish_model(spark: SparkSession, silver: dict[str, DataFrame], sf: str, r
     )
 
 
+def _contents(gold: dict[str, DataFrame]) -> DataFrame:
+    """Per table its rows, first and last date and the total of its first measure."""
+    parts = []
+    for name, df in gold.items():
+        date = F.col("date") if "date" in df.columns else F.lit(None).cast("timestamp_ntz")
+        total = F.sum(S.FACT_MEASURES[name][0]) if name in S.FACT_GRAINS else F.lit(None).cast("double")
+        parts.append(
+            df.agg(
+                F.count("*").alias("row_count"),
+                F.min(date).alias("first_date"),
+                F.max(date).alias("last_date"),
+                rounded(total, 2).alias("total"),
+            ).select(F.lit(name).alias("table_name"), "*")
+        )
+    return _union(parts)
+
+
 @query
 def publish_gold_roundtrip(spark, sf):
     root = run_folder(spark, "gold")
     _publish_model(spark, staging.core_silver(spark, sf), sf, root)
-    return quality.row_counts(gold_plan.load_gold(spark, root))
+    return _contents(gold_plan.load_gold(spark, root))
 
 
 @query
@@ -749,7 +820,7 @@ def publish_rollback(spark, sf):
         _publish_model(spark, silver, sf, root, writer=failing)
     except OSError:
         pass
-    return quality.row_counts(gold_plan.load_gold(spark, root))
+    return _contents(gold_plan.load_gold(spark, root))
 
 
 @query
@@ -810,10 +881,10 @@ def column_profile(spark, sf):
 @query
 def profile_csv(spark, sf):
     path = run_folder(spark, "profile")
-    profile = column_profile(spark, sf).select("dataset", "column", "row_count", "unique_values")
+    profile = column_profile(spark, sf)
     profiling.write_profile_csv(profile, path)
-    schema = "dataset string, column string, row_count bigint, unique_values bigint"
-    return spark.read.option("header", True).schema(schema).csv(path)
+    read = spark.read.option("header", True).schema(profile.schema).csv(path)
+    return read.withColumn("sample_values", F.coalesce("sample_values", F.lit("")))
 
 
 @query
