@@ -31,12 +31,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_batches
+from almanack.llm.tables import bounded_batches, only_ids
 from almanack.session import hand_over
 
 WORDS, BUCKETS, ROWS = 5, 128, 4
@@ -47,6 +47,10 @@ PERCENT = 75
 ESTIMATE = 0.58
 #: In buckets of more nodes and several components, pairs are found by rare shingles.
 MANY = 48
+#: Sets whose shingles are counted together.
+BLOCK = 256
+_COUNTED = "block bigint, shingle bigint, sets bigint, low bigint, high bigint"
+_PLACED = "shingle bigint, node bigint, part bigint, n bigint, place bigint"
 
 _PLACE = X.mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 _SIGNATURE = "n_shingles bigint, fingerprint binary, registers binary, bands array<bigint>"
@@ -142,13 +146,6 @@ def _set_bytes(column: pa.Array) -> pa.Array:
     return pa.array([s.tobytes() for texts in X.slices(column) for s in shingle_sets(texts)], pa.binary())
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def _as_longs(column: pa.Array) -> pa.Array:
-    own = [np.frombuffer(x.as_buffer(), np.int64) for x in column]
-    offsets = np.concatenate(([0], np.cumsum([len(x) for x in own]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)))
-
-
 def estimates(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Similarity from equal registers, less what agrees by chance.
 
@@ -267,6 +264,48 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     )
 
 
+def _sets_of(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.int64) for x in table["set"]]
+
+
+def _count_block(table: pa.Table) -> pa.Table:
+    """How many sets of the block hold each shingle, and the range of their components."""
+    sets = _sets_of(table)
+    shingles, at = np.unique(np.concatenate(sets), return_inverse=True)
+    part = np.repeat(table["part"].to_numpy(), [len(s) for s in sets])
+    low, high = np.full(len(shingles), np.iinfo(np.int64).max), np.full(len(shingles), np.iinfo(np.int64).min)
+    np.minimum.at(low, at, part)
+    np.maximum.at(high, at, part)
+    block = np.full(len(shingles), table["block"][0].as_py())
+    return pa.table(
+        {"block": block, "shingle": shingles, "sets": np.bincount(at), "low": low, "high": high}
+    )
+
+
+def _first_places(held: pa.Table, met: pa.Table) -> pa.Table:
+    """The shared shingles among the first n - ceil(0.75 n) + 1 of each set, those that
+    stay within one component left out. What no other set holds comes first."""
+    shingles = met["shingle"].to_numpy()
+    order = np.argsort(shingles)
+    shingles, times = shingles[order], met["sets"].to_numpy()[order]
+    crosses = (met["low"].to_numpy() != met["high"].to_numpy())[order]
+    out: dict[str, list] = {"shingle": [], "node": [], "part": [], "n": [], "place": []}
+    for own, node, part in zip(_sets_of(held), held["node"].to_pylist(), held["part"].to_pylist()):
+        n = len(own)
+        at = np.searchsorted(shingles, own)
+        known = at < len(shingles)
+        known[known] = shingles[at[known]] == own[known]
+        at = at[known]
+        at = at[np.lexsort((shingles[at], times[at]))]
+        place = n - len(at) + np.arange(len(at))
+        good = (place < n - -(-n * PERCENT // 100) + 1) & crosses[at]
+        out["shingle"] += shingles[at[good]].tolist()
+        out["place"] += place[good].tolist()
+        for name, value in (("node", node), ("part", part), ("n", n)):
+            out[name] += [value] * int(good.sum())
+    return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
+
+
 def by_rarest(full: DataFrame, crowd: DataFrame) -> DataFrame:
     """Pairs (a, b) across components of a crowd that could be similar enough; exact.
 
@@ -275,20 +314,18 @@ def by_rarest(full: DataFrame, crowd: DataFrame) -> DataFrame:
     holds comes first, so a set that shares no more than a common passage is out at
     once; the places of the shared shingle bound what two sets can still have in common.
     """
-    held = full.join(crowd, full["doc_id"] == crowd["node"]).select("node", "part", _as_longs("set").alias("set"))
-    each = held.select("node", "part", F.size("set").alias("n"), F.explode("set").alias("shingle"))
-    common = each.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("sets"), F.min("part").alias("low"), F.max("part").alias("high")
+    held = full.join(crowd, full["doc_id"] == crowd["node"]).select("node", "part", "set")
+    blocks = max(1, -(-crowd.count() // BLOCK))
+    held = held.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks)))
+    # Blocks of sets count their shingles first: a passage is a few rows for each.
+    counts = held.groupBy("block").applyInArrow(_count_block, _COUNTED)
+    counts = hand_over(counts, "shingle-counts")
+    common = counts.groupBy("shingle").agg(
+        F.sum("sets").alias("sets"), F.min("low").alias("low"), F.max("high").alias("high")
     )
-    common = hand_over(common.where("sets > 1"), "shingle-counts")
-    # Places begin behind the shingles that no other set holds.
-    met = each.join(common, "shingle")
-    order = Window.partitionBy("node").orderBy("sets", "shingle")
-    met = met.withColumn("place", F.row_number().over(order) - 1)
-    met = met.withColumn("place", F.col("place") + F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node")))
-    reach = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    index = met.where((F.col("place") < reach) & (F.col("low") != F.col("high")))
-    index = hand_over(index.select("shingle", "node", "part", "n", "place"), "rarest")
+    met = counts.select("block", "shingle").join(common.where("sets > 1"), "shingle")
+    index = held.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(_first_places, _PLACED)
+    index = hand_over(index, "rarest")
     side = lambda x: index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "part", "n", "place")])
     rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     both = side("a").join(side("b"), "shingle").where(
@@ -301,8 +338,7 @@ def by_rarest(full: DataFrame, crowd: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that stay, with their own columns."""
-    found = near_duplicates(docs, text, doc_id).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(found.distinct(), F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi")
+    return only_ids(docs, doc_id, near_duplicates(docs, text, doc_id).where("kept").select("doc_id"), True)
 
 
 def _likely(sketch: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -320,7 +356,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _full_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    full = rows.join(wanted.distinct(), "doc_id", "left_semi").select("doc_id", _set_bytes("text").alias("set"))
+    full = only_ids(rows, "doc_id", wanted).select("doc_id", _set_bytes("text").alias("set"))
     return hand_over(full, "full-sets")
 
 
