@@ -618,6 +618,65 @@ MART_NAMES = (
 )
 
 
+# The marts' columns in order.
+MART_COLUMNS = {
+    "generation_demand_summary": [
+        ("country_name", "string"),
+        ("entity_code", "string"),
+        ("start_year", "bigint"),
+        ("end_year", "bigint"),
+        ("first_generation_twh", "double"),
+        ("latest_generation_twh", "double"),
+        ("generation_change_pct", "double"),
+        ("first_demand_twh", "double"),
+        ("latest_demand_twh", "double"),
+        ("demand_change_pct", "double"),
+        ("first_net_imports_twh", "double"),
+        ("latest_net_imports_twh", "double"),
+    ],
+    "energy_mix_transition_summary": [
+        ("country_name", "string"),
+        ("entity_code", "string"),
+        ("start_year", "bigint"),
+        ("end_year", "bigint"),
+        ("renewable_start_pct", "double"),
+        ("renewable_end_pct", "double"),
+        ("renewable_change_pp", "double"),
+        ("fossil_start_pct", "double"),
+        ("fossil_end_pct", "double"),
+        ("fossil_change_pp", "double"),
+        ("clean_start_pct", "double"),
+        ("clean_end_pct", "double"),
+        ("clean_change_pp", "double"),
+    ],
+    "emissions_carbon_intensity": [
+        ("start_year", "bigint"),
+        ("end_year", "bigint"),
+        ("country_name", "string"),
+        ("emissions_start_mtco2", "double"),
+        ("emissions_end_mtco2", "double"),
+        ("emissions_change_pct", "double"),
+        ("carbon_intensity_start", "double"),
+        ("carbon_intensity_end", "double"),
+        ("carbon_intensity_change_gco2_per_kwh", "double"),
+    ],
+    "installed_solar_wind_capacity": [
+        ("start_year", "bigint"),
+        ("end_year", "bigint"),
+        ("country_name", "string"),
+        ("solar_start_gw", "double"),
+        ("solar_end_gw", "double"),
+        ("solar_change_pct", "double"),
+        ("wind_start_gw", "double"),
+        ("wind_end_gw", "double"),
+        ("wind_change_pct", "double"),
+        ("solar_wind_start_gw", "double"),
+        ("solar_wind_end_gw", "double"),
+        ("solar_wind_change_pct", "double"),
+    ],
+}
+
+
 def _mart_schema() -> str:
     """The marts' columns as DuckDB types them, under Spark's type names."""
     kinds = "CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END"
@@ -628,6 +687,26 @@ def _mart_schema() -> str:
     )
 
 
+def _mart_fingerprints() -> str:
+    """Rows hashed cell by cell and added up; columns and types as DuckDB sees them."""
+    parts = []
+    for m in MART_NAMES:
+        cells = []
+        for name, kind in MART_COLUMNS[m]:
+            text = f"CAST({name} AS VARCHAR)"
+            if kind == "double":
+                decimal = f"CAST(CAST({name} AS VARCHAR) AS DECIMAL(38,10))"
+                text = f"regexp_replace(CAST({decimal} AS VARCHAR), '\\.?0+$', '')"
+            cells.append(f"COALESCE(length({text}) || ':' || {text}, '-')")
+        names = ",".join(f"{name} {kind}" for name, kind in MART_COLUMNS[m])
+        sums = ", ".join(f"SUM(('0x' || substr(h, {1 + 16 * i}, 16))::UBIGINT)::HUGEINT AS s{i}" for i in range(4))
+        parts.append(
+            f"SELECT '{m}' AS mart, rows, sha256(concat_ws('|', '1', '{names}', rows, s0, s1, s2, s3)) AS fingerprint "
+            f"FROM (SELECT COUNT(*) AS rows, {sums} FROM (SELECT sha256({' || '.join(cells)}) AS h FROM mart_{m}))"
+        )
+    return _on_marts(" UNION ALL ".join(parts))
+
+
 def _marts_union(template: str) -> str:
     return " UNION ALL ".join(template.format(m=name) for name in MART_NAMES)
 
@@ -822,7 +901,8 @@ def oracle() -> dict[str, str]:
         "emissions_pivot": _on_marts(_totals("emissions_pivot", "emissions_pivot")),
         "annual_capacity": _on_marts(_totals("annual_capacity", "annual_capacity")),
         "capacity_pivot": _on_marts(_totals("capacity_pivot", "capacity_pivot")),
-        # publication (fingerprints have no counterpart in SQL)
+        # publication
+        "mart_fingerprint": _mart_fingerprints(),
         "publish_skip_unchanged": _on_marts(
             "SELECT run, mart, rows, run = 2 AS skipped FROM (VALUES (1::BIGINT), (2::BIGINT)) AS r(run), ("
             + _marts_union("SELECT '{m}' AS mart, COUNT(*) AS rows FROM mart_{m}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from almanack import schemas as S
 from almanack.operators import marts, quality
@@ -15,6 +15,23 @@ from almanack.sources import tables
 _CHUNKS = 4  # of 16 hex digits each
 
 
+def cell_text(name: str, kind: str) -> Column:
+    """One text per value, the same in any engine: a length and the value, so that no
+    two rows read alike. Doubles with up to ten decimals are written as decimals without
+    trailing zeros, others as they print."""
+    value = F.col(f"`{name}`")
+    text = value.cast("string")
+    if kind in ("double", "float"):
+        decimal = value.try_cast("decimal(38,10)")
+        plain = F.regexp_replace(decimal.cast("string"), r"\.?0+$", "")
+        text = F.when(decimal.cast("double") == value, plain).otherwise(text)
+    elif kind in ("date", "timestamp", "timestamp_ntz"):
+        text = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif kind.startswith(("array", "map", "struct")):
+        text = F.to_json(F.struct(value), {"ignoreNullFields": "false"})
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
 def fingerprint_frame(df: DataFrame, version: str) -> DataFrame:
     """(rows, fingerprint) of a result, independent of row order.
 
@@ -22,8 +39,9 @@ def fingerprint_frame(df: DataFrame, version: str) -> DataFrame:
     the row count, so duplicates count, no rows are gathered, and tasks combine
     partial sums. Column names, types and the definition's version take part.
     """
-    columns = ",".join(f"{name} {kind}" for name, kind in tables.result_schema(df))
-    row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    schema = tables.result_schema(df)
+    columns = ",".join(f"{name} {kind}" for name, kind in schema)
+    row = F.sha2(F.concat(*[cell_text(name, kind) for name, kind in schema]), 256)
     parts = [
         F.conv(F.substring("_h", 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)")
         for i in range(_CHUNKS)

@@ -18,9 +18,7 @@ def spark():
         "4",
         **{
             "spark.sql.shuffle.partitions": "2",
-            "spark.sql.adaptive.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "4g",
         },
     )
