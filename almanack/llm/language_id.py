@@ -9,12 +9,12 @@ the AND of an n-gram's slots gives all languages that (may) hold it at once. The
 number of a text's n-grams that a language holds, less the false positives expected
 from how full its bits are, decides.
 
-Learning takes a bounded sample: about `fit_rows` documents by the hash of their id,
-those with a language and outside fold 2.
+Learning takes a bounded sample of the documents with a text and a language outside
+fold 2: of each language about `fit_rows`, picked by hash, or all where there are fewer.
 
 Defined cases: null texts and texts without a letter are "und" with score 0; so is all
 when nothing could be learnt. If no language holds any n-gram, the one most frequent in
-the sample is returned with score 0. Ties go to the name that sorts first. Repeated
+these documents, by the sample, is returned with score 0. Ties go to the name that sorts first. Repeated
 rows are judged each; further columns are kept; an empty table gives an empty result.
 """
 
@@ -30,11 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_batches, bounded_sample, fold
+from almanack.llm.tables import bounded_batches, fold, sampled_by
 
 N = 4
 MIN_SHARE = 2e-5
 CHARACTERISTIC = 0.2
+#: Of each language.
 FIT_ROWS = 8_000
 SLOTS, HASHES = 1 << 20, 3
 UNKNOWN = "und"
@@ -144,9 +145,10 @@ def fit(
 ) -> Filters:
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     bounded_batches(docs.sparkSession)
-    rows = bounded_sample(rows, F.col("_id"), fit_rows).where(fold(F.col("_id")) != 2)
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = rows.mapInArrow(_counted, "lang string, gram bigint, n bigint")
+    rows = rows.where((fold(F.col("_id")) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # By id and text: rows without an id are not all drawn or all left.
+    rows, sizes = sampled_by(rows, F.struct("_id", "text"), "lang", fit_rows)
+    counts = rows.select("lang", "text").mapInArrow(_counted, "lang string, gram bigint, n bigint")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
     shares = counts.withColumn("share", share).where(F.col("share") >= MIN_SHARE)
@@ -157,7 +159,8 @@ def fit(
     values, weights = table["gram"].to_numpy().astype(np.uint32), table["n"].to_numpy()
     languages = sorted(set(names))
     own = {name: names == name for name in languages}
-    common = max(languages, key=lambda x: (int(weights[own[x]].sum()), x), default=UNKNOWN)
+    stands_for = {r["lang"]: max(1.0, r["_rows"] / fit_rows) for r in sizes.collect()}
+    common = max(languages, key=lambda x: (int(weights[own[x]].sum()) * stands_for[x], x), default=UNKNOWN)
     return Filters.of(languages, common, {name: values[own[name]] for name in languages})
 
 

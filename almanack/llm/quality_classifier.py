@@ -10,13 +10,15 @@ way). The model is linear in counts over the whole text (`features.text_features
 the loss logistic. The prior is estimated by cross-fitting: the smallest ratio, over
 all thresholds, of unlabelled to positive rows above it, with a margin for chance.
 
-Fitting takes a bounded sample: about `fit_rows` documents picked by the hash of their
-id. Rows of fold 2 take no part in it. Rows labelled 0 are not used at all.
+Fitting takes two bounded samples, picked by the hash of the id: about `fit_rows` of the
+positives and as many of the unlabelled documents, or all where there are fewer. Rows of
+fold 2 take no part in it. Rows labelled 0 are not used at all.
 
 Defined cases: null and empty texts get the score of a text without any counts; a
 missing label means unlabelled; contradicting labels of one id count as no label; with
-no positives or no unlabelled rows the score is the prior for all. Repeated rows get the
-same score each. Further columns are kept. An empty table gives an empty result.
+documents but no positives or no unlabelled rows nothing can be learnt, which is an
+error. Without any documents the score is the prior for all. Repeated rows get the same
+score each. Further columns are kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ from pyspark.sql import types as T
 
 from almanack.llm import features as C
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_batches, bounded_sample, fold, with_column
+from almanack.llm.tables import bounded_batches, fold, sampled_by, with_column
+from almanack.session import hand_over
 
+#: Of the positives, and of the unlabelled rows.
 FIT_ROWS = 20_000
 THRESHOLD = 0.7
 STEPS, RATE, DECAY = 800, 0.5, 1e-4
@@ -119,13 +123,21 @@ def fit(
     """Learns from documents outside fold 2 and labels (doc_id, quality)."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     bounded_batches(docs.sparkSession)
-    rows = bounded_sample(rows, F.col("_id"), fit_rows).where((fold(F.col("_id")) != 2) & F.col("_id").isNotNull())
+    rows = rows.where((fold(F.col("_id")) != 2) & F.col("_id").isNotNull())
     known = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_label_id"))
     known = known.agg(F.min("quality").alias("_low"), F.max("quality").alias("_high"))
-    joined = rows.join(known, rows["_id"] == known["_label_id"], "left")
+    ids = rows.select("_id")
+    joined = ids.join(known, ids["_id"] == known["_label_id"], "left")
     role = F.when((F.col("_low") == 1) & (F.col("_high") == 1), 1).when(F.col("_low") != F.col("_high"), 0)
     role = F.coalesce(role, F.when(F.col("_label_id").isNull(), 0))
-    found = joined.where(role.isNotNull()).select("_id", role.alias("role"), _features("_text").alias("f"))
+    roles = hand_over(joined.where(role.isNotNull()).select("_id", role.alias("role")), "roles")
+    picked, sizes = sampled_by(roles, F.col("_id"), "role", fit_rows)
+    have = {r["role"] for r in sizes.collect()}
+    if have != {0, 1} and not docs.isEmpty():
+        lacking = " or ".join(name for k, name in ((1, "positive"), (0, "unlabelled")) if k not in have)
+        raise ValueError(f"no {lacking} documents outside the held-out fold: the classifier cannot be fitted")
+    picked = hand_over(picked.select("_id", "role").distinct(), "fit-ids")  # at most twice `fit_rows`, about
+    found = rows.join(F.broadcast(picked), "_id").select("_id", "role", _features("_text").alias("f"))
     table = found.orderBy("_id").toArrow()
     width = C.TEXT_FEATURES
     values = np.array(table["f"].combine_chunks().flatten()).reshape(-1, width).astype(float)

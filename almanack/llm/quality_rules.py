@@ -4,17 +4,21 @@ A linear-chain conditional random field labels each line with a word as content
 boilerplate: line features (`features.line_features`) give the score of each label,
 a matrix the score of each transition; Viterbi decoding finds the best sequence. The
 share of content among the characters decides whether a document stays. The field is
-trained by maximum likelihood (forward and backward sums) on a bounded sample of
-labelled documents outside fold 2, whose lines take the document's label.
+trained by maximum likelihood (forward and backward sums) on labelled documents outside
+fold 2, whose lines take the document's label: about `fit_rows` of the good and as many
+of the poor ones, picked by the hash of the id, or all where there are fewer. Each class
+weighs as much as it does among all labelled documents.
 
 Defined cases: null and empty texts have no words, zeros throughout, and fail the base
 rules; lines without a word are no part of a sequence; long texts are decoded whole.
-Without labelled rows no line counts as boilerplate. Repeated rows are judged each.
-Further columns are kept. An empty table gives an empty result.
+Without poor rows no line counts as boilerplate, of which a warning tells; documents
+without any good row among them are an error. Repeated rows are judged each. Further
+columns are kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,11 +29,13 @@ from pyspark.sql import types as T
 
 from almanack.llm import features as C
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_batches, bounded_sample, fold, with_column
+from almanack.llm.tables import bounded_batches, fold, sampled_by, with_column
+from almanack.session import hand_over
 
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 MIN_CONTENT = 0.5
+#: Of the good labelled rows, and of the poor ones.
 FIT_ROWS = 6_000
 #: Training sequences are cut into runs of this many lines, all of which are used.
 RUN = 64
@@ -85,13 +91,16 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def train(features: np.ndarray, labels: np.ndarray, counts: np.ndarray, steps: int = STEPS) -> Field:
-    """Maximum likelihood by gradient ascent (Adam), all chains in step."""
+def train(
+    features: np.ndarray, labels: np.ndarray, counts: np.ndarray, steps: int = STEPS, weigh: np.ndarray | None = None
+) -> Field:
+    """Maximum likelihood by gradient ascent (Adam), all chains in step, each by its weight."""
     width, n = features.shape[1], len(counts)
     weights, transition = np.zeros((width, 2)), np.zeros((2, 2))
     if not len(features):
         weights[-1, CONTENT] = 1.0
         return Field(weights, transition)
+    weigh = np.ones(n) if weigh is None else weigh / weigh.mean()
     first = np.concatenate(([0], np.cumsum(counts)[:-1]))
     longest = int(counts.max())
     steps_at = np.minimum(first[:, None] + np.arange(longest), len(features) - 1)
@@ -99,7 +108,7 @@ def train(features: np.ndarray, labels: np.ndarray, counts: np.ndarray, steps: i
     given = np.eye(2)[labels]
     pairs = real[:, 1:]
     seen = np.zeros((2, 2))
-    np.add.at(seen, (labels[steps_at[:, :-1]][pairs], labels[steps_at[:, 1:]][pairs]), 1)
+    np.add.at(seen, (labels[steps_at[:, :-1]][pairs], labels[steps_at[:, 1:]][pairs]), np.repeat(weigh, pairs.sum(axis=1)))
     moment = [np.zeros_like(weights), np.zeros_like(transition)]
     square = [np.zeros_like(weights), np.zeros_like(transition)]
     for step in range(1, steps + 1):
@@ -114,12 +123,12 @@ def train(features: np.ndarray, labels: np.ndarray, counts: np.ndarray, steps: i
             backward[t] = np.where(real[:, t + 1, None], go, 0)
         total = _log_sum(forward[-1], 1)
         marginal = np.exp((forward + backward).transpose(1, 0, 2) - total[:, None, None])[real]
-        gradient = features.T @ (given[steps_at[real]] - marginal) / n
+        gradient = features.T @ ((given[steps_at[real]] - marginal) * np.repeat(weigh, counts)[:, None]) / n
         expected = np.zeros((2, 2))
         for t in range(longest - 1):
             on = pairs[:, t]
             joint = forward[t][on][:, :, None] + transition + (scores[:, t + 1] + backward[t + 1])[on][:, None, :]
-            expected += np.exp(joint - total[on][:, None, None]).sum(axis=0)
+            expected += (np.exp(joint - total[on][:, None, None]) * weigh[on][:, None, None]).sum(axis=0)
         changes = [gradient - 1e-3 * weights, (seen - expected) / n - 1e-3 * transition]
         for k, (value, change) in enumerate(zip((weights, transition), changes)):
             moment[k] = 0.9 * moment[k] + 0.1 * change
@@ -143,19 +152,32 @@ def _lines(column: pa.Array) -> pa.Array:
 def fit(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", fit_rows: int = FIT_ROWS
 ) -> Field:
-    """Trains on about `fit_rows` documents, those with a label and outside fold 2."""
+    """Trains on about `fit_rows` documents of each label outside fold 2."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     bounded_batches(docs.sparkSession)
-    rows = bounded_sample(rows, F.col("_id"), fit_rows).where(fold(F.col("_id")) != 2)
+    rows = rows.where(fold(F.col("_id")) != 2)
     known = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_label_id"))
     known = known.agg(F.min("quality").alias("quality"))
-    joined = rows.join(known, rows["_id"] == known["_label_id"])
-    table = joined.select("_id", "quality", _lines("_text").alias("f")).orderBy("_id").toArrow()
+    ids = rows.select("_id")
+    joined = ids.join(known, ids["_id"] == known["_label_id"])
+    good = (F.col("quality") == 1).cast("int").alias("good")
+    labelled = hand_over(joined.select("_id", good), "labelled")
+    picked, sizes = sampled_by(labelled, F.col("_id"), "good", fit_rows)
+    size = {r["good"]: r["_rows"] for r in sizes.collect()}
+    if 1 not in size and not docs.isEmpty():
+        raise ValueError("no good labelled documents outside the held-out fold: the line labels cannot be learnt")
+    if 1 in size and 0 not in size:
+        warnings.warn("no poor labelled documents outside the held-out fold: no line counts as boilerplate")
+    picked = hand_over(picked.select("_id", "good").distinct(), "fit-ids")  # at most twice `fit_rows`, about
+    found = rows.join(F.broadcast(picked), "_id")
+    table = found.select("_id", "good", _lines("_text").alias("f")).orderBy("_id").toArrow()
     lines = np.array([len(x) // C.LINE_FEATURES for x in table["f"]], np.int64)
     values = np.array(table["f"].combine_chunks().flatten()).reshape(-1, C.LINE_FEATURES).astype(float)
-    label = np.where(table["quality"].to_numpy() == 1, CONTENT, BOILERPLATE)
+    good = table["good"].to_numpy() == 1
+    label = np.where(good, CONTENT, BOILERPLATE)
+    weight = np.where(good, size.get(1, 0) / max(1, good.sum()), size.get(0, 0) / max(1, (~good).sum()))
     counts = [min(RUN, n - k) for n in lines.tolist() for k in range(0, n, RUN)]
-    return train(values, np.repeat(label, lines), np.array(counts, np.int64))
+    return train(values, np.repeat(label, lines), np.array(counts, np.int64), weigh=np.repeat(weight, -(-lines // RUN)))
 
 
 def measure(text: Column, field: Field) -> Column:

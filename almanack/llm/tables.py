@@ -59,12 +59,15 @@ def with_column(df: DataFrame, value: Column) -> tuple[DataFrame, str]:
     return df.withColumn(name, value), name
 
 
-def bounded_sample(df: DataFrame, key: Column, rows: int, count: int | None = None) -> DataFrame:
-    """About `rows` rows picked by the hash of a key, the same ones in each run."""
-    count = df.count() if count is None else count
-    if count <= rows:
-        return df
-    return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(rows / count * (1 << 30)))
+def sampled_by(df: DataFrame, key: Column, kind: str, rows: int) -> tuple[DataFrame, DataFrame]:
+    """About `rows` rows of each value of the column `kind`, picked by the hash of a key,
+    the same ones in each run, and how often each value occurs (kind, _rows). A value
+    with no more rows than that keeps all of them, however many rows the others have."""
+    sizes = hand_over(df.groupBy(kind).agg(F.count(F.lit(1)).alias("_rows")), "sample-sizes")
+    part = (F.lit(float(rows << 30)) / F.col("_rows")).cast("long")
+    drawn = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30))
+    picked = df.join(sizes, kind).where((F.col("_rows") <= rows) | (drawn < part))
+    return picked.drop("_rows"), sizes
 
 
 #: Rows that one window task numbers, on average, in `numbered`.
