@@ -2,12 +2,16 @@
 
 Documents with equal texts are linked. Every round, linked documents look at the shards
 their neighbours are in (counts by group and shard) and propose to move to one of their
-group's home shards: those with most of the group, as many as its size needs. A shard
-accepts as many as its quota has room for, of more proposals the same share of each. Documents without neighbours are dealt out last and fill every shard
-to its quota exactly, so row counts are at most one apart (law "rows"). What still
-exceeds a quota is dealt out with them.
-
-Only numbers of proposals by pair of shards come to the driver, at most shards squared.
+group's home shards: those with most of the group and most room, as many as its size
+needs. A shard accepts whole groups, in an order drawn anew each round, up to its quota and a
+little slack; what leaves it in the same round counts as room, so full shards swap rows
+in pairs and rings. Rounds go on until one brings hardly more rows home. Rows that are
+not at home then, what exceeds a quota, and documents without neighbours are dealt out
+last, group by group, and fill every shard to its quota exactly, so row counts are at
+most one apart (law "rows") and only groups at the edge of a shard are cut.
+
+Only numbers of proposals by pair of shards and level of the order come to the driver,
+at most shards squared times LEVELS.
 Rows of a group are interchangeable while they move: a group with a third of all rows is
 sixteen counts, needs several shards and gets as many homes. Ranks are taken in buckets.
 
@@ -19,14 +23,21 @@ read; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanack.llm.tables import buckets, numbered, text_of
+from almanack.llm.tables import RANK_ROWS, buckets, numbered, text_of
 from almanack.session import hand_over
 
 SHARDS = 16
-ROUNDS = 6
+#: Room beyond the quotas while rows move, and the share of the linked rows that a round
+#: has to bring home for another one.
+SLACK, GAIN = 0.05, 0.01
+#: Levels of the order in which groups are accepted; level 0 is for those of several homes.
+LEVELS = 64
 LAW = "rows"
 _GRAIN = 1 << 20
 
@@ -39,44 +50,98 @@ def _literal(values: list, kind: str):
     return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
 
 
-def propagated(held: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
+def accepted(load: np.ndarray, asked: np.ndarray, quota: list[int]) -> tuple[list[int], list[float]]:
+    """Up to which level each shard accepts, and which share of that level's rows.
+
+    `asked` counts proposals by shard, wanted shard and level. All are accepted at first;
+    shards beyond their quota go down by levels, whereby rows stay in other shards, until
+    nothing changes. These are the highest levels that fit together.
+    """
+    size, levels = len(quota), asked.shape[2]
+    upto = np.concatenate((np.zeros((size, size, 1), np.int64), asked.cumsum(axis=2)), axis=2)
+    into = upto.sum(axis=0)
+    level = [levels] * size
+
+    def filled(t: int) -> int:
+        return int(load[t] + into[t, level[t]] - sum(upto[t, u, level[u]] for u in range(size)))
+
+    changed = True
+    while changed:
+        changed = False
+        for t in range(size):
+            while level[t] and filled(t) > quota[t]:
+                level[t], changed = level[t] - 1, True
+    share = []
+    for t in range(size):
+        more = int(asked[:, t, level[t]].sum()) if level[t] < levels else 0
+        share.append(min(1.0, max(0, quota[t] - filled(t)) / more) if more else 0.0)
+    return level, share
+
+
+def propagated(held: DataFrame, quota: list[int], rounds: int | None = None) -> DataFrame:
     """(group, members, shard, n): how many of each group's rows a shard holds, after
-    they moved towards their neighbours. Rows of a group are interchangeable, so counts
+    they moved towards their neighbours; rows at home only, all of a group in one shard
+    or in as many as it needs. Rows of a group are interchangeable, so counts
     say it all, and a group of any size is as many rows as there are shards."""
-    largest = max(max(quota), 1)
-    held = hand_over(held, "shards-held")
-    for turn in range(rounds):
-        rank = F.row_number().over(Window.partitionBy("group").orderBy(F.desc("n"), F.xxhash64("group", "shard")))
-        needed = F.ceil(F.col("members") / largest)
-        homes = held.withColumn("place", rank).where(F.col("place") <= needed)
-        homes = homes.groupBy("group").agg(F.sort_array(F.collect_list("shard")).alias("homes"))  # at most all shards
+    largest, size = max(max(quota), 1), len(quota)
+    needed = F.ceil(F.col("members") / largest)
+    held = hand_over(held.withColumn("needed", needed), "shards-held")
+    ample = [q + math.ceil(q * SLACK) for q in quota]
+    before, turn = 0, 0
+    wide = F.col("needed") > 1
+    mostly = Window.partitionBy("group").orderBy(F.desc("n"), F.xxhash64("group", "shard"))
+    home = F.when(wide, F.col("place") <= F.col("needed")).otherwise(F.col("n") == F.col("members"))
+    claim = F.when(wide, F.col("members") / F.col("needed")).otherwise(F.col("n"))
+    while rounds is None or turn < rounds:
+        state = held.withColumn("place", F.row_number().over(mostly))
+        totals = state.groupBy("shard").agg(
+            F.sum(F.when(home, F.col("n")).otherwise(0)).alias("home"),
+            F.sum(F.when(home, claim).otherwise(0.0)).alias("claimed"),
+            F.sum("n").alias("load"),
+        ).collect()
+        load, room = np.zeros(size, np.int64), [float(q > 0) for q in quota]
+        for r in totals:
+            load[r["shard"]] = r["load"]
+            room[r["shard"]] = max(0.0, 1 - r["claimed"] / max(quota[r["shard"]], 1))
+        at_home = sum(r["home"] for r in totals)
+        if at_home == load.sum() or (turn and at_home - before < GAIN * load.sum()):
+            break
+        before = at_home
         drawn = F.pmod(F.xxhash64("group", "shard", F.lit(turn)), F.lit(_GRAIN))
+        there = F.get(_literal(room, "double"), F.col("shard")) * (1 + drawn / F.lit(float(_GRAIN))) / 2
+        worth = F.when(wide, F.col("n").cast("double")).otherwise(F.col("n") / F.col("members") + there)
+        best = Window.partitionBy("group").orderBy(F.desc("worth"), F.xxhash64("group", "shard"))
+        state = held.withColumn("worth", worth).withColumn("place", F.row_number().over(best))
+        homes = state.where(F.col("place") <= F.col("needed"))
+        homes = homes.groupBy("group").agg(F.sort_array(F.collect_list("shard")).alias("homes"))  # at most all shards
         wish = F.get("homes", F.pmod(drawn, F.size("homes")).cast("int"))
         stays = F.array_contains("homes", F.col("shard"))
+        order = F.when(wide, 0).otherwise(1 + F.pmod(F.xxhash64("group", F.lit(-1 - turn)), F.lit(LEVELS - 1))).cast("int")
         proposed = held.join(homes, "group").withColumn("to", F.when(stays, F.col("shard")).otherwise(wish))
-        load, asked = [0] * len(quota), [0] * len(quota)
-        for f in proposed.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect():
-            load[f["shard"]] += f["n"]
-            if f["shard"] != f["to"]:
-                asked[f["to"]] += f["n"]
-        accept = [min(1.0, max(0, q - n) / a) if a else 0.0 for q, n, a in zip(quota, load, asked)]
-        if not any(accept):
-            break
-        # Of n rows the accepted share goes, fractions rounded up or down by chance.
-        share = F.col("n") * F.get(_literal(accept, "double"), F.col("to")) + drawn / F.lit(float(_GRAIN))
-        go = F.when(stays, F.lit(0)).otherwise(F.least(F.floor(share), F.col("n"))).cast("bigint")
+        proposed = proposed.withColumn("order", order)
+        asked = np.zeros((size, size, LEVELS), np.int64)
+        wishes = proposed.where(F.col("shard") != F.col("to"))
+        for f in wishes.groupBy("shard", "to", "order").agg(F.sum("n").alias("n")).collect():
+            asked[f["shard"], f["to"], f["order"]] = f["n"]
+        level, share = accepted(load, asked, ample)
+        upto = F.get(_literal(level, "int"), F.col("to"))
+        part = F.floor(F.col("n") * F.get(_literal(share, "double"), F.col("to")))
+        go = F.when(F.col("order") < upto, F.col("n")).when(wide & (F.col("order") == upto), part).otherwise(0)
+        go = F.when(F.col("shard") == F.col("to"), 0).otherwise(go).cast("bigint")
         parts = F.array(
             F.struct(F.col("shard").alias("shard"), (F.col("n") - go).alias("n")),
             F.struct(F.col("to").alias("shard"), go.alias("n")),
         )
-        moved = proposed.select("group", "members", F.inline(parts)).where(F.col("n") > 0)
-        moved = moved.groupBy("group", "members", "shard").agg(F.sum("n").alias("n"))
+        moved = proposed.select("group", "members", "needed", F.inline(parts)).where(F.col("n") > 0)
+        moved = moved.groupBy("group", "members", "needed", "shard").agg(F.sum("n").alias("n"))
         held = hand_over(moved, "shards-held")
-    return held
+        turn += 1
+    state = held.withColumn("place", F.row_number().over(mostly))
+    return hand_over(state.where(home).select("group", "members", "shard", "n"), "shards-home")
 
 
 def sharded(
-    docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS
+    docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", rounds: int | None = None
 ) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     body = text_of(text)
@@ -95,24 +160,32 @@ def sharded(
     held = rows.groupBy("group", first).agg(F.count(F.lit(1)).alias("n"))
     members = F.sum("n").over(Window.partitionBy("group")).alias("members")
     held = held.select("group", members, "shard", "n").where(F.col("members") > 1)
+    held = hand_over(held, "shards-first")
+    large = hand_over(held.where(F.col("members") > RANK_ROWS).select(F.col("group").alias("_large")).distinct(), "shards-large")
     held = propagated(held, quota, rounds)
+    # Rows in the order of their groups; large groups have further buckets of their own.
+    own = buckets(count) + F.pmod(F.xxhash64("group"), F.lit(_GRAIN)) * 64 + F.pmod(F.xxhash64("row", F.lit("part")), F.lit(64))
+    dealt = F.when(F.col("_large").isNull(), F.pmod(F.xxhash64("group", F.lit("slot")), F.lit(buckets(count)))).otherwise(own)
+    by_group = [F.col("group"), F.col("row")]
+    ordered = rows.join(large, rows["group"] == large["_large"], "left").select("row", "group", dealt.alias("dealt"))
 
     # The rows of a group, in any order, take the places that its shards hold.
     before = F.sum("n").over(Window.partitionBy("group").orderBy("shard")) - F.col("n")
     places = held.select(F.col("group").alias("_group"), F.col("shard"), "n", before.alias("_from"))
-    linked = rows.select("row", "group").join(held.select("group").distinct(), "group", "left_semi")
+    linked = ordered.join(held.select("group").distinct(), "group", "left_semi")
     linked = numbered(linked, ["group"], [F.col("row")], hashed, "nth")
     within = (F.col("nth") >= F.col("_from")) & (F.col("nth") < F.col("_from") + F.col("n"))
-    state = linked.join(places, (linked["group"] == places["_group"]) & within).select("row", "shard")
-    placed = numbered(state, ["shard"], [F.col("row")], hashed, "slot")
+    state = linked.join(places, (linked["group"] == places["_group"]) & within)
+    state = state.select("row", "group", "dealt", "shard")
+    placed = numbered(state, ["shard"], by_group, F.col("dealt"), "slot").select("row", "shard", "slot")
     placed = hand_over(placed, "shards-ranked")
     stays = placed.where(F.col("slot") < F.get(_literal(quota, "bigint"), F.col("shard")))
     have = {r["shard"]: r["count"] for r in stays.groupBy("shard").count().collect()}
     taken = [have.get(s, 0) for s in range(shards)]
 
     # The rest fills what is open, shard after shard.
-    rest = rows.select("row").join(stays.select("row"), "row", "left_anti").withColumn("all", F.lit(0))
-    rest = numbered(rest, ["all"], [F.col("row")], hashed, "rank")
+    rest = ordered.join(stays.select("row"), "row", "left_anti").withColumn("all", F.lit(0))
+    rest = numbered(rest, ["all"], by_group, F.col("dealt"), "rank")
     starts = [0]
     for q, t in zip(quota, taken):
         starts.append(starts[-1] + q - t)
