@@ -4,9 +4,10 @@ DataFrame functions only. Every template (a notice or a short phrase) is indexed
 its rarest words, rare by the number of documents that hold them in the whole corpus:
 a posting is (word, template, place in the template). A document's indexed words meet
 the postings; words that stand as far apart as in the template agree on where it would
-begin. A template counts where enough rare words agree and its key phrase stands there
-word for word. For base phrases, which are all key, one rare word is enough, so every
-place of them is found.
+begin. A template counts where its key phrase stands word for word and the rare words of
+the key agree. At least one word of the key is indexed, so every place of a key phrase
+is found, whichever words the corpus makes rare; what stands around it only adds to the
+score. For base phrases, which are all key, one rare word is indexed.
 
 Only documents with an indexed word are looked at further. The index holds some dozen
 words for each of a fixed number of templates.
@@ -29,10 +30,12 @@ from almanack.session import hand_over
 
 #: What stands between words, once A-Z have become a-z.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Words of a template that are indexed, and how many of them must agree on a place.
+#: Words of a template that are indexed, and how many of them must agree on a place, if
+#: its key phrase has as many of them.
 RAREST, AGREEING = 12, 3
 #: Indexed words have at least this share of the inverse document frequency of the
-#: template's rarest word, so that articles and the like are left out.
+#: template's rarest word, so that articles and the like are left out; the rarest word of
+#: the key phrase is always indexed.
 LEAST_IDF = 0.5
 #: Words that one row holds of a document that is looked at further.
 BLOCK = 2_000
@@ -133,6 +136,25 @@ NOTICES = [
         "as is without any express or implied warranty",
     ),
 ]
+# Other usual wordings, all key.
+NOTICES += [
+    Template(label, key, key)
+    for label, keys in {
+        "apache-2.0": ("apache license 2 0", "apache license v2 0", "apache 2 0 license"),
+        "bsd": ("bsd 2 clause", "bsd 3 clause", "bsd license"),
+        "boost": ("boost license 1 0",),
+        "cc-by-nc": ("creative commons attribution noncommercial", "creative commons attribution non commercial"),
+        "cc-by-sa": ("cc by sa", "creative commons attribution share alike"),
+        "cc0": ("cc0 1 0", "creative commons zero"),
+        "gpl-work": ("gnu general public license v3", "gnu gpl version 3", "gnu gpl v3"),
+        "isc": ("isc license",),
+        "mit": ("mit licence",),
+        "mpl-2.0": ("mozilla public license 2 0", "mozilla public license version 2 0", "mozilla public license v2 0"),
+        "unlicense": ("the unlicense",),
+        "zlib": ("zlib license",),
+    }.items()
+    for key in keys
+]
 
 
 def words_of(text: Column) -> Column:
@@ -156,7 +178,10 @@ def index_of(templates: list[Template], documents: int, counts: dict[str, int])
         idf = {w: math.log((1 + documents) / (1 + counts.get(w, 0))) for w in t.words}
         rare = sorted(idf, key=lambda w: (-idf[w], w))[: 1 if t.base else RAREST]
         rare = [w for w in rare if idf[w] >= LEAST_IDF * idf[rare[0]]]
-        need = 1 if t.base else min(AGREEING, len(rare))
+        key = sorted(set(t.key.split()), key=lambda w: (-idf[w], w))
+        if not set(key) & set(rare):
+            rare.append(key[0])
+        need = 1 if t.base else min(AGREEING, len(set(key) & set(rare)))
         postings += [(w, number, i, need, len(rare)) for i, w in enumerate(t.words) if w in rare]
     return postings
 
