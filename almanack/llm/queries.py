@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from almanack.llm import (
     exact_dedup,
+    fill_in_middle,
     language_id,
     language_model,
     license_scan,
@@ -16,6 +17,7 @@ from almanack.llm import (
     quality_rules,
     sentencepiece,
     sharding,
+    spelling,
 )
 from almanack.llm.tables import fold, read, with_column
 
@@ -93,6 +95,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, v = fill_in_middle.transformed(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    output, form = F.col(v)["output"], F.col(v)["form"]
+    return found.select(
+        "doc_id",
+        F.col(v)["n"].alias("n"),
+        form.alias("form"),
+        F.col(v)["prefix_units"].alias("prefix_chars"),
+        F.col(v)["middle_units"].alias("middle_chars"),
+        F.sha2(output.cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(output, form).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
@@ -104,4 +124,6 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
