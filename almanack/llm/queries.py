@@ -18,6 +18,7 @@ from almanack.llm import (
     sentencepiece,
     sharding,
     spelling,
+    suffix_dedup,
 )
 from almanack.llm.tables import fold, read, with_column
 
@@ -113,6 +114,17 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, v = suffix_dedup.cleaned(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col(v)["n_bytes"].alias("n_bytes"),
+        F.col(v)["n_removed"].alias("n_removed"),
+        F.size(F.col(v)["spans"]).cast("long").alias("n_spans"),
+        F.sha2(F.col(v)["kept"], 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
@@ -126,4 +138,5 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
