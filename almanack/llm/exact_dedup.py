@@ -1,17 +1,17 @@
 """Exact duplicates by 128-bit content hash, with the bytes compared.
 
-Documents are grouped by a 128-bit hash of their text without white space. Inside a
-group the normalised texts are compared byte by byte through their smallest and
-largest value: both are equal only if all are. These aggregates combine on the map
-side, so a group of any size reaches a reducer as one row per map task, and the hot
-group's texts never meet in one place. Groups whose bytes differ (a collision) are
-split by the text itself.
+Documents are grouped by a 128-bit hash of their text without white space; only hash,
+length and id are shuffled. Texts travel for hashes that occur twice or more, to have
+their bytes compared through the smallest and the largest of a group: both are equal
+only if all are. All aggregates combine on the map side, so a group of any size reaches
+a reducer as one row for each map task and distinct id. Groups whose bytes differ (a
+collision) are split by the text itself.
 
 Defined cases: a null text counts as empty; empty texts are equal to each other. Of
-equal texts the one with the most code points in the original stays, then the
-smallest id; null ids come last. Rows that repeat id and text of the one that stays
-are all marked as staying, and group_size counts rows. Further columns are kept.
-An empty table gives an empty result.
+equal texts exactly one row stays: the one with the most code points in the original,
+then the smallest id (null ids come last), and of rows that are alike in both any one,
+picked by a row number. group_size counts rows. All columns are kept. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanack.llm.tables import text_of
+from almanack.llm.tables import BROADCAST_IDS, numbered_alike, text_of
 from almanack.session import hand_over
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -37,13 +37,16 @@ def hash128(text: Column) -> Column:
 
 
 def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
-    best = F.struct(-F.col("_points"), F.col("_id").isNull(), F.col("_id").alias("id"))
-    return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_size"),
-        F.min(best)["id"].alias("_keep"),
-        F.min("_norm").alias("_low"),
-        F.max("_norm").alias("_high"),
-    )
+    """Of each group of two rows or more: size, best length and id, and how many rows have both."""
+    alike = rows.groupBy(*keys, "_points", "_id").agg(F.count(F.lit(1)).alias("_rows"))
+    best = F.min(F.struct((-F.col("_points")).alias("less"), F.col("_id").isNull().alias("none"), "_id", "_rows"))
+    groups = alike.groupBy(*keys).agg(F.sum("_rows").alias("_size"), best.alias("_best"))
+    return groups.where(F.col("_size") > 1)
+
+
+def _few(table: DataFrame) -> DataFrame:
+    """Broadcast if it has few rows (of some 60 bytes); else texts move to it."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
 
 
 def grouped(
@@ -59,32 +62,43 @@ def grouped(
     rows = docs.select(
         F.col(doc_id).alias("_id"), F.char_length(text_of(text)).alias("_points"), norm.alias("_norm")
     ).withColumn("_hash", content_hash(F.col("_norm")))
-    verdict = F.struct(
-        F.col("_keep").alias("keep_id"),
-        F.col("_size").cast("long").alias("group_size"),
-        F.col("_sha").alias("text_sha256"),
-    ).alias("_verdict")
-    groups = hand_over(
-        _groups(rows, ["_hash"]).select(
-            "_hash", "_keep", "_size", F.sha2("_low", 256).alias("_sha"), (F.col("_low") != F.col("_high")).alias("_split")
-        ),
-        "exact-groups",
-    )
-    keyed = docs.withColumn(name, content_hash(norm))
-    plain = groups.where(~F.col("_split")).select("_hash", verdict)
-    found = keyed.join(plain, keyed[name] == plain["_hash"]).drop("_hash")
-    if not groups.where("_split").isEmpty():
-        split = groups.where("_split").select("_hash")
+    groups = hand_over(_groups(rows.drop("_norm"), ["_hash"]), "exact-groups")
+    held = _few(groups.select("_hash"))
+    texts = rows.join(held, "_hash", "left_semi").groupBy("_hash")
+    texts = texts.agg(F.min("_norm").alias("low"), F.max("_norm").alias("high"))
+    split = hand_over(texts.where(F.col("low") != F.col("high")).select("_hash"), "exact-split")
+
+    own = F.struct(F.struct(*docs.columns).alias("doc"), F.col(doc_id).alias("_id"), F.char_length(text_of(text)).alias("_points"))
+    keyed = docs.select(own.alias("own"), norm.alias("_norm")).withColumn("_hash", content_hash(F.col("_norm")))
+    keyed = keyed.withColumn("_sha", F.sha2(F.col("_norm").cast("binary"), 256))
+    if split.isEmpty():
+        found = keyed.drop("_norm").join(_few(groups), "_hash", "left")
+    else:
+        plain = keyed.join(split, "_hash", "left_anti").drop("_norm").join(groups, "_hash", "left")
         apart = _groups(rows.join(split, "_hash", "left_semi"), ["_hash", "_norm"])
-        apart = apart.select("_hash", "_norm", "_keep", "_size", F.sha2("_norm", 256).alias("_sha"))
-        apart = apart.select("_hash", "_norm", verdict)
-        more = keyed.join(apart, (keyed[name] == apart["_hash"]) & (norm == apart["_norm"])).drop("_hash", "_norm")
-        found = found.unionByName(more)
-    kept = F.col(doc_id).eqNullSafe(F.col("_verdict.keep_id"))
-    return found.withColumn(name, F.col("_verdict").withField("kept", kept)).drop("_verdict"), name
+        found = keyed.join(split, "_hash", "left_semi").join(apart, ["_hash", "_norm"], "left").drop("_norm")
+        found = plain.unionByName(found)
+    alone = F.col("_best").isNull()
+    best = F.col("own._points") == -F.col("_best.less")
+    best = best & F.col("own._id").eqNullSafe(F.col("_best._id"))
+    found = found.select(
+        F.col("own.doc").alias("doc"),
+        "_sha",
+        F.when(alone, F.col("own._id")).otherwise(F.col("_best._id")).alias("keep_id"),
+        F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
+        (alone | best).alias("kept"),
+        (~alone & best & (F.col("_best._rows") > 1)).alias("tied"),
+    )
+    tied = groups.where(F.col("_best._rows") > 1)
+    if not (tied.isEmpty() and split.isEmpty()):
+        first = numbered_alike(found.where("tied"), ["_sha"], "exact-tied", "_number")
+        first = first.withColumn("kept", F.col("_number") == 0).drop("_number")
+        found = found.where("NOT tied").unionByName(first)
+    verdict = F.struct("keep_id", "group_size", "kept", F.col("_sha").alias("text_sha256")).alias(name)
+    return found.select(*[F.col("doc")[c].alias(c) for c in docs.columns], verdict), name
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents that stay, with their own columns."""
+    """The documents that stay, with their own columns: one row of each text."""
     found, name = grouped(docs, text, doc_id)
     return found.where(F.col(name)["kept"]).drop(name)

@@ -19,10 +19,15 @@ unless both are known to be connected, so components are those of all links that
 bands find. At a similarity of 0.75 a link escapes all 32 bands
 with a probability of 5 in a million.
 
-Defined cases: null and empty texts have an empty set, no links and themselves as
-component; fewer words than five count as one shingle. Rows that repeat an id are each
-judged by their own text. Rows without an id take no part in linking and are kept.
-Further columns are not read. An empty table gives no rows.
+A node is a set, known by a 128-bit fingerprint, so two texts under one id are two nodes.
+Of a component one text stays: that of the smallest id, then the smallest fingerprint,
+then the smallest hash of the text.
+
+Defined cases: null and empty texts have an empty set, no links, themselves as component
+and stay; fewer words than five count as one shingle. Ids may be of any type that has an
+order and may repeat: each row is judged by its own text, rows that repeat id and text
+alike (`deduplicate` lets one of them stay). Rows without an id take no part in linking
+and stay. Further columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,21 +41,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_batches, only_ids
+from almanack.llm.tables import BROADCAST_IDS, bounded_batches, numbered_alike, text_of
 from almanack.session import hand_over
 
 WORDS, BUCKETS, ROWS = 5, 128, 4
 MANTISSA = 10
 #: A link needs 100 * |intersection| >= PERCENT * |union|.
 PERCENT = 75
-#: Pairs estimated below this are not verified: 4.4 standard errors under 0.75.
-ESTIMATE = 0.58
+#: Pairs of the bands estimated below this are not verified: 5.2 standard errors under 0.75.
+ESTIMATE = 0.55
 #: In buckets of more nodes and several components, pairs are found by rare shingles.
 MANY = 48
 #: Sets whose shingles are counted together.
 BLOCK = 256
 _COUNTED = "block bigint, shingle bigint, sets bigint, low bigint, high bigint"
-_PLACED = "shingle bigint, node bigint, part bigint, n bigint, place bigint"
+_PLACED = "shingle bigint, node binary, part bigint, n bigint, place bigint"
 
 _PLACE = X.mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 _SIGNATURE = "n_shingles bigint, fingerprint binary, registers binary, bands array<bigint>"
@@ -205,22 +210,25 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+def _few(table: DataFrame) -> DataFrame:
+    """Broadcast if it has few rows (of some 60 bytes); else the other side moves to it."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+
+def _judged(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """One row per document: doc_id, key (a hash of the text), n_shingles, component_id, kept."""
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    signed = rows.select("doc_id", signature(F.col("text")).alias("s")).select("doc_id", "s.*")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_of(text)).alias("key"), F.col(text).alias("text"))
+    signed = rows.select("doc_id", "key", signature(F.col("text")).alias("s")).select("doc_id", "key", "s.*")
     signed = hand_over(signed, "signatures")
 
+    # Each set and the row that stands for it.
     known = signed.where(F.col("doc_id").isNotNull() & F.col("fingerprint").isNotNull())
-    sets = known.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
-    sets = hand_over(sets, "sets")
-    mine = (F.col("fingerprint") == F.col("f")) & (F.col("doc_id") == F.col("node"))
-    nodes = known.join(sets.withColumnRenamed("fingerprint", "f"), mine).groupBy("fingerprint").agg(
-        F.first("node").alias("node"),
-        F.first("n_shingles").alias("n"),
-        F.first("registers").alias("registers"),
-        F.first("bands").alias("bands"),
+    sets = known.groupBy(F.col("fingerprint").alias("node")).agg(F.min(F.struct("doc_id", "key")).alias("rep"))
+    sets = hand_over(sets.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.key").alias("rep_key")), "sets")
+    stands = (F.col("fingerprint") == F.col("node")) & (F.col("doc_id") == F.col("rep_id")) & (F.col("key") == F.col("rep_key"))
+    nodes = known.join(sets, stands).groupBy("node").agg(
+        F.first("n_shingles").alias("n"), F.first("registers").alias("registers"), F.first("bands").alias("bands")
     )
     nodes = hand_over(nodes, "nodes")
     sketch = nodes.select("node", "n", "registers")
@@ -230,7 +238,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     shared = hand_over(bands.join(hubs, "band"), "buckets")
     to_hub = shared.where(F.col("hub") != F.col("node")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
     to_hub = hand_over(_likely(sketch, to_hub.distinct()), "pairs-hub")
-    first = hand_over(_verified(to_hub, _full_sets(rows, _ends(to_hub))), "links-hub")
+    first = hand_over(_verified(to_hub, _full_sets(rows, sets, _ends(to_hub))), "links-hub")
     parts = components(first, "a", "b")
 
     # Buckets that still hold several components.
@@ -246,24 +254,37 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     across = few.withColumnRenamed("node", "a").join(other, "band")
     across = across.where((F.col("a") < F.col("b")) & (F.col("part") != F.col("part_b"))).select("a", "b").distinct()
     across = hand_over(_likely(sketch, across), "pairs-across")
-    crowd = hand_over(left.where(F.col("size") > MANY).select("node", "part").distinct(), "crowd")
-    full = _full_sets(rows, _ends(across).unionByName(crowd.select(F.col("node").alias("doc_id"))))
-    second = _verified(across.unionByName(_likely(sketch, by_rarest(full, crowd))), full)
+    crowd = left.where(F.col("size") > MANY).select("node", F.xxhash64("part").alias("part")).distinct()
+    crowd = hand_over(crowd, "crowd")
+    full = _full_sets(rows, sets, _ends(across).unionByName(crowd.select("node")))
+    second = _verified(across.unionByName(by_rarest(full, crowd)), full)
     second = hand_over(second, "links-across")
     if not second.isEmpty():
         parts = components(first.unionByName(second), "a", "b")
 
-    member = signed.join(sets, "fingerprint", "left").select("doc_id", "n_shingles", "node")
-    found = member.join(parts, "node", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
+    # The row that stands for each component, or for a set without links.
+    labelled = hand_over(sets.join(parts, "node", "left").withColumn("part", part), "labels-all")
+    best = F.min(F.struct("rep_id", "node", "rep_key")).alias("best")
+    stays = labelled.groupBy("part").agg(best)
+    verdict = labelled.select("node", "part").join(stays, "part").select("node", "best")
+    found = signed.join(verdict, signed["fingerprint"] == verdict["node"], "left")
+    linked = F.col("doc_id").isNotNull() & F.col("best").isNotNull()
+    chosen = (F.col("doc_id") == F.col("best.rep_id")) & (F.col("key") == F.col("best.rep_key"))
+    chosen = chosen & (F.col("fingerprint") == F.col("best.node"))
     return found.select(
         "doc_id",
+        "key",
         "n_shingles",
-        own.alias("component_id"),
-        F.col("doc_id").eqNullSafe(own).alias("kept"),
+        F.when(linked, F.col("best.rep_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(linked, chosen).otherwise(F.lit(True)).alias("kept"),
     )
 
 
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    return _judged(docs, text, doc_id).drop("key")
+
+
 def _sets_of(table: pa.Table) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), np.int64) for x in table["set"]]
 
@@ -303,7 +324,7 @@ def _first_places(held: pa.Table, met: pa.Table) -> pa.Table:
         out["place"] += place[good].tolist()
         for name, value in (("node", node), ("part", part), ("n", n)):
             out[name] += [value] * int(good.sum())
-    return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
+    return pa.table({c: pa.array(v, pa.binary() if c == "node" else pa.int64()) for c, v in out.items()})
 
 
 def by_rarest(full: DataFrame, crowd: DataFrame) -> DataFrame:
@@ -314,7 +335,7 @@ def by_rarest(full: DataFrame, crowd: DataFrame) -> DataFrame:
     holds comes first, so a set that shares no more than a common passage is out at
     once; the places of the shared shingle bound what two sets can still have in common.
     """
-    held = full.join(crowd, full["doc_id"] == crowd["node"]).select("node", "part", "set")
+    held = full.join(crowd, "node").select("node", "part", "set")
     blocks = max(1, -(-crowd.count() // BLOCK))
     held = held.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks)))
     # Blocks of sets count their shingles first: a passage is a few rows for each.
@@ -337,8 +358,24 @@ def by_rarest(full: DataFrame, crowd: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents that stay, with their own columns."""
-    return only_ids(docs, doc_id, near_duplicates(docs, text, doc_id).where("kept").select("doc_id"), True)
+    """The documents that stay, with their own columns: one row of each component."""
+    judged = hand_over(_judged(docs, text, doc_id), "near-verdicts")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(doc_id).alias("id"), F.xxhash64(text_of(text)).alias("key"))
+    pairs = lambda df: df.select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"))
+    same = F.col("id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k"))
+    gone = hand_over(pairs(judged.where("NOT kept")).distinct(), "near-gone")
+    left = rows.join(_few(gone), same, "left_anti")
+    linked = judged.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL")
+    again = linked.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    again = hand_over(pairs(again), "near-repeated")
+    if not again.isEmpty():
+        first = numbered_alike(left.join(again, same, "left_semi"), ["id", "key"], "near-repeated", "number")
+        left = left.join(again, same, "left_anti").unionByName(first.where("number = 0").drop("number"))
+    return left.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+
+
+def _sized() -> Column:
+    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT
 
 
 def _likely(sketch: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -346,24 +383,28 @@ def _likely(sketch: DataFrame, pairs: DataFrame) -> DataFrame:
     side = lambda c: sketch.select(
         F.col("node").alias(c), F.col("registers").alias(f"r{c}"), F.col("n").alias(f"n{c}")
     )
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    sized = both.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
-    return sized.withColumn("e", _estimate("ra", "rb", "na", "nb")).where(F.col("e") >= ESTIMATE).select("a", "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_sized())
+    return both.withColumn("e", _estimate("ra", "rb", "na", "nb")).where(F.col("e") >= ESTIMATE).select("a", "b")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
 
 
-def _full_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    full = only_ids(rows, "doc_id", wanted).select("doc_id", _set_bytes("text").alias("set"))
-    return hand_over(full, "full-sets")
+def _full_sets(rows: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, set) of the wanted nodes, each from the row that stands for it."""
+    ids = hand_over(sets.join(wanted.distinct(), "node").select("node", "rep_id", "rep_key"), "wanted")
+    same = (F.col("doc_id") == F.col("rep_id")) & (F.col("key") == F.col("rep_key"))
+    full = rows.join(_few(ids), same).select("node", _set_bytes("text").alias("set"))
+    full = hand_over(full, "full-sets")
+    # Rows that repeat id and text stand for their set together; one is enough.
+    return full if full.count() == ids.count() else full.groupBy("node").agg(F.first("set").alias("set"))
 
 
 def _verified(likely: DataFrame, full: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    left = full.select(F.col("doc_id").alias("a"), F.col("set").alias("sa"))
-    right = full.select(F.col("doc_id").alias("b"), F.col("set").alias("sb"))
-    both = likely.join(left, "a").join(right, "b").withColumn("shared", _shared("sa", "sb"))
-    union = (F.octet_length("sa") + F.octet_length("sb")) / 8 - F.col("shared")
+    left = full.select(F.col("node").alias("a"), F.col("set").alias("sa"), (F.octet_length("set") / 8).alias("na"))
+    right = full.select(F.col("node").alias("b"), F.col("set").alias("sb"), (F.octet_length("set") / 8).alias("nb"))
+    both = likely.join(left, "a").join(right, "b").where(_sized()).withColumn("shared", _shared("sa", "sb"))
+    union = F.col("na") + F.col("nb") - F.col("shared")
     return both.where(F.col("shared") * 100 >= union * PERCENT).select("a", "b").distinct()

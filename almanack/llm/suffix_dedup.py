@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_batches, buckets, numbered, text_of
+from almanack.llm.tables import bounded_batches, numbered_alike, text_of
 from almanack.session import hand_over
 
 LENGTH, ANCHOR = 100, 24
@@ -452,12 +452,10 @@ def cleaned(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length:
     found = met.select("doc", "id", "fp", verdict.alias(name))
 
     again = rows.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    again = hand_over(again.select(F.col("id").alias("_i"), F.col("fp").alias("_f"), "rows"), "repeated-rows")
+    again = hand_over(again.select(F.col("id").alias("_i"), F.col("fp").alias("_f")), "repeated-rows")
     if not again.isEmpty():
         same = F.col("id").eqNullSafe(F.col("_i")) & (F.col("fp") == F.col("_f"))
-        part = buckets(again.agg(F.sum("rows")).first()[0])
-        rest = hand_over(found.join(again, same, "left_semi").withColumn("lot", F.floor(F.rand(1) * part)), "repeated-rows")
-        rest = numbered(rest, ["id", "fp"], [F.lit(0)], F.col("lot"), "number")
+        rest = numbered_alike(found.join(again, same, "left_semi"), ["id", "fp"], "repeated-rows", "number")
         whole = F.array(F.struct(F.lit(0).alias("begin"), F.col(name)["n_bytes"].cast("int").alias("end")))
         copy = F.col(name).withField("n_removed", F.col(name)["n_bytes"]).withField("spans", whole)
         copy = copy.withField("kept", F.lit(b""))

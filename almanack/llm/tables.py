@@ -102,6 +102,15 @@ def numbered(
     return out.select(*[F.col(c) for c in df.columns if c != "_bucket"], (F.col("_own") + F.col("_before")).alias(name))
 
 
+def numbered_alike(df: DataFrame, by: list[str], purpose: str, name: str) -> DataFrame:
+    """Numbers each key's rows from 0, whichever comes first, also rows that nothing tells
+    apart: they are dealt out by chance and written before they are numbered, so that a
+    task which runs again sees the same."""
+    drawn = hand_over(df.withColumn("_lot", F.rand(1)), purpose)
+    lots = buckets(drawn.count())
+    return numbered(drawn, by, [F.col("_lot")], F.floor(F.col("_lot") * lots), name).drop("_lot")
+
+
 def buckets(count: int) -> int:
     return max(1, -(-count // RANK_ROWS))
 

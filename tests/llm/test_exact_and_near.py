@@ -42,6 +42,28 @@ def test_colliding_hashes_are_told_apart(spark, awkward, bits):
     assert got == brute_exact(awkward)
 
 
+def test_exactly_one_row_of_each_text_stays(spark, awkward):
+    rows = [*awkward, (5, "a b c"), (5, "abc"), (7, "zz"), (7, "zz"), (7, "z z"), (None, "q"), (None, "q"), *[(9, "hot")] * 50]
+    df = frame(spark, rows)
+    left = [re.sub(r"[\x20\x09-\x0D]", "", r["text"] or "") for r in exact_dedup.deduplicate(df).collect()]
+    assert sorted(left) == sorted({re.sub(r"[\x20\x09-\x0D]", "", t or "") for _, t in rows})
+    found, name = exact_dedup.grouped(df)
+    got = [(r["doc_id"], r["text"], r[name]["kept"]) for r in found.collect()]
+    assert sorted(k for i, t, k in got if (i, t) == (5, "abc")) == [False]
+    assert sorted(k for i, t, k in got if i == 7 and t == "z z") == [True]
+    assert sum(k for i, t, k in got if t == "hot") == 1 and len(got) == len(rows)
+    weak = lambda c: F.lit("same").cast("binary")
+    found, name = exact_dedup.grouped(df, content_hash=weak)
+    assert found.where(F.col(name)["kept"]).count() == len(left)
+
+
+def test_single_texts_are_not_shuffled(spark):
+    """Beside ids and hashes only texts that occur twice are moved, and few verdicts are broadcast."""
+    found, name = exact_dedup.grouped(frame(spark, [(i, f"text {i // 2}") for i in range(100)]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_exact_keeps_columns_of_any_name(spark):
     df = frame(spark, [(1, "a"), (2, "a"), (3, "b")]).withColumn("kept", F.lit("x")).withColumn("keep_id", F.lit(7))
     left = exact_dedup.deduplicate(df)
@@ -58,20 +80,23 @@ def shingles(text):
 
 
 def brute_near(rows):
+    """Rows are nodes of their own, linked also to rows of equal sets."""
     sets = [(i, shingles(t)) for i, t in rows if i is not None]
-    parent = {i: i for i, _ in sets}
+    parent = list(range(len(sets)))
 
-    def top(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
+    def top(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
 
-    for k, (i, a) in enumerate(sets):
-        for j, b in sets[:k]:
-            if a and b and 100 * len(a & b) >= 75 * len(a | b):
-                x, y = sorted((top(i), top(j)))
-                parent[y] = x
-    return {(i, len(s), top(i), top(i) == i) for i, s in sets}
+    for k, (_, a) in enumerate(sets):
+        for j, (_, b) in enumerate(sets[:k]):
+            if a and 100 * len(a & b) >= 75 * len(a | b):
+                parent[top(k)] = top(j)
+    least = {}
+    for k, (i, _) in enumerate(sets):
+        least[top(k)] = min(i, least.get(top(k), i))
+    return sorted((i, len(s), least[top(k)]) for k, (i, s) in enumerate(sets))
 
 
 def edited(text, seed, share):
@@ -83,7 +108,10 @@ def edited(text, seed, share):
 
 
 def near(df):
-    return {tuple(r) for r in near_dedup.near_duplicates(df).where("doc_id is not null").collect()}
+    rows = near_dedup.near_duplicates(df).where("doc_id is not null").collect()
+    for r in rows:  # with one text for each id, this is what staying means
+        assert r["component_id"] == r["doc_id"] or not r["kept"]
+    return sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows)
 
 
 def test_near_matches_brute_force(spark, awkward):
@@ -121,6 +149,33 @@ def test_large_group_of_near_copies(spark):
     assert len({r[2] for r in got}) == 1
 
 
+def test_two_texts_under_one_id_are_two_nodes(spark):
+    x, y, z = prose(11, 90), prose(12, 90), prose(13, 90)
+    rows = [(3, x + " end"), (5, x), (5, y), (6, z), (6, z + " end"), (6, z.upper()), (7, y), (8, "a b c"), (8, "A B C")]
+    df = frame(spark, rows)
+    assert near(df) == brute_near(rows)
+    left = [(r["doc_id"], r["text"]) for r in near_dedup.deduplicate(df).collect()]
+    assert (5, y) in left and (3, x + " end") in left
+    assert sorted(i for i, _ in left) == [3, 5, 6, 8]
+
+
+def test_repeated_rows_leave_once(spark):
+    x, y = prose(11, 90), prose(12, 90)
+    rows = [(5, x), (5, x), (6, x), (7, y), (7, y), (7, y), (8, y + " end"), (9, None), (9, None), (None, x), (None, x)]
+    df = frame(spark, rows)
+    assert near(df) == brute_near(rows)
+    left = [r["doc_id"] for r in near_dedup.deduplicate(df).collect()]
+    assert sorted(map(str, left)) == ["5", "7", "9", "9", "None", "None"]
+
+
+def test_ids_of_any_type(spark):
+    x, y = prose(11, 90), prose(12, 90)
+    df = spark.createDataFrame([("b", x), ("a", x + " end"), ("c", y), ("10", y)], "doc_id string, text string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(df).collect()}
+    assert got == {("b", "a", False), ("a", "a", True), ("c", "10", False), ("10", "10", True)}
+    assert {r["doc_id"] for r in near_dedup.deduplicate(df).collect()} == {"a", "10"}
+
+
 def test_near_dedup_keeps_one_and_all_columns(spark):
     base = prose(3, 100)
     df = frame(spark, [(1, base), (2, base + " end"), (3, prose(4, 100)), (None, base)])
