@@ -4,6 +4,8 @@ A byte goes if a string of `LENGTH` bytes that covers it also starts earlier (in
 document with a smaller id, or earlier in the same one). Every such string is the
 beginning of a suffix, so equal strings are neighbours once suffixes are sorted.
 
+* **Copies.** Of documents with equal texts (by 128-bit hash, with the bytes compared) all
+  but the first are repeated whole and take no further part.
 * **Anchors.** The string at each position (a window) has an anchor: of the `ANCHOR`
   bytes long strings inside it the one with the smallest hash, the first of several.
   Equal windows have equal anchors at the same place, so only windows that share an
@@ -16,7 +18,7 @@ beginning of a suffix, so equal strings are neighbours once suffixes are sorted.
   order of all neighbours is then checked on the bytes themselves; where a hash
   collision has spoilt it, those suffixes are sorted by their bytes. Of equal windows
   all but the first are repeated.
-* **Hot anchors** (a passage that very many documents share) are dealt out by document
+* **Hot anchors** (a passage that very many documents share) are dealt out by place
   in chunks of bounded size. What is first in its chunk goes on as single windows,
   grouped by content, so that a second sort sees each window once per chunk.
 
@@ -43,12 +45,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_batches, numbered_alike, text_of
+from almanack.llm.tables import BROADCAST_IDS, bounded_batches, numbered_alike, text_of
 from almanack.session import hand_over
 
-LENGTH, ANCHOR = 100, 24
+LENGTH, ANCHOR = 100, 32
 #: Pieces that one group sorts on average, and beyond which an anchor is dealt out.
-GROUP = CHUNK = 20_000
+GROUP, CHUNK = 20_000, 4_000
 #: Spans (some 100 bytes each in memory) that may be broadcast; more meet the texts by shuffle.
 BROADCAST_SPANS = 500_000
 #: Bytes of a long text whose windows are looked at together.
@@ -395,7 +397,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     if total // CHUNK <= BROADCAST_SPANS:  # that many anchors can be hot
         crowds = F.broadcast(crowds)
     parts = parts.join(crowds, "m", "left").withColumn("hot", F.col("chunks").isNotNull())
-    chunk = F.coalesce(F.pmod(F.xxhash64("id", "fp"), F.col("chunks")), F.lit(0))
+    chunk = F.coalesce(F.pmod(F.xxhash64("id", "fp", "start"), F.col("chunks")), F.lit(0))
     schema = f"id {kind}, fp bigint, start int, size int, piece binary"
 
     def sorted_by(frame: DataFrame, key: Column, groups: int) -> DataFrame:
@@ -413,6 +415,28 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     return hand_over(_merged(gone.select("id", "fp", "start", "size"), length - 1), "spans")
 
 
+def copies(rows: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
+    """Of rows (id, fp, text): those to go on with, and (id, fp, begins, ends) of texts that
+    an earlier row has as a whole."""
+    long = rows.where(F.octet_length("text") >= length)
+    hashed = F.unhex(F.md5(F.col("text").cast("binary")))
+    narrow = long.select("id", "fp", F.octet_length("text").alias("size"), hashed.alias("hash"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first")
+    groups = narrow.groupBy("hash").agg(F.count(F.lit(1)).alias("rows"), first).where("rows > 1")
+    groups = hand_over(groups.select(F.col("hash").alias("_hash"), F.col("first.id").alias("_first")), "copies")
+    few = F.broadcast(groups) if groups.count() <= BROADCAST_IDS else groups
+    same = F.col("hash") == F.col("_hash")
+    texts = long.withColumn("hash", hashed).join(few, same, "left_semi").groupBy("hash")
+    equal = texts.agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low = high").select("hash")
+    groups = hand_over(groups.join(equal, same, "left_semi"), "copies-equal")
+    few = F.broadcast(groups) if groups.count() <= BROADCAST_IDS else groups
+    later = F.col("_hash").isNotNull() & ~F.col("id").eqNullSafe(F.col("_first"))
+    left = rows.withColumn("hash", hashed).join(few, same, "left").where(~later)
+    whole = narrow.join(few, same, "left").where(later).select("id", "fp", "size").distinct()
+    whole = whole.select("id", "fp", F.array(F.lit(0)).alias("begins"), F.array("size").alias("ends"))
+    return left.select(*rows.columns), whole
+
+
 @F.arrow_udf(_CUT)
 def _cut(column: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
     size, gone, kept = [], [], []
@@ -441,7 +465,8 @@ def cleaned(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length:
     column's name, which no other column has."""
     name = f"_{uuid.uuid4().hex[:12]}"
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text_of(text)).alias("fp"), text_of(text).alias("text"))
-    spans = repeated_spans(rows, length)
+    rest, whole = copies(rows, length)
+    spans = hand_over(repeated_spans(rest, length).unionByName(whole), "all-spans")
     keyed = docs.select(F.struct(*docs.columns).alias("doc"), F.col(doc_id).alias("id"), F.xxhash64(text_of(text)).alias("fp"))
     met = _meet(keyed, spans, "left")
     body = F.coalesce(F.col("doc")[text], F.lit(""))
