@@ -189,25 +189,30 @@ def _shared(sa: pa.Array, sb: pa.Array) -> pa.Array:
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node that each linked node reaches.
 
-    Labels spread along links and jump to their label's label, so that long chains
-    shorten by powers; each round is written to the shared folder.
+    Each round points every node to its smallest neighbour (and on to that one's),
+    then keeps only links between different ends, drawn between the nodes pointed to. A
+    star is gone after two rounds, a long chain shrinks by a factor each round. What a
+    round leaves is written to the shared folder.
     """
-    spark = links.sparkSession
-    both = links.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-    both = hand_over(both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "links")
-    labels = both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("other"))
-    labels = labels.select("node", F.least("node", "other").alias("component"))
-    labels = hand_over(labels, "labels")
+    ends = links.select(F.least(a, b).alias("low"), F.greatest(a, b).alias("high"))
+    edges = hand_over(ends.where(F.col("low") != F.col("high")).distinct(), "links")
+    found = None
     while True:
-        sent = both.join(labels, both["src"] == labels["node"]).select(F.col("dst").alias("node"), "component")
-        least = sent.groupBy("node").agg(F.min("component").alias("seen"))
-        new = labels.join(least, "node").select("node", "component", F.least("component", "seen").alias("now"))
-        jump = labels.select(F.col("node").alias("now"), F.col("component").alias("far"))
-        new = new.join(jump, "now").select("node", F.least("now", "far").alias("now"), F.col("component").alias("before"))
-        new = hand_over(new, "labels")
-        labels = new.select("node", F.col("now").alias("component"))
-        if new.where(F.col("now") != F.col("before")).isEmpty():
-            return labels
+        to = F.inline(F.array(*[F.struct(F.col(c).alias("node"), F.col("low").alias("to")) for c in ("high", "low")]))
+        least = hand_over(edges.select(to).groupBy("node").agg(F.min("to").alias("to")), "labels")
+        step = least.select(F.col("node").alias("to"), F.col("to").alias("far"))
+        least = hand_over(least.join(step, "to").select("node", F.col("far").alias("to")), "labels")
+        if found is None:
+            found = least.withColumnRenamed("to", "component")
+        else:
+            found = found.join(least.withColumnRenamed("node", "component"), "component", "left")
+            found = hand_over(found.select("node", F.coalesce("to", "component").alias("component")), "labels")
+        low, high = (least.select(F.col("node").alias(c), F.col("to").alias(f"new_{c}")) for c in ("low", "high"))
+        edges = edges.join(low, "low").join(high, "high")
+        edges = edges.select(F.least("new_low", "new_high").alias("low"), F.greatest("new_low", "new_high").alias("high"))
+        edges = hand_over(edges.where(F.col("low") != F.col("high")).distinct(), "links")
+        if edges.isEmpty():
+            return found
 
 
 def _few(table: DataFrame) -> DataFrame:
