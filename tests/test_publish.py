@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +133,64 @@ def test_publishing_the_model(spark, gold, tmp_path):
         G.register_gold(spark, root)
 
 
+def test_registration_moves_names_in_place(spark, gold, tmp_path):
+    """A reader in a loop always finds the name; a broken pointer leaves the old table."""
+    root = str(tmp_path)
+    G.publish_gold(spark, gold, root)
+    G.register_gold(spark, root, "p_")
+    seen, failed, stop = [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(spark.newSession().sql("SELECT COUNT(*) FROM p_fact_demand").first()[0])
+            except Exception as error:  # noqa: BLE001
+                if "TABLE_OR_VIEW_NOT_FOUND" in str(error):
+                    failed.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        only = gold | {"fact_demand": gold["fact_demand"].where("year(date) = 2019")}
+        for model in (only, gold, only):
+            G.publish_gold(spark, model, root)
+            G.register_gold(spark, root, "p_")
+    finally:
+        stop.set()
+        reader.join()
+    assert not failed and seen
+    assert spark.sql("SELECT COUNT(*) FROM p_fact_demand").first()[0] == 12
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS p_fact_demand").collect()] == ["year=2019"]
+
+    good = T.current_tables(spark, root)["fact_demand"]
+    T.commit(spark, root, [good | {"location": f"{root}/fact_demand/nowhere"}])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        G.register_gold(spark, root, "p_")
+    assert spark.sql("SELECT COUNT(*) FROM p_fact_demand").first()[0] == 12
+
+    # A failure half way puts back what was changed already.
+    T.commit(spark, root, [good])
+    G.publish_gold(spark, gold, root)
+    state = T._registered(spark, "p_fact_demand", ["year"])
+    parts = {"`year` = 2019": f"{root}/x", "`year` = 2020": f"{root}/y", "`nonsense` = 1": f"{root}/z"}
+    with pytest.raises(Exception, match="nonsense"):
+        T._switch(spark, "p_fact_demand", ["year"], f"{root}/w", parts)
+    assert T._registered(spark, "p_fact_demand", ["year"]) == state
+    assert spark.sql("SELECT COUNT(*) FROM p_fact_demand").first()[0] == 12
+
+
+def test_registered_columns_may_grow_at_the_end_only(spark, tmp_path):
+    root, wide = str(tmp_path), "id bigint, more string"
+    for run, schema in (("r1", "id bigint"), ("r2", wide)):
+        df = spark.createDataFrame([(1, "x")][:1], wide).select(*[c.split()[0] for c in schema.split(", ")])
+        T.commit(spark, root, [{"table": "wide", "location": T.write_snapshot(df, root, "wide", run)}])
+        assert T.register_tables(spark, root, {"wide": df.schema}, "q_") == ["q_wide"]
+    assert spark.table("q_wide").first().asDict() == {"id": 1, "more": "x"}
+    with pytest.raises(T.SchemaChanged):
+        T.register_tables(spark, root, {"wide": spark.createDataFrame([], "more string, id bigint").schema}, "q_")
+    assert spark.table("q_wide").count() == 1
+
+
 def test_result_schema(spark):
     assert T.result_schema(spark.range(1).selectExpr("id", "cast(1 as decimal(5,2)) AS d")) == [
         ("id", "bigint"),
