@@ -10,7 +10,8 @@ SPLIT = "TIMESTAMP '2000-01-01'"
 
 
 def _sum(column: str) -> str:
-    return f"SUM(CAST({column} AS DOUBLE))"
+    """The exact sum (no measure has more than six decimals) as a double."""
+    return f"CAST(SUM(CAST({column} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def _avg(column: str) -> str:
@@ -18,9 +19,15 @@ def _avg(column: str) -> str:
 
 
 def _round(expression: str, digits: int) -> str:
-    """Half away from zero on the decimal text of the value, free of last-place noise."""
-    steady = f"CAST(printf('%.12e', CAST({expression} AS DOUBLE)) AS DOUBLE)"
-    return f"CAST(ROUND(CAST(CAST({steady} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+    """ROUND, half away from zero on the decimal text of the double (DuckDB's own works on
+    its binary value, so that it takes 2.675 for less than it reads)."""
+    text = f"CAST(CAST({expression} AS DOUBLE) AS VARCHAR)"
+    return f"CAST(ROUND(CAST({text} AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
+
+def _units(column: str) -> str:
+    """Exact sum in ten-thousandths."""
+    return f"CAST(SUM(CAST({column} AS DECIMAL(18,4))) * 10000 AS BIGINT)"
 
 
 def _change(first: str, latest: str) -> str:
@@ -974,6 +981,17 @@ def oracle() -> dict[str, str]:
                 for name, scale in (("small", "1e-12"), ("large", "1e21"))
             )
         ),
+        "published_wide_range": _on_marts(
+            f"""SELECT 'total' AS kind, entity_code AS name, CAST(g.year AS BIGINT) AS period, units, true AS within
+            FROM (SELECT entity_code, year, {_units("generation_twh")} AS units
+                  FROM fact_generation JOIN dim_energy_series USING (series_key) JOIN dim_date USING (date)
+                  WHERE NOT is_aggregate_series AND series_name <> 'Net imports' AND year < {T.AS_OF_YEAR}
+                  GROUP BY entity_code, year HAVING COUNT(DISTINCT month_number) = 12) g
+            JOIN annual_demand d USING (entity_code, year)
+            UNION ALL
+            SELECT 'mean', series, CAST(month(date) AS BIGINT), {_units("generation_twh")}, true
+            FROM generation WHERE {_COMPONENTS} GROUP BY series, month(date)"""
+        ),
         "series_list": _on_datasets("SELECT DISTINCT series, is_aggregate_series FROM generation"),
         "component_rows": _on_datasets(
             f"SELECT entity_code, date, series, generation_twh FROM generation WHERE {_COMPONENTS}"

@@ -706,6 +706,45 @@ def annual_sums_wide_range(spark, sf):
     return _union(parts)
 
 
+#: Published values of a wide range agree with exact arithmetic to this part of themselves.
+TOLERANCE = 1e-14
+
+
+@query
+def published_wide_range(spark, sf):
+    """The yearly report with totals near 1e14 and seasonal means near 1e9 (scaled by powers
+    of two, which loses nothing): the exact sum in ten-thousandths before scaling, and
+    whether the published value is that sum within TOLERANCE."""
+    gold = staging.gold(spark, sf)
+    names = {"fact_generation": "generation_twh", "fact_demand": "demand_twh"}
+    total, mean = F.lit(2.0**33), F.lit(2.0**23)
+    scaled = {t: gold[t].withColumn(c, F.col(c) * total) for t, c in names.items()}
+    report = marts.generation_demand_yearly({**gold, **scaled}, AS_OF)
+
+    units = (F.sum(F.col("generation_twh").cast("decimal(18,4)")) * 10_000).cast("bigint").alias("units")
+    components = gold["dim_energy_series"].where("NOT is_aggregate_series").where(F.col("series_name") != S.NET_IMPORTS)
+    lines = gold["fact_generation"].join(components, "series_key", "left_semi")
+    exact = lines.groupBy("entity_code", F.year("date").alias("year")).agg(units)
+    near = lambda value, scale: F.abs(F.col(value) / scale * 10_000 / F.col("units") - 1) <= TOLERANCE
+    totals = report.join(exact, ["entity_code", "year"]).select(
+        F.lit("total").alias("kind"),
+        F.col("entity_code").alias("name"),
+        F.col("year").cast("bigint").alias("period"),
+        "units",
+        near("generation_twh", total).alias("within"),
+    )
+    generation = profiling.components(_generation(spark, sf))
+    season = profiling.seasonality(generation.withColumn("generation_twh", F.col("generation_twh") * mean))
+    month = F.month("date").cast("bigint").alias("month")
+    exact = generation.groupBy(month, "series").agg(units, F.count("generation_twh").alias("rows"))
+    season = season.join(exact, ["month", "series"]).withColumn("sum", F.col("generation_twh") * F.col("rows"))
+    means = season.select(
+        F.lit("mean").alias("kind"), F.col("series").alias("name"), F.col("month").alias("period"), "units",
+        near("sum", mean).alias("within"),
+    )
+    return totals.unionByName(means)
+
+
 # Totals that no report rounds are published with six decimals.
 TOTALS = (
     "annual_generation",

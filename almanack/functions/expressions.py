@@ -19,16 +19,22 @@ def capacity_series_key(name: Column | str) -> Column:
     return series_key(F.concat(F.lit("capacity::"), column))
 
 
-def steady(value: Column | str) -> Column:
-    """A double to 13 significant digits: totals differ in the last places with the
-    order in which partitions arrive."""
-    column = F.col(value) if isinstance(value, str) else value
-    return F.when(column.isNotNull(), F.format_string("%.12e", column).cast("double"))
+#: Part of itself by which a sum of doubles may miss its exact value, depending on the
+#: order of partitions.
+NOISE = 1e-14
 
 
 def rounded(value: Column | str, digits: int) -> Column:
-    """Rounding for published values, the same in whatever order they were added."""
-    return F.round(steady(value), digits)
+    """Rounding for published values: half away from zero, on the double itself.
+
+    A sum that is exactly half a unit may come out a little below it. Where NOISE is less
+    than a thousandth of the published unit, a value that close to half a unit counts as
+    half; larger values are rounded as they are and keep all their digits.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    noise = column * F.lit(NOISE)
+    small = F.abs(noise) < F.lit(10.0 ** -(digits + 3))
+    return F.round(F.when(small, column + noise).otherwise(column), digits)
 
 
 def months_mask(month: Column) -> Column:

@@ -27,6 +27,15 @@ def test_published_totals_do_not_depend_on_order(spark):
     assert len(totals) == 1
 
 
+def test_published_values_keep_all_their_digits(spark):
+    values = [(123456789012345.67, 2, 123456789012345.67), (98765432101.234567, 6, 98765432101.23457), (2.675, 2, 2.68),
+              (-2.5, 0, -3.0), (1e22, 2, 1e22), (1e-12, 6, 0.0), (None, 2, None)]
+    df = spark.createDataFrame([(v[0],) for v in values], "v double").coalesce(1)
+    for digits in {v[1] for v in values}:
+        got = [r[0] for r in df.select(X.rounded("v", digits)).collect()]
+        assert all(got[i] == v[2] for i, v in enumerate(values) if v[1] == digits)
+
+
 def test_month_mask_counts_distinct_months(spark):
     df = spark.createDataFrame([(1,), (1,), (12,), (7,), (None,)], "m int")
     mask = df.agg(X.months_mask(F.col("m")).alias("mask"))
