@@ -233,14 +233,15 @@ def _judged(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     sets = hand_over(sets.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.key").alias("rep_key")), "sets")
     stands = (F.col("fingerprint") == F.col("node")) & (F.col("doc_id") == F.col("rep_id")) & (F.col("key") == F.col("rep_key"))
     nodes = known.join(sets, stands).groupBy("node").agg(
-        F.first("n_shingles").alias("n"), F.first("registers").alias("registers"), F.first("bands").alias("bands")
+        F.first("rep_id").alias("rep_id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"), F.first("bands").alias("bands")
     )
     nodes = hand_over(nodes, "nodes")
     sketch = nodes.select("node", "n", "registers")
-    bands = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other"))
-    hubs = hubs.where(F.col("hub") != F.col("other")).select("band", "hub")
-    shared = hand_over(bands.join(hubs, "band"), "buckets")
+    # The hub is the node of the smallest id: of many edited copies mostly the original.
+    bands = nodes.select("rep_id", "node", F.explode("bands").alias("band"))
+    hubs = bands.groupBy("band").agg(F.min(F.struct("rep_id", "node"))["node"].alias("hub"), F.count(F.lit(1)).alias("n"))
+    hubs = hubs.where("n > 1").select("band", "hub")
+    shared = hand_over(bands.drop("rep_id").join(hubs, "band"), "buckets")
     to_hub = shared.where(F.col("hub") != F.col("node")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
     to_hub = hand_over(_likely(sketch, to_hub.distinct()), "pairs-hub")
     first = hand_over(_verified(to_hub, _full_sets(rows, sets, _ends(to_hub))), "links-hub")
