@@ -50,9 +50,10 @@ from almanack.session import hand_over
 
 LENGTH, ANCHOR = 100, 32
 #: Pieces that one group sorts on average, and beyond which an anchor is dealt out.
-GROUP, CHUNK = 20_000, 4_000
-#: Spans (some 100 bytes each in memory) that may be broadcast; more meet the texts by shuffle.
-BROADCAST_SPANS = 500_000
+GROUP, CHUNK = 8_000, 4_000
+#: Bytes of spans that may be broadcast (100 for each document that has some, 8 for each
+#: span); more meet the texts by shuffle.
+BROADCAST_BYTES = 48_000_000
 #: Bytes of a long text whose windows are looked at together.
 BLOCK = 1 << 21
 
@@ -371,8 +372,8 @@ def _merged(found: DataFrame, reach: int) -> DataFrame:
 def _meet(rows: DataFrame, spans: DataFrame, how: str) -> DataFrame:
     """Texts with the spans of their (id, fp); few spans are broadcast, no text moves."""
     spans = spans.select(F.col("id").alias("_i"), F.col("fp").alias("_f"), "begins", "ends")
-    many = spans.agg(F.sum(F.size("begins"))).first()[0] or 0
-    small = F.broadcast(spans) if many <= BROADCAST_SPANS else spans
+    size = spans.agg(F.sum(100 + 8 * F.size("begins"))).first()[0] or 0
+    small = F.broadcast(spans) if size <= BROADCAST_BYTES else spans
     same = rows["id"].eqNullSafe(F.col("_i")) & (rows["fp"] == F.col("_f"))
     return rows.join(small, same, how).drop("_i", "_f")
 
@@ -394,7 +395,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     parts = texts.select("id", "fp", F.explode(pieces(F.col("text"), F.col("begins"), F.col("ends"), length)).alias("p"))
     parts = parts.select("id", "fp", "p.*")
     crowds = counts.where(F.col("times") > CHUNK).select("m", F.ceil(F.col("times") / CHUNK).alias("chunks"))
-    if total // CHUNK <= BROADCAST_SPANS:  # that many anchors can be hot
+    if total // CHUNK <= BROADCAST_IDS:  # that many anchors can be hot
         crowds = F.broadcast(crowds)
     parts = parts.join(crowds, "m", "left").withColumn("hot", F.col("chunks").isNotNull())
     chunk = F.coalesce(F.pmod(F.xxhash64("id", "fp", "start"), F.col("chunks")), F.lit(0))

@@ -69,7 +69,7 @@ def test_hot_anchors_are_dealt_out(spark, monkeypatch, chunk):
 
 
 def test_spans_that_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(sd, "BROADCAST_SPANS", 0)
+    monkeypatch.setattr(sd, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(sd, "BLOCK", 150)
     monkeypatch.setattr(sd, "CHUNK", 2)
     rows = corpus(3)
