@@ -15,7 +15,7 @@ def _sum(column: str) -> str:
 
 
 def _avg(column: str) -> str:
-    return f"AVG(CAST({column} AS DOUBLE))"
+    return f"(CAST(SUM(CAST({column} AS DECIMAL(28,6))) AS DOUBLE) / COUNT({column}))"
 
 
 def _round(expression: str, digits: int) -> str:
@@ -469,7 +469,7 @@ def _gold_counts(condition: str = "true") -> str:
         f"SELECT 'dim_capacity_series', {plain} FROM (SELECT DISTINCT series, is_aggregate_series FROM capacity WHERE {within})",
     ]
     parts += [
-        f"SELECT '{t}', {dated}, {_round(f'SUM({S.FACT_MEASURES[t][0]})', 2)} FROM {t} WHERE {within}"
+        f"SELECT '{t}', {dated}, {_round(_sum(S.FACT_MEASURES[t][0]), 2)} FROM {t} WHERE {within}"
         for t in S.FACT_GRAINS
     ]
     return " UNION ALL ".join(parts)
@@ -780,6 +780,12 @@ def oracle() -> dict[str, str]:
             SELECT path, mtime, length, false AS full_rebuild FROM ({_FILES})
             WHERE path >= 'ship/2000-07.json'""",
         "full_rebuild_plan": f"SELECT path, mtime, length, true AS full_rebuild FROM ({_FILES})",
+        "content_change_plan": f"""
+            WITH f AS (SELECT * FROM ({_FILES}) JOIN (
+              SELECT 'ship/' || strftime(l_shipdate, '%Y-%m') || '.json' AS path, CAST(SUM(l_orderkey) AS VARCHAR) AS tag
+              FROM lineitem GROUP BY 1) USING (path))
+            SELECT path, mtime, length, tag, false AS full_rebuild, 'same' AS case FROM f WHERE path >= 'ship/2000-07.json'
+            UNION ALL SELECT path, mtime, length, tag, true, 'edited' FROM f""",
         "latest_object": f"SELECT path FROM ({_FILES}) ORDER BY mtime DESC, path DESC LIMIT 1",
         "silver_union_increments": _on_datasets(
             "SELECT entity_code, date, series, generation_twh, source_rank, path, pos "

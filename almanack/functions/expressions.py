@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, WindowSpec, functions as F
 
 ALL_MONTHS = (1 << 12) - 1
 
@@ -19,22 +19,30 @@ def capacity_series_key(name: Column | str) -> Column:
     return series_key(F.concat(F.lit("capacity::"), column))
 
 
-#: Part of itself by which a sum of doubles may miss its exact value, depending on the
-#: order of partitions.
-NOISE = 1e-14
+def total(value: Column | str, over: WindowSpec | None = None) -> Column:
+    """Aggregate: the sum of doubles, in whatever order they come.
 
+    Each value is split into its leading 24 bits and the rest. Sums of the one and of the
+    other have bits to spare, so they are exact unless the values of a group differ by
+    powers of a thousand, and only their sum is rounded. Beyond the range of the short
+    form a value counts whole.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    lead = F.when(F.abs(column) < F.lit(1e38), column.cast("float").cast("double")).otherwise(column)
+    parts = [F.sum(lead), F.sum(column - lead)]
+    one, two = parts if over is None else [part.over(over) for part in parts]
+    return one + F.when(F.isnan(two), F.lit(0.0)).otherwise(two)
 
-def rounded(value: Column | str, digits: int) -> Column:
-    """Rounding for published values: half away from zero, on the double itself.
 
-    A sum that is exactly half a unit may come out a little below it. Where NOISE is less
-    than a thousandth of the published unit, a value that close to half a unit counts as
-    half; larger values are rounded as they are and keep all their digits.
-    """
+def mean(value: Column | str) -> Column:
+    """Aggregate: `total` by the number of values."""
     column = F.col(value) if isinstance(value, str) else value
-    noise = column * F.lit(NOISE)
-    small = F.abs(noise) < F.lit(10.0 ** -(digits + 3))
-    return F.round(F.when(small, column + noise).otherwise(column), digits)
+    return total(column) / F.nullif(F.count(column), F.lit(0)).cast("double")
+
+
+def rounded(value: Column | str, digits: int) -> Column:
+    """Rounding for published values: half away from zero, on the double as it is."""
+    return F.round(F.col(value) if isinstance(value, str) else value, digits)
 
 
 def months_mask(month: Column) -> Column:

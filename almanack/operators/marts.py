@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from almanack import schemas as S
 from almanack.functions.expressions import (
     is_complete,
+    mean,
     month_count,
     months_mask,
     percent,
     percent_change,
     rounded,
+    total,
     within_years,
 )
 
@@ -69,12 +71,12 @@ def annual_generation(gold: Gold, as_of_year: int) -> DataFrame:
     rows = _dated(
         gold, "fact_generation", ["entity_code", "series_key", "generation_twh"], as_of_year
     ).join(_component_keys(gold).select("series_key"), "series_key")
-    return _yearly(rows, [], generation_twh=F.sum(F.col("generation_twh")))
+    return _yearly(rows, [], generation_twh=total("generation_twh"))
 
 
 def annual_demand(gold: Gold, as_of_year: int) -> DataFrame:
     rows = _dated(gold, "fact_demand", ["entity_code", "demand_twh"], as_of_year)
-    return _yearly(rows, [], demand_twh=F.sum(F.col("demand_twh")))
+    return _yearly(rows, [], demand_twh=total("demand_twh"))
 
 
 def generation_demand_yearly(gold: Gold, as_of_year: int) -> DataFrame:
@@ -111,8 +113,8 @@ def annual_domestic_net_imports(gold: Gold, as_of_year: int) -> DataFrame:
     return _yearly(
         rows,
         [],
-        domestic_generation_twh=F.sum(F.when(domestic, amount).otherwise(F.lit(0.0))),
-        net_imports_twh=F.sum(F.when(flow, amount).otherwise(F.lit(0.0))),
+        domestic_generation_twh=total(F.when(domestic, amount).otherwise(F.lit(0.0))),
+        net_imports_twh=total(F.when(flow, amount).otherwise(F.lit(0.0))),
     )
 
 
@@ -327,7 +329,7 @@ def monthly_mix(gold: Gold, as_of_year: int | None = None) -> DataFrame:
     return (
         rows.join(_component_keys(gold).select("series_key", "energy_category"), "series_key")
         .groupBy("entity_code", "date", "energy_category")
-        .agg(F.sum(F.col("generation_twh")).alias("generation_twh"))
+        .agg(total("generation_twh").alias("generation_twh"))
     )
 
 
@@ -338,7 +340,7 @@ def monthly_to_annual_mix(monthly: DataFrame, gold: Gold) -> DataFrame:
         .groupBy("entity_code", "year", "energy_category")
         .agg(
             month_count(months_mask(F.col("month_number"))).alias("months_available"),
-            F.sum(F.col("generation_twh")).alias("generation_twh"),
+            total("generation_twh").alias("generation_twh"),
         )
     )
 
@@ -359,13 +361,13 @@ def _mix_parts(gold: Gold, as_of_year: int) -> DataFrame:
         rows.join(series, "series_key", "left")
         .withColumn("_component", F.coalesce(component, F.lit(False)))
         .groupBy("entity_code", "year", "_component", F.when(F.col("_component"), F.col("energy_category")).alias("energy_category"))
-        .agg(F.sum("generation_twh").alias("generation_twh"), months_mask(F.col("month_number")).alias("_seen"))
+        .agg(total("generation_twh").alias("generation_twh"), months_mask(F.col("month_number")).alias("_seen"))
     )
     year = Window.partitionBy("entity_code", "year")
-    total = F.sum(F.when(F.col("_component"), F.col("generation_twh"))).over(year)
+    whole = total(F.when(F.col("_component"), F.col("generation_twh")), year)
     return (
         parts.withColumn("_months", F.bit_or("_seen").over(year))
-        .withColumn("total_generation_twh", total)
+        .withColumn("total_generation_twh", whole)
         .where(F.col("_component") & is_complete(F.col("_months")))
         .select("entity_code", "year", "energy_category", "generation_twh", "total_generation_twh")
     )
@@ -452,14 +454,14 @@ def energy_mix_transition_summary(
 
 def annual_emissions(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Yearly emissions of the total series in the years of the period."""
-    total = gold["dim_energy_series"].where(F.col("series_name") == S.TOTAL_GENERATION)
+    whole = gold["dim_energy_series"].where(F.col("series_name") == S.TOTAL_GENERATION)
     rows = _dated(
         _for_years(gold, period),
         "fact_emissions",
         ["entity_code", "series_key", "emissions_mtco2"],
         as_of_year,
-    ).join(total.select("series_key"), "series_key")
-    yearly = _yearly(rows, [], emissions_mtco2=F.sum(F.col("emissions_mtco2")))
+    ).join(whole.select("series_key"), "series_key")
+    yearly = _yearly(rows, [], emissions_mtco2=total("emissions_mtco2"))
     return _in_period(yearly, period)
 
 
@@ -469,7 +471,7 @@ def annual_intensity(gold: Gold, as_of_year: int, period: Period | None) -> Data
     rows = _dated(
         _for_years(gold, period), "fact_carbon_intensity", ["entity_code", measure], as_of_year
     )
-    yearly = _yearly(rows, [], avg_carbon_intensity_gco2_per_kwh=F.avg(F.col(measure)))
+    yearly = _yearly(rows, [], avg_carbon_intensity_gco2_per_kwh=mean(measure))
     return _in_period(yearly, period)
 
 
@@ -544,7 +546,7 @@ def annual_capacity(gold: Gold, as_of_year: int, period: Period | None) -> DataF
         ["entity_code", "capacity_series_key", "capacity_gw"],
         as_of_year,
     ).join(wanted.select("capacity_series_key", "series_name"), "capacity_series_key")
-    yearly = _yearly(rows, ["series_name"], avg_capacity_gw=F.avg(F.col("capacity_gw")))
+    yearly = _yearly(rows, ["series_name"], avg_capacity_gw=mean("capacity_gw"))
     return _in_period(yearly, period)
 
 

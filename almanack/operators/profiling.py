@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from almanack import schemas as S
-from almanack.functions.expressions import is_missing, rounded
+from almanack.functions.expressions import is_missing, mean, rounded, total
 from almanack.functions.quantiles import exact_quantiles
 from almanack.session import hand_over
 
@@ -130,7 +130,7 @@ def describe_measures(silver: dict[str, DataFrame]) -> DataFrame:
     values = _long(silver).where(F.col("value").isNotNull() & ~F.isnan("value"))
     moments = values.groupBy(*by).agg(
         F.count("value").alias("count"),
-        F.avg(F.col("value")).alias("mean"),
+        mean("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
@@ -284,7 +284,7 @@ def country_series_slice(df: DataFrame, entity_code: str, series: Sequence[str])
 def seasonality(df: DataFrame, value: str = "generation_twh") -> DataFrame:
     """Mean per calendar month and series."""
     return df.groupBy(F.month("date").cast("bigint").alias("month"), "series").agg(
-        rounded(F.avg(F.col(value)), 6).alias(value)
+        rounded(mean(value), 6).alias(value)
     )
 
 
@@ -300,8 +300,8 @@ def demand_intensity_yearly(
         .join(intensity.where(here).select("date", measure), "date")
     )
     return both.groupBy(F.year("date").cast("bigint").alias("year")).agg(
-        rounded(F.avg(F.col("demand_twh")), 6).alias("avg_monthly_demand_twh"),
-        rounded(F.avg(F.col(measure)), 6).alias("avg_carbon_intensity"),
+        rounded(mean("demand_twh"), 6).alias("avg_monthly_demand_twh"),
+        rounded(mean(measure), 6).alias("avg_carbon_intensity"),
     )
 
 
@@ -377,14 +377,12 @@ def country_ranking(intensity: DataFrame, year: int) -> DataFrame:
     monthly = (
         intensity.where((F.col("date") >= low) & (F.col("date") < high))
         .groupBy("entity", "entity_code", "date")
-        .agg(F.sum(F.col(measure)).alias("_sum"), F.count(measure).alias("_n"))
+        .agg(total(measure).alias("_sum"), F.count(measure).alias("_n"))
     )
     return (
         monthly.groupBy("entity", "entity_code")
         .agg(
-            rounded(
-                F.sum(F.col("_sum")) / F.nullif(F.sum("_n"), F.lit(0)).cast("double"), 6
-            ).alias("avg_carbon_intensity"),
+            rounded(total("_sum") / F.nullif(F.sum("_n"), F.lit(0)).cast("double"), 6).alias("avg_carbon_intensity"),
             F.count("date").alias("months_observed"),
         )
         .orderBy("avg_carbon_intensity", "entity_code")
