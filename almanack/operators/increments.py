@@ -92,14 +92,18 @@ def latest_object(inventory: DataFrame, suffix: str = ".json") -> DataFrame:
 
 
 IDENTITY = ("path", "mtime", "length")
+#: A checksum of the content; where both sides have it, it must agree as well.
+TAG = "tag"
 
 
 def rebuild_needed(inventory: DataFrame, manifest: DataFrame) -> Column:
     """Scalar: a recorded file changed or vanished, or is recorded twice."""
+    tagged = TAG in inventory.columns and TAG in manifest.columns
     recorded = manifest.groupBy("path").agg(
         F.count("*").alias("times"),
         F.max("mtime").alias("old_mtime"),
         F.max("length").alias("old_length"),
+        *([F.max(TAG).alias("old_tag")] if tagged else []),
     )
     differs = (
         (F.col("times") > 1)
@@ -107,6 +111,8 @@ def rebuild_needed(inventory: DataFrame, manifest: DataFrame) -> Column:
         | (F.col("length") != F.col("old_length"))
         | (F.col("mtime") != F.col("old_mtime"))
     )
+    if tagged:
+        differs = differs | F.coalesce(F.col(TAG) != F.col("old_tag"), F.lit(False))
     compared = inventory.join(recorded, "path", "full_outer").where(F.col("times").isNotNull())
     return compared.agg(F.coalesce(F.bool_or(differs), F.lit(False)).alias("rebuild")).scalar()
 
@@ -114,12 +120,12 @@ def rebuild_needed(inventory: DataFrame, manifest: DataFrame) -> Column:
 def change_plan(
     inventory: DataFrame, manifest: DataFrame | None, reusable: bool = True
 ) -> DataFrame:
-    """Files to process: (path, mtime, length, full_rebuild).
+    """Files to process: (path, mtime, length, full_rebuild), with the tag if there is one.
 
     Without a usable manifest, or when a recorded file is no longer the same,
     every file is processed again; otherwise only the files not yet recorded.
     """
-    files = inventory.select(*IDENTITY)
+    files = inventory.select(*IDENTITY, *([TAG] if TAG in inventory.columns else []))
     if manifest is None or not reusable:
         return files.withColumn("full_rebuild", F.lit(True))
     recorded = manifest.select(F.col("path").alias("recorded_path")).distinct()
@@ -198,14 +204,18 @@ def replace_keys(snapshot: DataFrame | None, latest: DataFrame, key: Sequence[st
     return snapshot.join(keys, same, "left_anti").unionByName(latest, allowMissingColumns=True)
 
 
+def latest_rows(increments: Sequence[DataFrame], dataset: str) -> DataFrame:
+    """The last row of each business key among the increments."""
+    return keep_last(union_increments(None, increments), S.BUSINESS_KEYS[dataset], SEQUENCE)
+
+
 def merge_snapshot(
     snapshot: DataFrame | None, increments: Sequence[DataFrame], dataset: str
 ) -> DataFrame:
     """Snapshot plus increments, the later row winning per business key. The reduced
     increments are handed over, so that their size decides how they meet the snapshot."""
-    key = S.BUSINESS_KEYS[dataset]
-    latest = hand_over(keep_last(union_increments(None, increments), key, SEQUENCE), f"latest-{dataset}")
-    return replace_keys(snapshot, latest, key)
+    latest = hand_over(latest_rows(increments, dataset), f"latest-{dataset}")
+    return replace_keys(snapshot, latest, S.BUSINESS_KEYS[dataset])
 
 
 def raw_text(df: DataFrame) -> DataFrame:

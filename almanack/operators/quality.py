@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from almanack import schemas as S
 from almanack.functions.expressions import is_missing
+from almanack.session import hand_over
 
 Gold = dict[str, DataFrame]
 
@@ -153,6 +154,40 @@ def silver_report(df: DataFrame, dataset: str, expected: DataFrame) -> DataFrame
     )
 
 
+def null_metrics(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Aggregates (rows, null_<column>) that can be observed while the frame is written."""
+    flags = zip(columns, _missing(df, columns))
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(flag).alias(f"null_{c}") for c, flag in flags]]
+
+
+def written_report(
+    df: DataFrame, dataset: str, expected: DataFrame, observed: dict, parts: str
+) -> tuple[DataFrame, DataFrame]:
+    """The checks of `silver_report` for rows that were counted while they were written
+    (`observed`, by `null_metrics`), and (part, rows): one scan, of the key columns alone.
+
+    Keys are grouped once, and the groups once more by part and country; unexpected
+    countries and repeated keys follow from these few rows. What was counted while
+    writing must be what is read."""
+    key = S.BUSINESS_KEYS[dataset]
+    groups = df.groupBy(parts, *key).agg(F.count(F.lit(1)).alias("n"))
+    few = groups.groupBy(parts, "entity_code").agg(F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("excess"))
+    few = hand_over(few, f"key-counts-{dataset}")
+    codes = unexpected_countries(few, expected).agg(F.count("*").alias("foreign"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
+    counted = F.struct(*[F.lit(v).alias(k) for k, v in observed.items()])
+    one = few.agg(total("n"), total("excess")).withColumns({"observed": counted, "foreign": codes.scalar()})
+    one = one.withColumn("lost", F.abs(F.col("n") - F.col("observed.rows")))
+    metrics = [
+        ("row_count", None, "n"),
+        ("rows_not_as_written", None, "lost"),
+        ("duplicate_keys", None, "excess"),
+        *[("null_count", c, f"observed.null_{c}") for c in required_columns(dataset)],
+        ("unexpected_countries", None, "foreign"),
+    ]
+    return _metrics(one, dataset, metrics), few.groupBy(parts).agg(F.sum("n").alias("rows"))
+
+
 # --- model ------------------------------------------------------------------------
 
 

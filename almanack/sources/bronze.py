@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from almanack import schemas as S
+from almanack.session import hand_over
 
 # Rows are read as name -> text, so an absent field and a null stay different
 # and nothing is converted before the strict casts.
@@ -42,12 +43,26 @@ def bronze_inventory(spark: SparkSession, root: str, dataset: str) -> DataFrame:
         if "PATH_NOT_FOUND" in str(error.getCondition()):
             raise FileNotFoundError(f"no documents for {dataset!r}") from error
         raise
-    listed = files.select("path", F.col("modificationTime").alias("mtime"), "length")
+    listed = files.select(
+        F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("mtime"), "length"
+    )
     if listed.isEmpty():
         raise FileNotFoundError(f"no documents for {dataset!r}")
     return listed.orderBy("mtime", "path")
 
 
+def content_tags(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path, tag) of each file: a checksum of its lines, in any order of theirs. Files
+    are read in splits; only a few numbers of each are shuffled. An empty file has no row."""
+    source = [paths] if isinstance(paths, str) else list(paths)
+    lines = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(source)
+    ).select(F.col("_metadata.file_path").alias("path"), "value")
+    hashed = [F.xxhash64("value", F.lit(seed)).cast("decimal(38,0)") for seed in (1, 2)]
+    sums = lines.groupBy("path").agg(F.count("*").alias("n"), *[F.sum(h).alias(f"s{i}") for i, h in enumerate(hashed)])
+    return sums.select("path", F.concat_ws(":", F.col("n"), F.col("s0"), F.col("s1")).alias("tag"))
+
+
 def read_documents(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False
 ) -> DataFrame:
@@ -63,18 +78,23 @@ def read_documents(
         .option("pathGlobFilter", "*.json")
         .json(source)
     )
+    return documents.select(*document_columns())
+
+
+def document_columns() -> list[Column]:
+    """(data, declared_max, path, mtime) of documents as read by any source of files."""
     data = F.when(
         F.col("data").isNull(),
         F.raise_error(F.concat(F.lit("document without data: "), F.col("_metadata.file_path"))).cast(
             "array<map<string,string>>"
         ),
     ).otherwise(F.col("data"))
-    return documents.select(
+    return [
         data.alias("data"),
         F.col("stats.query_value_range.date.max").alias("declared_max"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("mtime"),
-    )
+    ]
 
 
 def required_fields(dataset: str) -> list[str]:
@@ -82,28 +102,27 @@ def required_fields(dataset: str) -> list[str]:
     return fields + (["series"] if "series" in S.BUSINESS_KEYS[dataset] else [])
 
 
-def other_fields(documents: DataFrame, dataset: str) -> list[str]:
-    """Names of fields in the documents beyond the required and optional ones. Only
-    distinct names come back, as few as the source has fields."""
-    names = documents.select(F.explode(F.flatten(F.transform(F.filter("data", lambda row: row.isNotNull()), F.map_keys))))
-    known = [*required_fields(dataset), *OPTIONAL_COLUMNS.get(dataset, ())]
-    return sorted(r[0] for r in names.distinct().collect() if r[0] not in known)
+def known_fields(dataset: str) -> list[str]:
+    return [*required_fields(dataset), *OPTIONAL_COLUMNS.get(dataset, ())]
 
 
 def _has_field(name: str):
     return lambda row: F.map_contains_key(row, name)
 
 
-def document_rows(documents: DataFrame, dataset: str, others: Sequence[str] | None = None) -> DataFrame:
-    """One text row per element of ``data`` with its position, and a column for every
-    field that the documents have (``others`` names those beyond the known ones, where
-    the caller has looked already).
+#: The fields of a row beyond the known ones, as name -> text.
+REST = "_rest"
+
+
+def unfolded(documents: DataFrame, dataset: str) -> DataFrame:
+    """One text row per element of ``data``: the known fields, the others in the map REST,
+    and path, mtime and position.
 
     A field counts as present in a document when any of its rows has it; the
     check runs per document, before the rows are unfolded.
     """
     S.require_dataset(dataset)
-    data = F.col("data")
+    data, names = F.col("data"), known_fields(dataset)
     absent = F.array_compact(
         F.array(
             *[
@@ -117,16 +136,36 @@ def document_rows(documents: DataFrame, dataset: str, others: Sequence[str] | No
         F.size(absent) > 0, F.raise_error(message).cast("array<map<string,string>>")
     ).otherwise(data)
     rows = documents.select("path", "mtime", F.posexplode(checked).alias("pos", "row"))
-    others = other_fields(documents, dataset) if others is None else others
-    names = [*required_fields(dataset), *OPTIONAL_COLUMNS.get(dataset, ()), *others]
+    rest = F.map_filter(F.coalesce("row", F.create_map().cast("map<string,string>")), lambda k, _: ~k.isin(names))
     return rows.select(
         *[F.try_element_at("row", F.lit(name)).alias(name) for name in names],
+        rest.alias(REST),
         "path",
         "mtime",
         "pos",
     )
 
 
+def rest_names() -> Column:
+    """Aggregate: the names in REST, as a few sorted lists of names."""
+    return F.collect_set(F.array_sort(F.map_keys(REST)))
+
+
+def widened(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A column for each of the names in REST, which goes."""
+    more = [F.try_element_at(REST, F.lit(name)).alias(name) for name in names]
+    at = df.columns.index(REST)
+    return df.select(*df.columns[:at], *more, *df.columns[at + 1 :])
+
+
+def document_rows(documents: DataFrame, dataset: str) -> DataFrame:
+    """As `unfolded`, with a column for every field that the documents have. They are
+    parsed once: the rows are handed over, and the names come from what was written."""
+    seen = Observation()
+    rows = hand_over(unfolded(documents, dataset).observe(seen, rest_names().alias("names")), f"rows-{dataset}")
+    return widened(rows, sorted({name for names in seen.get["names"] for name in names}))
+
+
 def to_documents(
     df: DataFrame, rows_per_document: int = ROWS_PER_DOCUMENT, declared_max: str | None = None
 ) -> DataFrame:

@@ -69,12 +69,98 @@ def test_silver_job(spark, tmp_path):
     assert ("FRA", "2026-07") not in state(spark, tmp_path)
 
     # a snapshot whose files changed is no merge base either
-    location = T.current_tables(spark, str(tmp_path / "silver"))["demand"]["location"]
+    location = T.current_tables(spark, str(tmp_path / "silver"))["demand"]["parts"][0]["location"]
     part = next(f for f in os.listdir(location) if f.endswith(".parquet"))
     os.utime(os.path.join(location, part), (5, 5))
     assert run(spark, tmp_path)["full_rebuild"] is True
 
 
+def test_an_edit_that_a_listing_cannot_show_forces_a_rebuild(spark, tmp_path):
+    path = store(tmp_path, "2026-08-10", document(("DEU", "2026-07-01", 1.0), ("FRA", "2026-07-01", 2.0)), 1000)
+    run(spark, tmp_path)
+    text = path.read_text()
+    path.write_text(text.replace("1.0", "7.0"))
+    os.utime(path, (1000, 1000))
+    assert path.stat().st_size == len(text) and path.stat().st_mtime == 1000
+    listed = J.update_silver(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), "demand", verify_content=False)
+    assert listed["changed"] is False
+    assert run(spark, tmp_path)["full_rebuild"] is True
+    assert state(spark, tmp_path)[("DEU", "2026-07")] == 7.0
+    assert run(spark, tmp_path)["changed"] is False
+
+
+def files_of(spark, root):
+    parts = T.current_tables(spark, str(root / "silver"))["demand"]["parts"]
+    return {p["part"]: sorted((f, os.stat(f"{p['location']}/{f}").st_mtime_ns) for f in os.listdir(p["location"])) for p in parts}
+
+
+def test_only_touched_years_are_read_and_written(spark, tmp_path, monkeypatch):
+    history = [(c, f"{y}-{m:02d}-01", y + m) for c in ("DEU", "FRA") for y in (2023, 2024, 2025) for m in range(1, 13)]
+    store(tmp_path, "2026-01-10", document(*history), 1000)
+    assert run(spark, tmp_path)["years"] == ["2023", "2024", "2025"]
+    before = files_of(spark, tmp_path)
+    read, written = [], []
+    pointer, snapshot = T.read_pointer, T.write_snapshot
+    monkeypatch.setattr(T, "read_pointer", lambda s, p, schema=None, parts=None: read.append(parts) or pointer(s, p, schema, parts))
+    monkeypatch.setattr(T, "write_snapshot", lambda df, *a, **k: written.append(df) or snapshot(df, *a, **k))
+    store(tmp_path, "2026-02-10", document(("DEU", "2024-03-01", 5.0), ("FRA", "2026-01-01", 6.0)), 2000)
+    got = run(spark, tmp_path)
+    assert (got["years"], got["rows"]) == (["2024", "2026"], 73)
+    assert read == [["2024", "2026"]]
+    opened = {f.split("_part=")[1][:4] for f in written[0].inputFiles() if "_part=" in f}
+    assert opened == {"2024"}
+    after = files_of(spark, tmp_path)
+    assert after["2023"] == before["2023"] and after["2025"] == before["2025"] and after["2024"] != before["2024"]
+    monkeypatch.undo()
+    found = state(spark, tmp_path)
+    assert (found[("DEU", "2024-03")], found[("FRA", "2024-03")], found[("FRA", "2026-01")]) == (5.0, 2027.0, 6.0)
+    assert len(found) == 73
+
+
+def test_a_field_that_comes_later_is_null_in_older_years(spark, tmp_path):
+    store(tmp_path, "2026-01-10", document(("DEU", "2024-01-01", 1.0)), 1000)
+    run(spark, tmp_path)
+    late = document(("DEU", "2025-01-01", 2.0)).replace('"entity":', '"note": "n", "entity":')
+    store(tmp_path, "2026-02-10", late, 2000)
+    run(spark, tmp_path)
+    df = T.read_snapshot(spark, str(tmp_path / "silver"), "demand")
+    assert sorted((r["date"].year, r["note"]) for r in df.collect()) == [(2024, None), (2025, "n")]
+
+
+def test_the_manifest_is_begun_anew_when_it_is_long(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "MANIFESTS", 2)
+    for n in range(4):
+        store(tmp_path, f"2026-0{n + 1}-10", document(("DEU", f"202{n}-01-01", n)), 1000 + n)
+        assert run(spark, tmp_path)["full_rebuild"] is (n == 0)
+    assert len(T.current_tables(spark, str(tmp_path / "silver"))["demand"]["manifest"]) == 2
+    assert run(spark, tmp_path)["changed"] is False
+    assert len(state(spark, tmp_path)) == 4
+
+
+def test_a_repeated_batch_changes_nothing_and_lists_nothing(spark, tmp_path, monkeypatch):
+    root, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+
+    def batch(path, number):
+        documents = spark.read.schema(bronze.DOCUMENT).json(str(path))
+        rows = documents.select(*bronze.document_columns(), F.col("_metadata.file_size").alias("length"))
+        return silver_stream.merge_batch(spark, rows, number, "s", root, silver, "demand")
+
+    def listed(*_):
+        raise AssertionError("the folder was listed")
+
+    monkeypatch.setattr(bronze, "bronze_inventory", listed)
+    first = store(tmp_path, "2026-08-10", document(("DEU", "2026-07-01", 1.0)), 1000)
+    second = store(tmp_path, "2026-09-10", document(("DEU", "2026-07-01", 4.0), ("FRA", "2025-08-01", 2.0)), 2000)
+    assert batch(first, 0)["rows"] == 1 and batch(second, 1)["years"] == ["2025", "2026"]
+    pointer = T.current_tables(spark, silver)["demand"]
+    assert pointer["batches"] == {"s": 1} and pointer["version"] == 2
+    assert batch(second, 1)["changed"] is False and batch(first, 0)["changed"] is False
+    assert batch(first, 2)["changed"] is False  # its document is recorded already
+    assert T.current_version(spark, silver) == 2
+    monkeypatch.undo()
+    assert run(spark, tmp_path)["changed"] is False  # the batch job finds the documents recorded
+
+
 def test_stream_gives_the_same_snapshot(spark, tmp_path):
     def stream():
         silver_stream.run_available(
