@@ -4,15 +4,19 @@ The lattice of a text has an edge for each piece that stands somewhere in it. A
 of merges (BPE) has one valid path: the one whose neighbouring pieces all stay apart
 when the two are merged on their own. So each position has one surviving edge, found
 from the edges that end there and the piece that survives where they begin; ids follow
-from the back pointers. The encoder keeps the positions that a piece can still reach
-back to, as many as the longest piece has characters, and what leads there; ids are
-committed as soon as all surviving paths run through one boundary. Characters without
-a piece become bytes.
+from the back pointers. The search keeps a window: the positions that a piece can still
+reach back to, as many as the longest piece has characters, and what leads there. When
+the window holds twice as many, all surviving paths are followed back, and the ids up to
+the boundary where they meet are committed and leave it. Characters without a piece
+become bytes.
 
 No piece goes on behind a space that follows another character, so all paths meet
-there. Ids between two such boundaries are remembered and, for many short segments at
-once, searched in step (numpy, one position of every segment at a time); longer ones
-go through the streaming encoder.
+there, and the ids are committed. What lies between two such boundaries is remembered. New
+ones are searched side by side (`Lanes`: numpy, one character of each at a time, each
+with its own window); when few are left, or a text comes in parts, each goes on with its
+window alone (`Stream`). Both hold the same state and commit by the same rule.
+
+Only models of merges are accepted; any other type is an error.
 
 Defined cases: null and empty texts have no ids; very long texts are encoded whole, and
 a text's length does not change the window. The character U+2581 stands for a space in
@@ -23,7 +27,7 @@ each; further columns are kept or not read; an empty table gives an empty result
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -35,12 +39,44 @@ from almanack.llm import text as X
 from almanack.llm.tables import bounded_batches
 
 SPACE = "▁"
-#: Longer segments go through the streaming encoder.
-SHORT = 48
+#: Searches that go on side by side; fewer go on alone. And how many begin together.
+FEW, TOGETHER = 48, 50_000
+#: Model types, and their field in the file: trainer_spec (2) . model_type (3).
+TYPES = {1: "unigram", 2: "merges", 3: "word", 4: "character"}
 #: Slots of the table that remembers which pieces stay apart.
 PAIRS = 1 << 21
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Number and value of each field of a protocol buffer message."""
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte, at = data[at], at + 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    at = 0
+    while at < len(data):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+        else:
+            size = {1: 8, 5: 4}.get(key & 7) or number()
+            yield key >> 3, data[at : at + size]
+            at += size
+
+
+def model_type(data: bytes) -> str:
+    """What kind of model the content of a model file is."""
+    spec = next((v for n, v in _fields(data) if n == 2), b"")
+    return TYPES.get(next((v for n, v in _fields(spec) if n == 3), 1), "unknown")
+
+
 class Pieces:
     """Vocabulary of a model file: its pieces, their scores and how they are merged."""
 
@@ -48,6 +84,9 @@ class Pieces:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
+        kind = model_type(model.serialized_model_proto())
+        if kind != "merges":
+            raise ValueError(f"{path} is a model of type {kind}; only merges have one valid path")
         self.size = model.get_piece_size()
         special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(self.size)]
         self.names = [model.id_to_piece(i) for i in range(self.size)]
@@ -151,15 +190,27 @@ def _code_hash(piece: str) -> int:
     return int(X.mix(np.array([value]))[0])
 
 
+def met(back: np.ndarray, size: int, reach: int) -> np.ndarray:
+    """The last boundary through which all paths from the last `reach` positions run, for
+    each column of back pointers (0: they meet at the window's beginning only)."""
+    ends = np.repeat(np.arange(size - reach + 1, size + 1)[:, None], back.shape[1], axis=1)
+    column = np.arange(back.shape[1])[None, :]
+    while True:
+        furthest = ends.max(axis=0)
+        if (furthest == ends.min(axis=0)).all():
+            return furthest
+        ends = np.where((ends == furthest) & (ends > ends.min(axis=0)), ends - back[ends, column], ends)
+
+
 class Stream:
     """Encodes a text handed over in parts, with a window of bounded length."""
 
-    def __init__(self, pieces: Pieces):
+    def __init__(self, pieces: Pieces, window: str = "", back: list[int] | None = None, edge: list[int] | None = None):
         self.pieces = pieces
-        self.window = ""  # characters behind the last committed boundary
-        self.back = [0]  # of each position in the window, the length of its surviving edge
-        self.edge = [-2]  # its piece; -1 a character without one, -2 the text's start
-        self.widest = 0
+        self.window = window  # characters behind the last committed boundary
+        self.back = back or [0]  # of each position in the window, the length of its surviving edge
+        self.edge = edge or [-2]  # its piece; -1 a character without one, -2 the text's start
+        self.widest = self.commits = 0
 
     def _end(self, i: int) -> tuple[int, int]:
         """Surviving edge into a position: its length and piece."""
@@ -173,30 +224,14 @@ class Stream:
                 return length, piece
         return 1, -1
 
-    def _path(self, end: int) -> list[int]:
-        """Ids from the window's beginning to a position."""
-        found, at = [], end
-        while at > 0:
-            found.append((self.edge[at], self.window[at - 1]))
-            at -= self.back[at]
-        out = []
-        for piece, character in reversed(found):
-            out += [piece] if piece >= 0 else [self.pieces.bytes[b] for b in character.encode()]
-        return out
-
     def _commit(self) -> list[int]:
         """Ids up to the boundary through which all surviving paths run."""
-        n = len(self.window)
-        ends = set(range(max(0, n - self.pieces.longest + 1), n + 1))
-        while len(ends) > 1:
-            furthest = max(ends)
-            ends.remove(furthest)
-            ends.add(furthest - self.back[furthest])
-        (cut,) = ends
+        cut = int(met(np.array(self.back)[:, None], len(self.window), self.pieces.longest)[0])
         if not cut:
             return []
-        ids = self._path(cut)
+        ids = path_ids(self.pieces, self.window, self.back, self.edge, cut)
         self.window, self.back, self.edge = self.window[cut:], self.back[cut:], self.edge[cut:]
+        self.commits += 1
         return ids
 
     def feed(self, part: str) -> Iterator[int]:
@@ -210,11 +245,24 @@ class Stream:
                 yield from self._commit()
 
     def finish(self) -> list[int]:
-        ids = self._path(len(self.window))
+        ids = path_ids(self.pieces, self.window, self.back, self.edge, len(self.window))
         self.window, self.back, self.edge = "", [0], [-2]
+        self.commits += 1
         return ids
 
 
+def path_ids(pieces: Pieces, window: str, back: Sequence[int], edge: Sequence[int], end: int) -> list[int]:
+    """Ids from a window's beginning to a position, by the back pointers."""
+    out, at = [], end
+    while at > 0:
+        if edge[at] >= 0:
+            out.append(edge[at])
+        else:
+            out += [pieces.bytes[b] for b in reversed(window[at - 1].encode())]
+        at -= back[at]
+    return out[::-1]
+
+
 def stream_ids(pieces: Pieces, parts: Iterable[str]) -> Iterator[int]:
     """Ids of a text in parts; spaces must already be U+2581, with one before the text."""
     stream = Stream(pieces)
@@ -223,65 +271,140 @@ def stream_ids(pieces: Pieces, parts: Iterable[str]) -> Iterator[int]:
     yield from stream.finish()
 
 
-def segment_ids(pieces: Pieces, segments: list[str]) -> list[list[int]]:
-    """Ids of segments that begin where all paths meet."""
-    out: list[list[int]] = [[]] * len(segments)
-    short = [i for i, s in enumerate(segments) if len(s) <= SHORT]
-    for i, s in enumerate(segments):
-        if len(s) > SHORT:
-            out[i] = list(stream_ids(pieces, [s]))
-    short.sort(key=lambda i: -len(segments[i]))
-    for begin in range(0, len(short), 50_000):
-        part = short[begin : begin + 50_000]
-        for i, ids in zip(part, _in_step(pieces, [segments[i] for i in part])):
-            out[i] = ids
-    return out
-
-
-def _in_step(pieces: Pieces, segments: list[str]) -> list[list[int]]:
-    """The search for segments sorted from long to short, position by position."""
-    sizes = np.array([len(s) for s in segments])
-    width = int(sizes[0]) if len(sizes) else 0
-    codes = np.frombuffer("".join(segments).encode("utf-32-le"), "<u4")
-    table = np.zeros((len(segments), width), np.uint64)
-    table[np.arange(width) < sizes[:, None]] = codes.astype(np.uint64) + np.uint64(1)
-    sums = np.zeros((width + 1, len(segments)), np.uint64)
-    np.cumsum(table.T * _UP[:width, None], axis=0, out=sums[1:])
-    back = np.ones((width + 1, len(segments)), np.int8)
-    edge = np.full((width + 1, len(segments)), -1, np.int32)
-    for i in range(1, width + 1):
-        rows = np.arange(np.searchsorted(-sizes, -i, side="right"))
-        for length in range(min(i, pieces.longest), 0, -1):
-            start = i - length
-            value = sums[i, rows] - sums[start, rows]
-            if start:
-                value *= _DOWN[start - 1]
-            value = X.mix(value)
-            some = np.flatnonzero(pieces.maybe[(value >> np.uint64(44)).astype(np.int64)])
-            if not len(some):
+class Lanes:
+    """The search of many segments side by side, each with a window of its own.
+
+    Row j of `codes`, `sums`, `back` and `edge` is position j of each lane's window, which
+    holds `size` characters; `done` says how many of a segment's characters were read.
+    """
+
+    def __init__(self, pieces: Pieces, segments: list[str]):
+        """Segments in order of length, the longest first."""
+        self.pieces, self.segments = pieces, segments
+        self.room = 2 * pieces.longest
+        self.ids: list[list[int]] = [[] for _ in segments]
+        self.widest, self.commits, self.searched = 0, 0, 0
+
+    def run(self) -> list[list[int]]:
+        lengths = np.array([len(s) for s in self.segments])
+        n, deep = len(lengths), min(self.room, int(lengths.max(initial=0)))
+        codes = np.frombuffer("".join(self.segments).encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+        first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        self.sums, self.codes = np.zeros((deep + 1, n), np.uint64), np.zeros((deep + 1, n), np.uint64)
+        self.back, self.edge = np.zeros((deep + 1, n), np.int32), np.full((deep + 1, n), -2, np.int32)
+        size = np.zeros(n, np.int64)  # characters in each window
+        live, done = n, 0
+        while live:
+            ended = live - int(np.searchsorted(-lengths[:live], -done, side="left"))
+            if ended:  # all paths of a segment meet at its end
+                for k in range(live - ended, live):
+                    self._take(k, int(size[k]), done)
+                live -= ended
                 continue
-            at = np.minimum(np.searchsorted(pieces.hashes, value[some]), len(pieces.hashes) - 1)
-            good = pieces.hashes[at] == value[some]
-            some, piece = some[good], pieces.hash_ids[at[good]]
+            if live < FEW and done:
+                for k in range(live):
+                    self._alone(k, int(size[k]), done)
+                break
+            rows = np.arange(live)
+            size[:live] += 1
+            at = size[:live]
+            self.codes[at, rows] = codes[first[:live] + done]
+            self.sums[at, rows] = self.sums[at - 1, rows] + self.codes[at, rows] * _UP[at - 1]
+            self._extend(rows, at)
+            done += 1
+            self.widest = max(self.widest, int(at.max()))
+            full = np.flatnonzero(at == self.room)
+            if len(full):
+                size[full] -= self._commit(full, done)
+                stuck = full[size[full] == self.room]
+                for k in stuck.tolist():  # no boundary yet: this one goes on alone, with a wider window
+                    self._alone(k, self.room, done)
+                if len(stuck):
+                    keep = np.setdiff1d(rows, stuck)
+                    self._keep(keep)
+                    lengths, first, size, live = lengths[keep], first[keep], size[keep], len(keep)
+        return self.ids
+
+    def _keep(self, lanes: np.ndarray) -> None:
+        for name in ("codes", "sums", "back", "edge"):
+            setattr(self, name, getattr(self, name)[:, lanes])
+        self.order = getattr(self, "order", np.arange(len(self.segments)))[lanes]
+
+    def _number(self, lane: int) -> int:
+        return int(self.order[lane]) if hasattr(self, "order") else lane
+
+    def _extend(self, rows: np.ndarray, at: np.ndarray) -> None:
+        """The surviving edge into the newest position of each lane."""
+        p = self.pieces
+        self.back[at, rows], self.edge[at, rows] = 1, -1
+        for length in range(min(int(at.max()), p.longest), 0, -1):
+            start = at - length
+            some = np.flatnonzero(start >= 0)
+            value = self.sums[at[some], rows[some]] - self.sums[start[some], rows[some]]
+            value = X.mix(value * np.where(start[some] > 0, _DOWN[start[some] - 1], np.uint64(1)))
+            likely = pieces_maybe(p, value)
+            some, value = some[likely], value[likely]
+            found = np.minimum(np.searchsorted(p.hashes, value), len(p.hashes) - 1)
+            good = p.hashes[found] == value
+            some, piece = some[good], p.hash_ids[found[good]]
             if not len(some):
                 continue
-            fits = pieces.all_apart(edge[start, rows[some]], piece)
+            fits = p.all_apart(self.edge[start[some], rows[some]], piece)
             done = some[fits]
-            back[i, rows[done]], edge[i, rows[done]] = length, piece[fits]
-            rows = np.delete(rows, done)
+            self.back[at[done], rows[done]], self.edge[at[done], rows[done]] = length, piece[fits]
+            left = np.ones(len(rows), bool)
+            left[done] = False
+            rows, at = rows[left], at[left]
             if not len(rows):
-                break
-    out = []
-    backs, edges = back.T.tolist(), edge.T.tolist()
-    for s, b, e in zip(segments, backs, edges):
-        at, ids = len(s), []
-        while at > 0:
-            if e[at] >= 0:
-                ids.append(e[at])
-            else:
-                ids += [pieces.bytes[x] for x in reversed(s[at - 1].encode())]
-            at -= b[at]
-        out.append(ids[::-1])
+                return
+
+    def _window(self, lane: int, size: int, done: int) -> str:
+        return self.segments[self._number(lane)][done - size : done]
+
+    def _take(self, lane: int, size: int, done: int) -> None:
+        """Commit what a segment's window holds at its end."""
+        back, edge = self.back[:, lane].tolist(), self.edge[:, lane].tolist()
+        self.ids[self._number(lane)] += path_ids(self.pieces, self._window(lane, size, done), back, edge, size)
+        self.commits, self.searched = self.commits + 1, self.searched + 1
+
+    def _alone(self, lane: int, size: int, done: int) -> None:
+        number = self._number(lane)
+        back, edge = self.back[: size + 1, lane].tolist(), self.edge[: size + 1, lane].tolist()
+        stream = Stream(self.pieces, self._window(lane, size, done), back, edge)
+        self.ids[number] += [*stream.feed(self.segments[number][done:]), *stream.finish()]
+        self.widest = max(self.widest, stream.widest)
+        self.commits, self.searched = self.commits + stream.commits, self.searched + 1
+
+    def _commit(self, lanes: np.ndarray, done: int) -> np.ndarray:
+        """Commit and cut off, in full windows, what all paths have in common; how much."""
+        cuts = met(self.back[:, lanes], self.room, self.pieces.longest)
+        for k, cut in zip(lanes.tolist(), cuts.tolist()):
+            if not cut:
+                continue
+            back, edge = self.back[:, k].tolist(), self.edge[:, k].tolist()
+            self.ids[self._number(k)] += path_ids(self.pieces, self._window(k, self.room, done), back, edge, cut)
+            self.commits += 1
+        moved = np.minimum(np.arange(self.room + 1)[:, None] + cuts[None, :], self.room)
+        for table in (self.codes, self.back, self.edge):
+            table[:, lanes] = np.take_along_axis(table[:, lanes], moved, axis=0)
+        fresh = self.codes[1:, lanes] * _UP[: self.room, None]
+        self.sums[0, lanes] = 0
+        self.sums[1:, lanes] = np.cumsum(fresh, axis=0)
+        return cuts
+
+
+def pieces_maybe(pieces: Pieces, value: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(pieces.maybe[(value >> np.uint64(44)).astype(np.int64)])
+
+
+def segment_ids(pieces: Pieces, segments: list[str]) -> list[list[int]]:
+    """Ids of segments that begin where all paths meet."""
+    out: list[list[int]] = [[]] * len(segments)
+    order = sorted(range(len(segments)), key=lambda i: -len(segments[i]))
+    for begin in range(0, len(order), TOGETHER):
+        part = order[begin : begin + TOGETHER]
+        for i, ids in zip(part, Lanes(pieces, [segments[i] for i in part]).run()):
+            out[i] = ids
     return out
 
 

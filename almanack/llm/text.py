@@ -132,8 +132,9 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Remembered:
     """Ids of byte ranges (words, say), each distinct one encoded once.
 
-    Holds at most `entries` ranges or `most` ids (some 40 bytes for a word), then
-    begins anew.
+    Ranges are looked up by hash and then compared byte by byte; one whose hash belongs to
+    another is encoded on its own. Holds at most `entries` ranges, `most` ids or `most`
+    bytes (some 50 bytes of memory for a word), then begins anew.
     """
 
     def __init__(
@@ -145,30 +146,52 @@ class Remembered:
     def _forget(self) -> None:
         self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted by hash
         self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.bytes, self.begins, self.sizes = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
+        """Encodes and remembers ranges whose hashes (sorted) are new."""
+        found = self.encode([texts.data[a:b].tobytes().decode() for a, b in zip(starts.tolist(), ends.tolist())])
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        near = np.searchsorted(self.hashes, hashes)
+        self.places = np.insert(self.places, near, len(self.starts) + np.arange(len(hashes), dtype=np.int32))
+        self.hashes = np.insert(self.hashes, near, hashes)
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
+        for name, values, sizes in (("starts", self.ids, counts), ("begins", self.bytes, ends - starts)):
+            first = len(values) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            setattr(self, name, np.concatenate((getattr(self, name), first)))
+        self.ids, self.lengths = np.concatenate((self.ids, flat)), np.concatenate((self.lengths, counts))
+        self.bytes = np.concatenate((self.bytes, texts.data[ranges(starts, ends - starts)]))
+        self.sizes = np.concatenate((self.sizes, ends - starts))
+
+    def _others(self, texts: Texts, starts: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The ranges that are not, byte by byte, what is remembered under their hash."""
+        unlike = self.sizes[place] != sizes
+        if len(sizes):
+            same = np.where(unlike, 0, sizes)
+            differ = texts.data[ranges(starts, same)] != self.bytes[ranges(self.begins[place], same)]
+            if differ.any():
+                unlike[np.searchsorted(np.cumsum(same), np.flatnonzero(differ), "right")] = True
+        return np.flatnonzero(unlike)
 
     def of(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the ranges, and how many each range has."""
         hashes = texts.hashes(texts.sums(), starts, ends)
         distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > self.entries or len(self.ids) > self.most:
+        if len(self.hashes) + len(distinct) > self.entries or max(len(self.ids), len(self.bytes)) > self.most:
             self._forget()
         near = np.searchsorted(self.hashes, distinct)
         known = near < len(self.hashes)
         known[known] = self.hashes[near[known]] == distinct[known]
         new = np.flatnonzero(~known)
         if len(new):
-            data = texts.data.tobytes()
-            found = self.encode([data[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            begin = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            places = len(self.starts) + np.arange(len(new), dtype=np.int32)
-            self.hashes = np.insert(self.hashes, near[new], distinct[new])
-            self.places = np.insert(self.places, near[new], places)
-            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-            self.ids = np.concatenate((self.ids, flat))
-            self.starts = np.concatenate((self.starts, begin))
-            self.lengths = np.concatenate((self.lengths, sizes))
-            near = np.searchsorted(self.hashes, distinct)
-        place = self.places[near][inverse]
+            self._learn(texts, starts[at[new]], ends[at[new]], distinct[new])
+        place = self.places[np.searchsorted(self.hashes, distinct)][inverse]
         lengths = self.lengths[place]
-        return self.ids[ranges(self.starts[place], lengths)], lengths
+        others = self._others(texts, starts, ends - starts, place)
+        if not len(others):
+            return self.ids[ranges(self.starts[place], lengths)], lengths
+        own = self.encode([texts.data[starts[i] : ends[i]].tobytes().decode() for i in others.tolist()])
+        every = [self.ids[a : a + n] for a, n in zip(self.starts[place].tolist(), lengths.tolist())]
+        for i, ids in zip(others.tolist(), own):
+            every[i] = np.array(ids, np.uint32)
+        return np.concatenate(every), np.fromiter(map(len, every), np.int64, len(every))

@@ -52,6 +52,42 @@ def test_stream_equals_the_library_in_a_small_window(library):
     assert len(early) > 1500 and stream.widest <= 4 * pieces.longest
 
 
+def test_all_segments_pass_the_window(library, monkeypatch):
+    """Ids come from commits inside a bounded window, side by side and alone."""
+    pieces = S.Pieces(PATH)
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aeinorst日é") for _ in range(rng.randint(1, 9))) for _ in range(500)]
+    long = ["".join(rng.choice("aeinorstlmé") for _ in range(rng.randint(30, 400))) for _ in range(150)]
+    segments = [S.SPACE + w for w in sorted(words + long, key=len, reverse=True)]
+    for few in (0, 48, 10_000):
+        monkeypatch.setattr(S, "FEW", few)
+        lanes = S.Lanes(pieces, segments)
+        assert [library.encode(s[1:]) for s in segments] == lanes.run()
+        assert lanes.searched == len(segments) and lanes.widest <= 4 * pieces.longest
+        characters = sum(map(len, segments))
+        assert lanes.commits >= len(segments) + (characters - len(segments) * 2 * pieces.longest) / (2 * pieces.longest)
+
+
+def test_paths_that_meet_late_widen_their_own_window(library, monkeypatch):
+    monkeypatch.setattr(S, "met", lambda back, size, reach: np.zeros(back.shape[1], np.int64))
+    monkeypatch.setattr(S, "FEW", 0)
+    segments = [S.SPACE + "abcdefgh" * n for n in (30, 20, 10, 1, 1)]
+    assert [library.encode(s[1:]) for s in segments] == S.Lanes(S.Pieces(PATH), segments).run()
+
+
+def test_other_model_types_are_refused(tmp_path):
+    data = bytearray(open(PATH, "rb").read())
+    assert S.model_type(bytes(data)) == "merges"
+    spec = next(v for n, v in S._fields(bytes(data)) if n == 2)
+    at = bytes(data).index(spec) + spec.index(b"\x18\x02")
+    data[at + 1] = 1
+    assert S.model_type(bytes(data)) == "unigram"
+    other = tmp_path / "other.model"
+    other.write_bytes(data)
+    with pytest.raises(ValueError, match="unigram"):
+        S.Pieces(str(other))
+
+
 def test_pairs_stay_apart_as_merging_says(library):
     pieces = S.Pieces(PATH)
     rng = random.Random(3)

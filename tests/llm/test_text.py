@@ -82,3 +82,15 @@ def test_remembered_forgets():
             ids, lengths = memory.of(part, starts, ends)
             assert ids.tolist() == [len(w) for w in text.split()] and set(lengths.tolist()) == {1}
     assert calls == [2, 1, 4, 1]
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    weak = lambda self, sums, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(2)
+    monkeypatch.setattr(X.Texts, "hashes", weak)
+    memory = X.Remembered(lambda words: [list(w.encode()) for w in words])
+    for text in ("a bb ccc a dd", "ccc e bb", "ff", "bb a g"):
+        (part,) = X.slices(pa.array([text]))
+        starts, ends, _ = part.runs(X.SPACE[part.data])
+        ids, counts = memory.of(part, starts, ends)
+        assert ids.tolist() == list(text.replace(" ", "").encode())
+        assert counts.tolist() == [len(w) for w in text.split()]
