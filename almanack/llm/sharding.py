@@ -13,7 +13,9 @@ most one apart (law "rows") and only groups at the edge of a shard are cut.
 Only numbers of proposals by pair of shards and level of the order come to the driver,
 at most shards squared times LEVELS.
 Rows of a group are interchangeable while they move: a group with a third of all rows is
-sixteen counts, needs several shards and gets as many homes. Ranks are taken in buckets.
+sixteen counts, needs several shards and gets as many homes. Where rows meet their group
+again, a large group is dealt out in cells, as many as its size asks for, and what is
+known of it is repeated for each cell; ranks are taken in buckets. So no task gets a group.
 
 Defined cases: a null text has size 1, the crc32 of the empty text, and is linked with
 null and empty texts; rows are what is counted, so repeated ids take a slot each and
@@ -29,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanack.llm.tables import RANK_ROWS, buckets, numbered, text_of
+from almanack.llm.tables import BROADCAST_IDS, RANK_ROWS, buckets, numbered, text_of
 from almanack.session import hand_over
 
 SHARDS = 16
@@ -161,22 +163,29 @@ def sharded(
     members = F.sum("n").over(Window.partitionBy("group")).alias("members")
     held = held.select("group", members, "shard", "n").where(F.col("members") > 1)
     held = hand_over(held, "shards-first")
-    large = hand_over(held.where(F.col("members") > RANK_ROWS).select(F.col("group").alias("_large")).distinct(), "shards-large")
+    # Groups beyond RANK_ROWS (at most one for so many rows) are dealt out in cells.
+    cells = F.ceil(F.col("members") / RANK_ROWS).cast("int").alias("cells")
+    large = held.where(F.col("members") > RANK_ROWS).select(F.col("group").alias("_large"), cells).distinct()
+    large = hand_over(large, "shards-large")
+    if large.count() <= BROADCAST_IDS:
+        large = F.broadcast(large)
+    celled = lambda df: df.join(large, df["group"] == large["_large"], "left").drop("_large")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("cells", F.lit(1)) - 1))
     held = propagated(held, quota, rounds)
     # Rows in the order of their groups; large groups have further buckets of their own.
-    own = buckets(count) + F.pmod(F.xxhash64("group"), F.lit(_GRAIN)) * 64 + F.pmod(F.xxhash64("row", F.lit("part")), F.lit(64))
-    dealt = F.when(F.col("_large").isNull(), F.pmod(F.xxhash64("group", F.lit("slot")), F.lit(buckets(count)))).otherwise(own)
+    cell = F.coalesce(F.pmod(F.xxhash64("row", F.lit("cell")), F.col("cells")), F.lit(0)).cast("int")
+    own = buckets(count) + F.pmod(F.xxhash64("group"), F.lit(_GRAIN)) * F.lit(1 << 40) + cell
+    dealt = F.when(F.col("cells").isNull(), F.pmod(F.xxhash64("group", F.lit("slot")), F.lit(buckets(count)))).otherwise(own)
     by_group = [F.col("group"), F.col("row")]
-    ordered = rows.join(large, rows["group"] == large["_large"], "left").select("row", "group", dealt.alias("dealt"))
+    ordered = celled(rows).select("row", "group", cell.alias("cell"), dealt.alias("dealt"))
 
     # The rows of a group, in any order, take the places that its shards hold.
     before = F.sum("n").over(Window.partitionBy("group").orderBy("shard")) - F.col("n")
-    places = held.select(F.col("group").alias("_group"), F.col("shard"), "n", before.alias("_from"))
-    linked = ordered.join(held.select("group").distinct(), "group", "left_semi")
+    places = celled(held.select("group", "shard", "n", before.alias("_from"))).select("group", every.alias("cell"), "shard", "n", "_from")
+    linked = ordered.join(places.select("group", "cell").distinct(), ["group", "cell"], "left_semi")
     linked = numbered(linked, ["group"], [F.col("row")], hashed, "nth")
     within = (F.col("nth") >= F.col("_from")) & (F.col("nth") < F.col("_from") + F.col("n"))
-    state = linked.join(places, (linked["group"] == places["_group"]) & within)
-    state = state.select("row", "group", "dealt", "shard")
+    state = linked.join(places, ["group", "cell"]).where(within).select("row", "group", "dealt", "shard")
     placed = numbered(state, ["shard"], by_group, F.col("dealt"), "slot").select("row", "shard", "slot")
     placed = hand_over(placed, "shards-ranked")
     stays = placed.where(F.col("slot") < F.get(_literal(quota, "bigint"), F.col("shard")))
