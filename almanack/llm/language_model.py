@@ -15,24 +15,30 @@ A frequent n-gram is one entry per chunk, and buckets are dealt by the n-gram's
 so buckets are even, however skewed the words are. The number of buckets follows the
 corpus. N-grams are identified by 64-bit hashes, which travel as compressed differences.
 
+`scored_by_join` says the same with DataFrame joins alone: count tables by hash, joined to
+the exploded n-grams, summed per document. It moves every n-gram of every document as a
+row, which is what the packed form saves (figures in the README).
+
 Defined cases: null and empty texts have no words and a null score; in a corpus of one
 document nothing is known and all words have the score of an unseen one, 0.4 / max(N, 1)
-with N words in other documents. Repeated rows count as further documents; null ids are
-kept. Further columns are not read. An empty table gives no rows.
+with N words in other documents. Ids may be of any type; repeated rows count as further
+documents; null ids are kept. Further columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from almanack.llm import text as X
-from almanack.llm.tables import bounded_batches
+from almanack.llm.tables import bounded_batches, text_of
 from almanack.session import hand_over
 
 ORDER = 2
@@ -41,7 +47,7 @@ CHUNK_BYTES = 8 << 20
 #: Words of the corpus per bucket of the count tables.
 BUCKET_WORDS = 1_500_000
 
-_CHUNK = "chunk bigint, ids array<bigint>, lengths array<int>, words bigint, vocabulary binary, sequence binary"
+_CHUNK = "chunk bigint, ids array<{}>, lengths array<int>, words bigint, vocabulary binary, sequence binary"
 _PLACE = X.mix(np.arange(201, 233, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -57,7 +63,7 @@ def _unpack(packed: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(width, n).T.copy().view(kind).ravel()
 
 
-def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunk_rows(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     part, number = TaskContext.get().partitionId(), 0
     ids, lengths, hashes, size = [], [], [], 0
 
@@ -70,7 +76,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([(part << 32) + number], pa.int64()),
-                pa.array([ids], pa.list_(pa.int64())),
+                pa.array([ids], pa.list_(kind)),
                 pa.array([np.concatenate(lengths).astype(np.int32)], pa.list_(pa.int32())),
                 pa.array([len(whole)], pa.int64()),
                 pa.array([_pack(vocabulary[order])], pa.binary()),
@@ -145,8 +151,10 @@ def scored(
     """doc_id, n_words, n_backoff (words whose longest n-gram no other document has)
     and score (mean natural logarithm per word)."""
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    chunks = hand_over(rows.mapInArrow(_chunk_rows, _CHUNK), "lm-chunks")
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    id_type = rows.schema["id"].dataType
+    kind, spec = to_arrow_type(id_type), _CHUNK.format(id_type.simpleString())
+    chunks = hand_over(rows.mapInArrow(lambda batches: _chunk_rows(batches, kind), spec), "lm-chunks")
     words = chunks.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     buckets = max(1, -(-words // BUCKET_WORDS))
 
@@ -182,13 +190,13 @@ def scored(
             out["n_words"] += lengths.tolist()
             out["n_backoff"] += np.bincount(doc, backoffs, len(lengths)).astype(int).tolist()
             out["score"] += [s if h else None for s, h in zip((sums / np.maximum(lengths, 1)).tolist(), has)]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        kinds = (kind, pa.int64(), pa.int64(), pa.float64())
         return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds)})
 
     asked = chunks.mapInArrow(requests, "chunk bigint, size int, bucket bigint, hashes binary, counts binary")
     answers = asked.groupBy("size", "bucket").applyInArrow(_answer, "chunk bigint, size int, bucket bigint, totals binary")
     both = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return both.applyInArrow(score, "doc_id bigint, n_words bigint, n_backoff bigint, score double")
+    return both.applyInArrow(score, f"doc_id {id_type.simpleString()}, n_words bigint, n_backoff bigint, score double")
 
 
 def _score_words(
@@ -224,3 +232,41 @@ def _score_words(
         score = np.where(seen, found / np.maximum(context, 1), np.where(whole, backoff * score, score))
         backed = np.where(whole, ~seen, backed)
     return np.log(score), backed
+
+
+def scored_by_join(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF
+) -> DataFrame:
+    """What `scored` returns, by joins of DataFrames."""
+    lower = F.translate(text_of(text), string.ascii_uppercase, string.ascii_lowercase)
+    words = F.regexp_extract_all(lower, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), words.alias("words"))
+    rows = hand_over(rows.withColumn("n_words", F.size("words").cast("long")), "lm-words")
+
+    def grams(at: Column) -> Column:
+        ends = [F.when(at >= k, F.xxhash64(F.lit(k), F.slice("words", at - k + 1, k))) for k in range(1, order + 1)]
+        return F.array(*[F.struct(at.alias("at"), F.lit(k).alias("size"), g.alias("gram")) for k, g in enumerate(ends, 1)])
+
+    each = F.flatten(F.transform(F.sequence(F.lit(1), F.size("words")), grams))
+    asked = rows.where("n_words > 0").select("row", F.inline(each)).where(F.col("gram").isNotNull())
+    own = asked.groupBy("row", "gram").agg(F.count(F.lit(1)).alias("own"))
+    counts = asked.groupBy("gram").agg(F.count(F.lit(1)).alias("total"))
+    others = own.join(counts, "gram").select("row", "gram", (F.col("total") - F.col("own")).alias("others"))
+    found = hand_over(asked.join(others, ["row", "gram"]).select("row", "at", "size", "others"), "lm-found")
+    # The context of an n-gram is the shorter one that ends a word earlier.
+    shifted = found.select("row", (F.col("at") + 1).alias("at"), (F.col("size") + 1).alias("size"), F.col("others").alias("context"))
+    both = found.join(shifted, ["row", "at", "size"], "left").groupBy("row", "at")
+    of = lambda c, k: F.max(F.when(F.col("size") == k, F.col(c))).alias(f"{c}{k}")
+    places = both.agg(*[of(c, k) for c in ("others", "context") for k in range(1, order + 1)])
+    total = rows.agg(F.sum("n_words")).first()[0] or 0
+    places = places.join(rows.select("row", "n_words"), "row")
+    rest = F.greatest(F.lit(total) - F.col("n_words"), F.lit(1)).cast("double")
+    score = F.when(F.col("others1") > 0, F.col("others1") / rest).otherwise(backoff / rest)
+    backed = F.col("others1") == 0
+    for k in range(2, order + 1):
+        there, seen = F.col(f"others{k}").isNotNull(), F.col(f"others{k}") > 0
+        score = F.when(~there, score).when(seen, F.col(f"others{k}") / F.col(f"context{k}")).otherwise(backoff * score)
+        backed = F.when(there, ~seen).otherwise(backed)
+    sums = places.groupBy("row").agg(F.count_if(backed).alias("n_backoff"), F.avg(F.log(score)).alias("score"))
+    out = rows.drop("words").join(sums, "row", "left")
+    return out.select("doc_id", "n_words", F.coalesce("n_backoff", F.lit(0)).cast("long").alias("n_backoff"), "score")

@@ -124,3 +124,17 @@ def test_scores_of_nothing(spark):
     assert M.scored(frame(spark, [(1, None)])).collect()[0]["score"] is None
     one = M.scored(frame(spark, [(1, "a b")])).collect()[0]
     assert one["n_backoff"] == 2
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_joins_give_the_same_scores(spark, awkward, order):
+    rows = [*awkward, *[(100 + i, prose(i % 9, 20 + i)) for i in range(30)]]
+    df = frame(spark, rows)
+    key = lambda r: (str(r["doc_id"]), r["n_words"], r["n_backoff"], None if r["score"] is None else round(r["score"], 9))
+    packed, joined = (sorted(map(key, f(df, order=order).collect()), key=repr) for f in (M.scored, M.scored_by_join))
+    assert packed == joined
+
+
+def test_ids_of_any_type_are_scored(spark):
+    df = spark.createDataFrame([("x", "a b a b"), ("y", "a b"), (None, "b")], "doc_id string, text string")
+    assert {r["doc_id"] for r in M.scored(df).collect()} == {"x", "y", None}
