@@ -50,12 +50,12 @@ from almanack.session import hand_over
 
 LENGTH, ANCHOR = 100, 32
 #: Pieces that one group sorts on average, and beyond which an anchor is dealt out.
-GROUP, CHUNK = 8_000, 4_000
+GROUP, CHUNK = 4_000, 2_000
 #: Bytes of spans that may be broadcast (100 for each document that has some, 8 for each
 #: span); more meet the texts by shuffle.
 BROADCAST_BYTES = 48_000_000
-#: Bytes of a long text whose windows are looked at together.
-BLOCK = 1 << 21
+#: Bytes of text whose windows are looked at together; some 100 bytes of memory for each.
+BLOCK = 1 << 18
 
 _ANCHORS = "array<struct<m: bigint, start: int, size: int>>"
 _PIECES = "array<struct<m: bigint, at: int, start: int, piece: binary>>"
@@ -121,7 +121,7 @@ def anchors(text: Column, length: int = LENGTH) -> Column:
     @F.arrow_udf(_ANCHORS)
     def runs(column: pa.Array) -> pa.Array:
         counts, m, start, size = [], [], [], []
-        for whole in X.slices(column):
+        for whole in X.slices(column, BLOCK):
             per_text = np.zeros(whole.n, np.int64)
             for texts, base in _blocks(whole, length):
                 at, windows, hashes, _ = stretches(texts, length)
@@ -158,7 +158,7 @@ def pieces(text: Column, begins: Column, ends: Column, length: int = LENGTH) ->
     def cut(column: pa.Array, begin: pa.Array, end: pa.Array) -> pa.Array:
         counts, m, at, start, where, data = np.zeros(len(column), np.int64), [], [], [], [], []
         row = 0
-        for texts in X.slices(column):
+        for texts in X.slices(column, BLOCK):
             of = slice(row, row + texts.n)
             per = np.diff(begin.offsets.to_numpy())[of]
             lo = begin.flatten().to_numpy()[begin.offsets[row].as_py() - begin.offsets[0].as_py() :][: per.sum()]
