@@ -890,6 +890,15 @@ def oracle() -> dict[str, str]:
             FROM annual_generation g JOIN annual_demand d USING (entity_code, year)
             JOIN dim_country USING (entity_code)"""
         ),
+        "reports_by_year": _on_marts(
+            f"""SELECT country_name, entity_code, g.year,
+              {_round("g.generation_twh", 2)} AS generation_twh,
+              {_round("d.demand_twh", 2)} AS demand_twh,
+              {_round("(g.generation_twh - d.demand_twh)", 2)} AS generation_demand_balance_twh,
+              'fact_generation 1997' AS computed_again
+            FROM annual_generation g JOIN annual_demand d USING (entity_code, year)
+            JOIN dim_country USING (entity_code)"""
+        ),
         "annual_domestic_net_imports": _on_marts(_totals("annual_domestic_net_imports", "annual_domestic")),
         "annual_balance": _on_marts(_totals("annual_balance", "annual_balance")),
         "comparison_sources": _on_marts("SELECT * FROM sources"),

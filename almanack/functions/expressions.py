@@ -19,6 +19,14 @@ def capacity_series_key(name: Column | str) -> Column:
     return series_key(F.concat(F.lit("capacity::"), column))
 
 
+def total_parts(value: Column | str) -> list[Column]:
+    """Aggregates: sums of the leading 24 bits of each value and of what is left of it."""
+    column = F.col(value) if isinstance(value, str) else value
+    lead = F.when(F.abs(column) < F.lit(1e38), column.cast("float").cast("double")).otherwise(column)
+    rest = column - lead
+    return [F.sum(lead), F.sum(F.when(F.isnan(rest), F.lit(0.0)).otherwise(rest))]
+
+
 def total(value: Column | str, over: WindowSpec | None = None) -> Column:
     """Aggregate: the sum of doubles, in whatever order they come.
 
@@ -27,11 +35,9 @@ def total(value: Column | str, over: WindowSpec | None = None) -> Column:
     powers of a thousand, and only their sum is rounded. Beyond the range of the short
     form a value counts whole.
     """
-    column = F.col(value) if isinstance(value, str) else value
-    lead = F.when(F.abs(column) < F.lit(1e38), column.cast("float").cast("double")).otherwise(column)
-    parts = [F.sum(lead), F.sum(column - lead)]
+    parts = total_parts(value)
     one, two = parts if over is None else [part.over(over) for part in parts]
-    return one + F.when(F.isnan(two), F.lit(0.0)).otherwise(two)
+    return one + two
 
 
 def mean(value: Column | str) -> Column:

@@ -56,6 +56,16 @@ def dimension_tables(
     }
 
 
+#: The dataset each fact is made of.
+DATASET_OF = {
+    "fact_generation": "generation",
+    "fact_emissions": "emissions",
+    "fact_demand": "demand",
+    "fact_carbon_intensity": "carbon_intensity",
+    "fact_capacity": "capacity",
+}
+
+
 def fact_tables(silver: dict[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Facts for given dimensions. Hand in written dimensions: only then does
     Spark know how small they are and looks keys up without moving the facts."""

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from almanack import schemas as S
 from almanack.functions.expressions import (
     is_complete,
-    mean,
     month_count,
     months_mask,
     percent,
@@ -25,6 +24,7 @@ from almanack.functions.expressions import (
     total,
     within_years,
 )
+from almanack.operators import yearly
 
 Gold = dict[str, DataFrame]
 CATEGORIES = ("Renewable", "Fossil", "Clean")
@@ -33,11 +33,13 @@ CATEGORIES = ("Renewable", "Fossil", "Clean")
 def _years(df: DataFrame, first: int | None, before: int) -> DataFrame:
     """Rows dated ``first <= year < before``; stated on the year column as well
     where there is one, by which stored facts are partitioned."""
-    condition = within_years(F.col("date"), first, before)
+    conditions = []
+    if "date" in df.columns:
+        conditions.append(within_years(F.col("date"), first, before))
     if "year" in df.columns:
         year = F.col("year")
-        condition &= (year < before) if first is None else (year >= first) & (year < before)
-    return df.where(condition)
+        conditions.append((year < before) if first is None else (year >= first) & (year < before))
+    return df.where(reduce(Column.__and__, conditions))
 
 
 def _dated(gold: Gold, fact: str, columns: Sequence[str], as_of_year: int) -> DataFrame:
@@ -52,15 +54,23 @@ def _component_keys(gold: Gold) -> DataFrame:
     return series.where(~F.col("is_aggregate_series") & (F.col("series_name") != S.NET_IMPORTS))
 
 
-def _yearly(
-    rows: DataFrame, by: Sequence[str], complete: bool = True, **measures: Column
-) -> DataFrame:
-    """Group by entity, year (and more) and keep groups with all 12 months."""
-    grouped = rows.groupBy("entity_code", "year", *by).agg(
-        months_mask(F.col("month_number")).alias("_months"),
+def _sums(gold: Gold, fact: str, as_of_year: int) -> DataFrame:
+    """Yearly sums of a fact before the current year: the stored ones where the model has
+    them, else from the fact's rows."""
+    stored = gold.get(yearly.yearly_name(fact))
+    if stored is not None:
+        return stored.where(F.col("year") < as_of_year)
+    keys, measure = yearly.SUMMED[fact]
+    return yearly.summed(_dated(gold, fact, [*keys, measure], as_of_year), fact)
+
+
+def _yearly(sums: DataFrame, by: Sequence[str], **measures: Column) -> DataFrame:
+    """Group yearly sums by entity, year (and more) and keep groups with all 12 months."""
+    grouped = sums.groupBy("entity_code", "year", *by).agg(
+        F.bit_or("months").alias("_months"),
         *[measure.alias(name) for name, measure in measures.items()],
     )
-    return (grouped.where(is_complete(F.col("_months"))) if complete else grouped).drop("_months")
+    return grouped.where(is_complete(F.col("_months"))).drop("_months")
 
 
 # --- generation and demand -------------------------------------------------
@@ -68,15 +78,13 @@ def _yearly(
 
 def annual_generation(gold: Gold, as_of_year: int) -> DataFrame:
     """Component generation per year; months are counted after the filter."""
-    rows = _dated(
-        gold, "fact_generation", ["entity_code", "series_key", "generation_twh"], as_of_year
-    ).join(_component_keys(gold).select("series_key"), "series_key")
-    return _yearly(rows, [], generation_twh=total("generation_twh"))
+    sums = _sums(gold, "fact_generation", as_of_year)
+    sums = sums.join(_component_keys(gold).select("series_key"), "series_key")
+    return _yearly(sums, [], generation_twh=yearly.sum_of())
 
 
 def annual_demand(gold: Gold, as_of_year: int) -> DataFrame:
-    rows = _dated(gold, "fact_demand", ["entity_code", "demand_twh"], as_of_year)
-    return _yearly(rows, [], demand_twh=total("demand_twh"))
+    return _yearly(_sums(gold, "fact_demand", as_of_year), [], demand_twh=yearly.sum_of())
 
 
 def generation_demand_yearly(gold: Gold, as_of_year: int) -> DataFrame:
@@ -104,17 +112,14 @@ def annual_domestic_net_imports(gold: Gold, as_of_year: int) -> DataFrame:
     """Domestic generation and net imports side by side; months are counted over
     all series."""
     series = gold["dim_energy_series"].select("series_key", "series_name", "is_aggregate_series")
-    rows = _dated(
-        gold, "fact_generation", ["entity_code", "series_key", "generation_twh"], as_of_year
-    ).join(series, "series_key")
+    sums = _sums(gold, "fact_generation", as_of_year).join(series, "series_key")
     flow = F.col("series_name") == S.NET_IMPORTS
     domestic = ~F.col("is_aggregate_series") & ~flow
-    amount = F.col("generation_twh")
     return _yearly(
-        rows,
+        sums,
         [],
-        domestic_generation_twh=total(F.when(domestic, amount).otherwise(F.lit(0.0))),
-        net_imports_twh=total(F.when(flow, amount).otherwise(F.lit(0.0))),
+        domestic_generation_twh=yearly.sum_of(domestic),
+        net_imports_twh=yearly.sum_of(flow),
     )
 
 
@@ -136,7 +141,11 @@ SOURCES = (
 
 def _source_months(gold: Gold, as_of_year: int | None, first: int | None) -> DataFrame:
     """One row per year with the months seen in each of the six sources. The
-    five facts are read side by side and combined per task."""
+    five facts are read side by side and combined per task; where the model has yearly
+    sums, these say it."""
+    if all(table in gold for table in yearly.YEARLY_TABLES):
+        return _summed_months(gold, as_of_year, first)
+
     def limited(table: str) -> DataFrame:
         return gold[table] if as_of_year is None else _years(gold[table], first, as_of_year)
 
@@ -166,6 +175,20 @@ def _source_months(gold: Gold, as_of_year: int | None, first: int | None) -> Dat
     )
 
 
+def _summed_months(gold: Gold, as_of_year: int | None, first: int | None) -> DataFrame:
+    names = gold["dim_capacity_series"].where(F.col("series_name").isin("Solar", "Wind"))
+    names = names.select("capacity_series_key", F.concat(F.lower("series_name"), F.lit("_capacity")).alias("source"))
+    sums = [
+        gold[yearly.yearly_name(f"fact_{name}")].select("year", "months", F.lit(name).alias("source")) for name in SOURCES[:4]
+    ]
+    capacity = gold[yearly.yearly_name("fact_capacity")].join(names, "capacity_series_key")
+    rows = reduce(DataFrame.unionByName, [*sums, capacity.select("year", "months", "source")])
+    if as_of_year is not None:
+        rows = _years(rows, first, as_of_year)
+    seen = [F.bit_or(F.when(F.col("source") == name, F.col("months"))).alias(name) for name in SOURCES]
+    return rows.groupBy("year").agg(*seen)
+
+
 def comparison_sources(gold: Gold, as_of_year: int | None = None) -> DataFrame:
     """(source_name, year, months) for the six series a year must be complete in."""
     masks = _source_months(gold, as_of_year, None)
@@ -214,6 +237,8 @@ def _in_years(df: DataFrame, period: Period | None) -> DataFrame:
     if period is None:
         return df.where(F.lit(False))
     years = sorted(set(period))
+    if "date" not in df.columns:
+        return df.where(F.col("year").isin(years))
     ranges = [within_years(F.col("date"), year, year + 1) for year in years]
     limited = df.where(reduce(Column.__or__, ranges))
     return limited.where(F.col("year").isin(years)) if "year" in df.columns else limited
@@ -234,8 +259,8 @@ def _in_period(annual: DataFrame, period: Period | None) -> DataFrame:
 
 
 def _for_years(gold: Gold, period: Period | None) -> Gold:
-    """The model with facts and months limited to the two years."""
-    dated = [t for t in gold if t in S.FACT_GRAINS or t == "dim_date"]
+    """The model with facts, yearly sums and months limited to the two years."""
+    dated = [t for t in gold if t in S.FACT_GRAINS or t == "dim_date" or t in yearly.YEARLY_TABLES]
     return gold | {table: _in_years(gold[table], period) for table in dated}
 
 
@@ -347,7 +372,7 @@ def monthly_to_annual_mix(monthly: DataFrame, gold: Gold) -> DataFrame:
 
 def complete_country_years(gold: Gold, as_of_year: int) -> DataFrame:
     """(entity_code, year) with all 12 months over every generation row."""
-    return _yearly(_dated(gold, "fact_generation", ["entity_code"], as_of_year), [])
+    return _yearly(_sums(gold, "fact_generation", as_of_year), [])
 
 
 def _mix_parts(gold: Gold, as_of_year: int) -> DataFrame:
@@ -355,13 +380,13 @@ def _mix_parts(gold: Gold, as_of_year: int) -> DataFrame:
     category and kind of series the sum and the months seen. On that small result, months
     of all rows decide whether a year is complete, and components make up its total."""
     series = gold["dim_energy_series"].select("series_key", "series_name", "is_aggregate_series", "energy_category")
-    rows = _dated(gold, "fact_generation", ["entity_code", "series_key", "generation_twh"], as_of_year)
+    sums = _sums(gold, "fact_generation", as_of_year)
     component = ~F.col("is_aggregate_series") & (F.col("series_name") != S.NET_IMPORTS)
     parts = (
-        rows.join(series, "series_key", "left")
+        sums.join(series, "series_key", "left")
         .withColumn("_component", F.coalesce(component, F.lit(False)))
         .groupBy("entity_code", "year", "_component", F.when(F.col("_component"), F.col("energy_category")).alias("energy_category"))
-        .agg(total("generation_twh").alias("generation_twh"), months_mask(F.col("month_number")).alias("_seen"))
+        .agg(yearly.sum_of().alias("generation_twh"), F.bit_or("months").alias("_seen"))
     )
     year = Window.partitionBy("entity_code", "year")
     whole = total(F.when(F.col("_component"), F.col("generation_twh")), year)
@@ -455,34 +480,25 @@ def energy_mix_transition_summary(
 def annual_emissions(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Yearly emissions of the total series in the years of the period."""
     whole = gold["dim_energy_series"].where(F.col("series_name") == S.TOTAL_GENERATION)
-    rows = _dated(
-        _for_years(gold, period),
-        "fact_emissions",
-        ["entity_code", "series_key", "emissions_mtco2"],
-        as_of_year,
-    ).join(whole.select("series_key"), "series_key")
-    yearly = _yearly(rows, [], emissions_mtco2=total("emissions_mtco2"))
-    return _in_period(yearly, period)
+    sums = _sums(_for_years(gold, period), "fact_emissions", as_of_year)
+    sums = sums.join(whole.select("series_key"), "series_key")
+    return _in_period(_yearly(sums, [], emissions_mtco2=yearly.sum_of()), period)
 
 
 def annual_intensity(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Unweighted mean of the monthly intensities."""
-    measure = "emissions_intensity_gco2_per_kwh"
-    rows = _dated(
-        _for_years(gold, period), "fact_carbon_intensity", ["entity_code", measure], as_of_year
-    )
-    yearly = _yearly(rows, [], avg_carbon_intensity_gco2_per_kwh=mean(measure))
-    return _in_period(yearly, period)
+    sums = _sums(_for_years(gold, period), "fact_carbon_intensity", as_of_year)
+    return _in_period(_yearly(sums, [], avg_carbon_intensity_gco2_per_kwh=yearly.mean_of()), period)
 
 
 def emissions_pivot(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Every country with its start and end values, null where there is none."""
     sides = []
-    for yearly, value, name in (
+    for build, value, name in (
         (annual_emissions, "emissions_mtco2", "emissions_{}_mtco2"),
         (annual_intensity, "avg_carbon_intensity_gco2_per_kwh", "carbon_intensity_{}"),
     ):
-        frame = yearly(gold, as_of_year, period)
+        frame = build(gold, as_of_year, period)
         sides.append(
             frame.groupBy("entity_code").agg(
                 _at_start(value).alias(name.format("start")),
@@ -540,14 +556,9 @@ def emissions_carbon_intensity(
 def annual_capacity(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:
     """Mean capacity of solar and wind, each complete in its own year."""
     wanted = gold["dim_capacity_series"].where(F.col("series_name").isin("Solar", "Wind"))
-    rows = _dated(
-        _for_years(gold, period),
-        "fact_capacity",
-        ["entity_code", "capacity_series_key", "capacity_gw"],
-        as_of_year,
-    ).join(wanted.select("capacity_series_key", "series_name"), "capacity_series_key")
-    yearly = _yearly(rows, ["series_name"], avg_capacity_gw=mean("capacity_gw"))
-    return _in_period(yearly, period)
+    sums = _sums(_for_years(gold, period), "fact_capacity", as_of_year)
+    sums = sums.join(wanted.select("capacity_series_key", "series_name"), "capacity_series_key")
+    return _in_period(_yearly(sums, ["series_name"], avg_capacity_gw=yearly.mean_of()), period)
 
 
 def capacity_pivot(gold: Gold, as_of_year: int, period: Period | None) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -66,22 +67,33 @@ def source_fingerprint(df: DataFrame, version: str) -> tuple[str, int]:
     return row["fingerprint"], row["rows"]
 
 
+def _skipped(name: str, published: dict) -> dict:
+    return {"mart": name, "rows": published["row_count"], "location": published["location"], "skipped": True}
+
+
 def prepare_mart(
-    spark: SparkSession, name: str, df: DataFrame, version: str, root: str, writer=tables.write_snapshot
+    spark: SparkSession,
+    name: str,
+    df: DataFrame,
+    version: str,
+    root: str,
+    writer=tables.write_snapshot,
+    inputs: str | None = None,
 ) -> dict:
     """Compute the mart once; if its fingerprint is the published one, write
-    nothing and keep the published location, else write it and check the files."""
+    nothing and keep the published location, else write it and check the files.
+
+    `inputs` identifies what the mart is made of. Where the published one was made of the
+    same, it is not even computed."""
     table = marts.mart_table_name(name)
     published = tables.current_tables(spark, root).get(table)
+    if published and inputs is not None and published.get("inputs") == inputs:
+        return _skipped(name, published)
     df = hand_over(df, f"mart-{name}")
     fingerprint, rows = source_fingerprint(df, version)
     if published and published["fingerprint"] == fingerprint:
-        return {
-            "mart": name,
-            "rows": published["row_count"],
-            "location": published["location"],
-            "skipped": True,
-        }
+        noted = {"pointer": published | {"inputs": inputs}} if inputs is not None else {}
+        return _skipped(name, published) | noted
     run_id = tables.new_run_id()
     location = writer(df, root, table, run_id)
     written = spark.read.schema(df.schema).parquet(location)
@@ -97,6 +109,7 @@ def prepare_mart(
             "run_id": run_id,
             "row_count": rows,
             "fingerprint": fingerprint,
+            "inputs": inputs,
         },
     }
 
@@ -109,9 +122,11 @@ def publish_marts(
     baseline_year: int = S.BASELINE_YEAR,
     names: Sequence[str] = tuple(marts.MARTS),
     writer=tables.write_snapshot,
+    inputs_of: Callable[[marts.Period | None], str] | None = None,
 ) -> list[dict]:
     """Prepare every mart first, then switch all changed ones in one commit. The
-    comparison period is computed once and shared."""
+    comparison period is computed once and shared. With `inputs_of` (see
+    `gold.inputs_of`) marts whose inputs are the published ones' are left alone."""
     for name in names:
         marts.mart_table_name(name)
     as_of_year = dt.date.today().year if as_of_year is None else as_of_year
@@ -120,8 +135,12 @@ def publish_marts(
     for name in names:
         version, build = marts.MARTS[name]
         mart = build(gold, as_of_year, baseline_year, period)
-        prepared.append(prepare_mart(spark, name, mart, version, root, writer))
-    changed = [item.pop("pointer") for item in prepared if not item["skipped"]]
+        made_of = None
+        if inputs_of is not None:
+            text = f"{name}|{version}|{as_of_year}|{period}|{inputs_of(period)}"
+            made_of = hashlib.sha256(text.encode()).hexdigest()
+        prepared.append(prepare_mart(spark, name, mart, version, root, writer, made_of))
+    changed = [item.pop("pointer") for item in prepared if "pointer" in item]
     if changed:
         tables.commit(spark, root, changed)
     return prepared

@@ -23,7 +23,7 @@ from almanack.sources import versions
 
 FIELDS = (
     "version", "table", "location", "run_id", "row_count", "fingerprint", "manifest",
-    "parts", "columns", "batches",
+    "parts", "columns", "batches", "inputs",
 )
 PART = "_part"
 
