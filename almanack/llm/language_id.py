@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from almanack.llm import text as X
 from almanack.llm.tables import bounded_batches, fold, sampled_by
+from almanack.session import hand_over
 
 N = 4
 MIN_SHARE = 2e-5
@@ -150,8 +151,10 @@ def fit(
     rows, sizes = sampled_by(rows, F.struct("_id", "text"), "lang", fit_rows)
     counts = rows.select("lang", "text").mapInArrow(_counted, "lang string, gram bigint, n bigint")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
-    shares = counts.withColumn("share", share).where(F.col("share") >= MIN_SHARE)
+    counts = hand_over(counts, "gram-counts")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # a row for each language
+    shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total")).drop("total")
+    shares = shares.where(F.col("share") >= MIN_SHARE)
     most = F.max("share").over(Window.partitionBy("gram"))
     held = shares.withColumn("most", most).where(F.col("share") >= F.col("most") * CHARACTERISTIC)
     table = held.select("lang", "gram", "n").toArrow()  # at most 1 / MIN_SHARE rows for each language
@@ -160,7 +163,7 @@ def fit(
     languages = sorted(set(names))
     own = {name: names == name for name in languages}
     stands_for = {r["lang"]: max(1.0, r["_rows"] / fit_rows) for r in sizes.collect()}
-    common = max(languages, key=lambda x: (int(weights[own[x]].sum()) * stands_for[x], x), default=UNKNOWN)
+    common = min(languages, key=lambda x: (-int(weights[own[x]].sum()) * stands_for[x], x), default=UNKNOWN)
     return Filters.of(languages, common, {name: values[own[name]] for name in languages})
 
 

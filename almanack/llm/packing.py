@@ -172,13 +172,13 @@ def packed(
         "ids_crc32",
         "doc_tokens",
     )
-    pieces = hand_over(pieces, "pieces")
+    # Written with a number, by which pieces are dealt out also where ids are null or repeat.
+    pieces = hand_over(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     plan = Plan(capacity).place(histogram)
     count = sum(histogram.values())
-    order = [F.col(c) for c in ("doc_id", "start", "ids_crc32", "doc_tokens")]
-    bucket = F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets(count)))
-    ranked = numbered(pieces, ["length"], order, bucket, "_rank")
+    bucket = F.pmod(F.xxhash64("_piece"), F.lit(buckets(count)))
+    ranked = numbered(pieces, ["length"], [F.col("_piece")], bucket, "_rank")
     runs = spark.createDataFrame(
         plan.rows, "_length bigint, _first bigint, _last bigint, _window bigint, _each bigint, _offset bigint"
     )
@@ -190,7 +190,7 @@ def packed(
     )
     at = F.col("_rank") - F.col("_first")
     return place.select(
-        *pieces.columns,
+        *[c for c in pieces.columns if c != "_piece"],
         (F.col("_window") + (at - at % F.col("_each")) / F.col("_each")).cast("long").alias("sequence_id"),
         (F.col("_offset") + at % F.col("_each") * F.col("length")).alias("offset"),
     )

@@ -17,12 +17,13 @@ fold 2 take no part in it. Rows labelled 0 are not used at all.
 Defined cases: null and empty texts get the score of a text without any counts; a
 missing label means unlabelled; contradicting labels of one id count as no label; with
 documents but no positives or no unlabelled rows nothing can be learnt, which is an
-error. Without any documents the score is the prior for all. Repeated rows get the same
+error; if not `strict`, a warning, and every score is 0.5, below the threshold. Without any documents the score is the prior for all. Repeated rows get the same
 score each. Further columns are kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -118,7 +119,12 @@ def fit_arrays(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", fit_rows: int = FIT_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    fit_rows: int = FIT_ROWS,
+    strict: bool = True,
 ) -> Model:
     """Learns from documents outside fold 2 and labels (doc_id, quality)."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
@@ -135,7 +141,11 @@ def fit(
     have = {r["role"] for r in sizes.collect()}
     if have != {0, 1} and not docs.isEmpty():
         lacking = " or ".join(name for k, name in ((1, "positive"), (0, "unlabelled")) if k not in have)
-        raise ValueError(f"no {lacking} documents outside the held-out fold: the classifier cannot be fitted")
+        said = f"no {lacking} documents outside the held-out fold: the classifier cannot be fitted"
+        if strict:
+            raise ValueError(said)
+        warnings.warn(said)
+        return Model(np.zeros(C.TEXT_FEATURES), np.ones(C.TEXT_FEATURES), np.zeros(C.TEXT_FEATURES), START_PRIOR)
     picked = hand_over(picked.select("_id", "role").distinct(), "fit-ids")  # at most twice `fit_rows`, about
     found = rows.join(F.broadcast(picked), "_id").select("_id", "role", _features("_text").alias("f"))
     table = found.orderBy("_id").toArrow()

@@ -7,12 +7,15 @@ share of content among the characters decides whether a document stays. The fiel
 trained by maximum likelihood (forward and backward sums) on labelled documents outside
 fold 2, whose lines take the document's label: about `fit_rows` of the good and as many
 of the poor ones, picked by the hash of the id, or all where there are fewer. Each class
-weighs as much as it does among all labelled documents.
+weighs as much as it does among all labelled documents. Of a document with many lines
+`FIT_RUNS` runs of RUN lines, spread over it, are used and weigh as much as all of them,
+so that what comes to the driver is bounded.
 
 Defined cases: null and empty texts have no words, zeros throughout, and fail the base
 rules; lines without a word are no part of a sequence; long texts are decoded whole.
-Without poor rows no line counts as boilerplate, of which a warning tells; documents
-without any good row among them are an error. Repeated rows are judged each. Further
+Contradicting labels of one id count as no label. Without poor rows no line counts as
+boilerplate, of which a warning tells. Documents without any good row among them are an
+error; if not `strict`, a warning, and no line counts as content. Repeated rows are judged each. Further
 columns are kept. An empty table gives an empty result.
 """
 
@@ -37,8 +40,8 @@ MAX_REPEATED_PERCENT = 30
 MIN_CONTENT = 0.5
 #: Of the good labelled rows, and of the poor ones.
 FIT_ROWS = 6_000
-#: Training sequences are cut into runs of this many lines, all of which are used.
-RUN = 64
+#: Training sequences are cut into runs of this many lines; of each document so many are used.
+RUN, FIT_RUNS = 64, 8
 STEPS = 150
 CONTENT, BOILERPLATE = 0, 1
 
@@ -52,9 +55,12 @@ _COUNTS = (
 class Field:
     emission: np.ndarray  # (features, 2)
     transition: np.ndarray  # (2, 2), from and to
+    nothing_known: bool = False
 
     def decode(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The best label of each line; texts have `counts` lines, one after another."""
+        if self.nothing_known:
+            return np.full(len(features), BOILERPLATE, np.int8)
         return viterbi(features @ self.emission, self.transition, counts)
 
 
@@ -137,27 +143,48 @@ def train(
     return Field(weights, transition)
 
 
-@F.arrow_udf(T.ArrayType(T.FloatType()))
+_RUNS = (
+    T.StructType().add("f", T.ArrayType(T.FloatType())).add("sizes", T.ArrayType(T.IntegerType())).add("runs", T.IntegerType())
+)
+
+
+@F.arrow_udf(_RUNS)
 def _lines(column: pa.Array) -> pa.Array:
-    values, sizes = [], []
+    """Features of the lines of up to FIT_RUNS runs of each text, how many lines each run
+    has, and how many runs the text has."""
+    values, sizes, runs = [], [], []
     for texts in X.slices(column):
         c = C.Counted(texts)
-        values.append(C.line_features(c).ravel())
-        sizes.append(c.n_lines * C.LINE_FEATURES)
+        features = C.line_features(c)
+        begin = np.concatenate(([0], np.cumsum(c.n_lines))).tolist()
+        for a, b in zip(begin, begin[1:]):
+            starts = np.arange(a, b, RUN)
+            runs.append(len(starts))
+            picked = starts[np.unique(np.linspace(0, len(starts) - 1, FIT_RUNS).astype(int))] if len(starts) else starts
+            sizes.append([min(RUN, b - x) for x in picked.tolist()])
+            values.append(np.concatenate([features[x : min(x + RUN, b)] for x in picked.tolist()] or [features[:0]]).ravel())
     flat = np.concatenate(values) if values else np.zeros(0, np.float32)
-    offsets = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) if sizes else np.zeros(1)
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+    offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.float32)))
+    arrays = [lists, pa.array(sizes, pa.list_(pa.int32())), pa.array(runs, pa.int32())]
+    return pa.StructArray.from_arrays(arrays, ["f", "sizes", "runs"])
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", fit_rows: int = FIT_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    fit_rows: int = FIT_ROWS,
+    strict: bool = True,
 ) -> Field:
     """Trains on about `fit_rows` documents of each label outside fold 2."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     bounded_batches(docs.sparkSession)
     rows = rows.where(fold(F.col("_id")) != 2)
     known = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_label_id"))
-    known = known.agg(F.min("quality").alias("quality"))
+    known = known.agg(F.min("quality").alias("quality"), F.max("quality").alias("_high"))
+    known = known.where(F.col("quality") == F.col("_high"))
     ids = rows.select("_id")
     joined = ids.join(known, ids["_id"] == known["_label_id"])
     good = (F.col("quality") == 1).cast("int").alias("good")
@@ -165,19 +192,26 @@ def fit(
     picked, sizes = sampled_by(labelled, F.col("_id"), "good", fit_rows)
     size = {r["good"]: r["_rows"] for r in sizes.collect()}
     if 1 not in size and not docs.isEmpty():
-        raise ValueError("no good labelled documents outside the held-out fold: the line labels cannot be learnt")
+        lacking = "no good labelled documents outside the held-out fold: the line labels cannot be learnt"
+        if strict:
+            raise ValueError(lacking)
+        warnings.warn(lacking)
+        return Field(np.zeros((C.LINE_FEATURES, 2)), np.zeros((2, 2)), nothing_known=True)
     if 1 in size and 0 not in size:
         warnings.warn("no poor labelled documents outside the held-out fold: no line counts as boilerplate")
     picked = hand_over(picked.select("_id", "good").distinct(), "fit-ids")  # at most twice `fit_rows`, about
     found = rows.join(F.broadcast(picked), "_id")
-    table = found.select("_id", "good", _lines("_text").alias("f")).orderBy("_id").toArrow()
-    lines = np.array([len(x) // C.LINE_FEATURES for x in table["f"]], np.int64)
+    table = found.select("_id", "good", _lines("_text").alias("l")).select("_id", "good", "l.*").orderBy("_id").toArrow()
     values = np.array(table["f"].combine_chunks().flatten()).reshape(-1, C.LINE_FEATURES).astype(float)
+    sizes, runs = table["sizes"].to_pylist(), table["runs"].to_numpy()
     good = table["good"].to_numpy() == 1
     label = np.where(good, CONTENT, BOILERPLATE)
     weight = np.where(good, size.get(1, 0) / max(1, good.sum()), size.get(0, 0) / max(1, (~good).sum()))
-    counts = [min(RUN, n - k) for n in lines.tolist() for k in range(0, n, RUN)]
-    return train(values, np.repeat(label, lines), np.array(counts, np.int64), weigh=np.repeat(weight, -(-lines // RUN)))
+    used = np.array([len(s) for s in sizes], np.int64)
+    weight = weight * runs / np.maximum(used, 1)
+    counts = np.array([n for s in sizes for n in s], np.int64)
+    lines = np.array([sum(s) for s in sizes], np.int64)
+    return train(values, np.repeat(label, lines), counts, weigh=np.repeat(weight, used))
 
 
 def measure(text: Column, field: Field) -> Column:

@@ -31,7 +31,7 @@ def tokenizer_path(file: str) -> str:
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality_classifier.fit(docs, read(spark, sf_dir, "labels"))
+    model = quality_classifier.fit(docs, read(spark, sf_dir, "labels"), strict=False)
     scored, name = with_column(docs, quality_classifier.score(F.col("text"), model))
     return scored.select(
         "doc_id",
@@ -69,7 +69,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    field = quality_rules.fit(docs, read(spark, sf_dir, "labels"))
+    field = quality_rules.fit(docs, read(spark, sf_dir, "labels"), strict=False)
     found, name, failed, kept = quality_rules.judged(docs, field)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return found.select(

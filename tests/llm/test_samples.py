@@ -65,6 +65,49 @@ def test_no_positives_is_an_error(spark, rare):
         R.fit(docs, spark.createDataFrame([(i, 1, 0) for i in range(24)], LABELS))
 
 
+def test_without_labels_queries_report_and_accept_nothing(spark, rare):
+    docs, _ = rare
+    none = spark.createDataFrame([], LABELS)
+    some = docs.limit(20)
+    with pytest.warns(UserWarning, match="positive"):
+        model = Q.fit(docs, none, strict=False)
+    assert Q.accepted(some, model).count() == 0
+    with pytest.warns(UserWarning, match="good"):
+        field = R.fit(docs, none, strict=False)
+    found, name, _, kept = R.judged(some, field)
+    assert {(r[name]["content_share"], r["k"]) for r in found.withColumn("k", kept).collect()} == {(0.0, False)}
+
+
+def test_contradicting_labels_are_no_labels(spark, rare, monkeypatch):
+    docs, _ = rare
+    seen = {}
+    monkeypatch.setattr(R, "train", lambda f, y, n, **kw: seen.update(y=y))
+    both = [(i, q, 0) for i in range(12) for q in (0, 1)] + [(i, i % 2, 0) for i in range(12, 40)]
+    R.fit(docs, spark.createDataFrame(both, LABELS), fit_rows=1000)
+    left = [r for r in range(12, 40) if fold(r) != 2]
+    assert len(seen["y"]) == sum(len([x for x in t.split("\n") if x.strip()]) for i, t in docs.select("doc_id", "text").collect() if i in left)
+
+
+def test_long_documents_bring_a_bounded_number_of_lines(spark, monkeypatch):
+    text = "\n".join(f"line {i} of a long document" for i in range(5000))
+    docs = frame(spark, [(i, text) for i in range(6)] + [(10 + i, "short line\nand another") for i in range(6)])
+    seen = {}
+    monkeypatch.setattr(R, "train", lambda f, y, n, **kw: seen.update(n=n, w=kw["weigh"]))
+    R.fit(docs, spark.createDataFrame([(i, 1 if i < 10 else 0, 0) for i in range(20)], LABELS))
+    long = sum(fold(i) != 2 for i in range(6))
+    runs = -(-5000 // R.RUN)
+    assert (seen["n"] == R.RUN).sum() <= long * R.FIT_RUNS and seen["n"].sum() < long * R.FIT_RUNS * R.RUN + 100
+    assert np.isclose(seen["w"].max(), runs / R.FIT_RUNS)
+
+
+def test_languages_that_tie_go_to_the_first_name(spark):
+    rows = [(i, prose(1, 30, "aeiou"), "bb") for i in range(30)] + [(100 + i, prose(1, 30, "aeiou"), "aa") for i in range(30)]
+    rows = [r for r in rows if fold(r[0]) != 2]
+    same = min(sum(r[2] == k for r in rows) for k in ("aa", "bb"))
+    rows = [r for k in ("aa", "bb") for r in [x for x in rows if x[2] == k][:same]]
+    assert L.fit(frame(spark, rows)).common == "aa"
+
+
 def test_a_rare_language_is_learnt(spark):
     rows = [(i, prose(i, 30), "aa") for i in range(3000)]
     rows += [(5000 + i, prose(i, 30, "zkwpyj"), "zz") for i in range(6)] + [(None, prose(7, 30, "éèçö"), "yy")]
