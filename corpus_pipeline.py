@@ -3,7 +3,8 @@
 Each stage takes the documents that its predecessor kept, written as Parquet, and
 returns documents with the same columns, the last one the pieces of packed windows.
 The two models are fitted on the original documents and labels of the input folder,
-on bounded samples outside the held-out fold, as in the single operators.
+on bounded samples outside the held-out fold, as in the single operators. Without good
+labels nothing can be learnt: a warning says so, and no document passes the first stage.
 """
 
 from __future__ import annotations
@@ -18,13 +19,13 @@ from almanack.session import hand_over
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    model = quality_classifier.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    model = quality_classifier.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), strict=False)
     return quality_classifier.accepted(docs, model)
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and consist mostly of content."""
-    field = quality_rules.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    field = quality_rules.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), strict=False)
     return quality_rules.retained(docs, field)
 
 
