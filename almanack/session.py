@@ -69,3 +69,12 @@ def hand_over(df: DataFrame, purpose: str) -> DataFrame:
     path = run_folder(spark, purpose)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_handed_over(spark: SparkSession) -> None:
+    """Remove all tables that this application has handed over. Frames that still read
+    them, and results that are not written yet, are lost; so call it when a run's results
+    are where they belong."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/almanack/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
