@@ -19,12 +19,14 @@ def capacity_series_key(name: Column | str) -> Column:
     return series_key(F.concat(F.lit("capacity::"), column))
 
 
-def total_parts(value: Column | str) -> list[Column]:
-    """Aggregates: sums of the leading 24 bits of each value and of what is left of it."""
+def total_parts(value: Column | str, times: Column | None = None) -> list[Column]:
+    """Aggregates: sums of the leading 24 bits of each value and of what is left of it,
+    each value as many times as it is said to occur."""
     column = F.col(value) if isinstance(value, str) else value
     lead = F.when(F.abs(column) < F.lit(1e38), column.cast("float").cast("double")).otherwise(column)
     rest = column - lead
-    return [F.sum(lead), F.sum(F.when(F.isnan(rest), F.lit(0.0)).otherwise(rest))]
+    rest = F.when(F.isnan(rest), F.lit(0.0)).otherwise(rest)
+    return [F.sum(part if times is None else part * times) for part in (lead, rest)]
 
 
 def total(value: Column | str, over: WindowSpec | None = None) -> Column:

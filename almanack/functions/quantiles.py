@@ -22,6 +22,16 @@ CELLS = 64
 ROWS_AT_ONCE = 200_000
 
 
+VALUE, COUNT = "_v", "_n"
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, VALUE, COUNT): how often each value occurs in its group, null and NaN as
+    null, written. What is asked of a distribution follows from this one pass over the data."""
+    number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")) + F.lit(0.0)
+    return hand_over(df.groupBy(*keys, number.alias(VALUE)).agg(F.count("*").alias(COUNT)), "value-counts")
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,16 +44,21 @@ def exact_quantiles(
     entry of ``quantiles`` (column name -> probability). Nulls and NaN are
     left out, as pandas does; groups without values do not appear. Runs the
     passes over the data when called."""
+    return quantiles_of(value_counts(df, keys, value), keys, quantiles, cells, rows_at_once)
+
+
+def quantiles_of(
+    counts: DataFrame,
+    keys: Sequence[str],
+    quantiles: dict[str, float],
+    cells: int = CELLS,
+    rows_at_once: int = ROWS_AT_ONCE,
+) -> DataFrame:
+    """`exact_quantiles` of a frame whose `value_counts` are at hand."""
     keys = list(keys)
     if not keys:
         raise ValueError("at least one grouping column is needed to join on")
-    present = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    counts = hand_over(
-        present.groupBy(*keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_v")).agg(
-            F.count("*").alias("_n")
-        ),
-        "value-counts",
-    )
+    counts = counts.where(F.col(VALUE).isNotNull())
 
     # Wanted ranks (0-based): floor and ceiling of p * (n - 1) for each p.
     wanted = F.array(

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from almanack import schemas as S
-from almanack.functions.expressions import is_missing, mean, rounded, total
-from almanack.functions.quantiles import exact_quantiles
+from almanack.functions.expressions import is_missing, mean, rounded, total, total_parts
+from almanack.functions.quantiles import COUNT, VALUE, quantiles_of, value_counts
 from almanack.session import hand_over
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -22,44 +22,70 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 # --- coverage -----------------------------------------------------------------
 
 
+#: Rows in whose order the first values of a column are looked for before all rows are.
+HEAD = 1000
+
+
+def _first_values(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """(column, v, at): the values of columns as text, and the first place each has."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns]
+    at = F.struct(*[F.col(c).alias(f"o_{c}") for c in order]).alias("at")
+    types = dict(df.dtypes)
+    known = [F.when(~is_missing(c, types[c]), cell) for c, cell in zip(columns, cells)]
+    rows = df.select(at, F.explode(F.array(*known)).alias("cell")).where(F.col("cell").isNotNull())
+    return rows.groupBy("cell.column", "cell.v").agg(F.min("at").alias("at"))
+
+
+def _samples(df: DataFrame, unique: dict[str, int], order: Sequence[str]) -> DataFrame:
+    """(column, sample_values): the first three values of each column in the given order.
+
+    They mostly stand in the first rows; only columns that have more values than show
+    there are looked through whole."""
+    head = hand_over(df.orderBy(*order).limit(HEAD), "profile-head")
+    place = F.struct(*[F.col(c).alias(f"o_{c}") for c in order])
+    found = _first_values(head, df.columns, order)
+    if head.count() == HEAD:  # rows beyond may share the last place
+        found = found.where(F.col("at") < head.agg(F.max(place).alias("last")).select("last").scalar())
+    found = hand_over(found, "profile-first")
+    have = {r["column"]: r["count"] for r in found.groupBy("column").count().collect()}  # a row for each column
+    missing = [c for c in df.columns if have.get(c, 0) < min(3, unique.get(c, 0))]
+    if missing:
+        whole = _first_values(df, missing, order)
+        found = found.where(~F.col("column").isin(missing)).unionByName(whole)
+    rank = F.row_number().over(Window.partitionBy("column").orderBy("at", "v"))
+    top = found.withColumn("rank", rank).where(F.col("rank") <= 3).groupBy("column")
+    top = top.agg(F.sort_array(F.collect_list(F.struct("rank", "v"))).alias("top"))
+    return top.select("column", F.array_join(F.col("top.v"), ", ").alias("sample_values"))
+
+
 def column_profile(df: DataFrame, dataset: str, order: Sequence[str]) -> DataFrame:
     """Type, nulls, distinct values and the first three values (in ``order``) of
     every column.
 
-    All columns are unfolded into (column, value) and reduced to one row per
-    value, map-side first; the three samples come from a per-column top-3, for
-    which Spark keeps at most three rows per task.
+    All columns are unfolded into (column, value) and counted by value, which hash
+    aggregation does map-side first; the order matters for the samples alone.
     """
     types = dict(df.dtypes)
     cells = [
         F.struct(
             F.lit(c).alias("column"),
-            F.when(~is_missing(c, types[c]), F.col(c).cast("string")).alias("v"),
+            F.when(~is_missing(c, types[c]), F.col(f"`{c}`").cast("string")).alias("v"),
         )
         for c in df.columns
     ]
-    first = F.struct(*[F.col(c).alias(f"o_{c}") for c in order]).alias("at")
     values = (
-        df.select(first, F.explode(F.array(*cells)).alias("cell"))
+        df.select(F.explode(F.array(*cells)).alias("cell"))
         .groupBy(F.col("cell.column").alias("column"), F.col("cell.v").alias("v"))
-        .agg(F.count("*").alias("n"), F.min("at").alias("at"))
-    )
-    values = hand_over(values, f"profile-{dataset}")  # read twice below
-    rank = F.row_number().over(Window.partitionBy("column").orderBy("at", "v"))
-    samples = (
-        values.where(F.col("v").isNotNull())
-        .withColumn("rank", rank)
-        .where(F.col("rank") <= 3)
-        .groupBy("column")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "v"))).alias("top"))
-        .select("column", F.array_join(F.col("top.v"), ", ").alias("sample_values"))
+        .agg(F.count("*").alias("n"))
     )
     nulls = F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(F.lit(0).cast("bigint")))
     counts = values.groupBy("column").agg(
         F.sum("n").alias("row_count"), nulls.alias("null_count"), F.count("v").alias("unique_values")
     )
+    counts = hand_over(counts, f"profile-{dataset}")  # a row for each column
+    unique = {r["column"]: r["unique_values"] for r in counts.collect()}
     names = F.create_map(*[F.lit(x) for c in df.columns for x in (c, types[c])])
-    return counts.join(samples, "column", "left").select(
+    return counts.join(_samples(df, unique, order), "column", "left").select(
         F.lit(dataset).alias("dataset"),
         "column",
         names[F.col("column")].alias("dtype"),
@@ -125,17 +151,21 @@ def _long(silver: dict[str, DataFrame]) -> DataFrame:
 
 
 def describe_measures(silver: dict[str, DataFrame]) -> DataFrame:
-    """count, mean, std, min, quartiles and max of every measure."""
+    """count, mean, std, min, quartiles and max of every measure, from one pass that
+    counts equal values."""
     by = ["dataset", "measure"]
-    values = _long(silver).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    moments = values.groupBy(*by).agg(
-        F.count("value").alias("count"),
-        mean("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    counts = value_counts(_long(silver), by, "value")
+    values, v, n = counts.where(F.col(VALUE).isNotNull()), F.col(VALUE), F.col(COUNT)
+    lead, rest = total_parts(v, n)
+    sums = values.groupBy(*by).agg(
+        F.sum(n).alias("count"), (lead + rest).alias("total"), F.min(v).alias("min"), F.max(v).alias("max")
+    )
+    sums = hand_over(sums.withColumn("mean", F.col("total") / F.col("count")), "measure-sums")
+    off = (v - F.col("mean")) * (v - F.col("mean")) * n
+    spread = values.join(sums.select(*by, "mean", "count"), by).groupBy(*by).agg(
+        F.sqrt(F.sum(off) / F.nullif(F.max("count") - 1, F.lit(0))).alias("std")
     )
-    return moments.join(exact_quantiles(values, by, "value", QUARTILES), by).select(
+    return sums.join(spread, by).join(quantiles_of(counts, by, QUARTILES), by).select(
         *by,
         "count",
         rounded("mean", 6).alias("mean"),
@@ -212,10 +242,10 @@ def series_list(df: DataFrame) -> DataFrame:
     )
 
 
-def _quartile_bounds(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+def _quartile_bounds(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     return (
-        exact_quantiles(df, by, value, QUARTILES)
+        quantiles_of(counts, by, QUARTILES)
         .withColumn("iqr", iqr)
         .withColumn("lower_bound", F.col("q1") - 1.5 * F.col("iqr"))
         .withColumn("upper_bound", F.col("q3") + 1.5 * F.col("iqr"))
@@ -224,12 +254,11 @@ def _quartile_bounds(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 def iqr_screen(df: DataFrame, by: str = "series", value: str = "generation_twh") -> DataFrame:
     """Share of values beyond 1.5 interquartile ranges, among all rows with or without
-    a value; diagnostic only."""
-    df = df.select(by, _number(value).alias(value))
-    bounds = _quartile_bounds(df, [by], value)
-    # Equal values are counted together before they meet the bounds.
-    counts = df.groupBy(by, value).agg(F.count("*").alias("n"))
-    v, n = F.col(value), F.col("n")
+    a value; diagnostic only. Equal values are counted together, in the one pass over the
+    rows, before they meet the bounds."""
+    counts = value_counts(df, [by], value)
+    bounds = _quartile_bounds(counts, [by])
+    v, n = F.col(VALUE), F.col(COUNT)
     outside = (v < F.col("lower_bound")) | (v > F.col("upper_bound"))
     joined = counts.join(bounds, by).groupBy(by)
     zero = F.lit(0).cast("bigint")
@@ -237,7 +266,7 @@ def iqr_screen(df: DataFrame, by: str = "series", value: str = "generation_twh")
         joined.agg(
             *[F.max(c).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
             F.sum(F.when(outside, n).otherwise(zero)).alias("outlier_count"),
-            F.sum("n").alias("n"),
+            F.sum(n).alias("n"),
         )
         .withColumn("outlier_pct", F.lit(100.0) * F.col("outlier_count") / F.col("n"))
         .select(
@@ -252,13 +281,12 @@ def iqr_screen(df: DataFrame, by: str = "series", value: str = "generation_twh")
 
 def boxplot_stats(df: DataFrame, by: str = "series", value: str = "generation_twh") -> DataFrame:
     """Quartiles, the whiskers (furthest values within bounds) and extremes."""
-    df = df.select(by, _number(value).alias(value))
-    bounds = _quartile_bounds(df, [by], value)
-    distinct = df.where(F.col(value).isNotNull()).select(by, value).distinct()
-    v = F.col(value)
+    counts = value_counts(df, [by], value)
+    bounds = _quartile_bounds(counts, [by])
+    v = F.col(VALUE)
     inside = v.between(F.col("lower_bound"), F.col("upper_bound"))
     return (
-        distinct.join(bounds, by)
+        counts.where(v.isNotNull()).join(bounds, by)
         .groupBy(by)
         .agg(
             F.min(v).alias("min"),

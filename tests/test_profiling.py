@@ -150,3 +150,47 @@ def test_profile_csv(spark, silver, tmp_path):
     P.write_profile_csv(profile, str(tmp_path / "p"))
     back = pd.concat(pd.read_csv(f) for f in (tmp_path / "p").glob("*.csv"))
     assert list(back.columns) == profile.columns and len(back) == 4
+
+
+def scans(run, source):
+    """How many of the executed plans read the source."""
+    import almanack.functions.quantiles as Q
+
+    seen, original = [], Q.hand_over
+
+    def watch(df, name):
+        seen.append(source in df._jdf.queryExecution().optimizedPlan().toString())
+        return original(df, name)
+
+    patched = [(m, m.hand_over) for m in (Q, P)]
+    for module, _ in patched:
+        module.hand_over = watch
+    try:
+        result = run()
+        seen.append(source in result._jdf.queryExecution().optimizedPlan().toString())
+        result.collect()
+    finally:
+        for module, old in patched:
+            module.hand_over = old
+    return sum(seen)
+
+
+def test_distributions_scan_their_source_once(spark, tmp_path):
+    rows = [("a", float(i % 50), 1.0 + i) for i in range(500)] + [("b", None, None), ("b", float("nan"), 2.0)]
+    path = str(tmp_path / "generation")
+    spark.createDataFrame(rows, "series string, only_here double, other double").write.parquet(path)
+    df = spark.read.parquet(path)
+    for run in (P.iqr_screen, P.boxplot_stats):
+        assert scans(lambda: run(df, "series", "only_here"), "only_here") == 1
+    wide = df.withColumnsRenamed({"only_here": "demand_twh"})
+    assert scans(lambda: P.describe_measures({"demand": wide}), "demand_twh") == 1
+
+
+def test_profile_counts_by_hash_and_looks_far_only_where_it_must(spark, monkeypatch):
+    rows = [(i // 7, None if i % 4 else f"v{i}", "same" if i < 900 else f"late{i}", float("nan") if i % 2 else i / 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, sparse string, late string, number double").repartition(5)
+    want = {tuple(r) for r in P.column_profile(df, "d", ["k"]).collect()}
+    assert {r[1]: r[7] for r in want}["late"].startswith("same, late900")
+    for head in (1, 3, 40, 5000):
+        monkeypatch.setattr(P, "HEAD", head)
+        assert {tuple(r) for r in P.column_profile(df, "d", ["k"]).collect()} == want
