@@ -110,9 +110,10 @@ def quantiles_of(
         F.max(F.when(F.col("_rank") > F.col("_below"), F.col("_v"))).alias("_b"),
         F.max("_frac").alias("_frac"),
     )
-    interpolated = F.col("_a") + F.when(F.col("_frac") > 0, F.col("_b") - F.col("_a")).otherwise(
-        F.lit(0.0)
-    ) * F.col("_frac")
+    # From the nearer of the two values, so that the result does not leave them.
+    a, b, t = F.col("_a"), F.col("_b"), F.col("_frac")
+    between = F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t))
+    interpolated = F.when(t > 0, between).otherwise(a)
     return picked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == name, interpolated)).alias(name) for name in quantiles]
     )
