@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanack.llm.tables import BROADCAST_IDS, RANK_ROWS, buckets, numbered, text_of
+from almanack.llm.tables import BROADCAST_IDS, buckets, numbered, text_of
 from almanack.session import hand_over
 
 SHARDS = 16
@@ -41,6 +41,8 @@ SLACK, GAIN = 0.05, 0.01
 #: Levels of the order in which groups are accepted; level 0 is for those of several homes.
 LEVELS = 64
 LAW = "rows"
+#: Rows of a cell of a group; smaller groups are one cell.
+CELL_ROWS = 250
 _GRAIN = 1 << 20
 
 
@@ -163,9 +165,9 @@ def sharded(
     members = F.sum("n").over(Window.partitionBy("group")).alias("members")
     held = held.select("group", members, "shard", "n").where(F.col("members") > 1)
     held = hand_over(held, "shards-first")
-    # Groups beyond RANK_ROWS (at most one for so many rows) are dealt out in cells.
-    cells = F.ceil(F.col("members") / RANK_ROWS).cast("int").alias("cells")
-    large = held.where(F.col("members") > RANK_ROWS).select(F.col("group").alias("_large"), cells).distinct()
+    # Groups beyond CELL_ROWS (at most one for so many rows) are dealt out in cells.
+    cells = F.ceil(F.col("members") / CELL_ROWS).cast("int").alias("cells")
+    large = held.where(F.col("members") > CELL_ROWS).select(F.col("group").alias("_large"), cells).distinct()
     large = hand_over(large, "shards-large")
     if large.count() <= BROADCAST_IDS:
         large = F.broadcast(large)

@@ -74,7 +74,7 @@ def test_cuts_of_small_inputs_are_near_the_least(spark):
 
 
 def test_large_groups_are_dealt_out_in_cells(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "RANK_ROWS", 50)
+    monkeypatch.setattr(sharding, "CELL_ROWS", 50)
     rows = [(i, "hot" if i % 3 == 0 else f"text {i // 4}") for i in range(1200)]
     got = sharding.sharded(frame(spark, rows), shards=4).collect()
     assert [sum(r["shard"] == s for r in got) for s in range(4)] == [300] * 4

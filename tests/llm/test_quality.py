@@ -52,6 +52,26 @@ def test_non_negative_risk_needs_no_negatives():
     assert ((good @ w > 0).mean() + (bad @ w < 0).mean()) / 2 > 0.9
 
 
+def test_fit_of_a_tiny_case_equals_brute_force():
+    """The least non-negative risk over a grid of all weights."""
+    rng = np.random.default_rng(4)
+    one = lambda x: np.column_stack((x, np.ones(len(x))))
+    positive = one(rng.normal(1.0, 1, 60))
+    unlabelled = one(np.concatenate((rng.normal(1.0, 1, 50), rng.normal(-1.0, 1, 50))))
+    prior = 0.5
+
+    def risk(w):
+        gp, gu = positive @ w, unlabelled @ w
+        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+        return prior * np.logaddexp(0, -gp).mean() + max(0.0, negative) + Q.DECAY / 2 * w @ w
+
+    grid = np.linspace(-4, 4, 161)
+    best = min(risk(np.array([a, b])) for a, b in itertools.product(grid, grid))
+    assert risk(Q.nn_pu(positive, unlabelled, prior, steps=4000)) < best + 0.01
+    table = np.column_stack((rng.normal(size=60), np.ones(60)))
+    assert np.isfinite(Q.nn_pu(table[:30], table[30:], prior)).all()
+
+
 def test_labels_of_fold_two_change_nothing(spark, corpus):
     docs, labels = corpus
     flipped = labels.collect()
