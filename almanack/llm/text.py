@@ -129,12 +129,16 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + shift
 
 
+#: Masks of the first 0 .. 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
 class Remembered:
     """Ids of byte ranges (words, say), each distinct one encoded once.
 
     Ranges are looked up by hash and then compared byte by byte; one whose hash belongs to
-    another is encoded on its own. Holds at most `entries` ranges, `most` ids or `most`
-    bytes (some 50 bytes of memory for a word), then begins anew.
+    another is encoded on its own. Holds at most `entries` ranges, `most` ids or twice as
+    many bytes (some 90 bytes of memory for a word), then begins anew.
     """
 
     def __init__(
@@ -147,6 +151,16 @@ class Remembered:
         self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted by hash
         self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.bytes, self.begins, self.sizes = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.heads, self.tails = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+    @staticmethod
+    def _edges(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first eight bytes of ranges, and of those with more the last eight, as numbers."""
+        padded = np.concatenate((texts.data, np.zeros(8, np.uint8)))
+        eight = np.ndarray(len(texts.data) + 1, "<u8", padded, strides=(1,))  # at each byte
+        sizes = ends - starts
+        head = eight[starts] & _FIRST[np.minimum(sizes, 8)]
+        return head, np.where(sizes > 8, eight[np.maximum(ends - 8, 0)], np.uint64(0))
 
     def _learn(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
         """Encodes and remembers ranges whose hashes (sorted) are new."""
@@ -162,22 +176,28 @@ class Remembered:
         self.ids, self.lengths = np.concatenate((self.ids, flat)), np.concatenate((self.lengths, counts))
         self.bytes = np.concatenate((self.bytes, texts.data[ranges(starts, ends - starts)]))
         self.sizes = np.concatenate((self.sizes, ends - starts))
-
-    def _others(self, texts: Texts, starts: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """The ranges that are not, byte by byte, what is remembered under their hash."""
-        unlike = self.sizes[place] != sizes
-        if len(sizes):
-            same = np.where(unlike, 0, sizes)
-            differ = texts.data[ranges(starts, same)] != self.bytes[ranges(self.begins[place], same)]
+        head, tail = self._edges(texts, starts, ends)
+        self.heads, self.tails = np.concatenate((self.heads, head)), np.concatenate((self.tails, tail))
+
+    def _others(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The ranges that are not, byte by byte, what is remembered under their hash: by
+        their first and last eight bytes, and where there are more by all of them."""
+        sizes = ends - starts
+        head, tail = self._edges(texts, starts, ends)
+        unlike = (self.sizes[place] != sizes) | (self.heads[place] != head) | (self.tails[place] != tail)
+        long = np.flatnonzero((sizes > 16) & ~unlike)
+        if len(long):
+            same = sizes[long]
+            differ = texts.data[ranges(starts[long], same)] != self.bytes[ranges(self.begins[place[long]], same)]
             if differ.any():
-                unlike[np.searchsorted(np.cumsum(same), np.flatnonzero(differ), "right")] = True
+                unlike[long[np.searchsorted(np.cumsum(same), np.flatnonzero(differ), "right")]] = True
         return np.flatnonzero(unlike)
 
     def of(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the ranges, and how many each range has."""
         hashes = texts.hashes(texts.sums(), starts, ends)
         distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > self.entries or max(len(self.ids), len(self.bytes)) > self.most:
+        if len(self.hashes) + len(distinct) > self.entries or max(len(self.ids), len(self.bytes) // 2) > self.most:
             self._forget()
         near = np.searchsorted(self.hashes, distinct)
         known = near < len(self.hashes)
@@ -187,7 +207,7 @@ class Remembered:
             self._learn(texts, starts[at[new]], ends[at[new]], distinct[new])
         place = self.places[np.searchsorted(self.hashes, distinct)][inverse]
         lengths = self.lengths[place]
-        others = self._others(texts, starts, ends - starts, place)
+        others = self._others(texts, starts, ends, place)
         if not len(others):
             return self.ids[ranges(self.starts[place], lengths)], lengths
         own = self.encode([texts.data[starts[i] : ends[i]].tobytes().decode() for i in others.tolist()])

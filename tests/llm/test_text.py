@@ -88,7 +88,8 @@ def test_words_of_one_hash_are_told_apart(monkeypatch):
     weak = lambda self, sums, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(2)
     monkeypatch.setattr(X.Texts, "hashes", weak)
     memory = X.Remembered(lambda words: [list(w.encode()) for w in words])
-    for text in ("a bb ccc a dd", "ccc e bb", "ff", "bb a g"):
+    long = [f"{k}2345678{m}0123456789abcd{k}" for k in "abc" for m in "xyz"]
+    for text in ("a bb ccc a dd", "ccc e bb", "ff", "bb a g", " ".join(long), "12345678 123456789 2345678912345678 " + long[4]):
         (part,) = X.slices(pa.array([text]))
         starts, ends, _ = part.runs(X.SPACE[part.data])
         ids, counts = memory.of(part, starts, ends)
