@@ -43,16 +43,6 @@ def bounded_batches(spark: SparkSession) -> None:
 BROADCAST_IDS = 500_000
 
 
-def only_ids(df: DataFrame, doc_id: str, ids: DataFrame, null_safe: bool = False) -> DataFrame:
-    """The rows whose id is in the one column of `ids`; with `null_safe` a null matches
-    a null. The ids are counted first: few are broadcast, so that no text is moved."""
-    name = f"_{uuid.uuid4().hex[:12]}"
-    ids = hand_over(ids.toDF(name).distinct(), "ids")
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    same = F.col(doc_id).eqNullSafe(F.col(name)) if null_safe else F.col(doc_id) == F.col(name)
-    return df.join(few, same, "left_semi")
-
-
 def with_column(df: DataFrame, value: Column) -> tuple[DataFrame, str]:
     """Adds a column under a name that no other column has."""
     name = f"_{uuid.uuid4().hex[:12]}"
