@@ -221,6 +221,8 @@ def register_tables(
     their declared columns and partitions; with a lasting catalog also for later
     sessions.
 
+    A table in parts has its years as partitions, wherever each of them lies.
+
     Repeating the call points the names to the current snapshots by ALTER, so a name is
     there at any time; new columns at the end are added. All pointers and their files are
     looked at first: a table that was not published, whose pointer leaves the snapshot
@@ -233,7 +235,7 @@ def register_tables(
         pointer = pointers.get(table)
         if pointer is None:
             raise NotPublished(f"{table} must be published before it is registered")
-        by = list((partitions or {}).get(table, ()))
+        by = list((partitions or {}).get(table, ())) or (["year"] if pointer.get("parts") is not None else [])
         base = pointer["location"]
         if f"{root}/{table}/" not in base:
             raise ValueError(f"{table} does not point to a snapshot: {base}")

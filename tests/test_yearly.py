@@ -137,3 +137,23 @@ def test_a_failing_check_publishes_nothing(spark, tmp_path):
     with pytest.raises(ValueError, match="duplicate"):
         G.update_gold_by_year(spark, silver, gold)
     assert T.current_version(spark, gold) == done["version"]
+
+
+def test_tables_in_parts_are_registered_by_year(spark, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    frames = source().silver(spark)
+    publish_silver(spark, silver, frames)
+    G.update_gold_by_year(spark, silver, gold)
+    G.register_silver(spark, silver, "ys_")
+    G.register_gold(spark, gold, "yg_")
+    more = frames["demand"].withColumn("demand_twh", F.col("demand_twh") + 1)
+    publish_silver(spark, silver, {"demand": more}, ["demand"], ["2021"])
+    G.update_gold_by_year(spark, silver, gold)
+    G.register_silver(spark, silver, "ys_")
+    G.register_gold(spark, gold, "yg_")
+    for table, rows in (("ys_demand", T.read_snapshot(spark, silver, "demand")), ("yg_fact_demand", G.load_gold(spark, gold)["fact_demand"])):
+        want = {r[0]: r[1] for r in rows.groupBy(F.year("date")).agg(F.round(F.sum("demand_twh"), 3)).collect()}
+        got = spark.sql(f"SELECT year, round(sum(demand_twh), 3) FROM {table} GROUP BY year").collect()
+        assert {r[0]: r[1] for r in got} == want and len(want) == len(YEARS)
+        one = spark.sql(f"SELECT * FROM {table} WHERE year = 2021")
+        assert opened(one) == {"2021"}
