@@ -32,6 +32,8 @@ from almanack.session import hand_over
 
 CAPACITY = 2048
 END_ID = 1
+#: Text whose words are looked up together: more than elsewhere, since new ones are sorted in.
+SLICE_BYTES = 1_000_000
 #: Plan rows that may be broadcast (48 bytes each).
 PLAN_BROADCAST = 100_000
 PIECES = "doc_tokens bigint, crcs array<bigint>"
@@ -54,7 +56,7 @@ def token_pieces(text: Column, tokenizer: str, capacity: int = CAPACITY, end_id:
     @F.arrow_udf(PIECES)
     def pieces(column: pa.Array) -> pa.Array:
         words, counts, crcs, sizes = _words(tokenizer), [], [], []
-        for texts in X.slices(column):
+        for texts in X.slices(column, SLICE_BYTES):
             starts, stops, first = texts.runs(X.SPACE[texts.data])
             ids, per_word = words.of(texts, starts, stops)
             lengths = np.diff(np.concatenate(([0], np.cumsum(per_word)))[first])

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 _BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -138,20 +138,20 @@ class Remembered:
 
     Ranges are looked up by hash and then compared byte by byte; one whose hash belongs to
     another is encoded on its own. Holds at most `entries` ranges, `most` ids or twice as
-    many bytes (some 90 bytes of memory for a word), then begins anew.
+    many bytes of long ranges (some 60 bytes of memory for a word), then begins anew.
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], list[Sequence[int]]], entries: int = 2_000_000, most: int = 16_000_000
+        self, encode: Callable[[list[str]], list[Sequence[int]]], entries: int = 1_000_000, most: int = 8_000_000
     ):
         self.encode, self.entries, self.most = encode, entries, most
         self._forget()
 
     def _forget(self) -> None:
         self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted by hash
-        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.bytes, self.begins, self.sizes = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.heads, self.tails = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.sizes, self.heads, self.tails = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.bytes, self.begins = np.zeros(0, np.uint8), np.zeros(0, np.int32)  # of ranges that these do not cover
 
     @staticmethod
     def _edges(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,15 +169,19 @@ class Remembered:
         near = np.searchsorted(self.hashes, hashes)
         self.places = np.insert(self.places, near, len(self.starts) + np.arange(len(hashes), dtype=np.int32))
         self.hashes = np.insert(self.hashes, near, hashes)
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
-        for name, values, sizes in (("starts", self.ids, counts), ("begins", self.bytes, ends - starts)):
-            first = len(values) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            setattr(self, name, np.concatenate((getattr(self, name), first)))
-        self.ids, self.lengths = np.concatenate((self.ids, flat)), np.concatenate((self.lengths, counts))
-        self.bytes = np.concatenate((self.bytes, texts.data[ranges(starts, ends - starts)]))
-        self.sizes = np.concatenate((self.sizes, ends - starts))
+        sizes = ends - starts
+        kept = np.where(sizes > 16, sizes, 0)
         head, tail = self._edges(texts, starts, ends)
-        self.heads, self.tails = np.concatenate((self.heads, head)), np.concatenate((self.tails, tail))
+        more = {
+            "starts": len(self.ids) + np.cumsum(counts) - counts,
+            "begins": len(self.bytes) + np.cumsum(kept) - kept,
+            "ids": np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())),
+            "bytes": texts.data[ranges(starts, kept)],
+            "lengths": counts, "sizes": sizes, "heads": head, "tails": tail,
+        }
+        for name, values in more.items():
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate((old, values.astype(old.dtype))))
 
     def _others(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The ranges that are not, byte by byte, what is remembered under their hash: by
@@ -206,7 +210,7 @@ class Remembered:
         if len(new):
             self._learn(texts, starts[at[new]], ends[at[new]], distinct[new])
         place = self.places[np.searchsorted(self.hashes, distinct)][inverse]
-        lengths = self.lengths[place]
+        lengths = self.lengths[place].astype(np.int64)
         others = self._others(texts, starts, ends, place)
         if not len(others):
             return self.ids[ranges(self.starts[place], lengths)], lengths
