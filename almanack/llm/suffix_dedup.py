@@ -163,10 +163,15 @@ def pieces(text: Column, begins: Column, ends: Column, length: int = LENGTH) ->
             per = np.diff(begin.offsets.to_numpy())[of]
             lo = begin.flatten().to_numpy()[begin.offsets[row].as_py() - begin.offsets[0].as_py() :][: per.sum()]
             hi = end.flatten().to_numpy()[end.offsets[row].as_py() - end.offsets[0].as_py() :][: per.sum()]
-            owner = np.repeat(np.arange(texts.n), per)
-            lengths = (hi - lo + length - 1).astype(np.int64)
+            # Long ranges are cut, short ones are looked at together: some BLOCK bytes at once.
+            cuts = -(-(hi - lo) // BLOCK).astype(np.int64)
+            lo = (np.repeat(lo, cuts) + X.ranges(np.zeros(len(cuts), np.int64), cuts) * BLOCK).astype(np.int64)
+            hi = np.minimum(np.repeat(hi, cuts), lo + BLOCK)
+            owner = np.repeat(np.repeat(np.arange(texts.n), per), cuts)
+            lengths = hi - lo + length - 1
             first = texts.offsets[owner] + lo
-            batch = np.append(np.arange(0, len(lengths), 500), len(lengths)) if len(lengths) else [0]
+            lot = np.cumsum(lengths) // BLOCK
+            batch = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), len(lot)] if len(lot) else [0]
             for a, b in zip(batch[:-1], batch[1:]):
                 inner = X.Texts(
                     texts.data[X.ranges(first[a:b], lengths[a:b])], np.concatenate(([0], np.cumsum(lengths[a:b])))
