@@ -297,27 +297,20 @@ def _yearly_loads(spark: SparkSession, sf: str) -> str:
 @query
 def bronze_inventory(spark, sf):
     """What the inventory lists, by load: its place in load order, and the rows and
-    characters of the files listed, read through the listed paths."""
+    wrong lengths of the files listed."""
     root = _yearly_loads(spark, sf)
+    folder = bronze.dataset_path(root, "generation")
     files = bronze.bronze_inventory(spark, root, "generation")
-    ranked = files.withColumn("place", F.row_number().over(Window.orderBy("mtime", "path")))
-    texts = spark.read.text([r["path"] for r in files.collect()]).groupBy(F.input_file_name().alias("file"))
-    sizes = texts.agg(F.sum(F.octet_length("value") + 1).alias("size"))
-    rows = bronze.read_documents(spark, [r["path"] for r in files.collect()])
-    rows = rows.groupBy("path").agg(F.sum(F.size("data")).cast("bigint").alias("rows"))
-    name = F.regexp_extract("path", "([^/]+)$", 1)
-    found = (
-        ranked.withColumn("name", name)
-        .join(sizes.select(F.regexp_extract("file", "([^/]+)$", 1).alias("name"), "size"), "name")
-        .join(rows.select(name.alias("name"), "rows"), "name")
-    )
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(folder)
+    sizes = texts.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.sum(F.octet_length("value") + 1).alias("size"))
+    rows = bronze.read_documents(spark, folder).groupBy("path").agg(F.sum(F.size("data")).cast("bigint").alias("rows"))
     load = F.regexp_extract("path", "generation_([a-z]+)/", 1)
-    loads = found.groupBy(load.alias("load")).agg(
+    loads = files.join(sizes, "path").join(rows, "path").groupBy(load.alias("load")).agg(
         F.sum("rows").alias("rows"),
         F.count_if(F.col("length") != F.col("size")).alias("wrong_lengths"),
-        F.min("place").alias("first_place"),
+        F.min(F.struct("mtime", "path")).alias("first"),
     )
-    place = F.row_number().over(Window.orderBy("first_place")).cast("bigint")
+    place = F.row_number().over(Window.orderBy("first")).cast("bigint")  # a row for each load
     return loads.select("load", "rows", "wrong_lengths", place.alias("place"))
 
 
