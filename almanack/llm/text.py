@@ -138,7 +138,8 @@ class Remembered:
 
     Ranges are looked up by hash and then compared byte by byte; one whose hash belongs to
     another is encoded on its own. Holds at most `entries` ranges, `most` ids or twice as
-    many bytes of long ranges (some 60 bytes of memory for a word), then begins anew.
+    many bytes of long ranges (some 60 bytes of memory for a word); then only
+    those stay that were asked for again, if they are less than half.
     """
 
     def __init__(
@@ -152,6 +153,22 @@ class Remembered:
         self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.sizes, self.heads, self.tails = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.bytes, self.begins = np.zeros(0, np.uint8), np.zeros(0, np.int32)  # of ranges that these do not cover
+        self.again = np.zeros(0, bool)
+
+    def _condense(self) -> None:
+        """Keep what was asked for in more than one slice."""
+        mask = self.again[self.places]
+        if np.count_nonzero(mask) > self.entries // 2:
+            return self._forget()
+        old = self.places[mask]
+        lengths, sizes = self.lengths[old].astype(np.int64), self.sizes[old]
+        kept = np.where(sizes > 16, sizes, 0).astype(np.int64)
+        self.ids = self.ids[ranges(self.starts[old].astype(np.int64), lengths)]
+        self.bytes = self.bytes[ranges(self.begins[old].astype(np.int64), kept)]
+        self.starts, self.begins = ((np.cumsum(n) - n).astype(np.int32) for n in (lengths, kept))
+        self.lengths, self.sizes, self.heads, self.tails = self.lengths[old], sizes, self.heads[old], self.tails[old]
+        self.hashes, self.places = self.hashes[mask], np.arange(len(old), dtype=np.int32)
+        self.again = np.zeros(len(old), bool)
 
     @staticmethod
     def _edges(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +194,7 @@ class Remembered:
             "begins": len(self.bytes) + np.cumsum(kept) - kept,
             "ids": np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())),
             "bytes": texts.data[ranges(starts, kept)],
-            "lengths": counts, "sizes": sizes, "heads": head, "tails": tail,
+            "lengths": counts, "sizes": sizes, "heads": head, "tails": tail, "again": np.zeros(len(hashes)),
         }
         for name, values in more.items():
             old = getattr(self, name)
@@ -202,10 +219,11 @@ class Remembered:
         hashes = texts.hashes(texts.sums(), starts, ends)
         distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) + len(distinct) > self.entries or max(len(self.ids), len(self.bytes) // 2) > self.most:
-            self._forget()
+            self._condense()
         near = np.searchsorted(self.hashes, distinct)
         known = near < len(self.hashes)
         known[known] = self.hashes[near[known]] == distinct[known]
+        self.again[self.places[near[known]]] = True
         new = np.flatnonzero(~known)
         if len(new):
             self._learn(texts, starts[at[new]], ends[at[new]], distinct[new])

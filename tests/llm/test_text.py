@@ -95,3 +95,17 @@ def test_words_of_one_hash_are_told_apart(monkeypatch):
         ids, counts = memory.of(part, starts, ends)
         assert ids.tolist() == list(text.replace(" ", "").encode())
         assert counts.tolist() == [len(w) for w in text.split()]
+
+
+def test_a_full_memory_keeps_what_was_asked_for_again():
+    asked = []
+    memory = X.Remembered(lambda words: asked.extend(words) or [list(w.encode()) for w in words], entries=40)
+    common = ["often", "a_word_of_more_than_sixteen_letters", "x"]
+    for turn in range(30):
+        words = [*common, *[f"rare{turn}_{k}" for k in range(9)], f"another_quite_long_word_number_{turn}"]
+        (part,) = X.slices(pa.array([" ".join(words)]))
+        starts, ends, _ = part.runs(X.SPACE[part.data])
+        ids, counts = memory.of(part, starts, ends)
+        assert ids.tolist() == list("".join(words).encode()) and counts.tolist() == [len(w) for w in words]
+        assert len(memory.hashes) <= 40
+    assert [asked.count(w) for w in common] == [1, 1, 1] and len(asked) == 3 + 30 * 10
