@@ -33,9 +33,10 @@ from almanack.session import hand_over
 CAPACITY = 2048
 END_ID = 1
 #: Text whose words are looked up together: more than elsewhere, since new ones are sorted in.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 #: Plan rows that may be broadcast (48 bytes each).
 PLAN_BROADCAST = 100_000
+PLAN = ("_length", "_first", "_last", "_window", "_each", "_offset")
 PIECES = "doc_tokens bigint, crcs array<bigint>"
 
 
@@ -152,6 +153,12 @@ class Plan:
                 placed += put
         return self
 
+    def table(self) -> pa.Table:
+        """The rows as an Arrow table, which becomes a frame without any Python worker (a
+        list of rows starts a second kind of them beside those that hold the words)."""
+        columns = np.array(self.rows, np.int64).reshape(-1, len(PLAN)).T
+        return pa.table({name: pa.array(column) for name, column in zip(PLAN, columns)})
+
 
 def packed(
     docs: DataFrame,
@@ -181,9 +188,7 @@ def packed(
     count = sum(histogram.values())
     bucket = F.pmod(F.xxhash64("_piece"), F.lit(buckets(count)))
     ranked = numbered(pieces, ["length"], [F.col("_piece")], bucket, "_rank")
-    runs = spark.createDataFrame(
-        plan.rows, "_length bigint, _first bigint, _last bigint, _window bigint, _each bigint, _offset bigint"
-    )
+    runs = spark.createDataFrame(plan.table())
     if len(plan.rows) <= PLAN_BROADCAST:
         runs = F.broadcast(runs)
     place = ranked.join(

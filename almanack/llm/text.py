@@ -85,7 +85,11 @@ class Texts:
         """Prefix sums from which the hash of any byte range follows."""
         up, _ = powers(len(self.data))
         out = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up, out=out[1:])
+        each = out[1:]
+        each[:] = self.data
+        each += np.uint64(1)
+        each *= up
+        np.cumsum(each, out=each)
         return out
 
     def hashes(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -133,27 +137,63 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 _FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
+class Grown:
+    """A column that grows at its end. Its array has room for half as much again; memory that
+    nothing was written to is not taken yet."""
+
+    def __init__(self, kind):
+        self.room, self.n = np.empty(1 << 16, kind), 0
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, at):
+        return self.room[: self.n][at]
+
+    def __setitem__(self, at, value) -> None:
+        self.room[: self.n][at] = value
+
+    def hold(self, values: np.ndarray) -> None:
+        """These values only."""
+        self.n = 0
+        self.add(values)
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.n + len(values)
+        if n > len(self.room):
+            larger = np.empty(n + n // 2, self.room.dtype)
+            larger[: self.n] = self.room[: self.n]
+            self.room = larger
+        self.room[self.n : n] = values
+        self.n = n
+
+
+#: Ranges encoded at once: a tokenizer's own form of a word takes a kilobyte or more.
+ENCODED = 2_000
+
+
 class Remembered:
     """Ids of byte ranges (words, say), each distinct one encoded once.
 
     Ranges are looked up by hash and then compared byte by byte; one whose hash belongs to
     another is encoded on its own. Holds at most `entries` ranges, `most` ids or twice as
     many bytes of long ranges (some 60 bytes of memory for a word); then only
-    those stay that were asked for again, if they are less than half.
+    those stay that were asked for again, if they are less than half. What is remembered
+    of a range is added in place (`Grown`), so that few outgrown copies lie between.
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], list[Sequence[int]]], entries: int = 1_000_000, most: int = 8_000_000
+        self, encode: Callable[[list[str]], list[Sequence[int]]], entries: int = 700_000, most: int = 5_000_000
     ):
         self.encode, self.entries, self.most = encode, entries, most
         self._forget()
 
     def _forget(self) -> None:
         self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted by hash
-        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.sizes, self.heads, self.tails = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.bytes, self.begins = np.zeros(0, np.uint8), np.zeros(0, np.int32)  # of ranges that these do not cover
-        self.again = np.zeros(0, bool)
+        self.ids, self.starts, self.lengths = Grown(np.uint32), Grown(np.int32), Grown(np.int32)
+        self.sizes, self.heads, self.tails = Grown(np.int32), Grown(np.uint64), Grown(np.uint64)
+        self.bytes, self.begins = Grown(np.uint8), Grown(np.int32)  # of ranges that these do not cover
+        self.again = Grown(bool)
 
     def _condense(self) -> None:
         """Keep what was asked for in more than one slice."""
@@ -163,12 +203,14 @@ class Remembered:
         old = self.places[mask]
         lengths, sizes = self.lengths[old].astype(np.int64), self.sizes[old]
         kept = np.where(sizes > 16, sizes, 0).astype(np.int64)
-        self.ids = self.ids[ranges(self.starts[old].astype(np.int64), lengths)]
-        self.bytes = self.bytes[ranges(self.begins[old].astype(np.int64), kept)]
-        self.starts, self.begins = ((np.cumsum(n) - n).astype(np.int32) for n in (lengths, kept))
-        self.lengths, self.sizes, self.heads, self.tails = self.lengths[old], sizes, self.heads[old], self.tails[old]
+        self.ids.hold(self.ids[ranges(self.starts[old].astype(np.int64), lengths)])
+        self.bytes.hold(self.bytes[ranges(self.begins[old].astype(np.int64), kept)])
+        self.starts.hold(np.cumsum(lengths) - lengths)
+        self.begins.hold(np.cumsum(kept) - kept)
+        for column in (self.lengths, self.sizes, self.heads, self.tails):
+            column.hold(column[old])
         self.hashes, self.places = self.hashes[mask], np.arange(len(old), dtype=np.int32)
-        self.again = np.zeros(len(old), bool)
+        self.again.hold(np.zeros(len(old), bool))
 
     @staticmethod
     def _edges(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,24 +223,28 @@ class Remembered:
 
     def _learn(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
         """Encodes and remembers ranges whose hashes (sorted) are new."""
-        found = self.encode([texts.data[a:b].tobytes().decode() for a, b in zip(starts.tolist(), ends.tolist())])
-        counts = np.fromiter(map(len, found), np.int64, len(found))
+        counts, ids = [], []
+        for a in range(0, len(starts), ENCODED):
+            of = slice(a, a + ENCODED)
+            found = self.encode([texts.data[i:j].tobytes().decode() for i, j in zip(starts[of].tolist(), ends[of].tolist())])
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+        counts, ids = np.concatenate(counts), np.concatenate(ids)
         near = np.searchsorted(self.hashes, hashes)
         self.places = np.insert(self.places, near, len(self.starts) + np.arange(len(hashes), dtype=np.int32))
         self.hashes = np.insert(self.hashes, near, hashes)
         sizes = ends - starts
         kept = np.where(sizes > 16, sizes, 0)
         head, tail = self._edges(texts, starts, ends)
-        more = {
-            "starts": len(self.ids) + np.cumsum(counts) - counts,
-            "begins": len(self.bytes) + np.cumsum(kept) - kept,
-            "ids": np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())),
-            "bytes": texts.data[ranges(starts, kept)],
-            "lengths": counts, "sizes": sizes, "heads": head, "tails": tail, "again": np.zeros(len(hashes)),
-        }
-        for name, values in more.items():
-            old = getattr(self, name)
-            setattr(self, name, np.concatenate((old, values.astype(old.dtype))))
+        self.starts.add(len(self.ids) + np.cumsum(counts) - counts)
+        self.begins.add(len(self.bytes) + np.cumsum(kept) - kept)
+        self.ids.add(ids)
+        self.bytes.add(texts.data[ranges(starts, kept)])
+        self.lengths.add(counts)
+        self.sizes.add(sizes)
+        self.heads.add(head)
+        self.tails.add(tail)
+        self.again.add(np.zeros(len(hashes), bool))
 
     def _others(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The ranges that are not, byte by byte, what is remembered under their hash: by

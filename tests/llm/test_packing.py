@@ -112,3 +112,12 @@ def test_every_id_lies_in_one_piece(spark, awkward):
             end += length
         assert end <= 2048
     assert packing.packed(df.limit(0), PATH).count() == 0
+
+
+def test_the_plan_starts_no_python_workers(spark):
+    """A list of rows becomes a frame through Python workers of a second kind, which stay."""
+    plan = packing.Plan(16).place({5: 7, 3: 2, 16: 1})
+    made = spark.createDataFrame(plan.table())
+    assert sorted(map(tuple, made.collect())) == sorted(plan.rows)
+    assert "ExistingRDD" not in made._jdf.queryExecution().toString()
+    assert spark.createDataFrame(packing.Plan(16).place({}).table()).collect() == []

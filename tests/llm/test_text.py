@@ -109,3 +109,25 @@ def test_a_full_memory_keeps_what_was_asked_for_again():
         assert ids.tolist() == list("".join(words).encode()) and counts.tolist() == [len(w) for w in words]
         assert len(memory.hashes) <= 40
     assert [asked.count(w) for w in common] == [1, 1, 1] and len(asked) == 3 + 30 * 10
+
+
+def test_new_words_are_encoded_in_lots():
+    """A tokenizer's own form of a word is large, so few of them may exist at once."""
+    asked = []
+    memory = X.Remembered(lambda words: asked.append(len(words)) or [list(w.encode()) for w in words])
+    words = [f"word{k}" for k in range(3 * X.ENCODED + 1)]
+    (part,) = X.slices(pa.array([" ".join(words)]))
+    starts, ends, _ = part.runs(X.SPACE[part.data])
+    ids, counts = memory.of(part, starts, ends)
+    assert ids.tolist() == list("".join(words).encode()) and counts.tolist() == [len(w) for w in words]
+    assert sum(asked) == len(words) and max(asked) <= X.ENCODED
+
+
+def test_a_column_grows_in_place():
+    column = X.Grown(np.int32)
+    parts = [np.arange(k) + k for k in (3, 0, 70_000, 5, 200_000)]
+    for part in parts:
+        column.add(part)
+    assert len(column) == 270_008 and column[np.arange(len(column))].tolist() == np.concatenate(parts).tolist()
+    column.hold(column[np.array([1, 4])])
+    assert len(column) == 2 and column[np.array([0, 1])].tolist() == [4, 70_001]
