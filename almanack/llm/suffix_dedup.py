@@ -55,7 +55,9 @@ GROUP, CHUNK = 4_000, 2_000
 #: span); more meet the texts by shuffle.
 BROADCAST_BYTES = 48_000_000
 #: Bytes of text whose windows are looked at together; some 100 bytes of memory for each.
-BLOCK = 1 << 18
+BLOCK = 1 << 17
+#: Rows of LENGTH or so numbers that are looked at together, some megabytes.
+LOT = 4_000
 
 _ANCHORS = "array<struct<m: bigint, start: int, size: int>>"
 _PIECES = "array<struct<m: bigint, at: int, start: int, piece: binary>>"
@@ -144,9 +146,9 @@ def anchors(text: Column, length: int = LENGTH) -> Column:
 def _anchor_places(starts: np.ndarray, m: np.ndarray, hashes: np.ndarray, width: int) -> np.ndarray:
     """How far behind a run's begin its anchor begins."""
     out = np.zeros(len(starts), np.int64)
-    for a in range(0, len(starts), 10_000):
-        near = starts[a : a + 10_000, None] + np.arange(width)
-        out[a : a + 10_000] = (hashes[near] == m[a : a + 10_000, None]).argmax(axis=1)
+    for a in range(0, len(starts), LOT):
+        near = starts[a : a + LOT, None] + np.arange(width)
+        out[a : a + LOT] = (hashes[near] == m[a : a + LOT, None]).argmax(axis=1)
     return out
 
 
@@ -187,7 +189,7 @@ def pieces(text: Column, begins: Column, ends: Column, length: int = LENGTH) ->
             row += texts.n
         sizes = _joined(where, np.int64)
         offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-        raw = pa.py_buffer(_joined(data, np.uint8).tobytes())
+        raw = pa.py_buffer(_joined(data, np.uint8))
         fields = {
             "m": pa.array(_joined(m, np.int64)),
             "at": pa.array(_joined(at, np.int64).astype(np.int32)),
@@ -261,8 +263,8 @@ class Suffixes:
         the segments that are not in order."""
         same, wrong = np.zeros(len(at), bool), []
         window = np.arange(self.length)
-        for a in range(0, len(at) - 1, 20_000):
-            b = min(a + 20_000, len(at) - 1)
+        for a in range(0, len(at) - 1, LOT):
+            b = min(a + LOT, len(at) - 1)
             one, two = self.data[at[a:b, None] + window], self.data[at[a + 1 : b + 1, None] + window]
             differ = one != two
             some, where = differ.any(axis=1), differ.argmax(axis=1)

@@ -149,3 +149,20 @@ def test_settle_keeps_rows_apart():
     table = pa.table({n: pa.array([r[k] for r in rows]) for k, n in enumerate(names)})
     out = sd.settle(table).to_pylist()
     assert [(r["id"], r["start"], r["size"]) for r in out] == [(1, 10, 21), (2, 20, 20)]
+
+
+def test_memory_of_a_slice_is_bounded():
+    """Windows are looked at in lots of a few megabytes, however many there are."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 123, 100_000).astype(np.uint8)
+    suffixes = sd.Suffixes(data, 100)
+    at = np.arange(40_000)
+    at = at[np.argsort(np.lib.stride_tricks.sliding_window_view(data, 100)[:40_000].copy().view("S100").ravel())]
+    tracemalloc.start()
+    same, wrong = suffixes.equal_to_next(at, np.zeros(len(at), np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not same.any() and not len(wrong)
+    assert peak < 12_000_000
